@@ -96,12 +96,10 @@ def _roll_up(zones: DataFrame, ids: Sequence[str]) -> DataFrame:
     # The grouping id has one set bit per column that the level leaves out.
     level = F.lit(len(LEVEL_COLS)) - F.bit_count("masked")
     rolled = rolled.withColumn("level", level.cast("int"))
-    counts = []
-    for kind, name in enumerate(ids):
-        value = F.col(_cell(kind, 1))
-        for n in levels:
-            value = F.when(F.col("level") == n, F.col(_cell(kind, n))).otherwise(value)
-        counts.append(value.alias(f"count_{name}"))
+    counts = [
+        F.element_at(F.array(*[_cell(kind, n) for n in levels]), F.col("level")).alias(f"count_{c}")
+        for kind, c in enumerate(ids)
+    ]
     return rolled.select("level", *LEVEL_COLS, "date", "clicks", *counts)
 
 

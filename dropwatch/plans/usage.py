@@ -52,17 +52,30 @@ def usage_backfill(
 ) -> DataFrame:
     """References for many run months in one job.
 
-    Distinct counts hold per day, so each day's counts are computed once and serve the twelve
-    run months after it; only the small daily table is multiplied. run_months has one row per
-    month of the calendar, which bounds the broadcast.
+    Distinct counts hold per day, so each day's counts are computed once. They are gathered per
+    group and month (31 days at most), and only these rows are handed to the twelve run months
+    after them, where the medians are taken. run_months has one row per month of the calendar,
+    which bounds the broadcast.
     """
     columns = [c for c in COUNT_COLS if c in daily.columns]
-    month = month_of("date")
-    served = F.explode(months_between(shift_month(month, 1), shift_month(month, months)))
-    spread = daily.select(*keys, served.alias("run_month"), *columns)
+    by_month = daily.groupBy(*keys, month_of("date").alias("month")).agg(
+        F.collect_list(F.struct(*columns)).alias("days")
+    )
+    first, last = shift_month("month", 1), shift_month("month", months)
+    served = by_month.select(
+        *keys, "days", F.explode(months_between(first, last)).alias("run_month")
+    )
     wanted = F.broadcast(run_months.select("run_month"))
-    return (
-        spread.join(wanted, "run_month", "left_semi")
+    year = (
+        served.join(wanted, "run_month", "left_semi")
         .groupBy("run_month", *keys)
-        .agg(*_medians(columns))
+        .agg(F.flatten(F.collect_list("days")).alias("days"))
     )
+    return year.select("run_month", *keys, *[_lower_median(c) for c in columns])
+
+
+def _lower_median(column: str) -> Column:
+    """Lower median of a field of the array days, which is never empty."""
+    ordered = F.sort_array(F.transform("days", lambda day: day[column]))
+    middle = F.ceil(F.size("days") / 2).cast("int")
+    return F.element_at(ordered, middle).alias(f"median_{column}")
