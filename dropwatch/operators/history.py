@@ -36,10 +36,10 @@ def alert_keys(
     )
 
 
-def alert_history(
+def recent_rows(
     baseline: DataFrame, keys: Sequence[str], run_date: str, thresholds: Thresholds
 ) -> DataFrame:
-    """Clicks of the alerting groups from seven days before the run date up to it, latest first.
+    """Clicks of the alerting groups from seven days before the run date up to it.
 
     The run date's row marks its whole series through a window over the group, whose rows the
     baseline has brought together already, in place of a join of the table with itself. A
@@ -49,12 +49,17 @@ def alert_history(
     hit = (F.col("date") == run_date) & is_drop(thresholds)
     marked = baseline.withColumn("alerting", F.max(hit).over(Window.partitionBy(*keys)))
     recent = marked.filter(F.col("alerting") & F.col("date").between(first, run_date))
-    return recent.select(*keys, "date", "clicks").orderBy(F.desc("date"), *keys)
+    return recent.select(*keys, "date", "clicks")
 
 
-def click_list(history: DataFrame, keys: Sequence[str], run_date: str) -> DataFrame:
-    """One row per alerting group: its clicks from the run date backwards, largest group
-    first. A list has at most eight values."""
+def alert_history(baseline, keys, run_date, thresholds) -> DataFrame:
+    """recent_rows, latest first."""
+    return recent_rows(baseline, keys, run_date, thresholds).orderBy(F.desc("date"), *keys)
+
+
+def click_totals(history: DataFrame, keys: Sequence[str], run_date: str) -> DataFrame:
+    """One row per alerting group: its clicks from the run date backwards, and their sum. A list
+    has at most eight values."""
     days = F.sort_array(F.collect_list(F.struct("date", "clicks")), asc=False)
     return (
         history.withColumn("run_date", F.lit(run_date))
@@ -65,11 +70,15 @@ def click_list(history: DataFrame, keys: Sequence[str], run_date: str) -> DataFr
             ),
             F.sum("clicks").alias("total_clicks"),
         )
-        .orderBy(F.desc("total_clicks"), *keys)
-        .drop("total_clicks")
     )
 
 
+def click_list(history: DataFrame, keys: Sequence[str], run_date: str) -> DataFrame:
+    """One row per alerting group with its click list, largest group first."""
+    lists = click_totals(history, keys, run_date)
+    return lists.orderBy(F.desc("total_clicks"), *keys).drop("total_clicks")
+
+
 def ordered_history(
     history: DataFrame, keys: Sequence[str], run_date: str, keep_rank: bool = False
 ) -> DataFrame:

@@ -21,7 +21,14 @@ from dropwatch.operators.counts import (
     keys_present,
 )
 from dropwatch.operators.grid import clicks_per_day, densify
-from dropwatch.operators.history import alert_history, alert_keys, click_list, with_usage
+from dropwatch.operators.history import (
+    alert_history,
+    alert_keys,
+    click_list,
+    click_totals,
+    recent_rows,
+    with_usage,
+)
 from dropwatch.operators.ranking import with_ranking
 from dropwatch.plans.usage import (
     ALERT_IDS,
@@ -44,21 +51,32 @@ def lookback_rows(traffic: DataFrame, run_date: str) -> DataFrame:
 
 
 def daily_series(
-    traffic: DataFrame, keys: Sequence[str], run_date: str, mode: str = OBSERVED
+    traffic: DataFrame,
+    keys: Sequence[str],
+    run_date: str,
+    mode: str = OBSERVED,
+    counts: Sequence[str] = COUNT_COLS,
 ) -> DataFrame:
-    """Clicks and audience counts per group and day of the lookback."""
+    """Clicks and the wanted audience counts per group and day of the lookback."""
     _check(mode)
     clicks = clicks_only(lookback_rows(traffic, run_date))
     if mode == OBSERVED:
-        return daily_counts(clicks.filter(keys_present(keys)), keys)
-    return densify(daily_counts(clicks, keys), keys, run_date, measures=("clicks", *COUNT_COLS))
+        clicks = clicks.filter(keys_present(keys))
+    daily = daily_counts(clicks, keys).select(*keys, "date", "clicks", *counts)
+    if mode == OBSERVED:
+        return daily
+    return densify(daily, keys, run_date, measures=("clicks", *counts))
 
 
 def daily_baseline(
-    traffic: DataFrame, keys: Sequence[str], run_date: str, mode: str = OBSERVED
+    traffic: DataFrame,
+    keys: Sequence[str],
+    run_date: str,
+    mode: str = OBSERVED,
+    counts: Sequence[str] = COUNT_COLS,
 ) -> DataFrame:
     """daily_series with earlier values, estimate and ratio."""
-    return baseline(daily_series(traffic, keys, run_date, mode), keys)
+    return baseline(daily_series(traffic, keys, run_date, mode, counts), keys)
 
 
 def daily_ranking(
@@ -78,9 +96,9 @@ def dense_clicks(traffic: DataFrame, keys: Sequence[str], run_date: str) -> Data
 def baseline_with_usage(
     traffic: DataFrame, keys: Sequence[str], run_date: str, mode: str = OBSERVED
 ) -> DataFrame:
-    """daily_baseline with the usage reference of the run date's month."""
+    """daily_baseline, clicks only, with the usage reference of the run date's month."""
     usage = usage_reference(traffic, keys, run_date[:7])
-    rows = daily_baseline(traffic, keys, run_date, mode)
+    rows = daily_baseline(traffic, keys, run_date, mode, counts=())
     return with_usage(rows, usage, keys, null_safe=mode == CALENDAR)
 
 
@@ -97,7 +115,8 @@ def daily_alerts(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSERVED
 
 def daily_click_lists(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSERVED):
     """One row per group that drops on the run date at one level, with its click list."""
-    return click_list(daily_alerts(traffic, keys, run_date, thresholds, mode), keys, run_date)
+    rows = baseline_with_usage(traffic, keys, run_date, mode)
+    return click_list(recent_rows(rows, keys, run_date, thresholds), keys, run_date)
 
 
 def alerts_all_levels(
@@ -107,7 +126,7 @@ def alerts_all_levels(
     mode: str = OBSERVED,
     usage: DataFrame | None = None,
 ) -> DataFrame:
-    """Click lists of all levels, stacked, from one pass over the lookback and one over the
+    """Click lists (with their sums) of all levels, stacked, from one pass over the lookback and one over the
     year, or over a usage reference computed before."""
     _check(mode)
     clicks = clicks_only(lookback_rows(traffic, run_date))
@@ -120,6 +139,6 @@ def alerts_all_levels(
         usage = usage_reference_all_levels(traffic, run_date[:7], ALERT_IDS)
     # Columns below the level are NULL on both sides, so the join has to be null-safe.
     rows = with_usage(baseline(daily, STACKED_KEYS), usage, STACKED_KEYS, null_safe=True)
-    history = alert_history(rows, STACKED_KEYS, run_date, thresholds)
-    return click_list(history, STACKED_KEYS, run_date)
+    history = recent_rows(rows, STACKED_KEYS, run_date, thresholds)
+    return click_totals(history, STACKED_KEYS, run_date)
 

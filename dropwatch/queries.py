@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropwatch.config import COUNT_COLS, LEVEL_COLS, LEVELS, MEDIAN_COLS, STACKED_KEYS, Thresholds
+from dropwatch.config import LEVEL_COLS, LEVELS, MEDIAN_COLS, STACKED_KEYS, Thresholds
 from dropwatch.functions import calendar
 from dropwatch.operators import counts, grid
 from dropwatch.operators.baseline import baseline, with_lags
@@ -167,7 +167,8 @@ def multi_granularity_clicks(spark, sf_dir):
 
 
 def _observed(spark, sf_dir, level):
-    return daily.daily_series(fixtures.traffic(spark, sf_dir), LEVELS[level], RUN_DATE)
+    traffic = fixtures.traffic(spark, sf_dir)
+    return daily.daily_series(traffic, LEVELS[level], RUN_DATE, counts=())
 
 
 @query
@@ -177,8 +178,7 @@ def daily_total(spark, sf_dir):
 
 @query
 def daily_share(spark, sf_dir):
-    rows = _observed(spark, sf_dir, "action").drop(*COUNT_COLS)
-    return _rounded(with_daily_share(rows))
+    return _rounded(with_daily_share(_observed(spark, sf_dir, "action")))
 
 
 @query
@@ -195,8 +195,7 @@ def daily_ranking_calendar(spark, sf_dir):
 
 @query
 def clicks_lag(spark, sf_dir):
-    keys = LEVELS["website"]
-    return with_lags(_observed(spark, sf_dir, "website").drop(*COUNT_COLS), keys)
+    return with_lags(_observed(spark, sf_dir, "website"), LEVELS["website"])
 
 
 @query

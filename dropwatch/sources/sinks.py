@@ -62,5 +62,6 @@ def save_alerts(alerts: DataFrame, base: str, run_date: str) -> None:
     alerts leaves a header only, so that an earlier run's files cannot survive."""
     alerts = staged(alerts, "alerts")
     for depth, (level, columns) in enumerate(LEVELS.items(), start=1):
-        rows = alerts.filter(F.col("level") == depth).select(*columns, "run_date", CLICK_LIST)
-        save(rows, f"{alert_dir(base, run_date)}/{level_label(level)}", "csv")
+        rows = alerts.filter(F.col("level") == depth).orderBy(F.desc("total_clicks"), *columns)
+        table = rows.select(*columns, "run_date", CLICK_LIST)
+        save(table, f"{alert_dir(base, run_date)}/{level_label(level)}", "csv", ordered=True)
