@@ -16,6 +16,7 @@ def local_session():
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="dropwatch-warehouse-"))
         .getOrCreate()
