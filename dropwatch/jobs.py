@@ -16,22 +16,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dropwatch.config import HOURLY_THRESHOLD, LEVELS, STACKED_KEYS, Thresholds
+from dropwatch.operators.counts import daily_counts_all_levels
 from dropwatch.plans import daily, digest, hourly
-from dropwatch.plans.usage import usage_reference_all_levels
+from dropwatch.plans.usage import medians_of_days, usage_reference_all_levels
 from dropwatch.session import configure, staged
 from dropwatch.sources import readers, sinks
 
 
 def run_usage(
-    spark: SparkSession, source: str, output: str, run_month: str, partitioned: bool = False
+    spark: SparkSession,
+    source: str,
+    output: str,
+    run_month: str,
+    partitioned: bool = False,
+    counts: str | None = None,
 ) -> None:
-    """Compute all levels' usage references in one pass and store each."""
+    """Compute all levels' usage references in one pass and store each.
+
+    With a counts folder, the daily counts of each month are kept there and computed once: the
+    next run month scans the clicks of one new month instead of twelve. Delete a month's folder
+    when its clicks change.
+    """
     months = readers.months_before(run_month)
-    traffic = readers.read_click_layer(spark, source, months, partitioned)
-    usage = staged(usage_reference_all_levels(traffic, run_month), "usage")
-    medians = [c for c in usage.columns if c not in STACKED_KEYS]
+    if counts is None:
+        traffic = readers.read_click_layer(spark, source, months, partitioned)
+        medians = usage_reference_all_levels(traffic, run_month)
+    else:
+        missing = sorted(set(months) - readers.stored_months(spark, counts))
+        if missing:
+            traffic = readers.read_click_layer(spark, source, missing, partitioned)
+            daily_rows = daily_counts_all_levels(readers.clicks_only(traffic))
+            sinks.save_by_month(daily_rows, counts, keep_others=True)
+        stored = readers.read_click_layer(spark, counts, months, partitioned=True)
+        medians = medians_of_days(readers.in_trailing_year(stored, run_month), STACKED_KEYS)
+    usage = staged(medians, "usage")
+    shown = [c for c in usage.columns if c not in STACKED_KEYS]
     for depth, (level, columns) in enumerate(LEVELS.items(), start=1):
-        rows = usage.filter(F.col("level") == depth).select(*columns, *medians)
+        rows = usage.filter(F.col("level") == depth).select(*columns, *shown)
         sinks.save_usage(rows, output, run_month, level)
 
 
@@ -108,6 +129,7 @@ def main(argv: list[str] | None = None) -> None:
         job.add_argument("--output", required=True)
         if name == "usage":
             job.add_argument("--run-month", required=True)
+            job.add_argument("--counts", help="folder that keeps daily counts between runs")
         else:
             job.add_argument("--run-date", required=True)
         if name == "hourly":
@@ -124,7 +146,9 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = configure(SparkSession.builder.appName(f"dropwatch-{args.job}").getOrCreate())
     if args.job == "usage":
-        run_usage(spark, args.input, args.output, args.run_month, args.partitioned)
+        run_usage(
+            spark, args.input, args.output, args.run_month, args.partitioned, args.counts
+        )
     elif args.job == "daily":
         limits = Thresholds(args.min_clicks, args.min_ipua, args.min_domain, args.ratio)
         run_daily(

@@ -51,6 +51,17 @@ def read_click_layer(
     return clicks.filter(wanted).drop("year", "month")
 
 
+def stored_months(spark: SparkSession, base: str) -> set[tuple[int, int]]:
+    """Months a partitioned table has, from its directory names; one row per month."""
+    try:
+        found = spark.read.parquet(base).select("year", "month").distinct()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return set()
+        raise
+    return {(row.year, row.month) for row in found.collect()}
+
+
 def in_lookback(clicks: DataFrame, run_date: str, days: int = LOOKBACK_DAYS) -> DataFrame:
     """Rows dated within the lookback that ends with run_date. The bounds are literals, so
     they reach the parquet scan."""

@@ -30,13 +30,15 @@ def save(df: DataFrame, path: str, file_type: str = "parquet", ordered: bool = F
         writer.format(name).save(target)
 
 
-def save_by_month(clicks: DataFrame, path: str) -> None:
-    """Write a click layer under year=/month= directories."""
+def save_by_month(rows: DataFrame, path: str, keep_others: bool = False) -> None:
+    """Write dated rows under year=/month= directories, replacing all of them or, with
+    keep_others, only those of the months given."""
     year, month = F.substring("date", 1, 4), F.substring("date", 6, 2)
     (
-        clicks.withColumns({"year": year, "month": month})
+        rows.withColumns({"year": year, "month": month})
         .hint("rebalance", "year", "month")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
         .partitionBy("year", "month")
         .parquet(path)
     )

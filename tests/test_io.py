@@ -131,6 +131,24 @@ def test_usage_and_daily_jobs(spark, tmp_path):
     assert readers.read_alerts(spark, f"{out}/alert/2024_02_09") is None
 
 
+def test_usage_job_counts_each_month_once(spark, tmp_path):
+    source, store = str(tmp_path / "clicks"), str(tmp_path / "counts")
+    rows = [c for m in range(1, 13) for c in clicks_on("US", {f"2023-{m:02d}-05": m})]
+    rows += clicks_on("US", {"2024-01-05": 30}) + clicks_on("DE", {"2024-01-06": 2})
+    store_plain(spark, rows, source)
+    found = {}
+    for run_month in ("2024-01", "2024-02"):
+        for name, counts in (("direct", None), ("stored", store)):
+            out = str(tmp_path / name)
+            jobs.run_usage(spark, source, out, run_month, counts=counts)
+            usage = readers.read_usage(spark, out, run_month, "website")
+            found[run_month, name] = rows_of(usage, *usage.columns)
+    assert found["2024-01", "direct"] == found["2024-01", "stored"]
+    assert found["2024-02", "direct"] == found["2024-02", "stored"]
+    assert len(found["2024-02", "direct"]) == 2
+    assert len(readers.stored_months(spark, store)) == 13
+
+
 def test_hourly_job(spark, tmp_path):
     source, out = str(tmp_path / "logs"), str(tmp_path / "out")
     store_log(source, H6, [[("a", epoch(H6), "x")]])
