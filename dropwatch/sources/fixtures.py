@@ -35,14 +35,16 @@ def _spread(rows: DataFrame, *key: str) -> DataFrame:
     return rows.repartition(cores, *key) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def _places(spark, sf_dir):
-    """Customers with their nation and region; those two tables have 25 and 5 rows by
+def _with_places(rows: DataFrame, sf_dir: str, key: str) -> DataFrame:
+    """Join each row's customer, nation and region. The last two have 25 and 5 rows by
     definition, whatever the scale, so they are broadcast."""
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
+    spark = rows.sparkSession
+    customer, nation, region = (
+        table(spark, sf_dir, name) for name in ("customer", "nation", "region")
+    )
     nations = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-    customer = table(spark, sf_dir, "customer")
-    return customer.join(F.broadcast(nations), customer.c_nationkey == nations.n_nationkey)
+    known = rows.join(customer, rows[key] == customer.c_custkey)
+    return known.join(F.broadcast(nations), known.c_nationkey == nations.n_nationkey)
 
 
 def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,13 +59,12 @@ def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(F.to_date("ts"), 10).cast("string").alias("date"),
         F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
     )
-    places = _places(spark, sf_dir)
     outage = (
         (F.col("r_name") == OUTAGE_COUNTRY)
         & (F.col("date") == RUN_DATE)
         & (F.col("k") >= OUTAGE_KEEPS_BELOW)
     )
-    return events.join(places, events.user_id == places.c_custkey).select(
+    return _with_places(events, sf_dir, "user_id").select(
         "event_id",
         F.col("r_name").alias("country"),
         F.col("c_mktsegment").alias("website_name"),
@@ -92,23 +93,19 @@ def traffic_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click layer over seven years: one row per order line."""
     lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = table(spark, sf_dir, "orders")
-    places = _places(spark, sf_dir)
-    return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(places, orders.o_custkey == places.c_custkey)
-        .select(
-            F.col("r_name").alias("country"),
-            F.col("c_mktsegment").alias("website_name"),
-            F.col("l_returnflag").alias("action"),
-            F.col("l_linestatus").alias("zone"),
-            F.to_date("l_shipdate").cast("string").alias("date"),
-            F.when(F.col("l_linenumber") == 1, 0).otherwise(1).alias("clicks"),
-            F.col("o_custkey").alias("master_user_group_id"),
-            F.col("l_suppkey").alias("ip_address_user_agent"),
-            F.col("n_name").alias("city_code"),
-            F.col("c_name").alias("company_name"),
-            F.col("l_partkey").alias("domain_name"),
-        )
+    bought = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return _with_places(bought, sf_dir, "o_custkey").select(
+        F.col("r_name").alias("country"),
+        F.col("c_mktsegment").alias("website_name"),
+        F.col("l_returnflag").alias("action"),
+        F.col("l_linestatus").alias("zone"),
+        F.to_date("l_shipdate").cast("string").alias("date"),
+        F.when(F.col("l_linenumber") == 1, 0).otherwise(1).alias("clicks"),
+        F.col("o_custkey").alias("master_user_group_id"),
+        F.col("l_suppkey").alias("ip_address_user_agent"),
+        F.col("n_name").alias("city_code"),
+        F.col("c_name").alias("company_name"),
+        F.col("l_partkey").alias("domain_name"),
     )
 
 
