@@ -38,13 +38,15 @@ def share(part: Column, total: Column) -> Column:
     return part * F.lit(1.0) / F.nullif(total, F.lit(0))
 
 
-def is_drop(thresholds: Thresholds) -> Column:
-    """Large enough before and nearly gone now. NULL in any operand means no alert."""
-    return (
-        (F.col("estimate") > thresholds.min_clicks)
-        & (F.col("ratio") < thresholds.ratio)
-        & (F.col("median_count_ip_address_user_agent") > thresholds.min_ipua)
-        & (F.col("median_count_domain_name") > thresholds.min_domain)
+def has_fallen(thresholds: Thresholds) -> Column:
+    """Enough clicks expected and nearly none there. NULL in any operand means no."""
+    return (F.col("estimate") > thresholds.min_clicks) & (F.col("ratio") < thresholds.ratio)
+
+
+def is_used(thresholds: Thresholds) -> Column:
+    """The group normally has enough users and domains. NULL in any operand means no."""
+    return (F.col("median_count_ip_address_user_agent") > thresholds.min_ipua) & (
+        F.col("median_count_domain_name") > thresholds.min_domain
     )
 
 

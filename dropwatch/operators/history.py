@@ -10,25 +10,30 @@ from pyspark.sql import functions as F
 
 from dropwatch.config import CLICK_LIST, HISTORY_DAYS, Thresholds
 from dropwatch.functions.calendar import shift_date
-from dropwatch.functions.measures import is_drop
+from dropwatch.functions.measures import has_fallen, is_used
 
 
-def with_usage(rows: DataFrame, usage: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    """Left join of the usage reference. Null-safe keys keep groups with a NULL key."""
+def with_usage(
+    rows: DataFrame, usage: DataFrame, keys: Sequence[str], null_safe: bool, how: str = "left"
+) -> DataFrame:
+    """Join of the usage reference. Null-safe keys keep groups with a NULL key."""
     if not null_safe:
-        return rows.join(usage, list(keys), "left")
+        return rows.join(usage, list(keys), how)
     renamed = usage.withColumnsRenamed({k: f"usage_{k}" for k in keys})
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"usage_{k}"))
-    return rows.join(renamed, same, "left").drop(*[f"usage_{k}" for k in keys])
+    return rows.join(renamed, same, how).drop(*[f"usage_{k}" for k in keys])
 
 
 def alert_keys(
     baseline: DataFrame, keys: Sequence[str], run_date: str, thresholds: Thresholds
 ) -> DataFrame:
-    """Groups that drop on the run date, with the start of the history to show."""
-    hits = baseline.filter((F.col("date") == run_date) & is_drop(thresholds))
+    """Groups that drop on the run date, with the start of the history to show. Expects the
+    baseline with the usage reference."""
+    hits = baseline.filter(
+        (F.col("date") == run_date) & has_fallen(thresholds) & is_used(thresholds)
+    )
     return hits.withColumnRenamed("date", "alert_date").select(
         *keys,
         shift_date("alert_date", -HISTORY_DAYS).alias("date_7_days_ahead"),
@@ -37,24 +42,26 @@ def alert_keys(
 
 
 def recent_rows(
-    baseline: DataFrame, keys: Sequence[str], run_date: str, thresholds: Thresholds
+    baseline: DataFrame,
+    usage: DataFrame,
+    keys: Sequence[str],
+    run_date: str,
+    thresholds: Thresholds,
+    null_safe: bool,
 ) -> DataFrame:
     """Clicks of the alerting groups from seven days before the run date up to it.
 
     The run date's row marks its whole series through a window over the group, whose rows the
     baseline has brought together already, in place of a join of the table with itself. A
-    series has at most one row per day of the lookback.
+    series has at most one row per day of the lookback. Only the few groups that have fallen
+    then meet the usage reference, which is the same for all days of a group.
     """
     first = (date.fromisoformat(run_date) - timedelta(days=HISTORY_DAYS)).isoformat()
-    hit = (F.col("date") == run_date) & is_drop(thresholds)
-    marked = baseline.withColumn("alerting", F.max(hit).over(Window.partitionBy(*keys)))
-    recent = marked.filter(F.col("alerting") & F.col("date").between(first, run_date))
-    return recent.select(*keys, "date", "clicks")
-
-
-def alert_history(baseline, keys, run_date, thresholds) -> DataFrame:
-    """recent_rows, latest first."""
-    return recent_rows(baseline, keys, run_date, thresholds).orderBy(F.desc("date"), *keys)
+    hit = (F.col("date") == run_date) & has_fallen(thresholds)
+    marked = baseline.withColumn("fallen", F.max(hit).over(Window.partitionBy(*keys)))
+    recent = marked.filter(F.col("fallen") & F.col("date").between(first, run_date))
+    judged = with_usage(recent.select(*keys, "date", "clicks"), usage, keys, null_safe, "inner")
+    return judged.filter(is_used(thresholds)).select(*keys, "date", "clicks")
 
 
 def click_totals(history: DataFrame, keys: Sequence[str], run_date: str) -> DataFrame:

@@ -19,7 +19,13 @@ from dropwatch.config import (
     Thresholds,
 )
 from dropwatch.functions.calendar import month_of, shift_date
-from dropwatch.functions.measures import drop_ratio, is_drop, lag_name, weekday_estimate
+from dropwatch.functions.measures import (
+    drop_ratio,
+    has_fallen,
+    is_used,
+    lag_name,
+    weekday_estimate,
+)
 from dropwatch.operators.counts import keys_present
 from dropwatch.operators.history import with_usage
 from dropwatch.plans.daily import CALENDAR, OBSERVED
@@ -107,11 +113,9 @@ def daily_alerts_backfill(
         if run_dates is not None:
             runs = runs.join(F.broadcast(run_dates.select("run_date")), "run_date", "left_semi")
     # Checked first: what the estimate alone rules out need not meet the usage reference.
-    likely = runs.filter(
-        (F.col("estimate") > thresholds.min_clicks) & (F.col("ratio") < thresholds.ratio)
-    ).withColumn("run_month", month_of("run_date"))
-    judged = with_usage(likely, usage, ["run_month", *keys], null_safe=True)
-    alerts = judged.filter(is_drop(thresholds))
+    likely = runs.filter(has_fallen(thresholds)).withColumn("run_month", month_of("run_date"))
+    judged = with_usage(likely, usage, ["run_month", *keys], null_safe=True, how="inner")
+    alerts = judged.filter(is_used(thresholds))
     return alerts.select("run_date", *keys, "clicks", "estimate", "ratio", CLICK_LIST)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dropwatch.config import COUNT_COLS, STACKED_KEYS, Thresholds
 from dropwatch.operators.baseline import baseline
@@ -22,7 +23,6 @@ from dropwatch.operators.counts import (
 )
 from dropwatch.operators.grid import clicks_per_day, densify
 from dropwatch.operators.history import (
-    alert_history,
     alert_keys,
     click_list,
     click_totals,
@@ -107,16 +107,21 @@ def daily_alert_keys(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSE
     return alert_keys(baseline_with_usage(traffic, keys, run_date, mode), keys, run_date, thresholds)
 
 
+def _alert_rows(traffic, keys, run_date, thresholds, mode):
+    rows = daily_baseline(traffic, keys, run_date, mode, counts=())
+    usage = usage_reference(traffic, keys, run_date[:7])
+    return recent_rows(rows, usage, keys, run_date, thresholds, null_safe=mode == CALENDAR)
+
+
 def daily_alerts(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSERVED):
-    """Eight-day history of the groups that drop on the run date at one level."""
-    rows = baseline_with_usage(traffic, keys, run_date, mode)
-    return alert_history(rows, keys, run_date, thresholds)
+    """Eight-day history of the groups that drop on the run date at one level, latest first."""
+    rows = _alert_rows(traffic, keys, run_date, thresholds, mode)
+    return rows.orderBy(F.desc("date"), *keys)
 
 
 def daily_click_lists(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSERVED):
     """One row per group that drops on the run date at one level, with its click list."""
-    rows = baseline_with_usage(traffic, keys, run_date, mode)
-    return click_list(recent_rows(rows, keys, run_date, thresholds), keys, run_date)
+    return click_list(_alert_rows(traffic, keys, run_date, thresholds, mode), keys, run_date)
 
 
 def alerts_all_levels(
@@ -138,7 +143,7 @@ def alerts_all_levels(
     if usage is None:
         usage = usage_reference_all_levels(traffic, run_date[:7], ALERT_IDS)
     # Columns below the level are NULL on both sides, so the join has to be null-safe.
-    rows = with_usage(baseline(daily, STACKED_KEYS), usage, STACKED_KEYS, null_safe=True)
-    history = recent_rows(rows, STACKED_KEYS, run_date, thresholds)
+    rows = baseline(daily, STACKED_KEYS)
+    history = recent_rows(rows, usage, STACKED_KEYS, run_date, thresholds, null_safe=True)
     return click_totals(history, STACKED_KEYS, run_date)
 
