@@ -12,7 +12,7 @@ from dropwatch.config import (
     LEVELS,
     MEDIAN_COLS,
 )
-from dropwatch.queries import ALERT, HOURLY_MIN, LONG_RUN_MONTH, RUN_DATE
+from dropwatch.queries import ALERT, HOURLY_MIN, RUN_DATE
 
 FIRST_DATE = "2024-01-18"
 TRAFFIC = f"""traffic AS (

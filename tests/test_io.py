@@ -112,7 +112,8 @@ def test_hour_logs_take_their_columns_from_the_header_file(spark, tmp_path):
 
 def test_usage_and_daily_jobs(spark, tmp_path):
     source, out = str(tmp_path / "clicks"), str(tmp_path / "out")
-    store_plain(spark, steady("US", 1) + clicks_on("US", {f"2023-{m:02d}-05": 1 for m in range(2, 13)}), source)
+    months = clicks_on("US", {f"2023-{m:02d}-05": 1 for m in range(2, 13)})
+    store_plain(spark, steady("US", 1) + months, source)
     jobs.run_usage(spark, source, out, "2024-02")
     usage = readers.read_usage(spark, out, "2024-02", "country")
     assert rows_of(usage, "country", "median_count_domain_name") == [("US", 3)]
