@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropwatch.llm import chat, pieces
+from dropwatch.llm import chat, langid, minhash, pieces, pii, simhash, tiling, warc
 from dropwatch.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -26,13 +26,58 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(conversations.unionByName(planted)))
 
 
+def op2_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents and benchmark items of which the one leaks into the other."""
+    return tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents")).drop("key")
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs))
+    return found.withColumn("held_out", langid.is_held_out(F.col("doc_id")))
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_MODEL)
     return pieces.encode_and_decode(table(spark, sf_dir, "documents"), path)
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and edited texts; for every hundredth document also the number of
+    different fingerprints of all documents within the radius, its own included."""
+    found = simhash.fingerprint_edits(table(spark, sf_dir, "documents"))
+    searched = found.where(F.col("doc_id") % 100 == 0)
+    near = simhash.neighbours(searched, found).groupBy("fp").agg(F.count("*").alias("n_near"))
+    counted = found.join(near, "fp", "left")
+    return counted.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        simhash.as_text(F.col("fp")).alias("fingerprint"),
+        simhash.as_text(F.col("edited_fp")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        F.when(F.col("doc_id") % 100 == 0, F.col("n_near")).alias("n_near"),
+    )
+
+
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(table(spark, sf_dir, "documents"), k=2).drop("tkey")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archive(warc.write_archive(table(spark, sf_dir, "pages")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_chat": op1_chat, "op7_pieces": op7_pieces}
+    found = (
+        op1_chat, op2_tiling, op3_pii, op5_langid, op7_pieces, op8_simhash, op9_minhash, op10_warc
+    )
+    return {f.__name__: f for f in found}
 
 
 OP1_SQL = r"""
