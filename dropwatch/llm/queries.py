@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropwatch.llm import chat, langid, minhash, pieces, pii, simhash, tiling, warc
+from dropwatch.llm import chat, langid, minhash, pieces, pii, simhash, substring, suffix, tiling, warc
 from dropwatch.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -35,12 +35,20 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents")).drop("key")
 
 
+def op4_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs, langid.train(docs))
     return found.withColumn("held_out", langid.is_held_out(F.col("doc_id")))
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_MODEL)
     return pieces.encode_and_decode(table(spark, sf_dir, "documents"), path)
@@ -75,7 +83,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_chat, op2_tiling, op3_pii, op5_langid, op7_pieces, op8_simhash, op9_minhash, op10_warc
+        op1_chat,
+        op2_tiling,
+        op3_pii,
+        op4_suffix,
+        op5_langid,
+        op6_substring,
+        op7_pieces,
+        op8_simhash,
+        op9_minhash,
+        op10_warc,
     )
     return {f.__name__: f for f in found}
 
