@@ -18,6 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,8 +82,6 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """In how many texts each bucket occurs, and the number of texts; one vector per task."""
 
     def count(batches):
-        import pyarrow as pa
-
         seen, n = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
@@ -211,3 +210,15 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return map_batches(rows, run, "doc_id long, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float) -> DataFrame:
+    """The rows of docs, all columns, whose language is found with at least this score."""
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            found = [model.predict(text.as_py()) for text in batch.column(place)]
+            yield batch.filter(pa.array([lang != UNDECIDED and p >= least_score for lang, p in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

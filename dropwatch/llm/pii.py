@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -234,3 +235,26 @@ def mask(text: str, spans: str) -> str:
             out += [text[at:a], f"[{kind.upper()}]"]
         at = max(at, b)
     return "".join([*out, text[at:]])
+
+
+def masked(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns; text is masked, and n_chars, if there is one, follows it."""
+    spans = find(docs).where("spans != ''").select(id_of().alias("_did"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
+    rows = docs.withColumns({"_did": id_of(), "_key": F.xxhash64(text_of())})
+    rows = rows.join(spans.distinct(), ["_did", "_key"], "left").select(*docs.columns, "_spans")
+    place, length = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def run(batches):
+        for batch in batches:
+            texts, found = batch.column(place).to_pylist(), batch.column(len(docs_columns)).to_pylist()
+            new = [mask(t, s) if t is not None and s else t for t, s in zip(texts, found, strict=True)]
+            columns = list(batch.columns[: len(docs_columns)])
+            columns[place] = pa.array(new, columns[place].type)
+            if length is not None:
+                old = columns[length].to_pylist()
+                n = [len(t) if s else o for t, s, o in zip(new, found, old, strict=True)]
+                columns[length] = pa.array(n, columns[length].type)
+            yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
+
+    docs_columns = docs.columns
+    return rows.mapInArrow(run, docs.schema)

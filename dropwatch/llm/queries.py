@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from dropwatch.llm import chat, langid, minhash, pieces, pii, simhash, substring, suffix, tiling, warc
 from dropwatch.llm.common import table
 
@@ -94,7 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_minhash,
         op10_warc,
     )
-    return {f.__name__: f for f in found}
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 OP1_SQL = r"""
