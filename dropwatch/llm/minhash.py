@@ -7,9 +7,11 @@ permutation plus a fraction; a slot keeps the least. Ranks are tried in rising o
 no slot can fall any more. Classes that agree in all ROWS slots of a band meet in a bucket; a pair
 with similarity 0.8 meets in none of the BANDS with a chance under one in a million.
 
-Links are confirmed on the full sets. First every class is compared with the least class of each
-of its buckets. Only classes that are in one bucket but not yet in one group are then compared pair
-by pair, so a group of thousands of near copies costs about one comparison each.
+Links are confirmed on the full sets. First every class is compared with the leader of each of its
+buckets, the class that meets most others. Classes of one leader that are then in different groups are compared
+only if the shingles that come first in both, those that the leader lacks before all others, allow
+the similarity (an exact prefix and position filter). So a group of thousands of near copies, close
+or loose, costs about one comparison each, and no link is lost.
 
 A null or wordless text has the empty set and is linked with nothing. A null doc_id is below all
 others (its component is null). Rows that share a doc_id are one node: they share a component.
@@ -151,6 +153,83 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     return map_batches(joined, run, "a long, b long")
 
 
+PREFIXES = "leader long, shingle long, node long, n long, place long, g long, stray boolean"
+
+
+def _prefixes(members: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """The first shingles of each member, those that its leader lacks before all others.
+
+    Two sets with similarity 0.8 share one of the first n - ceil(0.8 n) + 1 shingles of each, in
+    whatever order, as long as it is the same for both.
+    """
+
+    def run(batch):
+        for leader, node, g, stray, l_text, text in zip(*batch.columns, strict=True):
+            own, its = shingles(text.as_py(), k), shingles(l_text.as_py(), k)
+            n = len(own)
+            ordered = np.concatenate([np.setdiff1d(own, its, assume_unique=True), np.intersect1d(own, its)])
+            first = ordered[: n - -(-4 * n // 5) + 1].view(np.int64)
+            same = lambda x, m=len(first): np.full(m, x)
+            yield [
+                same(leader.as_py()), first, same(node.as_py()), same(n), np.arange(len(first)),
+                same(g.as_py()), same(stray.as_py()),
+            ]
+
+    def gathered(batch):
+        parts = []
+        for columns in run(batch):
+            parts.append(columns)
+            if len(parts) == 500:
+                yield [np.concatenate(c) for c in zip(*parts, strict=True)]
+                parts = []
+        if parts:
+            yield [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+    left = texts.select(F.col("node").alias("leader"), F.col("text").alias("l_text"))
+    joined = members.join(texts, "node").join(left, "leader")
+    return map_batches(joined.select("leader", "node", "g", "stray", "l_text", "text"), gathered, PREFIXES)
+
+
+def _unsettled(met: DataFrame, grouped: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """Pairs (a, b) of one leader, but of different groups, that can still be similar enough.
+
+    Comparing all of them would square the size of a family of loose copies. What a copy does not
+    share with its leader tells copies apart, so pairs must share a shingle among their first ones,
+    at a place behind which enough shingles are left (an exact prefix and position filter). Pairs
+    within the leader's group are settled, so one of the two is always a stray.
+    """
+    members = met.select(F.col("leader.node").alias("leader"), "node").distinct()
+    component = grouped.select(F.col("node").alias("leader"), F.col("component").alias("leader_g"))
+    members = (
+        members.join(grouped, "node", "left")
+        .join(component, "leader", "left")
+        .select(
+            "leader",
+            "node",
+            F.coalesce("component", "node").alias("g"),
+            (F.coalesce("component", "node") != F.coalesce("leader_g", "leader")).alias("stray"),
+        )
+    )
+    members = staged(members, "minhash-members")
+    open_ = members.where("stray").select("leader").distinct()
+    prefixes = _prefixes(members.join(open_, "leader", "left_semi"), texts, k)
+    prefixes = staged(prefixes, "minhash-prefixes")
+    # Shingles that a single member has first join nothing.
+    held = prefixes.groupBy("leader", "shingle").agg(F.count("*").alias("m"), F.max("stray").alias("any"))
+    shared = prefixes.join(held.where("m > 1 AND any").select("leader", "shingle"), ["leader", "shingle"], "left_semi")
+    shared = staged(shared, "minhash-shared")
+    side = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("node", "n", "place", "g", "stray")]
+    left = shared.where("stray").select("leader", "shingle", *side("a"))
+    both = left.join(shared.select("leader", "shingle", *side("b")), ["leader", "shingle"])
+    left_over = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    enough = (F.col("a_g") != F.col("b_g")) & (9 * left_over >= 4 * (F.col("a_n") + F.col("b_n")))
+    once = ~F.col("b_stray") | (F.col("a_node") < F.col("b_node"))
+    found = both.where(enough & once & _close_in_size())
+    return found.select(
+        F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")
+    ).distinct()
+
+
 def _forest(batches):
     """Union-find over the links of one partition: every node with the least of its group."""
     parent: dict[int, int] = {}
@@ -207,11 +286,14 @@ def groups(docs: DataFrame, k: int = 5) -> DataFrame:
         "minhash-classes",
     )
     buckets = _buckets(classes)
-    leaders = staged(
-        buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("leader"), F.count("*").alias("size")).where("size > 1"),
-        "minhash-leaders",
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = staged(buckets.join(sizes, "bucket"), "minhash-shared")
+    # A bucket's leader is the class that meets most others in all its buckets: a central one.
+    weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    leaders = shared.join(weights, "node").groupBy("bucket").agg(
+        F.max(F.struct("weight", (-F.col("node")).alias("order"), "node", "n")).alias("leader")
     )
-    met = staged(buckets.join(leaders, "bucket").select("bucket", "node", "n", "leader"), "minhash-met")
+    met = staged(shared.join(leaders, "bucket").select("bucket", "node", "n", "leader"), "minhash-met")
     needed = met.select("node").distinct().join(classes.select("node", "tkey"), "node")
     texts = staged(
         rows.join(needed.select(F.col("node").alias("did"), "tkey"), ["did", "tkey"], "left_semi")
@@ -222,19 +304,12 @@ def groups(docs: DataFrame, k: int = 5) -> DataFrame:
     pairs = met.select(
         F.col("leader.node").alias("a"), F.col("node").alias("b"), F.col("leader.n").alias("a_n"), F.col("n").alias("b_n")
     )
-    first = pairs.where((F.col("a") != F.col("b")) & _close_in_size()).select("a", "b").distinct()
+    pairs = pairs.where((F.col("a") != F.col("b")) & _close_in_size())
+    first = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = staged(first, "minhash-pairs")
     links = staged(_confirmed(first, texts, k), "minhash-links")
     grouped = components(links)
-    # What the leaders did not settle: classes of one bucket that are in different groups.
-    member = met.join(grouped, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("g"))
-    member = staged(member, "minhash-members")
-    mixed_buckets = member.groupBy("bucket").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high")
-    open_ = staged(member.join(mixed_buckets.select("bucket"), "bucket", "left_semi"), "minhash-open")
-    left = open_.select("bucket", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("g").alias("a_g"))
-    right = open_.select("bucket", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("g").alias("b_g"))
-    rest = left.join(right, "bucket").where((F.col("a") < F.col("b")) & (F.col("a_g") != F.col("b_g")) & _close_in_size())
-    rest = rest.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+    rest = _unsettled(met, grouped, texts, k).join(first, ["a", "b"], "left_anti")
     more = staged(_confirmed(staged(rest, "minhash-rest"), texts, k), "minhash-more")
     grouped = components(links.unionByName(more)) if more.take(1) else grouped
     by_class = classes.join(grouped, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
