@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from dropwatch.config import RECENT_LAGS, WEEKDAY_LAGS, Thresholds
 
 
+# The hours since 1970 of the years 1 to 9999.
+CALENDAR_HOURS = (-17259888, 70389527)
+
+
 def lag_name(days: int) -> str:
     return f"prev_clicks_{days}days"
 
@@ -51,6 +55,10 @@ def is_used(thresholds: Thresholds) -> Column:
 
 
 def event_hour(epoch_ms: str) -> Column:
-    """Hour of an epoch-milliseconds string in the session time zone; NULL if malformed."""
-    seconds = (F.col(epoch_ms).try_cast("double") / 1000).try_cast("bigint")
-    return F.from_unixtime(seconds, "yyyy-MM-dd HH:00")
+    """Hour (UTC) of an epoch-milliseconds string, whatever the session's time zone; NULL if it is
+    malformed or beyond the calendar of ISO years."""
+    time = F.col(epoch_ms).try_cast("double")
+    first, last = (3_600_000 * h for h in CALENDAR_HOURS)
+    hours = F.when(time.between(first, last), F.floor(time / 3_600_000).cast("int"))
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.substring((start + F.make_dt_interval(hours=hours)).cast("string"), 1, 16)

@@ -3,6 +3,7 @@
     python -m dropwatch.jobs usage  --input CLICKS --output OUT --run-month 2024-02
     python -m dropwatch.jobs daily  --input CLICKS --output OUT --run-date 2024-02-14
     python -m dropwatch.jobs hourly --input LOGS   --output OUT --run-date 2024-02-14 --run-hour 06
+    python -m dropwatch.jobs hourly --input LOGS   --output OUT --from "2024-02-13 00:00" --to "2024-02-14 23:00"
 
 Results lie under OUT/usage/yyyy/MM/<columns> and OUT/alert/<run>/..., where the daily job finds
 the usage reference of its month. Messages are stored as tables next to the alerts.
@@ -15,10 +16,12 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropwatch.config import HOURLY_THRESHOLD, LEVELS, STACKED_KEYS, Thresholds
-from dropwatch.operators.counts import daily_counts_all_levels
+from dropwatch.config import CLICK_LIST, HOURLY_THRESHOLD, LEVELS, STACKED_KEYS, Thresholds
+from dropwatch.functions.calendar import dates_between, hours_between, month_of, months_between
+from dropwatch.operators.counts import daily_clicks_all_levels, daily_counts_all_levels
 from dropwatch.plans import daily, digest, hourly
-from dropwatch.plans.usage import medians_of_days, usage_reference_all_levels
+from dropwatch.plans.backfill import daily_alerts_backfill, hourly_backfill
+from dropwatch.plans.usage import medians_of_days, usage_backfill, usage_reference_all_levels
 from dropwatch.session import configure, staged
 from dropwatch.sources import readers, sinks
 
@@ -33,29 +36,57 @@ def run_usage(
 ) -> None:
     """Compute all levels' usage references in one pass and store each.
 
-    With a counts folder, the daily counts of each month are kept there and computed once: the
-    next run month scans the clicks of one new month instead of twelve. Delete a month's folder
-    when its clicks change.
+    With a counts folder, daily counts are kept there: the next run month scans the clicks of one
+    new month instead of twelve. Delete the folder when stored clicks change.
     """
     months = readers.months_before(run_month)
     if counts is None:
         traffic = readers.read_click_layer(spark, source, months, partitioned)
         medians = usage_reference_all_levels(traffic, run_month)
     else:
-        missing = sorted(set(months) - readers.stored_months(spark, counts))
-        if missing:
-            traffic = readers.read_click_layer(spark, source, missing, partitioned)
-            daily_rows = daily_counts_all_levels(readers.clicks_only(traffic))
-            sinks.save_by_month(daily_rows, counts, keep_others=True)
-        stored = readers.read_click_layer(spark, counts, months, partitioned=True)
+        keep_counts(spark, source, counts, months, partitioned)
+        stored = readers.read_click_layer(spark, f"{counts}/days", months, partitioned=True)
         medians = medians_of_days(readers.in_trailing_year(stored, run_month), STACKED_KEYS)
-    usage = staged(medians, "usage")
-    shown = [c for c in usage.columns if c not in STACKED_KEYS]
+    _save_usage(staged(medians, "usage"), output, run_month)
+
+
+def _save_usage(usage: DataFrame, output: str, run_month: str) -> None:
+    shown = [c for c in usage.columns if c not in (*STACKED_KEYS, "run_month")]
     for depth, (level, columns) in enumerate(LEVELS.items(), start=1):
         rows = usage.filter(F.col("level") == depth).select(*columns, *shown)
         sinks.save_usage(rows, output, run_month, level)
 
 
+def keep_counts(
+    spark: SparkSession, source: str, counts: str, months: readers.Months, partitioned: bool
+) -> None:
+    """Bring the stored daily counts up to date with the source months.
+
+    A month's folder can hold rows of other days, and distinct counts of parts do not add up. So
+    every month that a new folder's rows are dated in is counted again, from all folders known to
+    hold rows of it, and replaced as a whole. The manifest, written last, lists the folders that
+    are done; a run that breaks off before leaves none behind.
+    """
+    manifest = f"{counts}/manifest"
+    touched = readers.finished_months(spark, manifest)
+    new = [m for m in months if m not in touched]
+    if not new:
+        return
+    for source_month in new:
+        clicks = readers.clicks_only(readers.read_click_layer(spark, source, [source_month], partitioned))
+        found = clicks.select(month_of("date").alias("month")).distinct().collect()  # one per month
+        touched[source_month] = {r.month for r in found if r.month}
+    again = sorted(set().union(*(touched[m] for m in new)))
+    if again:
+        holders = sorted(m for m, dated in touched.items() if dated & set(again))
+        clicks = readers.clicks_only(readers.read_click_layer(spark, source, holders, partitioned))
+        rows = daily_counts_all_levels(clicks.filter(month_of("date").isin(again)))
+        sinks.save_by_month(rows, f"{counts}/days", keep_others=True)
+    done = [(y, m, sorted(touched[y, m])) for y, m in new]
+    done = spark.createDataFrame(done, "year int, month int, touched array<string>")
+    done.coalesce(1).write.mode("append").parquet(manifest)
+
+
 def stored_usage(spark: SparkSession, output: str, run_month: str) -> DataFrame:
     """All levels' stored references, stacked."""
     return readers.combine(
@@ -81,9 +112,13 @@ def run_daily(
     usage = stored_usage(spark, output, run_date[:7])
     alerts = staged(daily.alerts_all_levels(traffic, run_date, thresholds, mode, usage), "alerts")
     sinks.save_alerts(alerts, output, run_date)
+    _save_daily_message(alerts, thresholds, output, run_date)
+    return digest.digest(alerts)
+
+
+def _save_daily_message(alerts, thresholds, output, run_date):
     message = digest.daily_message(alerts, thresholds)
     sinks.save(message, f"{sinks.alert_dir(output, run_date)}/message")
-    return digest.digest(alerts)
 
 
 def run_hourly(
@@ -101,25 +136,114 @@ def run_hourly(
     before = readers.previous_hour(hour)
     logs = {h: readers.read_hour(spark, source, h) for h in (hour, before)}
     gap = next((h for h, log in logs.items() if log is None), None)
-    target = sinks.alert_dir(output, hour)
     if gap is not None:
-        gaps = spark.createDataFrame([(hour, gap)], "run_hour string, missing_hour string")
-        message = digest.missing_message(gaps)
+        alerts = spark.createDataFrame([], ALERTS)
+        message = digest.missing_message(spark.createDataFrame([(hour, gap)], GAPS))
     else:
         both = logs[hour].unionByName(logs[before], allowMissingColumns=True)
-        if mode == "directory":
-            alerts = hourly.low_traffic(hourly.hourly_traffic(both), threshold)
-        else:
-            traffic = hourly.hourly_traffic(both, by_directory=False)
-            alerts = hourly.low_traffic_event_time(traffic, threshold)
+        traffic = staged(hourly.hourly_traffic(both, by_directory=mode == "directory"), "hourly")
+        low = hourly.low_traffic if mode == "directory" else hourly.low_traffic_event_time
         # By event time the two directories can tell of further hours.
-        alerts = alerts.filter(F.col("run_hour") == hour)
-        sinks.save(alerts.drop("run_hour"), f"{target}/server", "csv", ordered=True)
+        alerts = low(traffic, threshold).filter(F.col("run_hour") == hour)
         message = digest.hourly_message(alerts, threshold)
-    sinks.save(message, f"{target}/message")
+    _save_hour(alerts, message, output, hour)
     return message
 
 
+ALERTS = "run_hour string, server string, date_hour string, traffic long, traffic_prev1h long"
+GAPS = "run_hour string, missing_hour string"
+
+
+def _save_hour(alerts: DataFrame, message: DataFrame, output: str, hour: str) -> None:
+    """An hour's server table and message; an hour without data leaves the table's header only."""
+    target = sinks.alert_dir(output, hour)
+    servers = hourly.in_order(alerts).drop("run_hour")
+    sinks.save(servers, f"{target}/server", "csv", ordered=True)
+    sinks.save(message, f"{target}/message")
+
+
+# --- many runs ----------------------------------------------------------------------------
+
+
+def run_usage_many(
+    spark: SparkSession, source: str, output: str, first: str, last: str, partitioned: bool = False
+) -> None:
+    """Store what run_usage stores for each run month from first to last, from one pass."""
+    run_months = spark.range(1).select(
+        F.explode(months_between(F.lit(first), F.lit(last))).alias("run_month")
+    )
+    months = sorted({m for r in run_months.collect() for m in readers.months_before(r.run_month)})
+    traffic = readers.read_click_layer(spark, source, months, partitioned)
+    daily_rows = staged(daily_counts_all_levels(readers.clicks_only(traffic)), "daily")
+    usage = staged(usage_backfill(daily_rows, STACKED_KEYS, run_months), "usage")
+    for row in run_months.collect():
+        _save_usage(usage.filter(F.col("run_month") == row.run_month), output, row.run_month)
+
+
+def run_daily_many(
+    spark: SparkSession,
+    source: str,
+    output: str,
+    first: str,
+    last: str,
+    thresholds: Thresholds = Thresholds(),
+    mode: str = daily.OBSERVED,
+    partitioned: bool = False,
+) -> None:
+    """Store what run_daily stores for each run date from first to last, from one pass over their
+    lookbacks and the usage references stored before."""
+    runs = spark.range(1).select(
+        F.explode(dates_between(F.lit(first), F.lit(last))).alias("run_date")
+    )
+    dates = [r.run_date for r in runs.collect()]
+    months = sorted({m for d in dates for m in readers.months_of_window(d)})
+    traffic = readers.read_click_layer(spark, source, months, partitioned)
+    clicks = readers.known_country(readers.clicks_only(traffic))
+    series = staged(daily_clicks_all_levels(clicks), "daily")
+    usage = readers.combine(
+        [
+            stored_usage(spark, output, m).withColumn("run_month", F.lit(m))
+            for m in sorted({d[:7] for d in dates})
+        ]
+    )
+    found = daily_alerts_backfill(series, usage, STACKED_KEYS, thresholds, mode, runs)
+    values = F.transform(F.split(CLICK_LIST, ", "), lambda v: v.cast("long"))
+    total = F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v)
+    alerts = staged(found.withColumn("total_clicks", total), "alerts")
+    for run_date in dates:
+        of_run = alerts.filter(F.col("run_date") == run_date)
+        sinks.save_alerts(of_run, output, run_date)
+        _save_daily_message(of_run, thresholds, output, run_date)
+
+
+def run_hourly_many(
+    spark: SparkSession,
+    source: str,
+    output: str,
+    first: str,
+    last: str,
+    threshold: int = HOURLY_THRESHOLD,
+) -> None:
+    """Store what run_hourly (directory mode) stores for each hour from first to last."""
+    runs = spark.range(1).select(
+        F.explode(hours_between(F.lit(first), F.lit(last))).alias("run_hour")
+    )
+    days = readers.days_with_hours(spark, source, readers.previous_hour(first), last)
+    if days:
+        log = readers.read_hours(spark, f"{days[0]}/_logs/*.tsv", [f"{d}/p*" for d in days])
+    else:
+        log = spark.createDataFrame([], "ct_flume_host string, ct_datetime string, dir_hour string")
+    traffic = staged(hourly.hourly_traffic(log), "hourly")
+    report = staged(hourly_backfill(traffic, runs, threshold), "report")
+    alerts = report.filter(F.col("report") == "low traffic").select(*hourly.ALERT_COLUMNS)
+    gaps = report.filter(F.col("report") == "missing hour").select("run_hour", "missing_hour")
+    messages = digest.hourly_message(alerts, threshold).unionByName(digest.missing_message(gaps))
+    messages = staged(messages, "messages")
+    for row in runs.collect():
+        mine = F.col("run_hour") == row.run_hour
+        _save_hour(alerts.filter(mine), messages.filter(mine), output, row.run_hour)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="dropwatch.jobs")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -127,13 +251,15 @@ def main(argv: list[str] | None = None) -> None:
         job = jobs.add_parser(name)
         job.add_argument("--input", required=True)
         job.add_argument("--output", required=True)
+        job.add_argument("--from", dest="first", help="first of many runs: a month, date or hour")
+        job.add_argument("--to", dest="last", help="last of many runs")
         if name == "usage":
-            job.add_argument("--run-month", required=True)
+            job.add_argument("--run-month")
             job.add_argument("--counts", help="folder that keeps daily counts between runs")
         else:
-            job.add_argument("--run-date", required=True)
+            job.add_argument("--run-date")
         if name == "hourly":
-            job.add_argument("--run-hour", required=True)
+            job.add_argument("--run-hour")
             job.add_argument("--threshold", type=int, default=HOURLY_THRESHOLD)
             job.add_argument("--mode", choices=("directory", "event_time"), default="directory")
         else:
@@ -143,17 +269,29 @@ def main(argv: list[str] | None = None) -> None:
             for field, default in vars(Thresholds()).items():
                 job.add_argument(f"--{field.replace('_', '-')}", type=float, default=default)
     args = parser.parse_args(argv)
+    many = args.first is not None
+    if many == any(vars(args).get(k) for k in ("run_month", "run_date")) or many != (args.last is not None):
+        parser.error("give one run, or --from and --to")
 
     spark = configure(SparkSession.builder.appName(f"dropwatch-{args.job}").getOrCreate())
+    span = (spark, args.input, args.output, args.first, args.last)
     if args.job == "usage":
-        run_usage(
-            spark, args.input, args.output, args.run_month, args.partitioned, args.counts
-        )
+        if many:
+            run_usage_many(*span, args.partitioned)
+        else:
+            run_usage(
+                spark, args.input, args.output, args.run_month, args.partitioned, args.counts
+            )
     elif args.job == "daily":
         limits = Thresholds(args.min_clicks, args.min_ipua, args.min_domain, args.ratio)
-        run_daily(
-            spark, args.input, args.output, args.run_date, limits, args.mode, args.partitioned
-        )
+        if many:
+            run_daily_many(*span, limits, args.mode, args.partitioned)
+        else:
+            run_daily(
+                spark, args.input, args.output, args.run_date, limits, args.mode, args.partitioned
+            )
+    elif many:
+        run_hourly_many(*span, args.threshold)
     else:
         run_hourly(
             spark, args.input, args.output, args.run_date, args.run_hour, args.threshold, args.mode

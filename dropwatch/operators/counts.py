@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dropwatch.config import COUNT_COLS, ID_COLS, LEVEL_COLS
@@ -31,76 +31,45 @@ def daily_counts_all_levels(clicks: DataFrame, ids: Sequence[str] = ID_COLS) ->
 
     Distinct counts do not add up over the groups of a finer level, and counting each level by
     itself multiplies the rows by levels x identifiers before the shuffle. Here every row becomes
-    one row per identifier only. Those are deduplicated at the finest level (combined before
-    the shuffle, spread over all keys, so no single key is hot), then sorted within
-    (country, date, identifier), where each is marked with the coarsest level at which it is
-    new. A group there has at most one row per website, action and zone. Counting the marks
-    gives all levels from a table of the finest groups only.
+    one row per identifier, and these are deduplicated level by level, the finest first: each step
+    combines before its shuffle, groups by all keys it has, so no single key is hot, and reads the
+    smaller table of the step before. A missing identifier counts nothing and goes at once, but for
+    the first, whose rows also count the clicks.
     """
-    finest = _finest_marks(clicks, ids)
-    total = F.sum(F.when(F.col("kind") == 0, F.col("n")))
-    marked = [
-        F.count_if((F.col("kind") == kind) & F.col("value").isNotNull() & (F.col("new_at") <= level))
-        .alias(_cell(kind, level))
-        for kind in range(len(ids))
-        for level in range(1, len(LEVEL_COLS) + 1)
+    first, *others = [
+        F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value"))
+        for kind, c in enumerate(ids)
     ]
-    zones = finest.groupBy(*LEVEL_COLS, "date").agg(total.alias("clicks"), *marked)
-    return _roll_up(zones, ids)
-
-
-def _finest_marks(clicks: DataFrame, ids: Sequence[str]) -> DataFrame:
-    tall = clicks.select(
-        *LEVEL_COLS,
-        "date",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value"))
-                    for kind, c in enumerate(ids)
-                ]
-            )
-        ).alias("id"),
-    ).select(*LEVEL_COLS, "date", "id.kind", "id.value")
-    unique = tall.groupBy(*LEVEL_COLS, "date", "kind", "value").agg(F.count("*").alias("n"))
-
-    country, website, action, zone = LEVEL_COLS
-    by_id = Window.partitionBy(country, "date", "kind", "value").orderBy(website, action, zone)
-    before = F.lag(F.struct(website, action)).over(by_id)
-    return (
-        unique.withColumn("before", before)
-        .withColumn(
-            "new_at",
-            F.when(F.col("before").isNull(), 1)
-            .when(~F.col("before")[website].eqNullSafe(F.col(website)), 2)
-            .when(~F.col("before")[action].eqNullSafe(F.col(action)), 3)
-            .otherwise(4),
-        )
-        .drop("before")
-    )
-
-
-def _cell(kind: int, level: int) -> str:
-    return f"new_{kind}_{level}"
-
-
-def _roll_up(zones: DataFrame, ids: Sequence[str]) -> DataFrame:
-    levels = range(1, len(LEVEL_COLS) + 1)
-    sets = [["date", *LEVEL_COLS[:level]] for level in levels]
-    cells = [_cell(kind, level) for kind in range(len(ids)) for level in levels]
-    rolled = zones.groupingSets(sets, "date", *LEVEL_COLS).agg(
-        F.grouping_id().alias("masked"),
-        F.sum("clicks").cast("long").alias("clicks"),
-        *[F.sum(c).cast("long").alias(c) for c in cells],
-    )
-    # The grouping id has one set bit per column that the level leaves out.
-    level = F.lit(len(LEVEL_COLS)) - F.bit_count("masked")
-    rolled = rolled.withColumn("level", level.cast("int"))
-    counts = [
-        F.element_at(F.array(*[_cell(kind, n) for n in levels]), F.col("level")).alias(f"count_{c}")
+    known = F.filter(F.array(*others), lambda x: x["value"].isNotNull()) if others else None
+    pairs = F.array(first) if known is None else F.concat(F.array(first), known)
+    seen = clicks.select(*LEVEL_COLS, "date", F.explode(pairs).alias("id"))
+    seen = seen.select(*LEVEL_COLS, "date", "id.kind", "id.value", F.lit(1).alias("n"))
+    result = None
+    for level in range(len(LEVEL_COLS), 0, -1):
+        keys = LEVEL_COLS[:level]
+        seen = seen.groupBy(*keys, "date", "kind", "value").agg(F.sum("n").alias("n"))
+        counted = _counted(seen, keys, ids)
+        result = counted if result is None else counted.unionByName(result)
+    return result
+
+
+def _counted(seen: DataFrame, keys: Sequence[str], ids: Sequence[str]) -> DataFrame:
+    """One level's clicks and distinct counts from its deduplicated identifiers."""
+    total = F.sum(F.when(F.col("kind") == 0, F.col("n"))).cast("long").alias("clicks")
+    distinct = [
+        F.count_if((F.col("kind") == kind) & F.col("value").isNotNull()).alias(f"count_{c}")
         for kind, c in enumerate(ids)
     ]
-    return rolled.select("level", *LEVEL_COLS, "date", "clicks", *counts)
+    coarser = [F.lit(None).cast("string").alias(c) for c in LEVEL_COLS[len(keys) :]]
+    counted = seen.groupBy(*keys, "date").agg(total, *distinct)
+    return counted.select(
+        F.lit(len(keys)).alias("level"),
+        *keys,
+        *coarser,
+        "date",
+        "clicks",
+        *[f"count_{c}" for c in ids],
+    )
 
 
 def daily_clicks_all_levels(clicks: DataFrame) -> DataFrame:

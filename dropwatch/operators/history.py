@@ -26,6 +26,26 @@ def with_usage(
     return rows.join(renamed, same, how).drop(*[f"usage_{k}" for k in keys])
 
 
+def fallen_groups(
+    baseline: DataFrame, keys: Sequence[str], run_date: str, thresholds: Thresholds
+) -> DataFrame:
+    """Groups whose clicks fell on the run date, whatever their usage: few of all."""
+    hit = (F.col("date") == run_date) & has_fallen(thresholds)
+    return baseline.filter(hit).select(*keys)
+
+
+def of_groups(clicks: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Click rows that belong to one of the groups, at one level or (with a column level among the
+    keys) at the group's own level. Planned before any count, so that counts see these rows only."""
+    renamed = groups.withColumnsRenamed({k: f"group_{k}" for k in keys})
+    same = F.lit(True)
+    for depth, k in enumerate((k for k in keys if k != "level"), start=1):
+        equal = F.col(k).eqNullSafe(F.col(f"group_{k}"))
+        # Every level has the first key; finer ones do not count for a coarser group.
+        same = same & (equal | (F.col("group_level") < depth) if "level" in keys and depth > 1 else equal)
+    return clicks.join(renamed, same, "left_semi")
+
+
 def alert_keys(
     baseline: DataFrame, keys: Sequence[str], run_date: str, thresholds: Thresholds
 ) -> DataFrame:
@@ -99,6 +119,6 @@ def ordered_history(
         .withColumn(
             "rank", F.row_number().over(group.orderBy(F.desc("total_clicks"), F.desc("date")))
         )
-        .orderBy(F.desc("total_clicks"), F.desc("date"), *keys)
     )
+    ranked = ranked.orderBy(F.desc("total_clicks"), F.desc("date"), *keys)
     return ranked.drop("total_clicks") if keep_rank else ranked.drop("total_clicks", "rank")

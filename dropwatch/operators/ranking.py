@@ -9,32 +9,25 @@ from pyspark.sql import functions as F
 
 from dropwatch.functions.measures import share
 from dropwatch.operators.counts import daily_total
-from dropwatch.session import staged
-
-SALTS = 16
-
 
 def with_daily_share(daily: DataFrame, scope: Sequence[str] = ("date",)) -> DataFrame:
     """Clicks as part of the day's total. The totals have one row per day (and level), which
     bounds the broadcast."""
-    daily = staged(daily, "daily")
     joined = daily.join(F.broadcast(daily_total(daily, scope)), list(scope), "left")
     return joined.withColumn(
         "daily_traffic_percentage", share(F.col("clicks"), F.col("daily_total_clicks"))
     )
 
 
-def with_ranking(
-    daily: DataFrame, keys: Sequence[str], scope: Sequence[str] = ("date",)
-) -> DataFrame:
+def with_ranking(daily: DataFrame, scope: Sequence[str] = ("date",)) -> DataFrame:
     """Day total, share, cumulative share and rank by descending clicks; ties share both.
 
     A window over all groups of a day would put the day into one task. Rank and cumulative
     share depend on the clicks alone, so the window runs over each day's distinct click values:
     at most sqrt(2 x total clicks) of them. Each group then looks its value up. Many small
-    groups have the same few clicks, hence the salt.
+    groups have the same few clicks; that join is left to adaptive execution, which splits the
+    groups of a frequent value, however many they are.
     """
-    daily = staged(daily, "daily")
     by_value = Window.partitionBy(*scope).orderBy(F.desc("clicks"))
     above = by_value.rowsBetween(Window.unboundedPreceding, -1)
     so_far = by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -51,13 +44,11 @@ def with_ranking(
             }
         )
         .drop("n")
-        .withColumn("salt", F.explode(F.array(*[F.lit(s) for s in range(SALTS)])))
     )
-    salted = daily.withColumn("salt", F.pmod(F.hash(*keys), F.lit(SALTS)))
     total = F.col("daily_total_clicks")
     return (
-        salted.join(values, [*scope, "clicks", "salt"])
+        daily.join(values, [*scope, "clicks"])
         .withColumn("daily_traffic_percentage", share(F.col("clicks"), total))
         .withColumn("daily_cumulative_percentage", share(F.col("cumulative"), total))
-        .drop("salt", "cumulative")
+        .drop("cumulative")
     )

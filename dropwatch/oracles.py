@@ -41,6 +41,12 @@ TRAFFIC_LONG = """traffic AS (
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
+FULLER_RAW = TRAFFIC.replace("traffic AS (", "raw AS (", 1)
+FULLER = f"""traffic AS (
+  SELECT * REPLACE ('SITE' AS website_name, 'visit' AS action, 'zone_' || (event_id % 2) AS zone,
+    CASE WHEN date = '{RUN_DATE}' AND event_id % 20 <> 0 AND country IN ('EUROPE', 'AFRICA')
+         THEN 0 ELSE 1 END AS clicks) FROM raw)"""
+
 LOOKBACK = f"""lookback AS (
   SELECT * FROM traffic WHERE date BETWEEN '{FIRST_DATE}' AND '{RUN_DATE}' AND country <> '***')"""
 
@@ -301,13 +307,11 @@ def _daily_backfill(mode) -> str:
 # --- hourly -------------------------------------------------------------------------------
 
 _HOUR = "'%Y-%m-%d %H:00'"
-_LOG = (
+HOURLY_LOG = (
     "log AS (SELECT 'srv-' || (user_id % 5) AS ct_flume_host, "
     "CAST(epoch_us(ts) // 1000 AS VARCHAR) AS ct_datetime, "
-    f"strftime(ts + INTERVAL 5 MINUTE, {_HOUR}) AS dir_hour FROM events{{where}})"
+    f"strftime(ts + INTERVAL 5 MINUTE, {_HOUR}) AS dir_hour FROM events)"
 )
-HOURLY_LOG = _LOG.format(where="")
-ERROR_LOG = _LOG.format(where=" WHERE event_type = 'error'")
 
 _EVENT_HOUR = f"strftime(make_timestamp_ms(TRY_CAST(ct_datetime AS BIGINT)), {_HOUR})"
 HOURS = (
@@ -339,12 +343,13 @@ LOW = (
     f"AND traffic_prev1h >= {HOURLY_MIN})"
 )
 
+# Run hours from two before the log's first hour to two after its last.
 MISSING = (
     "present AS (SELECT DISTINCT dir_hour FROM log), "
     f"runs AS (SELECT strftime(h, {_HOUR}) AS run_hour FROM "
     "(SELECT min(dir_hour) AS a, max(dir_hour) AS b FROM log), "
-    "generate_series(CAST(a || ':00' AS TIMESTAMP) + INTERVAL 1 HOUR, "
-    "CAST(b || ':00' AS TIMESTAMP), INTERVAL 1 HOUR) s(h)), "
+    "generate_series(CAST(a || ':00' AS TIMESTAMP) - INTERVAL 2 HOUR, "
+    "CAST(b || ':00' AS TIMESTAMP) + INTERVAL 2 HOUR, INTERVAL 1 HOUR) s(h)), "
     "missing AS (SELECT run_hour, missing_hour FROM (SELECT run_hour, "
     "CASE WHEN run_hour NOT IN (SELECT dir_hour FROM present) THEN run_hour "
     f"WHEN {_plus_hour('run_hour', -1)} NOT IN (SELECT dir_hour FROM present) "
@@ -366,6 +371,13 @@ COUNTED = (
 )
 
 
+HOURLY_REPORT = (
+    _with(HOURLY_LOG, HOURS, COMPARE, LOW, MISSING)
+    + "SELECT *, 'low traffic' AS report, NULL::VARCHAR AS missing_hour FROM low UNION ALL "
+    "SELECT run_hour, NULL, NULL, NULL, NULL, 'missing hour', missing_hour FROM missing"
+)
+
+
 # --- messages -----------------------------------------------------------------------------
 
 
@@ -501,14 +513,15 @@ def oracles() -> dict[str, str]:
         "hourly_compare": _with(HOURLY_LOG, HOURS, COMPARE) + "SELECT * FROM compared",
         "hourly_low_traffic": _with(HOURLY_LOG, HOURS, COMPARE, LOW) + "SELECT * FROM low",
         "hourly_low_traffic_event_time": _with(HOURLY_LOG, HOURS, COUNTED) + EVENT_TIME_LOW,
-        "missing_hours": _with(ERROR_LOG, MISSING) + "SELECT * FROM missing",
-        "missing_hour_message": _with(ERROR_LOG, MISSING)
+        "missing_hours": _with(HOURLY_LOG, MISSING) + "SELECT * FROM missing",
+        "missing_hour_message": _with(HOURLY_LOG, MISSING)
         + "SELECT run_hour, 1 AS part, 'Hourly traffic alert ' || run_hour || ': missing hour' "
         "AS subject, 'No data for hour ' || missing_hour AS body FROM missing",
         "hourly_alert_message": _hourly_message(),
-        "hourly_low_traffic_backfill": _with(ERROR_LOG, HOURS, COMPARE, LOW, MISSING)
-        + "SELECT *, 'low traffic' AS report, NULL::VARCHAR AS missing_hour FROM low UNION ALL "
-        "SELECT run_hour, NULL, NULL, NULL, NULL, 'missing hour', missing_hour FROM missing",
+        "hourly_low_traffic_backfill": HOURLY_REPORT,
+        "hourly_backfill_stored": HOURLY_REPORT,
+        "daily_alerts_observed_fuller": _with(FULLER_RAW, FULLER, *DAILY_CTES[1:])
+        + _history(LEVELS["zone"], "observed"),
     }
     for level, keys in LEVELS.items():
         sql[f"usage_reference_{level}"] = base + _usage(keys)

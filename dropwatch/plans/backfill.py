@@ -29,8 +29,7 @@ from dropwatch.functions.measures import (
 from dropwatch.operators.counts import keys_present
 from dropwatch.operators.history import with_usage
 from dropwatch.plans.daily import CALENDAR, OBSERVED
-from dropwatch.plans.hourly import hourly_traffic, low_traffic, missing_hours
-from dropwatch.session import staged
+from dropwatch.plans.hourly import low_traffic, missing_hours
 
 
 def observed_runs(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -119,10 +118,11 @@ def daily_alerts_backfill(
     return alerts.select("run_date", *keys, "clicks", "estimate", "ratio", CLICK_LIST)
 
 
-def hourly_backfill(log: DataFrame, threshold: int = HOURLY_THRESHOLD) -> DataFrame:
-    """What the hourly run of every hour reports: a missing hour, or servers with low traffic
-    (directory mode)."""
-    traffic = staged(hourly_traffic(log), "hourly")
-    low = low_traffic(traffic, threshold).withColumn("report", F.lit("low traffic"))
-    gaps = missing_hours(traffic).withColumn("report", F.lit("missing hour"))
+def hourly_backfill(
+    traffic: DataFrame, run_hours: DataFrame, threshold: int = HOURLY_THRESHOLD
+) -> DataFrame:
+    """What the hourly run of every hour asked for reports: a missing hour, or servers with low
+    traffic (directory mode). Expects hourly_traffic, staged if it is costly."""
+    low = low_traffic(traffic, threshold, run_hours).withColumn("report", F.lit("low traffic"))
+    gaps = missing_hours(traffic, run_hours).withColumn("report", F.lit("missing hour"))
     return low.unionByName(gaps, allowMissingColumns=True)

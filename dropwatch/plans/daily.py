@@ -26,6 +26,8 @@ from dropwatch.operators.history import (
     alert_keys,
     click_list,
     click_totals,
+    fallen_groups,
+    of_groups,
     recent_rows,
     with_usage,
 )
@@ -35,6 +37,7 @@ from dropwatch.plans.usage import (
     usage_reference,
     usage_reference_all_levels,
 )
+from dropwatch.session import staged
 from dropwatch.sources.readers import clicks_only, in_lookback, known_country
 
 OBSERVED, CALENDAR = "observed", "calendar"
@@ -83,7 +86,7 @@ def daily_ranking(
     traffic: DataFrame, keys: Sequence[str], run_date: str, mode: str = OBSERVED
 ) -> DataFrame:
     """daily_baseline with each day's total, shares and ranks."""
-    return with_ranking(daily_baseline(traffic, keys, run_date, mode), keys)
+    return with_ranking(staged(daily_baseline(traffic, keys, run_date, mode), "daily"))
 
 
 def dense_clicks(traffic: DataFrame, keys: Sequence[str], run_date: str) -> DataFrame:
@@ -107,21 +110,23 @@ def daily_alert_keys(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSE
     return alert_keys(baseline_with_usage(traffic, keys, run_date, mode), keys, run_date, thresholds)
 
 
-def _alert_rows(traffic, keys, run_date, thresholds, mode):
+def alert_rows(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSERVED):
+    """History rows of the groups that drop on the run date at one level, in no order."""
     rows = daily_baseline(traffic, keys, run_date, mode, counts=())
-    usage = usage_reference(traffic, keys, run_date[:7])
+    fallen = fallen_groups(rows, keys, run_date, thresholds)
+    usage = usage_reference(of_groups(traffic, fallen, keys), keys, run_date[:7])
     return recent_rows(rows, usage, keys, run_date, thresholds, null_safe=mode == CALENDAR)
 
 
 def daily_alerts(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSERVED):
     """Eight-day history of the groups that drop on the run date at one level, latest first."""
-    rows = _alert_rows(traffic, keys, run_date, thresholds, mode)
+    rows = alert_rows(traffic, keys, run_date, thresholds, mode)
     return rows.orderBy(F.desc("date"), *keys)
 
 
 def daily_click_lists(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSERVED):
     """One row per group that drops on the run date at one level, with its click list."""
-    return click_list(_alert_rows(traffic, keys, run_date, thresholds, mode), keys, run_date)
+    return click_list(alert_rows(traffic, keys, run_date, thresholds, mode), keys, run_date)
 
 
 def alerts_all_levels(
@@ -131,8 +136,8 @@ def alerts_all_levels(
     mode: str = OBSERVED,
     usage: DataFrame | None = None,
 ) -> DataFrame:
-    """Click lists (with their sums) of all levels, stacked, from one pass over the lookback and one over the
-    year, or over a usage reference computed before."""
+    """Click lists (with their sums) of all levels, stacked: one pass over the lookback finds the
+    groups that have fallen, one over the year takes the usage of these alone, or it is given."""
     _check(mode)
     clicks = clicks_only(lookback_rows(traffic, run_date))
     daily = daily_clicks_all_levels(clicks)
@@ -140,10 +145,12 @@ def alerts_all_levels(
         daily = daily.filter(keys_present(STACKED_KEYS))
     else:
         daily = densify(daily, STACKED_KEYS, run_date)
-    if usage is None:
-        usage = usage_reference_all_levels(traffic, run_date[:7], ALERT_IDS)
     # Columns below the level are NULL on both sides, so the join has to be null-safe.
     rows = baseline(daily, STACKED_KEYS)
+    if usage is None:
+        fallen = fallen_groups(rows, STACKED_KEYS, run_date, thresholds)
+        year = of_groups(traffic, fallen, STACKED_KEYS)
+        usage = usage_reference_all_levels(year, run_date[:7], ALERT_IDS)
     history = recent_rows(rows, usage, STACKED_KEYS, run_date, thresholds, null_safe=True)
     return click_totals(history, STACKED_KEYS, run_date)
 

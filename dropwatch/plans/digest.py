@@ -23,25 +23,20 @@ def alert_counts(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("run_date", "level").agg(F.count("*").alias("alerts"))
 
 
-def _line_numbers(lines: DataFrame, run: str, outer: list[str], inner: list[Column]) -> DataFrame:
-    """Number a run's lines in order without bringing the run into one task: number them
-    within each outer key, count those, and add the counts of the keys before."""
-    lines = staged(lines, "lines")
-    block = Window.partitionBy(run, *outer).orderBy(*inner)
-    numbered = lines.withColumn("place", F.row_number().over(block))
-    order = Window.partitionBy(run).orderBy(*[F.asc_nulls_first(c) for c in outer])
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        lines.groupBy(run, *outer)
-        .agg(F.count("*").alias("size"))
-        .withColumn("offset", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
-        .withColumnsRenamed({c: f"block_{c}" for c in (run, *outer)})
-    )
-    same = F.lit(True)
-    for c in (run, *outer):
-        same = same & F.col(c).eqNullSafe(F.col(f"block_{c}"))
-    joined = numbered.join(offsets, same)
-    return joined.withColumn("line_no", (F.col("offset") + F.col("place")).cast("long"))
+def _line_numbers(lines: DataFrame, run: str, order: list[Column]) -> DataFrame:
+    """Number each run's lines in order. Lines are sorted by ranges of the whole sort key, so that
+    no value of one column, and no run, is one task; a line's number is its place within its range
+    and run, after the lines that the ranges before have of the run.
+
+    Staged, because a range sort done again may cut its ranges elsewhere."""
+    ranged = lines.orderBy(F.col(run), *order).withColumn("at", F.monotonically_increasing_id())
+    ranged = staged(ranged.withColumn("range", F.shiftright("at", 33)), "lines")
+    earlier = Window.partitionBy(run).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = ranged.groupBy(run, "range").agg(F.min("at").alias("start"), F.count("*").alias("size"))
+    before = F.coalesce(F.sum("size").over(earlier), F.lit(0))
+    blocks = blocks.select(run, "range", (before - F.col("start") + 1).alias("shift"))
+    joined = ranged.join(blocks, [run, "range"])
+    return joined.withColumn("line_no", (F.col("at") + F.col("shift")).cast("long"))
 
 
 def _text(column: str) -> Column:
@@ -68,11 +63,8 @@ def daily_message(
 ) -> DataFrame:
     """Subject and body of a daily run's message, from digest rows."""
     line = F.concat_ws(" | ", *[_text(c) for c in ("run_date", *LEVEL_COLS, CLICK_LIST)])
-    country, website, action, zone = LEVEL_COLS
-    inner = [F.asc_nulls_first(c) for c in (action, zone)]
-    lines = _line_numbers(
-        alerts.withColumn("line", line), "run_date", [country, website], inner
-    )
+    order = [F.asc_nulls_first(c) for c in (*LEVEL_COLS, "line")]
+    lines = _line_numbers(alerts.withColumn("line", line), "run_date", order)
     title = F.concat(F.lit("Daily traffic alert "), F.col("run_date"))
     head = [
         F.lit("Groups whose clicks fell far below the same weekday of the three weeks before."),
@@ -92,8 +84,13 @@ def hourly_message(
     """Subject and body of each hourly run's message, from low-traffic alerts."""
     columns = ["server", "date_hour", "traffic", "traffic_prev1h"]
     line = F.concat_ws(" | ", *[_text(c) for c in columns])
-    inner = [F.desc("traffic_prev1h"), F.asc_nulls_first("server"), F.asc_nulls_first("date_hour")]
-    lines = _line_numbers(alerts.withColumn("line", line), "run_hour", ["traffic"], inner)
+    order = [
+        F.asc("traffic"),
+        F.desc("traffic_prev1h"),
+        F.asc_nulls_first("server"),
+        F.asc_nulls_first("date_hour"),
+    ]
+    lines = _line_numbers(alerts.withColumn("line", line), "run_hour", order)
     title = F.concat(F.lit("Hourly traffic alert "), F.col("run_hour"), F.lit(": low traffic"))
     head = [
         F.lit(f"Servers with less than {threshold} records this hour and more the hour before."),

@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropwatch.config import HOURLY_THRESHOLD
-from dropwatch.functions.calendar import hour_spine, shift_hour
+from dropwatch.functions.calendar import shift_hour
 from dropwatch.functions.measures import event_hour
-from dropwatch.session import staged
 
 ALERT_COLUMNS = ("run_hour", "server", "date_hour", "traffic", "traffic_prev1h")
 
@@ -33,22 +32,24 @@ def observed_hours(log: DataFrame, column: str = "dir_hour") -> DataFrame:
     return log.select(F.col(column).alias("hour")).distinct()
 
 
-def missing_hours(log: DataFrame) -> DataFrame:
-    """Run hours whose own hour, or else the hour before, has no data; only the run hour itself
-    is reported if both are missing."""
-    hours = staged(observed_hours(log), "hours")
-    missing = hour_spine(hours, "hour").join(hours, "hour", "left_anti")
-    affected = missing.select(
-        F.explode(F.array(F.col("hour"), shift_hour("hour", 1))).alias("run_hour"),
-        F.col("hour").alias("missing_hour"),
+def missing_hours(log: DataFrame, run_hours: DataFrame) -> DataFrame:
+    """Of the run hours asked for, those whose own hour, or else the hour before, has no data; only
+    the run hour itself is reported if both are missing."""
+    hours = observed_hours(log).withColumn("there", F.lit(True))
+    before = hours.select(shift_hour("hour", 1).alias("hour"), F.col("there").alias("there_before"))
+    asked = run_hours.select("run_hour", F.col("run_hour").alias("hour"))
+    known = asked.join(hours, "hour", "left").join(before, "hour", "left")
+    missing = F.when(F.col("there").isNull(), F.col("run_hour")).when(
+        F.col("there_before").isNull(), shift_hour("run_hour", -1)
     )
-    return affected.groupBy("run_hour").agg(F.max("missing_hour").alias("missing_hour"))
+    return known.select("run_hour", missing.alias("missing_hour")).filter("missing_hour IS NOT NULL")
 
 
-def complete_hours(hours: DataFrame) -> DataFrame:
-    """Run hours that have data, as does the hour before: one row per hour of the calendar."""
+def complete_hours(hours: DataFrame, run_hours: DataFrame | None = None) -> DataFrame:
+    """Run hours (all, or those asked for) that have data, as does the hour before."""
     after = hours.select(shift_hour("hour", 1).alias("hour"))
-    return hours.join(after, "hour", "left_semi").withColumnRenamed("hour", "run_hour")
+    complete = hours.join(after, "hour", "left_semi").withColumnRenamed("hour", "run_hour")
+    return complete if run_hours is None else complete.join(run_hours, "run_hour", "left_semi")
 
 
 def _sides(traffic: DataFrame):
@@ -72,38 +73,39 @@ def _filled(joined: DataFrame) -> DataFrame:
     )
 
 
-def _of_complete(rows: DataFrame, hours: DataFrame) -> DataFrame:
-    """Rows of complete run hours. The hours are as many as the calendar has, whatever the
-    traffic, which bounds the broadcast."""
-    return rows.join(F.broadcast(complete_hours(hours)), "run_hour", "left_semi")
+def _by_run(rows: DataFrame, hours: DataFrame, run_hours: DataFrame | None) -> DataFrame:
+    return rows.join(complete_hours(hours, run_hours), "run_hour", "left_semi")
 
 
-def hourly_compare(traffic: DataFrame) -> DataFrame:
-    """Every server's traffic in each run hour next to the hour before (directory mode)."""
-    traffic = staged(traffic, "hourly")
+def hourly_compare(traffic: DataFrame, run_hours: DataFrame | None = None) -> DataFrame:
+    """Every server's traffic in each run hour next to the hour before (directory mode). The table
+    is used several times; a caller for whom it is costly stages it."""
     current, previous = _sides(traffic)
     joined = previous.join(current, ["run_hour", "server"], "full_outer")
-    return _of_complete(_filled(joined), observed_hours(traffic))
+    return _by_run(_filled(joined), observed_hours(traffic), run_hours)
 
 
-def low_traffic(traffic: DataFrame, threshold: int = HOURLY_THRESHOLD) -> DataFrame:
+def low_traffic(
+    traffic: DataFrame, threshold: int = HOURLY_THRESHOLD, run_hours: DataFrame | None = None
+) -> DataFrame:
     """Servers nearly silent in a run hour that were not in the hour before (directory mode).
 
     The hour before must reach the threshold, so it is filtered first and leads a left join.
     """
-    traffic = staged(traffic, "hourly")
     current, previous = _sides(traffic)
     joined = previous.filter(F.col("traffic_prev1h") >= threshold).join(
         current, ["run_hour", "server"], "left"
     )
     low = _filled(joined).filter(F.col("traffic") < threshold)
-    return _ordered(_of_complete(low, observed_hours(traffic)))
+    return _by_run(low, observed_hours(traffic), run_hours)
 
 
-def low_traffic_event_time(traffic: DataFrame, threshold: int = HOURLY_THRESHOLD) -> DataFrame:
+def low_traffic_event_time(
+    traffic: DataFrame, threshold: int = HOURLY_THRESHOLD, run_hours: DataFrame | None = None
+) -> DataFrame:
     """The same by event time. Each count serves its own hour and the next as the one before,
-    so one aggregation pairs them, without a join of the counts with themselves."""
-    traffic = staged(traffic, "hourly")
+    so one aggregation pairs them, without a join of the counts with themselves. Hours come from
+    the records, where a corrupt time can name any hour; nothing here is broadcast."""
     known = traffic.filter(F.col("date_hour").isNotNull())
     roles = F.explode(
         F.array(
@@ -127,10 +129,11 @@ def low_traffic_event_time(traffic: DataFrame, threshold: int = HOURLY_THRESHOLD
     )
     low = paired.filter((F.col("traffic") < threshold) & (F.col("traffic_prev1h") >= threshold))
     named = low.withColumn("date_hour", F.col("run_hour")).select(*ALERT_COLUMNS)
-    return _ordered(_of_complete(named, observed_hours(known, "date_hour")))
+    return _by_run(named, observed_hours(known, "date_hour"), run_hours)
 
 
-def _ordered(alerts: DataFrame) -> DataFrame:
+def in_order(alerts: DataFrame) -> DataFrame:
+    """Alerts as a reader wants them: by run, the most silent server first."""
     return alerts.orderBy(
         "run_hour", F.asc("traffic"), F.desc("traffic_prev1h"), "server", "date_hour"
     )

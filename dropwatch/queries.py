@@ -38,13 +38,7 @@ def query(fn: Query) -> Query:
 
 
 def _add(name: str, fn: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # Hours of epoch values are read in the session time zone.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return fn(spark, sf_dir)
-
-    run.__name__ = name
-    _QUERIES[name] = run
+    _QUERIES[name] = fn
     return fn
 
 
@@ -278,8 +272,9 @@ def _history(spark, sf_dir, level, mode):
 
 @query
 def alert_history_ordered(spark, sf_dir):
-    rows = _history(spark, sf_dir, "action", CALENDAR)
-    return ordered_history(rows, LEVELS["action"], RUN_DATE, keep_rank=True)
+    traffic, keys = fixtures.traffic(spark, sf_dir), LEVELS["action"]
+    rows = daily.alert_rows(traffic, keys, RUN_DATE, ALERT, CALENDAR)
+    return ordered_history(rows, keys, RUN_DATE, keep_rank=True)
 
 
 @query
@@ -292,6 +287,13 @@ def _alert_query(level, mode):
     return lambda spark, sf_dir: _history(spark, sf_dir, level, mode)
 
 
+@query
+def daily_alerts_observed_fuller(spark, sf_dir):
+    """Zone alerts in observed mode over few, full groups, which alert at every scale."""
+    traffic = fixtures.fuller_traffic(spark, sf_dir)
+    return daily.daily_alerts(traffic, LEVELS["zone"], RUN_DATE, ALERT, OBSERVED)
+
+
 for _mode in (OBSERVED, CALENDAR):
     for _level in LEVELS:
         _add(f"daily_alerts_{_mode}_{_level}", _alert_query(_level, _mode))
@@ -348,42 +350,57 @@ def hourly_traffic(spark, sf_dir):
     return hourly.hourly_traffic(fixtures.hourly_log(spark, sf_dir))
 
 
+def _hourly(spark, sf_dir):
+    return staged(hourly.hourly_traffic(fixtures.hourly_log(spark, sf_dir)), "hourly")
+
+
 @query
 def hourly_compare(spark, sf_dir):
-    return hourly.hourly_compare(hourly.hourly_traffic(fixtures.hourly_log(spark, sf_dir)))
+    return hourly.hourly_compare(_hourly(spark, sf_dir))
 
 
 @query
 def hourly_low_traffic(spark, sf_dir):
-    log = fixtures.hourly_log(spark, sf_dir)
-    return hourly.low_traffic(hourly.hourly_traffic(log), HOURLY_MIN)
+    return hourly.in_order(hourly.low_traffic(_hourly(spark, sf_dir), HOURLY_MIN))
 
 
 @query
 def hourly_low_traffic_event_time(spark, sf_dir):
     log = fixtures.hourly_log(spark, sf_dir)
-    traffic = hourly.hourly_traffic(log, by_directory=False)
-    return hourly.low_traffic_event_time(traffic, HOURLY_MIN)
+    traffic = staged(hourly.hourly_traffic(log, by_directory=False), "hourly")
+    return hourly.in_order(hourly.low_traffic_event_time(traffic, HOURLY_MIN))
 
 
 @query
 def missing_hours(spark, sf_dir):
-    return hourly.missing_hours(fixtures.error_log(spark, sf_dir))
+    log = fixtures.hourly_log(spark, sf_dir)
+    return hourly.missing_hours(log, fixtures.run_hours(log))
 
 
 @query
 def missing_hour_message(spark, sf_dir):
-    return digest.missing_message(hourly.missing_hours(fixtures.error_log(spark, sf_dir)))
+    log = fixtures.hourly_log(spark, sf_dir)
+    return digest.missing_message(hourly.missing_hours(log, fixtures.run_hours(log)))
 
 
 @query
 def hourly_alert_message(spark, sf_dir):
-    log = fixtures.hourly_log(spark, sf_dir)
-    low = hourly.low_traffic(hourly.hourly_traffic(log), HOURLY_MIN)
+    low = hourly.low_traffic(_hourly(spark, sf_dir), HOURLY_MIN)
     return digest.hourly_message(low, HOURLY_MIN)
 
 
 @query
 def hourly_low_traffic_backfill(spark, sf_dir):
-    return backfill.hourly_backfill(fixtures.error_log(spark, sf_dir), HOURLY_MIN)
+    traffic = _hourly(spark, sf_dir)
+    return backfill.hourly_backfill(traffic, fixtures.run_hours(traffic), HOURLY_MIN)
+
+
+@query
+def hourly_backfill_stored(spark, sf_dir):
+    """The same from logs stored in one directory per hour."""
+    base = fresh_path(spark, "hourly-log")
+    sinks.save_hours(fixtures.hourly_log(spark, sf_dir), base)
+    stored = readers.read_hours(spark, f"{base}/_logs/*", f"{base}/*/*/*/*/p*")
+    traffic = staged(hourly.hourly_traffic(stored), "hourly")
+    return backfill.hourly_backfill(traffic, fixtures.run_hours(traffic), HOURLY_MIN)
 

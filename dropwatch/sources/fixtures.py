@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dropwatch.functions.calendar import hours_between, shift_hour
+
 # The run the views are made for, and the outage injected on its day.
 RUN_DATE = "2024-02-08"
 RUN_MONTH = "2024-02"
@@ -29,12 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(rows: DataFrame, *key: str) -> DataFrame:
-    """Use all cores on a table of few splits; one of as many splits as cores is left alone."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, *key) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _with_places(rows: DataFrame, sf_dir: str, key: str) -> DataFrame:
     """Join each row's customer, nation and region. The last two have 25 and 5 rows by
     definition, whatever the scale, so they are broadcast."""
@@ -47,12 +45,25 @@ def _with_places(rows: DataFrame, sf_dir: str, key: str) -> DataFrame:
     return known.join(F.broadcast(nations), known.c_nationkey == nations.n_nationkey)
 
 
-def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _between(rows: DataFrame, column: str, first: str | None, end: str | None, shift: int) -> DataFrame:
+    """Rows whose date, `shift` days after the timestamp column, is from first up to before end.
+    The bounds are set on the column itself, so they reach the scan."""
+    for bound, keeps in ((first, F.col(column).__ge__), (end, F.col(column).__lt__)):
+        if bound is not None:
+            day = date.fromisoformat(bound) - timedelta(days=shift)
+            rows = rows.filter(keeps(F.lit(f"{day} 00:00:00").cast("timestamp_ntz")))
+    return rows
+
+
+def traffic(
+    spark: SparkSession, sf_dir: str, first: str | None = None, end: str | None = None
+) -> DataFrame:
     """Click layer: one row per event, with an outage in one country on the run date.
 
-    Every event stays a row. During the outage most rows of that country are no clicks.
+    Every event stays a row. During the outage most rows of that country are no clicks. first and
+    end (excluded) bound the dates.
     """
-    events = _spread(table(spark, sf_dir, "events"), "event_id").select(
+    events = _between(table(spark, sf_dir, "events"), "ts", first, end, shift=10).select(
         "event_id",
         "user_id",
         "event_type",
@@ -89,9 +100,29 @@ def masked_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic(spark, sf_dir).withColumn("country", hidden)
 
 
-def traffic_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Click layer over seven years: one row per order line."""
-    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+def fuller_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events in few groups, each active on every day at any scale: one website per
+    country, one action and two zones. A third of the groups falls silent but for a few clicks."""
+    rows = traffic(spark, sf_dir)
+    zone = F.concat(F.lit("zone_"), F.pmod("event_id", F.lit(2)))
+    quiet = (F.col("date") == RUN_DATE) & (F.pmod("event_id", F.lit(20)) != 0)
+    quiet = quiet & F.col("country").isin("EUROPE", "AFRICA")
+    return rows.withColumns(
+        {
+            "website_name": F.lit("SITE"),
+            "action": F.lit("visit"),
+            "zone": zone,
+            "clicks": F.when(quiet, 0).otherwise(1),
+        }
+    )
+
+
+def traffic_long(
+    spark: SparkSession, sf_dir: str, first: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Click layer over seven years: one row per order line; first and end (excluded) bound the
+    dates."""
+    lines = _between(table(spark, sf_dir, "lineitem"), "l_shipdate", first, end, shift=0)
     orders = table(spark, sf_dir, "orders")
     bought = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return _with_places(bought, sf_dir, "o_custkey").select(
@@ -109,7 +140,8 @@ def traffic_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _log(spark, sf_dir):
+def hourly_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log of five servers; the records of an hour's last minutes arrive in the next."""
     events = table(spark, sf_dir, "events")
     epoch_ms = F.timestamp_diff(
         "MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "ts"
@@ -119,15 +151,12 @@ def _log(spark, sf_dir):
         F.concat(F.lit("srv-"), F.col("user_id") % 5).alias("ct_flume_host"),
         epoch_ms.cast("string").alias("ct_datetime"),
         F.concat(F.substring(arrival, 1, 13), F.lit(":00")).alias("dir_hour"),
-        "event_type",
     )
 
 
-def hourly_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log of five servers; the records of an hour's last minutes arrive in the next."""
-    return _log(spark, sf_dir).drop("event_type")
-
-
-def error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The servers' error log: a fifth of the records, so that some hours have none."""
-    return _log(spark, sf_dir).filter(F.col("event_type") == "error").drop("event_type")
+def run_hours(log: DataFrame, beyond: int = 2) -> DataFrame:
+    """Run hours from some hours before the log's first one to as many after its last."""
+    bounds = log.agg(F.min("dir_hour").alias("first"), F.max("dir_hour").alias("last"))
+    bounds = bounds.filter(F.col("first").isNotNull())
+    hours = hours_between(shift_hour("first", -beyond), shift_hour("last", beyond))
+    return bounds.select(F.explode(hours).alias("run_hour"))

@@ -51,15 +51,24 @@ def read_click_layer(
     return clicks.filter(wanted).drop("year", "month")
 
 
-def stored_months(spark: SparkSession, base: str) -> set[tuple[int, int]]:
-    """Months a partitioned table has, from its directory names; one row per month."""
+def path_exists(spark: SparkSession, glob: str) -> bool:
+    """Whether a path or pattern names any file; asked through Spark, so any store will do."""
     try:
-        found = spark.read.parquet(base).select("year", "month").distinct()
+        spark.read.text(glob)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return set()
+            return False
         raise
-    return {(row.year, row.month) for row in found.collect()}
+    return True
+
+
+def finished_months(spark: SparkSession, manifest: str) -> dict[tuple[int, int], set[str]]:
+    """Source months whose rows are all in the stored counts, with the months (yyyy-MM) those rows
+    are dated in: one small row each."""
+    if not path_exists(spark, manifest):
+        return {}
+    rows = spark.read.parquet(manifest).collect()
+    return {(r.year, r.month): set(r.touched) for r in rows}
 
 
 def in_lookback(clicks: DataFrame, run_date: str, days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -100,7 +109,7 @@ def previous_hour(hour: str) -> str:
     return before.strftime("%Y-%m-%d %H:%M")
 
 
-def read_tsv(spark: SparkSession, header_path: str, data_path: str) -> DataFrame:
+def read_tsv(spark: SparkSession, header_path: str, data_path: str | list[str]) -> DataFrame:
     """Headerless tab-separated files whose column names stand in a separate header file.
     All columns are strings."""
     schema = spark.read.csv(header_path, sep="\t", header=True).schema
@@ -108,21 +117,30 @@ def read_tsv(spark: SparkSession, header_path: str, data_path: str) -> DataFrame
 
 
 def read_hour(spark: SparkSession, base: str, hour: str) -> DataFrame | None:
-    """One hour's log with its dir_hour, or None when the hour has no data."""
+    """One hour's log with its dir_hour, or None when the hour has no data. Data without a header
+    file is an error: its columns are unknown."""
     folder = hour_directory(base, hour)
-    try:
-        log = read_tsv(spark, f"{folder}/_logs/*.tsv", f"{folder}/p*")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return log.withColumn("dir_hour", F.lit(hour))
+    if not path_exists(spark, f"{folder}/p*"):
+        return None
+    header = f"{folder}/_logs/*.tsv"
+    if not path_exists(spark, header):
+        raise FileNotFoundError(f"hour {hour} has data but no header file {header}")
+    return read_tsv(spark, header, f"{folder}/p*").withColumn("dir_hour", F.lit(hour))
+
+
+def days_with_hours(spark: SparkSession, base: str, first_hour: str, last_hour: str) -> list[str]:
+    """Patterns of the hour directories of the days in between that have any."""
+    first, last = date.fromisoformat(first_hour[:10]), date.fromisoformat(last_hour[:10])
+    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    globs = [f"{base}/{d.isoformat().replace('-', '/')}/*" for d in days]
+    return [g for g in globs if path_exists(spark, f"{g}/p*")]
 
 
-def read_hours(spark: SparkSession, header_path: str, data_path: str) -> DataFrame:
-    """Many hours' logs in one scan; dir_hour comes from the directory names."""
+def read_hours(spark: SparkSession, header_path: str, data_path: str | list[str]) -> DataFrame:
+    """Many hours' logs in one scan; dir_hour comes from the directory names, which are bare
+    numbers or year=, month=, day= and hour=."""
     log = read_tsv(spark, header_path, data_path)
-    parts = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*$"
+    parts = r"/(?:year=)?(\d{4})/(?:month=)?(\d{2})/(?:day=)?(\d{2})/(?:hour=)?(\d{2})/[^/]*$"
     path = F.col("_metadata.file_path")
     piece = [F.regexp_extract(path, parts, i) for i in range(1, 5)]
     hour = F.concat(F.concat_ws("-", *piece[:3]), F.lit(" "), piece[3], F.lit(":00"))

@@ -11,16 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropwatch.config import CLICK_LIST, LEVELS
-from dropwatch.session import staged
 from dropwatch.sources.readers import level_label
 
 FORMATS = ("parquet", "csv", "avro")
-FALLBACK_FORMATS = ("avro", "csv")
+FALLBACK_FORMATS = ("csv", "avro")  # the one that needs no package first
 
 
 def save(df: DataFrame, path: str, file_type: str = "parquet", ordered: bool = False) -> None:
     """Write df as parquet, csv (to path_csv, with header) or avro (needs the spark-avro
-    package); the type's case does not matter. Any other type writes both avro and csv."""
+    package); the type's case does not matter. Any other type writes both csv and avro."""
     kind = file_type.lower()
     for name in (kind,) if kind in FORMATS else FALLBACK_FORMATS:
         target = f"{path}_csv" if name == "csv" else path
@@ -44,6 +43,16 @@ def save_by_month(rows: DataFrame, path: str, keep_others: bool = False) -> None
     )
 
 
+def save_hours(log: DataFrame, path: str) -> None:
+    """Write a log under year=/month=/day=/hour= directories of its dir_hour, as tab-separated
+    files without header, and the header once under _logs."""
+    parts = {"year": (1, 4), "month": (6, 2), "day": (9, 2), "hour": (12, 2)}
+    placed = log.withColumns({k: F.substring("dir_hour", *at) for k, at in parts.items()})
+    placed = placed.drop("dir_hour").hint("rebalance", *parts)
+    placed.write.mode("overwrite").partitionBy(*parts).csv(path, sep="\t")
+    log.drop("dir_hour").limit(0).write.csv(f"{path}/_logs", sep="\t", header=True)
+
+
 def run_label(run: str) -> str:
     """Path part of a run date or hour: 2024-02-08 -> 2024_02_08, '2024-02-14 06:00' ->
     2024_02_14_06."""
@@ -61,8 +70,8 @@ def alert_dir(base: str, run: str) -> str:
 
 def save_alerts(alerts: DataFrame, base: str, run_date: str) -> None:
     """Stacked alerts as one CSV table per level under base/alert/yyyy_MM_dd. A level without
-    alerts leaves a header only, so that an earlier run's files cannot survive."""
-    alerts = staged(alerts, "alerts")
+    alerts leaves a header only, so that an earlier run's files cannot survive. Alerts are read once
+    per level, so a caller stages them."""
     for depth, (level, columns) in enumerate(LEVELS.items(), start=1):
         rows = alerts.filter(F.col("level") == depth).orderBy(F.desc("total_clicks"), *columns)
         table = rows.select(*columns, "run_date", CLICK_LIST)

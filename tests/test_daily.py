@@ -160,11 +160,11 @@ def test_median_of_an_even_number_is_the_lower_one(spark):
 def test_rank_ties_share_rank_and_cumulative_share(spark):
     rows = [("a", RUN, 5), ("b", RUN, 5), ("c", RUN, 3), ("d", RUN, 0)]
     df = spark.createDataFrame(rows, "country string, date string, clicks bigint")
-    out = with_ranking(df, COUNTRY)
+    out = with_ranking(df)
     got = rows_of(out, "country", "daily_rank", "daily_cumulative_percentage")
     assert got == [("a", 1, 10 / 13), ("b", 1, 10 / 13), ("c", 3, 1.0), ("d", 4, 1.0)]
     silent = spark.createDataFrame([("a", RUN, 0)], "country string, date string, clicks bigint")
-    assert rows_of(with_ranking(silent, COUNTRY), "daily_traffic_percentage") == [(None,)]
+    assert rows_of(with_ranking(silent), "daily_traffic_percentage") == [(None,)]
     assert rows_of(with_daily_share(silent), "daily_traffic_percentage") == [(None,)]
 
 
@@ -175,7 +175,7 @@ def test_rank_over_many_equal_groups(spark):
         F.lit(RUN).alias("date"),
         F.when(F.col("id") < 10, F.col("id") + 2).otherwise(1).cast("long").alias("clicks"),
     )
-    out = with_ranking(df, COUNTRY)
+    out = with_ranking(df)
     assert out.count() == n
     total = sum(range(2, 12)) + n - 10
     top = out.filter("daily_rank <= 2").orderBy("daily_rank")

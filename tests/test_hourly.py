@@ -22,6 +22,10 @@ def log_of(spark, groups):
     return spark.createDataFrame(rows, "ct_flume_host string, ct_datetime string, dir_hour string")
 
 
+def runs(spark, *hours):
+    return spark.createDataFrame([(h,) for h in hours], "run_hour string")
+
+
 def directory(spark, groups, threshold):
     return hourly.low_traffic(hourly.hourly_traffic(log_of(spark, groups)), threshold)
 
@@ -41,7 +45,8 @@ def test_drop_and_silence_alert_in_both_modes(spark):
     expected = [(H6, "gone", H6, 0, 30), (H6, "quiet", H6, 2, 20)]
     assert rows_of(directory(spark, groups, 10), *SHOWN) == expected
     assert rows_of(event_time(spark, groups, 10), *SHOWN) == expected
-    assert [r.server for r in directory(spark, groups, 10).collect()] == ["gone", "quiet"]
+    ordered = hourly.in_order(directory(spark, groups, 10)).collect()
+    assert [r.server for r in ordered] == ["gone", "quiet"]
 
 
 def test_threshold_is_strict_now_and_inclusive_before(spark):
@@ -72,34 +77,75 @@ def test_event_time_does_not_depend_on_directories(spark):
 
 
 def test_malformed_times_give_a_null_hour(spark):
-    rows = [("a", "abc", H5), ("a", "", H5), ("a", None, H5), ("a", "1.5e400", H5)]
+    times = ["abc", "", None, "1.5e400", "NaN", "1e30", "-1e30"]
+    rows = [("a", t, H5) for t in times]
     log = spark.createDataFrame(rows, "ct_flume_host string, ct_datetime string, dir_hour string")
     out = hourly.hourly_traffic(log)
-    assert rows_of(out, "server", "date_hour", "traffic") == [("a", None, 4)]
+    assert rows_of(out, "server", "date_hour", "traffic") == [("a", None, 7)]
 
 
 def test_missing_hours_report_the_run_hour_first(spark):
     hours = ["2024-02-28 22:00", "2024-02-28 23:00", "2024-02-29 02:00"]
     log = log_of(spark, [("a", h, h, 1) for h in hours])
-    assert rows_of(hourly.missing_hours(log), "run_hour", "missing_hour") == [
+    asked = runs(spark, *[f"2024-02-29 {h:02d}:00" for h in range(5)])
+    found = hourly.missing_hours(log, asked)
+    assert rows_of(found, "run_hour", "missing_hour") == [
         ("2024-02-29 00:00", "2024-02-29 00:00"),
         ("2024-02-29 01:00", "2024-02-29 01:00"),
         ("2024-02-29 02:00", "2024-02-29 01:00"),
+        ("2024-02-29 03:00", "2024-02-29 03:00"),
+        ("2024-02-29 04:00", "2024-02-29 04:00"),
+    ]
+    assert digest.missing_message(found).count() == 5
+
+
+def test_missing_hours_at_both_ends_of_the_log(spark):
+    log = log_of(spark, [("a", h, h, 1) for h in (H5, H6)])
+    found = hourly.missing_hours(log, runs(spark, "2024-02-14 04:00", H5, H6, H7, "2024-02-14 08:00"))
+    assert rows_of(found, "run_hour", "missing_hour") == [
+        ("2024-02-14 04:00", "2024-02-14 04:00"),
+        (H5, "2024-02-14 04:00"),
+        (H7, H7),
+        ("2024-02-14 08:00", "2024-02-14 08:00"),
     ]
-    message = digest.missing_message(hourly.missing_hours(log))
-    assert message.count() == 3
+
+
+def test_only_run_hours_asked_for_report_low_traffic(spark):
+    groups = [("a", H5, H5, 40), ("a", H6, H6, 1), ("b", H6, H6, 40), ("b", H7, H7, 1)]
+    traffic = hourly.hourly_traffic(log_of(spark, groups))
+    assert rows_of(hourly.low_traffic(traffic, 10, runs(spark, H7)), "run_hour") == [(H7,)]
 
 
 def test_runs_next_to_a_missing_hour_report_no_low_traffic(spark):
     groups = [("a", H5, H5, 40), ("a", H7, H7, 1)]
     assert directory(spark, groups, 10).count() == 0
-    out = hourly_backfill(log_of(spark, groups), 10)
+    traffic = hourly.hourly_traffic(log_of(spark, groups))
+    out = hourly_backfill(traffic, runs(spark, H6, H7), 10)
     assert rows_of(out, "run_hour", "report", "missing_hour") == [
         (H6, "missing hour", H6),
         (H7, "missing hour", H6),
     ]
 
 
+def test_event_hours_do_not_depend_on_the_session_zone(spark):
+    log = log_of(spark, [("a", H5, H5, 1)])
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert rows_of(hourly.hourly_traffic(log), "date_hour") == [(H5,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_lines_of_a_total_outage_are_numbered_in_order(spark):
+    rows = [(H6, f"s{n:04d}", H6, 0, 100 + n % 7) for n in range(3000)]
+    alerts = spark.createDataFrame(rows, "run_hour string, server string, date_hour string, traffic long, traffic_prev1h long")
+    parts = digest.hourly_message(alerts, 10, lines_per_part=250).orderBy("part").collect()
+    lines = [x for p in parts for x in p.body.split("\n")[2:]]
+    wanted = sorted(rows, key=lambda r: (-r[4], r[1]))
+    assert lines == [f"{r[1]} | {H6} | 0 | {r[4]}" for r in wanted]
+
+
 def test_message_lists_servers_by_traffic(spark):
     groups = [("a", H5, H5, 20), ("a", H6, H6, 2), ("b", H5, H5, 30), ("c", H5, H5, 40)]
     body = digest.hourly_message(directory(spark, groups, 10), 10).first().body

@@ -93,6 +93,20 @@ def test_avro_without_its_package_is_a_clear_error(spark, tmp_path, kind):
         sinks.save(spark.range(1), str(tmp_path / "out"), kind)
 
 
+def test_unknown_type_leaves_the_csv(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)avro"):
+        sinks.save(spark.createDataFrame([("a", 1)], "k string, v int"), str(tmp_path / "out"), "anything")
+    assert rows_of(spark.read.csv(str(tmp_path / "out_csv"), header=True), "k") == [("a",)]
+
+
+def test_data_without_a_header_is_an_error(spark, tmp_path):
+    store_log(str(tmp_path), H6, [[("a", epoch(H6), "x")]])
+    header = next((Path(readers.hour_directory(str(tmp_path), H6)) / "_logs").iterdir())
+    header.unlink()
+    with pytest.raises(FileNotFoundError, match="_logs"):
+        readers.read_hour(spark, str(tmp_path), H6)
+
+
 def test_run_labels():
     assert sinks.run_label("2024-02-08") == "2024_02_08"
     assert sinks.run_label("2024-02-14 06:00") == "2024_02_14_06"
@@ -147,7 +161,52 @@ def test_usage_job_counts_each_month_once(spark, tmp_path):
     assert found["2024-01", "direct"] == found["2024-01", "stored"]
     assert found["2024-02", "direct"] == found["2024-02", "stored"]
     assert len(found["2024-02", "direct"]) == 2
-    assert len(readers.stored_months(spark, store)) == 13
+    assert len(readers.finished_months(spark, f"{store}/manifest")) == 13
+
+
+def both_ways(spark, tmp_path, source, run_month, store):
+    found = []
+    for name, counts in (("direct", None), ("stored", store)):
+        out = str(tmp_path / name)
+        jobs.run_usage(spark, source, out, run_month, counts=counts)
+        usage = readers.read_usage(spark, out, run_month, "country")
+        found.append(rows_of(usage, *usage.columns))
+    return found
+
+
+def test_late_rows_do_not_replace_a_stored_month(spark, tmp_path):
+    source, store = str(tmp_path / "clicks"), str(tmp_path / "counts")
+    store_plain(spark, [c for m in range(1, 12) for c in clicks_on("US", {f"2023-{m:02d}-05": 1})], source)
+    december = clicks_on("US", {d: 4 for d in days("2023-12-20", 20)})
+    layer(spark, december).write.parquet(f"{source}/2023/12")
+    direct, stored = both_ways(spark, tmp_path, source, "2024-01", store)
+    assert direct == stored
+    # January's folder has a row of December, February's has no click at all.
+    layer(spark, [click("US", "2023-12-31"), click("US", "2024-01-03")]).write.parquet(f"{source}/2024/01")
+    layer(spark, [click("US", "2024-02-03", clicks=0)]).write.parquet(f"{source}/2024/02")
+    for run_month in ("2024-02", "2024-03"):
+        direct, stored = both_ways(spark, tmp_path, source, run_month, store)
+        assert direct == stored
+    days_kept = spark.read.parquet(f"{store}/days").where("level = 1 AND year = 2023 AND month = 12")
+    assert days_kept.count() == 21
+    assert readers.finished_months(spark, f"{store}/manifest")[2024, 2] == set()
+
+
+def test_an_unfinished_write_of_counts_is_done_again(spark, tmp_path, monkeypatch):
+    source, store = str(tmp_path / "clicks"), str(tmp_path / "counts")
+    store_plain(spark, [c for m in range(1, 13) for c in clicks_on("US", {f"2023-{m:02d}-05": m})], source)
+    write = sinks.save_by_month
+
+    def breaks_off(rows, path, keep_others=False):
+        write(rows.where("date < '2023-03-01'"), path, keep_others)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(sinks, "save_by_month", breaks_off)
+    with pytest.raises(RuntimeError):
+        jobs.run_usage(spark, source, str(tmp_path / "x"), "2024-01", counts=store)
+    monkeypatch.undo()
+    direct, stored = both_ways(spark, tmp_path, source, "2024-01", store)
+    assert direct == stored
 
 
 def test_hourly_job(spark, tmp_path):
@@ -161,3 +220,54 @@ def test_hourly_job(spark, tmp_path):
         assert message.count() == 1
         stored = spark.read.csv(f"{sinks.alert_dir(out, H6)}/server_csv", header=True)
         assert [tuple(r) for r in stored.collect()] == [("b", H6, "0", "3"), ("a", H6, "1", "5")]
+
+    # A rerun that finds a gap leaves no servers of the run before.
+    readers_hour = Path(readers.hour_directory(source, H5))
+    readers_hour.rename(tmp_path / "gone")
+    jobs.run_hourly(spark, source, out, "2024-02-14", "6", 2)
+    assert spark.read.csv(f"{sinks.alert_dir(out, H6)}/server_csv", header=True).count() == 0
+
+
+def stored_hours(spark, out, hours):
+    found = []
+    for hour in hours:
+        target = sinks.alert_dir(out, hour)
+        servers = spark.read.csv(f"{target}/server_csv", header=True).collect()
+        message = spark.read.parquet(f"{target}/message").select("part", "subject", "body").collect()
+        found.append((hour, [tuple(r) for r in servers], [tuple(r) for r in message]))
+    return found
+
+
+def test_many_hours_equal_single_hours(spark, tmp_path):
+    source = str(tmp_path / "logs")
+    hours = [f"2024-02-14 {h:02d}:00" for h in range(4, 10)]
+    for hour, n in ((hours[1], 5), (hours[2], 1), (hours[4], 3)):
+        store_log(source, hour, [[("a", epoch(hour), "x")] * n, [("b", epoch(hour), "x")] * 3])
+    jobs.run_hourly_many(spark, source, str(tmp_path / "many"), hours[0], hours[-1], 2)
+    for hour in hours:
+        jobs.run_hourly(spark, source, str(tmp_path / "one"), hour[:10], hour[11:13], 2)
+    many, one = (stored_hours(spark, str(tmp_path / k), hours) for k in ("many", "one"))
+    assert many == one
+    assert [len(servers) for _, servers, _ in many] == [0, 0, 1, 0, 0, 0]
+
+
+def test_many_months_and_dates_equal_single_runs(spark, tmp_path):
+    source = str(tmp_path / "clicks")
+    months = clicks_on("US", {f"2023-{m:02d}-05": 1 for m in range(1, 13)})
+    store_plain(spark, steady("US", 1) + steady("DE", 10) + months, source)
+    many, one = str(tmp_path / "many"), str(tmp_path / "one")
+    jobs.run_usage_many(spark, source, many, "2024-01", "2024-02")
+    for run_month in ("2024-01", "2024-02"):
+        jobs.run_usage(spark, source, one, run_month)
+        for level in ("country", "zone"):
+            a, b = (readers.read_usage(spark, x, run_month, level) for x in (many, one))
+            assert rows_of(a, *b.columns) == rows_of(b, *b.columns)
+    dates = [days(RUN, 2)[0], RUN]
+    jobs.run_daily_many(spark, source, many, dates[0], dates[1], ANY, CALENDAR)
+    shown = ("run_date", "country", "website_name", "action", "zone", "clicksList_day0_to_day7_before")
+    for run_date in dates:
+        jobs.run_daily(spark, source, one, run_date, ANY, CALENDAR)
+        a, b = (readers.read_alerts(spark, sinks.alert_dir(x, run_date)) for x in (many, one))
+        assert rows_of(a, *shown) == rows_of(b, *shown)
+        a, b = (spark.read.parquet(f"{sinks.alert_dir(x, run_date)}/message") for x in (many, one))
+        assert rows_of(a, "body") == rows_of(b, "body")
