@@ -31,6 +31,14 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or one like it, that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def arrow_schema(schema: str) -> pa.Schema:
     return pa.schema([(n, ARROW[k]) for n, k in (x.split() for x in schema.split(", "))])
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dropwatch.llm.common import id_of, map_batches, text_of
+from dropwatch.llm.common import id_of, map_batches, text_of, unused
 from dropwatch.session import staged
 
 KINDS = ("email", "ip", "card", "phone")
@@ -239,9 +239,10 @@ def mask(text: str, spans: str) -> str:
 
 def masked(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns; text is masked, and n_chars, if there is one, follows it."""
-    spans = find(docs).where("spans != ''").select(id_of().alias("_did"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
-    rows = docs.withColumns({"_did": id_of(), "_key": F.xxhash64(text_of())})
-    rows = rows.join(spans.distinct(), ["_did", "_key"], "left").select(*docs.columns, "_spans")
+    did, key, found = (unused(docs, name) for name in ("did", "key", "spans"))
+    spans = find(docs).where("spans != ''").select(id_of().alias(did), F.col("key").alias(key), F.col("spans").alias(found))
+    rows = docs.withColumns({did: id_of(), key: F.xxhash64(text_of())})
+    rows = rows.join(spans.distinct(), [did, key], "left").select(*docs.columns, found)
     place, length = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches):

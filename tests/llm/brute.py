@@ -110,7 +110,7 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
         digits = re.sub("[^0-9]", "", found)
         return {
             "email": lambda: True,
-            "ip": lambda: all(int(p) <= 255 for p in found.split(".")),
+            "ip": lambda: all(int(p.lstrip("0")[:5] or 0) <= 255 for p in found.split(".")),
             "card": lambda: 13 <= len(digits) <= 19 and luhn(digits),
             "phone": lambda: 9 <= len(digits) <= 15,
         }[kind]()
