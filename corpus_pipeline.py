@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dropwatch.llm import langid, minhash, pieces, pii, tiling
-from dropwatch.llm.common import id_of, table, text_of
+from dropwatch.llm.common import id_of, table, text_of, unused
 from dropwatch.session import staged
 
 LEAST_SCORE = 0.5
@@ -33,12 +33,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = minhash.groups(docs, k=5).where("kept")
-    kept = kept.select(id_of().alias("_did"), F.col("tkey").alias("_tkey")).distinct()
-    rows = docs.withColumns({"_did": id_of(), "_tkey": F.xxhash64(text_of())})
+    did, key, copy = (unused(docs, name) for name in ("did", "key", "copy"))
+    kept = kept.select(id_of().alias(did), F.col("tkey").alias(key)).distinct()
+    rows = docs.withColumns({did: id_of(), key: F.xxhash64(text_of())})
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    copies = Window.partitionBy("_did", "_tkey").orderBy(F.col("_did"), *rest)
-    stay = rows.join(kept, ["_did", "_tkey"], "left_semi").withColumn("_copy", F.row_number().over(copies))
-    return stay.where("_copy = 1").select(docs.columns)
+    copies = Window.partitionBy(did, key).orderBy(did, *rest)
+    stay = rows.join(kept, [did, key], "left_semi").withColumn(copy, F.row_number().over(copies))
+    return stay.where(F.col(copy) == 1).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
