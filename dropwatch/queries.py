@@ -24,6 +24,9 @@ ALERT = Thresholds(min_clicks=1, min_ipua=1, min_domain=1, ratio=0.7)
 HOURLY_MIN = 3
 RUN_DATE, RUN_MONTH = fixtures.RUN_DATE, fixtures.RUN_MONTH
 LONG_RUN_MONTH = "2000-01"
+# The days that a run's lookback and a run month's usage reference look at; ends are excluded.
+LOOKBACK = ("2024-01-18", "2024-02-09")
+YEAR, LONG_YEAR = ("2023-02-01", "2024-02-01"), ("1999-01-01", "2000-01-01")
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -161,7 +164,7 @@ def multi_granularity_clicks(spark, sf_dir):
 
 
 def _observed(spark, sf_dir, level):
-    traffic = fixtures.traffic(spark, sf_dir)
+    traffic = fixtures.traffic(spark, sf_dir, *LOOKBACK)
     return daily.daily_series(traffic, LEVELS[level], RUN_DATE, counts=())
 
 
@@ -177,7 +180,7 @@ def daily_share(spark, sf_dir):
 
 @query
 def daily_ranking(spark, sf_dir):
-    traffic = fixtures.traffic(spark, sf_dir)
+    traffic = fixtures.traffic(spark, sf_dir, *LOOKBACK)
     return _rounded(daily.daily_ranking(traffic, LEVELS["website"], RUN_DATE))
 
 
@@ -217,7 +220,7 @@ def clicks_estimate_zone(spark, sf_dir):
 
 def _usage_query(level):
     def run(spark, sf_dir):
-        return usage_reference(fixtures.traffic(spark, sf_dir), LEVELS[level], RUN_MONTH)
+        return usage_reference(fixtures.traffic(spark, sf_dir, *YEAR), LEVELS[level], RUN_MONTH)
 
     return run
 
@@ -228,7 +231,7 @@ for _level in LEVELS:
 
 @query
 def usage_reference_long(spark, sf_dir):
-    traffic = fixtures.traffic_long(spark, sf_dir)
+    traffic = fixtures.traffic_long(spark, sf_dir, *LONG_YEAR)
     return usage_reference(traffic, LEVELS["zone"], LONG_RUN_MONTH)
 
 
