@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropwatch.llm.common import NO_ID, map_batches
-from dropwatch.llm.windows import Shape, covered, keyed, repeats
+from dropwatch.llm.windows import Shape, covered, keyed, packed, repeats, unpacked
 
 LENGTH = 50
 SEED = 10
@@ -39,18 +39,18 @@ def numbers_of(raw: memoryview) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-SHAPE = Shape(LENGTH, SEED, numbers_of, by_document=True)
+SHAPE = Shape(LENGTH, SEED, numbers_of, lambda numbers: numbers, by_document=True)
 
 
 def dedup(docs: DataFrame, shape: Shape = SHAPE) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256, spans (start:end of each maximal repeat)."""
     rows = keyed(docs)
-    marked = rows.join(repeats(rows, shape), ["did", "tag"], "left").select("did", "raw", "items")
+    marked = packed(rows).join(repeats(rows, shape, np.uint64), ["did", "tag"], "left").select("did", "raw", "items")
 
     def run(batch):
         out = []
         for did, raw, items in zip(*batch.columns, strict=True):
-            words = kept = words_of(memoryview(raw.as_buffer()))
+            words = kept = words_of(unpacked(raw))
             spans = np.zeros((0, 2), int)
             if items.is_valid:
                 gone = covered(items.values.to_numpy(), len(words), shape.length)

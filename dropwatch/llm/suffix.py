@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropwatch.llm.common import NO_ID, map_batches
-from dropwatch.llm.windows import Shape, covered, keyed, repeats
+from dropwatch.llm.windows import Shape, covered, keyed, packed, repeats, unpacked
 
 LENGTH = 100
 Q = 32
@@ -35,21 +35,25 @@ BYTE_NUMBERS = np.random.default_rng(4).integers(0, 1 << 63, 256, dtype=np.uint6
 
 
 def bytes_of(raw: memoryview) -> np.ndarray:
-    return BYTE_NUMBERS[np.frombuffer(raw, np.uint8)]
+    return np.frombuffer(raw, np.uint8)
 
 
-SHAPE = Shape(LENGTH, Q, bytes_of, by_document=False)
+def numbers_of(units: np.ndarray) -> np.ndarray:
+    return BYTE_NUMBERS[units]
+
+
+SHAPE = Shape(LENGTH, Q, bytes_of, numbers_of, by_document=False)
 
 
 def dedup(docs: DataFrame, shape: Shape = SHAPE) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start:end, bytes)."""
     rows = keyed(docs)
-    marked = rows.join(repeats(rows, shape), ["did", "tag"], "left").select("did", "raw", "items")
+    marked = packed(rows).join(repeats(rows, shape, np.uint8), ["did", "tag"], "left").select("did", "raw", "items")
 
     def run(batch):
         out = []
         for did, raw, items in zip(*batch.columns, strict=True):
-            text = np.frombuffer(raw.as_buffer(), np.uint8)
+            text = np.frombuffer(unpacked(raw), np.uint8)
             spans = np.zeros((0, 2), int)
             if items.is_valid:
                 gone = covered(items.values.to_numpy(), len(text), shape.length)

@@ -5,14 +5,16 @@ numbers. Every window of `length` units has an anchor: the leftmost least of its
 `seed` units), so equal windows have equal anchors at equal places, and neighbouring windows
 mostly share one. The windows of one anchor form a run; runs, not windows, are shuffled.
 
-1. Seeds. A run whose seed occurs nowhere else is finished. Each task first settles the seeds that
-   it holds itself more than once, and sends every other seed once, so a seed that a third of all
-   rows share arrives once per batch.
-2. Runs. Runs with the same seed and the same context (the number of all units their windows
-   touch) are equal window by window; all but the first are repeats.
-3. Windows. First runs whose seed has several contexts are compared window by window.
-
-Runs and windows are (did, at) pairs; at holds the row's text tag, the start, and a run's windows.
+1. Runs. Runs with the same seed and the same context (the number of all units their windows touch)
+   are equal window by window: all but the first are repeats. A run whose seed occurs nowhere else
+   is finished. Every task settles its own runs first and sends on one of each kind, so what a third
+   of all rows share arrives once per part of a task. Runs of one seed meet in one range of seeds; where a
+   part has many contexts of a seed, they meet by seed and context.
+2. Windows. First runs whose seed has several contexts are compared window by window, again by
+   range of seeds, or of windows where a seed has many contexts.
+
+Runs are (did, at) pairs; at holds the row's text tag, the first window's start, and the number of
+windows. Sorting and comparing is done in arrays, within ranges whose number grows with the input.
 """
 
 from __future__ import annotations
@@ -22,14 +24,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute  # noqa: F401
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropwatch.llm.common import id_of, text_of
 from dropwatch.session import staged
 
 SEGMENT = 1 << 20  # windows treated at a time within one long text
-RANGE_BYTES = 8 << 20  # of seeds, about, that meet in one group
+RANGE_BYTES = 4 << 20  # of runs, about, that meet in one group
+PART_BYTES = 8 << 20  # of text, about, whose runs a task holds at a time
+MANY = 16  # contexts of a seed in a batch, from which on they are spread
+MOST = 4096  # the same in a range
 START_BITS, RUN_BITS = 40, 7
 
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
@@ -47,7 +54,8 @@ def combine(a, b):
 class Shape:
     length: int  # units of a window
     seed: int  # units of a seed
-    units: Callable[[memoryview], np.ndarray]  # unit numbers of a text's bytes
+    units: Callable[[memoryview], np.ndarray]  # the units of a text's bytes, as they are shuffled
+    number: Callable[[np.ndarray], np.ndarray]  # 64-bit numbers of units
     by_document: bool  # a repeat must begin in a smaller document (else also earlier in the same)
 
 
@@ -116,20 +124,98 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(id_of().alias("did"), tag.alias("tag"), text.cast("binary").alias("raw"))
 
 
-def _send(shape: Shape, ranges: int):
-    """Per batch: one row per range of seed numbers with the seeds to be compared (kind 0), and one
-    per batch with the runs already known to be repeated (kind 1)."""
-
-    def blobs(kind, r, columns):
-        return [kind, r, *(c.astype(np.uint64).tobytes() for c in columns)]
+def packed(rows: DataFrame) -> DataFrame:
+    """The same with raw compressed, for a shuffle of the texts."""
 
     def run(batches):
-        schema = pa.schema([("kind", pa.int32()), ("r", pa.int32()), *((n, pa.binary()) for n in ("seed", "context", "did", "at"))])
-        turn = 0
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
+            small = [pack(raw.as_buffer()) for raw in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(small, pa.binary())], names=["did", "tag", "raw"]
+            )
+
+    return rows.mapInArrow(run, "did long, tag long, raw binary")
+
+
+def unpacked(raw: pa.Scalar) -> memoryview:
+    return memoryview(zstandard.ZstdDecompressor().decompress(raw.as_buffer()))
+
+
+def firsts(keys: tuple[np.ndarray, ...], did: np.ndarray, at: np.ndarray, shape: Shape):
+    """Order by keys, then (did, at); and in that order, which rows begin an equal class and which
+    are repeats."""
+    order = np.lexsort((at, did, *reversed(keys)))
+    head = np.zeros(len(order), bool)
+    head[:1] = True
+    for k in keys:
+        head[1:] |= k[order][1:] != k[order][:-1]
+    if not len(order):
+        return order, head, head
+    first = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
+    repeat = did[order] != did[first]
+    return order, head, repeat if shape.by_document else repeat | (at[order] != at[first])
+
+
+def _spread(key: np.ndarray, ranges: int) -> np.ndarray:
+    """Range of each key. Anchors are least seeds, so their numbers are small: mixed once more."""
+    x = combine(key.view(np.uint64), key.view(np.uint64))
+    return (((x >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
+
+
+BLOBS = "kind int, r int, a binary, b binary, did binary, at binary"
+BLOB_SCHEMA = pa.schema([("kind", pa.int32()), ("r", pa.int32()), *((n, pa.binary()) for n in ("a", "b", "did", "at"))])
+
+
+def _blobs(kind: int, r: np.ndarray, columns: tuple[np.ndarray, ...], ranges: int) -> list[tuple]:
+    """One row per range with the columns' values there, in the order of documents."""
+    order = np.lexsort((columns[3], columns[2], r))
+    edges = np.searchsorted(r[order], np.arange(ranges + 1))
+    columns = [c[order] for c in columns]
+    return [
+        (kind, k, *(c[x:y].tobytes() for c in columns))
+        for k, (x, y) in enumerate(zip(edges, edges[1:], strict=False))
+        if x < y
+    ]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), BLOB_SCHEMA.types, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, schema=BLOB_SCHEMA)
+
+
+def _gather(group: pa.Table, kind: int, names=("a", "b", "did", "at")) -> list[np.ndarray]:
+    mine = group.filter(pa.compute.equal(group.column("kind"), kind))
+    return [
+        np.concatenate([*(np.frombuffer(x.as_buffer(), np.int64) for x in mine.column(n)), np.zeros(0, np.int64)])
+        for n in names
+    ]
+
+
+RUN, SPREAD, REPEAT, WINDOWS = range(4)
+
+
+def _parts(batch: pa.RecordBatch):
+    """A batch in slices of about PART_BYTES of its column raw, so that memory stays bounded."""
+    start, size = 0, 0
+    for k, raw in enumerate(batch.column("raw")):
+        size += raw.as_buffer().size
+        if size >= PART_BYTES:
+            yield batch.slice(start, k + 1 - start)
+            start, size = k + 1, 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def _send(shape: Shape, ranges: int):
+    """Per batch: repeats within it; of the others, the first run of each seed and context."""
+
+    def run(batches):
+        for batch in (part for whole in batches for part in _parts(whole)):
             parts = []
             for did, tag, raw in zip(*batch.columns, strict=True):
-                found = runs(seed_numbers(shape.units(memoryview(raw.as_buffer())), shape.seed), shape)
+                units = shape.number(shape.units(memoryview(raw.as_buffer())))
+                found = runs(seed_numbers(units, shape.seed), shape)
                 if found is not None:
                     seed, context, start, n = found
                     parts.append((seed, context, np.full(len(seed), did.as_py()), _pack(tag.as_py(), start, n)))
@@ -137,134 +223,174 @@ def _send(shape: Shape, ranges: int):
                 continue
             seed, context, did, at = (np.concatenate(c) for c in zip(*parts, strict=True))
             parts.clear()
-            order = np.argsort(seed, kind="stable")
-            ordered = seed[order]
-            head = np.append(True, ordered[1:] != ordered[:-1])
-            times = np.diff(np.append(np.flatnonzero(head), len(ordered)))
-            known = np.empty(len(seed), bool)
-            known[order] = np.repeat(times > 1, times)
-            rows = []
-            if known.any():
-                rows.append(blobs(1, (hash(did[0].item()) + turn) % ranges, [c[known] for c in (seed, context, did, at)]))
-            # A seed known to be repeated goes once, with at = -1: it only tells the other tasks.
-            heads = order[head]
-            at = np.where(known, np.int64(-1), at)[heads]
-            seed, context, did = seed[heads], context[heads], did[heads]
-            r = ((seed >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-            edges = np.searchsorted(r, np.arange(ranges + 1, dtype=np.uint64))
-            for k in range(ranges):
-                a, b = edges[k], edges[k + 1]
-                if a < b:
-                    rows.append(blobs(0, k, [c[a:b] for c in (seed, context, did, at)]))
-            turn += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema
-            )
+            seed, context = seed.view(np.int64), context.view(np.int64)
+            order, head, repeat = firsts((seed, context), did, at, shape)
+            seed, context, did, at = (c[order] for c in (seed, context, did, at))
+            gone = did[repeat], at[repeat]
+            rows = _blobs(REPEAT, np.full(len(gone[0]), abs(int(did[0])) % ranges), (gone[0], gone[0], *gone), ranges)
+            new = np.append(True, seed[1:] != seed[:-1])
+            contexts = np.add.reduceat(head, np.flatnonzero(new))[np.cumsum(new) - 1]
+            many, stay = ~repeat & (contexts > MANY), ~repeat & (contexts <= MANY)
+            rows += _blobs(RUN, _spread(seed[stay], ranges), tuple(c[stay] for c in (seed, context, did, at)), ranges)
+            if many.any():
+                spread = tuple(c[many] for c in (seed, context, did, at))
+                both = combine(spread[0].view(np.uint64), spread[1].view(np.uint64))
+                rows += _blobs(SPREAD, _spread(both, ranges), spread, ranges)
+                # A mark (at = -1) tells the seed's range that its other contexts are elsewhere.
+                marked = np.unique(spread[0])
+                mark = np.full(len(marked), -1)
+                rows += _blobs(RUN, _spread(marked, ranges), (marked, mark, mark, mark), ranges)
+            yield _batch(rows)
 
     return run
 
 
-RUNS = "seed long, context long, did long, at long"
+DONE, COLD, HOT = range(3)
+SETTLED = "state int, seed long, did long, at long"
+
+
+def _meet_runs(shape: Shape):
+    """Of the runs of one range: repeats, and first runs whose seed has several contexts."""
+
+    def states(seed, context, did, at, spread: bool):
+        order, head, repeat = firsts((seed, context), did, at, shape)
+        seed, did, at = seed[order], did[order], at[order]
+        if not len(seed):
+            return seed, seed, did, at
+        new = np.append(True, seed[1:] != seed[:-1])
+        number = np.cumsum(new) - 1
+        mark = at == -1
+        contexts = np.add.reduceat(head & ~mark, np.flatnonzero(new))[number]
+        told = np.logical_or.reduceat(mark, np.flatnonzero(new))[number]
+        hot = told | (contexts > MOST) | spread
+        state = np.where(repeat, DONE, np.where(hot, HOT, COLD))
+        keep = ~mark & (repeat | (contexts > 1) | hot)
+        return state[keep], seed[keep], did[keep], at[keep]
+
+    def run(group: pa.Table) -> pa.Table:
+        _, _, did, at = _gather(group, REPEAT)
+        parts = [
+            states(*_gather(group, RUN), spread=False),
+            states(*_gather(group, SPREAD), spread=True),
+            (np.full(len(did), DONE), np.zeros(len(did), np.int64), did, at),
+        ]
+        state, seed, did, at = (np.concatenate(c) for c in zip(*parts, strict=True))
+        return pa.table({"state": state.astype(np.int32), "seed": seed, "did": did, "at": at})
 
+    return run
 
-def _meet(group: pa.Table) -> pa.Table:
-    """The runs of one range whose seed is repeated."""
-    names = ("seed", "context", "did", "at")
-    kinds = group.column("kind").to_numpy()
 
-    def column(name: str, kind: int) -> np.ndarray:
-        blobs = [b.as_buffer() for k, b in zip(kinds, group.column(name), strict=True) if k == kind]
-        return np.concatenate([*(np.frombuffer(b, np.int64) for b in blobs), np.zeros(0, np.int64)])
+def _windows(packed_runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of the runs: which run it is of, and its place among the run's."""
+    n = packed_runs & ((1 << RUN_BITS) - 1)
+    owner = np.repeat(np.arange(len(n)), n)
+    return owner, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
-    fresh = [column(n, 0) for n in names]
-    order = np.argsort(fresh[0], kind="stable")
-    ordered = fresh[0][order]
-    change = np.append(True, ordered[1:] != ordered[:-1]) if len(ordered) else np.zeros(0, bool)
-    times = np.diff(np.append(np.flatnonzero(change), len(ordered)))
-    heads = np.flatnonzero(change)
-    told = np.logical_or.reduceat(fresh[3][order] == -1, heads) if len(heads) else np.zeros(0, bool)
-    keep = order[np.repeat((times > 1) | told, times)]
-    keep = keep[fresh[3][keep] != -1]
-    return pa.table({n: np.concatenate([c[keep], column(n, 1)]) for n, c in zip(names, fresh, strict=True)})
 
+def _cut(shape: Shape, ranges: int):
+    """The contexts of the open runs, by range of seeds; of spread seeds the windows' numbers."""
 
-def repeated_runs(rows: DataFrame, shape: Shape) -> DataFrame:
-    """Level 1: the runs (seed, context, did, at) whose seed occurs more than once."""
-    size = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
-    ranges = int(size / (shape.length - shape.seed) * 64 / RANGE_BYTES) + 1
-    schema = "kind int, r int, seed binary, context binary, did binary, at binary"
-    sent = rows.mapInArrow(_send(shape, ranges), schema)
-    return staged(sent.groupBy("r").applyInArrow(_meet, RUNS), "repeated-runs")
+    def run(batches):
+        for batch in (part for whole in batches for part in _parts(whole)):
+            cold, hot = [], []
+            for did, tag, raw, items in zip(*batch.columns, strict=True):
+                listed = items.values
+                at, seed, state = (listed.field(n).to_numpy() for n in ("item", "seed", "state"))
+                order = np.lexsort((at, state))
+                at, seed, state = at[order], seed[order], state[order]
+                units = shape.units(unpacked(raw))
+                did, tag = did.as_py(), tag.as_py() << (START_BITS + RUN_BITS)
+                for item, key in zip(at[state == COLD].tolist(), seed[state == COLD], strict=True):
+                    start, n = item >> RUN_BITS, item & ((1 << RUN_BITS) - 1)
+                    cold.append((key, units[start : start + n - 1 + shape.length].tobytes(), did, tag | item))
+                wide = at[state == HOT]
+                if len(wide):
+                    owner, place = _windows(wide)
+                    start = (wide >> RUN_BITS)[owner] + place
+                    w1, w2 = window_numbers(seed_numbers(shape.number(units), shape.seed), start, shape)
+                    hot.append((w1.view(np.int64), w2.view(np.int64), np.full(len(start), did), tag | (start << RUN_BITS) | 1))
+            rows = []
+            if cold:
+                r = _spread(np.array([c[0] for c in cold], np.int64), ranges)
+                for k in np.unique(r).tolist():
+                    mine = [cold[i] for i in np.flatnonzero(r == k)]
+                    sizes, did, at = (np.array(x, np.int64) for x in zip(*((len(c[1]), *c[2:]) for c in mine), strict=True))
+                    text = b"".join(c[1] for c in mine)
+                    rows.append((RUN, k, text, sizes.tobytes(), did.tobytes(), at.tobytes()))
+            if hot:
+                w1, w2, did, at = (np.concatenate(c) for c in zip(*hot, strict=True))
+                order, _, repeat = firsts((w1, w2), did, at, shape)
+                gone, stay = order[repeat], order[~repeat]
+                rows += _blobs(REPEAT, np.full(len(gone), abs(int(did[0])) % ranges), (did[gone], did[gone], did[gone], at[gone]), ranges)
+                rows += _blobs(WINDOWS, _spread(w1[stay], ranges), (w1[stay], w2[stay], did[stay], at[stay]), ranges)
+            if rows:
+                yield _batch(rows)
 
+    return run
 
-def _is_repeat(shape: Shape) -> Column:
-    """Whether (did, at) comes after the struct `first` in the order that counts."""
-    if shape.by_document:
-        return F.col("did") > F.col("first.did")
-    return F.struct("did", "at") > F.col("first")
 
+def _meet_windows(shape: Shape, dtype):
+    """The repeats among the windows of one range, as runs of one window or more."""
+
+    def run(group: pa.Table) -> pa.Table:
+        mine = group.filter(pa.compute.equal(group.column("kind"), RUN))
+        text = b"".join(x.as_py() for x in mine.column("a"))
+        sizes, did, at = (
+            np.concatenate([*(np.frombuffer(x.as_buffer(), np.int64) for x in mine.column(n)), np.zeros(0, np.int64)])
+            for n in ("b", "did", "at")
+        )
+        units = np.frombuffer(text, dtype)
+        begin = (np.cumsum(sizes) - sizes) // units.itemsize
+        owner, place = _windows(at)
+        ids = seed_numbers(shape.number(units), shape.seed)
+        w1, w2 = window_numbers(ids, begin[owner] + place, shape)
+        more = _gather(group, WINDOWS)
+        w1, w2 = (np.concatenate([w.view(np.int64), m]) for w, m in zip((w1, w2), more[:2], strict=True))
+        start = ((at[owner] >> RUN_BITS) + place) << RUN_BITS
+        did, at = np.concatenate([did[owner], more[2]]), np.concatenate([start | 1, more[3]])
+        order, _, repeat = firsts((w1, w2), did, at, shape)
+        did, at = did[order[repeat]], at[order[repeat]]
+        _, _, told_did, told_at = _gather(group, REPEAT)
+        return pa.table(dict(zip(("did", "at"), _joined(np.append(did, told_did), np.append(at, told_at)), strict=True)))
 
-def _by_text(df: DataFrame, at_bits: int, item: Column) -> DataFrame:
-    tag = F.shiftright("at", at_bits)
-    return df.groupBy("did", tag.alias("tag")).agg(F.collect_list(item).alias("items"))
+    return run
 
 
-def _windows_of(shape: Shape):
-    """The numbers of all windows of the listed runs of each text."""
+def _joined(did: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Single windows as runs of neighbours, as long as a run can be."""
+    order = np.lexsort((at, did))
+    did, start = did[order], at[order] >> RUN_BITS
+    keep = np.append(True, (did[1:] != did[:-1]) | (start[1:] != start[:-1])) if len(did) else np.zeros(0, bool)
+    did, start = did[keep], start[keep]
+    step = np.append(True, (did[1:] != did[:-1]) | (start[1:] != start[:-1] + 1)) if len(did) else keep
+    since = np.arange(len(did)) - np.flatnonzero(step)[np.cumsum(step) - 1] if len(did) else start
+    head = since % ((1 << RUN_BITS) - 1) == 0
+    n = np.diff(np.append(np.flatnonzero(head), len(did)))
+    return did[head], (start[head] << RUN_BITS) | n
 
-    def run(batches):
-        schema = pa.schema([(n, pa.int64()) for n in ("w1", "w2", "did", "at")])
-        for batch in batches:
-            parts, size = [], 0
 
-            def flush():
-                columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-                parts.clear()
-                return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+def _item():
+    return F.col("at").bitwiseAND((1 << (START_BITS + RUN_BITS)) - 1).alias("item")
 
-            for did, tag, raw, items in zip(*batch.columns, strict=True):
-                packed = np.unique(items.values.to_numpy())
-                first, n = packed >> RUN_BITS, packed & ((1 << RUN_BITS) - 1)
-                steps = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                at = np.repeat(first, n) + steps
-                ids = seed_numbers(shape.units(memoryview(raw.as_buffer())), shape.seed)
-                w1, w2 = window_numbers(ids, at, shape)
-                at_tagged = (tag.as_py() << START_BITS) | at
-                parts.append((w1.view(np.int64), w2.view(np.int64), np.full(len(at), did.as_py()), at_tagged))
-                size += len(at)
-                if size > 1 << 17:
-                    yield flush()
-                    size = 0
-            if parts:
-                yield flush()
 
-    return run
+def _tag():
+    return F.shiftright("at", START_BITS + RUN_BITS).alias("tag")
 
 
-def repeats(rows: DataFrame, shape: Shape) -> DataFrame:
-    """did, tag, items (packed runs of window starts that are repeats) of the texts that have any."""
-    found = repeated_runs(rows, shape)
-    contexts = found.groupBy("seed", "context").agg(F.min(F.struct("did", "at")).alias("first"))
-    contexts = staged(contexts, "contexts")
-    several = contexts.groupBy("seed").agg((F.count("*") > 1).alias("several")).where("several")
-    contexts = contexts.join(several, "seed", "left")
-    # Level 2: repeats as whole runs; what is first and has other contexts goes on.
-    settled = found.join(contexts, ["seed", "context"]).select("did", "at", "several", _is_repeat(shape).alias("repeat"))
-    settled = staged(settled.where("repeat or several"), "settled-runs")
-    run_item = F.col("at").bitwiseAND((1 << (START_BITS + RUN_BITS)) - 1)
-    whole = settled.where("repeat").select("did", F.shiftright("at", START_BITS + RUN_BITS).alias("tag"), run_item.alias("item"))
-    # Level 3: windows of the runs that are first.
-    open_runs = _by_text(settled.where("not repeat"), START_BITS + RUN_BITS, run_item)
-    texts = rows.join(open_runs, ["did", "tag"]).select("did", "tag", "raw", "items")
-    numbered = staged(texts.mapInArrow(_windows_of(shape), "w1 long, w2 long, did long, at long"), "window-numbers")
-    firsts = numbered.groupBy("w1", "w2").agg(F.min(F.struct("did", "at")).alias("first"), F.count("*").alias("n"))
-    single = numbered.join(firsts.where("n > 1"), ["w1", "w2"]).where(_is_repeat(shape))
-    start = F.col("at").bitwiseAND((1 << START_BITS) - 1)
-    single = single.select(
-        "did", F.shiftright("at", START_BITS).alias("tag"), (F.shiftleft(start, RUN_BITS) + 1).alias("item")
-    )
-    both = whole.unionByName(single)
-    return both.groupBy("did", "tag").agg(F.collect_list("item").alias("items"))
+def repeats(rows: DataFrame, shape: Shape, dtype) -> DataFrame:
+    """did, tag, items (packed runs of window starts that are repeats) of the texts that have any;
+    dtype: of shape.units."""
+    size = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
+    ranges = int(size / (shape.length - shape.seed) * 64 / RANGE_BYTES) + 1
+    sent = rows.mapInArrow(_send(shape, ranges), BLOBS)
+    settled = staged(sent.groupBy("r").applyInArrow(_meet_runs(shape), SETTLED), "settled-runs")
+    listed = F.collect_list(F.struct(_item(), "seed", "state")).alias("items")
+    open_runs = settled.where(F.col("state") != DONE).groupBy("did", _tag()).agg(listed)
+    texts = packed(rows).join(open_runs, ["did", "tag"]).select("did", "tag", "raw", "items")
+    cut = texts.mapInArrow(_cut(shape, ranges), BLOBS)
+    single = cut.groupBy("r").applyInArrow(_meet_windows(shape, dtype), "did long, at long")
+    both = settled.where(F.col("state") == DONE).select("did", "at").unionByName(single)
+    return both.groupBy("did", _tag()).agg(F.collect_list(_item()).alias("items"))
 
 
 def covered(items: np.ndarray, n: int, length: int) -> np.ndarray:
