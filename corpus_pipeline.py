@@ -6,8 +6,9 @@ id and the number and digests of its piece ids and decoded text. Null, empty and
 
 * language: documents without letters (null and empty texts too), and those whose language scores
   under LEAST_SCORE, go;
-* near_duplicates: five-word shingles, similarity 0.8; the smallest doc_id of a group stays, once
-  per text. Documents without words have no duplicates;
+* near_duplicates: five-word shingles, similarity 0.8; of a group one text stays, once: that of the
+  smallest doc_id (null is smallest; if it has several, that of the smallest xxhash64). Documents
+  without words have no duplicates;
 * decontamination: documents into which a benchmark item leaks go;
 * personal_data: spans are replaced by their kind, n_chars follows; a null text stays null;
 * pieces: a null text is encoded as empty.

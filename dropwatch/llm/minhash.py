@@ -13,8 +13,10 @@ only if the shingles that come first in both, those that the leader lacks before
 the similarity (an exact prefix and position filter). So a group of thousands of near copies, close
 or loose, costs about one comparison each, and no link is lost.
 
+Links are between classes, never between doc_ids, as texts that differ may share one or have none.
 A null or wordless text has the empty set and is linked with nothing. A null doc_id is below all
-others (its component is null). Rows that share a doc_id are one node: they share a component.
+others (its component is null). Rows that share a doc_id share a component, but only texts that are
+linked replace each other: of them the one with the least doc_id, then the least tkey, is kept.
 Repeated rows each give a row. Other columns are ignored, an empty table gives an empty result.
 """
 
@@ -273,6 +275,17 @@ def components(links: DataFrame) -> DataFrame:
         seen = check
 
 
+def _by_doc_id(found: DataFrame) -> DataFrame:
+    """found, where all rows of a did have the least component that their texts reach."""
+    ends = found.groupBy("did").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    if not ends.where("low < high").take(1):
+        return found
+    links = found.where("did != component").select(F.col("did").alias("a"), F.col("component").alias("b"))
+    shared = components(links.distinct()).select(F.col("node").alias("did"), F.col("component").alias("least"))
+    joined = found.join(shared, "did", "left")
+    return joined.withColumn("component", F.coalesce("least", "did")).drop("least")
+
+
 def groups(docs: DataFrame, k: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs; tkey is xxhash64 of its text."""
     rows = docs.select(id_of().alias("did"), text_of().alias("text"))
@@ -282,23 +295,23 @@ def groups(docs: DataFrame, k: int = 5) -> DataFrame:
     classes = staged(
         filled.groupBy("s1", "s2").agg(
             F.min(F.struct("did", "tkey")).alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")
-        ).select("s1", "s2", F.col("least.did").alias("node"), F.col("least.tkey").alias("tkey"), "n", "bands"),
+        ).select("s1", "s2", "least", F.monotonically_increasing_id().alias("node"), "n", "bands"),
         "minhash-classes",
     )
     buckets = _buckets(classes)
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = staged(buckets.join(sizes, "bucket"), "minhash-shared")
     # A bucket's leader is the class that meets most others in all its buckets: a central one.
+    # The node numbers differ from run to run; ties are settled by what does not.
     weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    weights = weights.join(classes.select("node", F.struct("s1", "s2").alias("order")), "node")
     leaders = shared.join(weights, "node").groupBy("bucket").agg(
-        F.max(F.struct("weight", (-F.col("node")).alias("order"), "node", "n")).alias("leader")
+        F.max(F.struct("weight", "order", "node", "n")).alias("leader")
     )
     met = staged(shared.join(leaders, "bucket").select("bucket", "node", "n", "leader"), "minhash-met")
-    needed = met.select("node").distinct().join(classes.select("node", "tkey"), "node")
+    needed = met.select("node").distinct().join(classes.select("node", "least.did", "least.tkey"), "node")
     texts = staged(
-        rows.join(needed.select(F.col("node").alias("did"), "tkey"), ["did", "tkey"], "left_semi")
-        .select(F.col("did").alias("node"), "text")
-        .dropDuplicates(["node"]),
+        rows.join(needed, ["did", "tkey"]).select("node", "text").dropDuplicates(["node"]),
         "minhash-texts",
     )
     pairs = met.select(
@@ -312,13 +325,22 @@ def groups(docs: DataFrame, k: int = 5) -> DataFrame:
     rest = _unsettled(met, grouped, texts, k).join(first, ["a", "b"], "left_anti")
     more = staged(_confirmed(staged(rest, "minhash-rest"), texts, k), "minhash-more")
     grouped = components(links.unionByName(more)) if more.take(1) else grouped
-    by_class = classes.join(grouped, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
-    found = sketches.join(by_class, ["s1", "s2"], "left").withColumn("component", F.coalesce("component", "did"))
+    by_class = classes.join(grouped, "node", "left").select(
+        "s1", "s2", "least", F.coalesce("component", "node").alias("g")
+    )
+    first_of = by_class.groupBy("g").agg(F.min("least").alias("stays"))
+    by_class = by_class.join(first_of, "g").select("s1", "s2", "stays")
+    own = F.struct("did", "tkey")
+    found = sketches.join(by_class, ["s1", "s2"], "left").withColumn("stays", F.coalesce("stays", own))
+    found = found.select(
+        "did", "n", F.col("stays.did").alias("component"), (own == F.col("stays")).alias("kept"), "tkey"
+    )
+    found = _by_doc_id(staged(found, "minhash-found"))
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return found.select(
         real("did").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         real("component").alias("component_id"),
-        (F.col("did") == F.col("component")).alias("kept"),
+        "kept",
         "tkey",
     )

@@ -4,6 +4,7 @@ import brute
 import numpy as np
 import pytest
 from fixtures import docs, edited, odd_texts, prose, rows_of
+from pyspark.sql import functions as F
 
 from dropwatch.llm import minhash, simhash, tiling
 
@@ -123,3 +124,24 @@ def test_tiles_mark_the_longest_first_and_do_not_overlap():
     found = tiling.tiles([(10, 0, 0), (8, 6, 100), (6, 12, 50)], 20)
     assert sorted(found) == [(6, 12, 50), (10, 0, 0)]
     assert sum(t[0] for t in tiling.tiles([(10, 0, 0), (10, 0, 30), (12, 5, 60)], 17)) == 17
+
+
+def test_texts_that_share_a_doc_id_keep_their_own_links(spark):
+    a, b, c = prose(21, 120), prose(22, 120), prose(23, 120)
+    near = [t + " and more" for t in (a, b, c)]
+    # Two texts of one id, each with a near copy; rows of doc_id 9 join 4 and 9.
+    df = docs(spark, [a, b, *near[:2], c, near[2], prose(24, 120)], ids=[5, 5, 7, 8, 9, 4, 9])
+    found = minhash.groups(df.repartition(3), 5)
+    got = {(r.doc_id, r.tkey): (r.component_id, r.kept) for r in found.collect()}
+    key = {r.text: r.k for r in df.select("text", F.xxhash64("text").alias("k")).collect()}
+    assert got == {
+        (5, key[a]): (5, True), (5, key[b]): (5, True), (7, key[near[0]]): (5, False), (8, key[near[1]]): (5, False),
+        (9, key[c]): (4, False), (4, key[near[2]]): (4, True), (9, key[prose(24, 120)]): (4, True),
+    }
+
+
+def test_near_copies_without_a_doc_id_are_compared(spark):
+    a, b = prose(25, 120), prose(26, 120)
+    df = docs(spark, [a, a + " and more", b, b + " and more", prose(27, 120)], ids=[None, None, None, 3, None])
+    found = rows_of(minhash.groups(df, 5), "doc_id", "component_id", "kept")
+    assert found == [(3, None, False), (None, None, False), *[(None, None, True)] * 3]

@@ -64,3 +64,10 @@ def test_near_duplicates_keep_one_of_each_group(spark):
     base = prose(1, 100)
     df = docs(spark, [base, base + " more", base, prose(2, 100)], ids=[8, 3, 5, 9])
     assert rows_of(corpus_pipeline.near_duplicates(spark, df, SF), "doc_id") == [(3,), (9,)]
+
+
+def test_near_duplicates_without_a_doc_id(spark):
+    base = prose(1, 100)
+    df = docs(spark, [base, base + " more", prose(2, 100), prose(2, 100) + " more"], ids=[None, None, 7, 7])
+    found = [r.text.removesuffix(" more") for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()]
+    assert sorted(found) == sorted([base, prose(2, 100)])
