@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dropwatch.llm.common import map_batches, text_of
+from dropwatch.llm.common import id_of, map_batches, text_of, unused
 
 SEED = 5
 COVERAGE = 0.5
@@ -190,6 +190,11 @@ def _seeds(rows: DataFrame, name: str) -> DataFrame:
 
 def leaks_by_join(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The same for a benchmark of any size: seeds are joined, then the texts of the pairs."""
+    return _keyed_leaks(docs, benchmark, coverage).drop("key")
+
+
+def _keyed_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float) -> DataFrame:
+    """leaks_by_join with key, xxhash64 of the document's text: rows that share a doc_id may differ."""
     texts = docs.select(docs["doc_id"].cast("long"), text_of().alias("text"))
     texts = texts.withColumn("key", F.xxhash64("text"))
     items = benchmark.select(benchmark["item_id"].cast("long"), text_of().alias("text"))
@@ -197,26 +202,28 @@ def leaks_by_join(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     doc_seeds = _seeds(texts.dropDuplicates(["key"]), "key")
     pairs = doc_seeds.join(_seeds(items.dropDuplicates(["item"]), "item"), "seed").select("key", "item").distinct()
     item_texts = items.select("item", "item_id", F.col("text").alias("item_text"))
-    both = pairs.join(item_texts, "item").join(texts, "key").select("doc_id", "text", "item_id", "item_text")
+    both = pairs.join(item_texts, "item").join(texts, "key").select("doc_id", "text", "item_id", "item_text", "key")
 
     def run(batch):
         out = []
-        for doc_id, text, item_id, item_text in zip(*batch.columns, strict=True):
+        for doc_id, text, item_id, item_text, key in zip(*batch.columns, strict=True):
             item = Items([(item_id.as_py(), item_text.as_py())])
             for _, *found in item.leaks(text.as_py(), coverage):
-                out.append((doc_id.as_py(), item_id.as_py(), *found))
+                out.append((doc_id.as_py(), item_id.as_py(), *found, key.as_py()))
         if out:
             yield [list(c) for c in zip(*out, strict=True)]
 
-    return map_batches(both, run, SCHEMA)
+    return map_batches(both, run, SCHEMA + ", key long")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The rows of docs, all columns, without those into which an item leaks."""
     items = small_items(benchmark)
     if items is None:
-        bad = leaks_by_join(docs, benchmark, coverage).select("doc_id").distinct()
-        return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+        did, key = unused(docs, "did"), unused(docs, "key")
+        bad = _keyed_leaks(docs, benchmark, coverage).select(id_of().alias(did), F.col("key").alias(key)).distinct()
+        rows = docs.withColumns({did: id_of(), key: F.xxhash64(text_of())})
+        return rows.join(bad, [did, key], "left_anti").select(docs.columns)
     place = docs.columns.index("text")
 
     def run(batches):

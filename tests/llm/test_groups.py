@@ -120,6 +120,16 @@ def test_a_large_benchmark_is_joined(spark, monkeypatch):
     assert [r.doc_id for r in tiling.drop_leaks(df, bench).collect()] == [0]
 
 
+def test_a_large_benchmark_judges_rows_by_their_own_text(spark, monkeypatch):
+    item = prose(7, 40)
+    texts = [item, prose(8, 90), item, prose(9, 90), None]
+    df, bench = docs(spark, texts, ids=[None, None, 3, 3, 3], clash=True), items(spark, [item])
+    small = rows_of(tiling.drop_leaks(df, bench), *df.columns)
+    monkeypatch.setattr(tiling, "SMALL", 1)
+    large = tiling.drop_leaks(df, bench)
+    assert rows_of(large, *df.columns) == small and len(small) == 3 and large.columns == df.columns
+
+
 def test_tiles_mark_the_longest_first_and_do_not_overlap():
     found = tiling.tiles([(10, 0, 0), (8, 6, 100), (6, 12, 50)], 20)
     assert sorted(found) == [(6, 12, 50), (10, 0, 0)]
