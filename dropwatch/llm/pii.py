@@ -5,7 +5,7 @@ the words around them are lexical patterns (the word before with the word after,
 before, the word before). Other words with digits are candidates and have patterns alike. Spark
 scores the graph of patterns and instances in rounds: a pattern by the mean score of its instances
 (smoothed), an instance by the chance that not all of its trusted patterns are wrong; seeds stay at
-1. A candidate is an identifier (kind ``id``) if its instance and one of its own patterns score
+1, until no score changes. A candidate is an identifier (kind ``id``) if its instance and one of its own patterns score
 enough. Base spans are never changed.
 
 Places count code points, ends are exclusive. A null text is empty; a null doc_id gives a row.
@@ -27,7 +27,7 @@ from dropwatch.llm.common import id_of, map_batches, text_of, unused
 from dropwatch.session import staged
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+PLACES = 9  # decimals of a score whose change counts
 TRUSTED_PATTERN = 0.8
 TRUSTED_INSTANCE = 0.8
 LEAST_INSTANCES = 3.0  # smoothing: a pattern with few instances scores little
@@ -163,7 +163,8 @@ def scored(mentions: DataFrame) -> DataFrame:
     )
     seeds = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
     instances = staged(seeds.select("instance", "seed", F.col("seed").alias("score")), "pii-instances")
-    for k in range(ROUNDS):
+    before, k = None, 0
+    while True:  # scores never fall and are at most 1, so this ends
         by_pattern = edges.join(instances, "instance").groupBy("pattern").agg(
             F.avg("score").alias("mean"), F.count("*").alias("n")
         )
@@ -180,6 +181,10 @@ def scored(mentions: DataFrame) -> DataFrame:
             ),
             f"pii-instances-{k}",
         )
+        total = instances.agg(F.sum(F.round("score", PLACES).cast(f"decimal(38,{PLACES})"))).first()[0]
+        if total == before:
+            break
+        before, k = total, k + 1
     known = instances.where(F.col("score") >= TRUSTED_INSTANCE).select("instance", "score")
     return edges.join(trusted, "pattern").join(known, "instance").select("pattern", "instance", "score")
 

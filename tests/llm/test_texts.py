@@ -70,6 +70,19 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert pii.masked(df).columns == df.columns and pii.find(docs(spark, [])).count() == 0
 
 
+def test_scores_spread_until_none_changes(spark):
+    # Identifiers of each level are known only by contexts they share with those of the level before.
+    known, texts = [f"u{n}@m.example.com" for n in range(12)], []
+    for level in range(5):
+        new = [f"ZK{level}{n:02d}-77" for n in range(12)]
+        for part in range(6):
+            tag = "abcde"[level] * 3 + "pqrstu"[part]
+            texts.append(" ".join(f"reach{tag} via{tag} {x} end{tag}" for x in known + new[2 * part : 2 * part + 2]))
+        known = new
+    for r in pii.find(docs(spark, texts)).collect():
+        assert r.spans.count("id:") == (2 if r.doc_id < 6 else 14), r.doc_id
+
+
 def test_personal_data_keeps_repeated_and_null_rows(spark):
     df = docs(spark, ["a@b.c", "a@b.c", "1.2.3.4", "d@e.f"], ids=[1, 1, 1, None])
     assert rows_of(pii.find(df), "doc_id", "spans") == [(1, "email:0:5"), (1, "email:0:5"), (1, "ip:0:7"), (None, "email:0:5")]
