@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 SPACES = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -134,3 +135,60 @@ def archive_rows(pages: list[tuple[int, str | None]]) -> list[tuple]:
         leader = largest[raw]
         out.append((page, len(raw), digest, "response" if page == leader else "revisit", None if page == leader else leader))
     return out
+
+
+def terms(text: str | None) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", ascii_lower(text or ""))
+
+
+def ranked(docs: list[tuple[int, str | None]], items: list[tuple[int, str | None]], k: int = 10) -> list[tuple]:
+    """item_id, rank, doc_id, score; every document is scored for every item."""
+    bags = [(d, terms(t)) for d, t in docs]
+    bags = [(d, Counter(words), len(words)) for d, words in bags if words]
+    n_docs, n_words = len(bags), sum(n for _, _, n in bags)
+    df = Counter(t for _, counts, _ in bags for t in counts)
+    out = []
+    for item, text in items:
+        scores = []
+        for doc, counts, n in bags:
+            m, score = 25 + 75 * n * n_docs // n_words, 0
+            for t in terms(text):
+                if t in counts:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += w * (1_000_000_000 * counts[t] // (1000 * counts[t] + 8 * m))
+            scores.append((-score, doc))
+        best = [x for x in sorted(scores) if x[0] < 0][:k]
+        out += [(item, rank, doc, -score) for rank, (score, doc) in enumerate(best, 1)]
+    return out
+
+
+def resampled(docs, target, orders=1, buckets=10000, seed=2024, least=20, percent=10) -> list[tuple]:
+    """doc_id, n_features, weight, score, rank."""
+
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(text or ""))
+
+    def hashed(text):
+        w = words(text)
+        runs = [" ".join(w[i : i + n]) for n in range(1, orders + 1) for i in range(len(w) - n + 1)]
+        return [zlib.crc32(r.encode()) % buckets for r in runs]
+
+    corpus, wanted = Counter(), Counter()
+    for _, t in docs:
+        corpus.update(hashed(t))
+    for _, t in target:
+        wanted.update(hashed(t))
+    s_all, t_all = corpus.total(), wanted.total()
+
+    def gain(b):
+        return math.floor(1000 * math.log((wanted[b] + 1) * (s_all + buckets) / ((corpus[b] + 1) * (t_all + buckets))))
+
+    rows = []
+    for d, t in docs:
+        found, h = hashed(t), int(sha256(f"{seed}:{d}")[:8], 16)
+        weight = sum(map(gain, found))
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append((d, len(found), weight, score, len(words(t)) >= least))
+    able = sorted((-r[3], r[0]) for r in rows if r[4])
+    place = {d: k for k, (_, d) in enumerate(able[: len(able) * percent // 100], 1)}
+    return [(*r[:4], place.get(r[0])) for r in rows]
