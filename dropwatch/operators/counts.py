@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropwatch.config import COUNT_COLS, ID_COLS, LEVEL_COLS
@@ -25,16 +25,14 @@ def _distinct_counts() -> list[Column]:
     return [F.count_distinct(c).alias(n) for c, n in zip(ID_COLS, COUNT_COLS)]
 
 
-def daily_counts_all_levels(clicks: DataFrame, ids: Sequence[str] = ID_COLS) -> DataFrame:
-    """daily_counts at all four nested levels, stacked, with the level number. Only the
-    identifiers asked for are counted.
-
-    Distinct counts do not add up over the groups of a finer level, and counting each level by
-    itself multiplies the rows by levels x identifiers before the shuffle. Here every row becomes
-    one row per identifier, and these are deduplicated level by level, the finest first: each step
-    combines before its shuffle, groups by all keys it has, so no single key is hot, and reads the
-    smaller table of the step before. A missing identifier counts nothing and goes at once, but for
-    the first, whose rows also count the clicks.
+def identifiers(
+    clicks: DataFrame, ids: Sequence[str] = ID_COLS, scope: Sequence[str] = ()
+) -> DataFrame:
+    """Each identifier value once per finest group and day (and scope), with its number of rows n.
+
+    A missing identifier counts nothing and goes at once, but for the first kind, whose rows also
+    count the clicks. Tables of this kind can be merged: distinct counts of their union are those
+    of all rows together.
     """
     first, *others = [
         F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value"))
@@ -42,34 +40,69 @@ def daily_counts_all_levels(clicks: DataFrame, ids: Sequence[str] = ID_COLS) ->
     ]
     known = F.filter(F.array(*others), lambda x: x["value"].isNotNull()) if others else None
     pairs = F.array(first) if known is None else F.concat(F.array(first), known)
-    seen = clicks.select(*LEVEL_COLS, "date", F.explode(pairs).alias("id"))
-    seen = seen.select(*LEVEL_COLS, "date", "id.kind", "id.value", F.lit(1).alias("n"))
-    result = None
-    for level in range(len(LEVEL_COLS), 0, -1):
-        keys = LEVEL_COLS[:level]
-        seen = seen.groupBy(*keys, "date", "kind", "value").agg(F.sum("n").alias("n"))
-        counted = _counted(seen, keys, ids)
-        result = counted if result is None else counted.unionByName(result)
-    return result
-
-
-def _counted(seen: DataFrame, keys: Sequence[str], ids: Sequence[str]) -> DataFrame:
-    """One level's clicks and distinct counts from its deduplicated identifiers."""
-    total = F.sum(F.when(F.col("kind") == 0, F.col("n"))).cast("long").alias("clicks")
-    distinct = [
-        F.count_if((F.col("kind") == kind) & F.col("value").isNotNull()).alias(f"count_{c}")
-        for kind, c in enumerate(ids)
+    keys = [*scope, *LEVEL_COLS, "date"]
+    seen = clicks.select(*keys, F.explode(pairs).alias("id"))
+    return seen.groupBy(*keys, "id.kind", "id.value").agg(F.count("*").alias("n"))
+
+
+def counts_of(
+    seen: DataFrame, ids: Sequence[str] = ID_COLS, scope: Sequence[str] = ()
+) -> DataFrame:
+    """Clicks and distinct identifiers at all four levels, stacked, from the table identifiers.
+
+    Distinct counts do not add up over the groups of a finer level, but the places where a value
+    comes first do: of a country's rows of a value and day, in the order of their groups, the first
+    one counts for the country, the first of each website for that website, and so on down; every
+    one counts for its own zone. So one sort tells each row the coarsest level it counts for, rows
+    are added up per zone and that level, and the small result is handed to all four levels.
+
+    A value of a country and day has one row per group at most, and these are read one by one.
+    """
+    day = [*scope, "date"]
+    value = Window.partitionBy(*scope, "country", "date", "kind", "value").orderBy(*LEVEL_COLS[1:])
+    # The coarsest level at which the row before is of another group.
+    level = F.lit(len(LEVEL_COLS))
+    for depth in range(len(LEVEL_COLS) - 1, 1, -1):
+        column = LEVEL_COLS[depth - 1]
+        level = F.when(F.col(column).eqNullSafe(F.lag(column).over(value)), level).otherwise(depth)
+    level = F.when(F.row_number().over(value) == 1, 1).otherwise(level)
+    known = F.col("value").isNotNull()
+    per_zone = seen.select("*", level.alias("since")).groupBy(*day, *LEVEL_COLS, "since").agg(
+        F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("clicks"),
+        *[
+            F.count_if((F.col("kind") == kind) & known).alias(f"count_{c}")
+            for kind, c in enumerate(ids)
+        ],
+    )
+    levels = F.explode(F.array(*[F.lit(n) for n in range(1, len(LEVEL_COLS) + 1)]))
+    handed = per_zone.select("*", levels.alias("level"))
+    shown = [
+        F.when(F.col("level") >= depth, F.col(c)).alias(c)
+        for depth, c in enumerate(LEVEL_COLS, start=1)
     ]
-    coarser = [F.lit(None).cast("string").alias(c) for c in LEVEL_COLS[len(keys) :]]
-    counted = seen.groupBy(*keys, "date").agg(total, *distinct)
-    return counted.select(
-        F.lit(len(keys)).alias("level"),
-        *keys,
-        *coarser,
-        "date",
-        "clicks",
-        *[f"count_{c}" for c in ids],
+    totals = handed.select("*", *[c.alias(f"shown_{n}") for c, n in zip(shown, LEVEL_COLS)])
+    grouped = totals.groupBy(*scope, "level", *[f"shown_{n}" for n in LEVEL_COLS], "date").agg(
+        F.sum("clicks").cast("long").alias("clicks"),
+        *[
+            F.sum(F.when(F.col("since") <= F.col("level"), F.col(f"count_{c}")).otherwise(0))
+            .cast("long")
+            .alias(f"count_{c}")
+            for c in ids
+        ],
     )
+    return grouped.withColumnsRenamed({f"shown_{n}": n for n in LEVEL_COLS})
+
+
+def daily_counts_all_levels(
+    clicks: DataFrame, ids: Sequence[str] = ID_COLS, scope: Sequence[str] = ()
+) -> DataFrame:
+    """daily_counts at all four nested levels, stacked, with the level number. Only the
+    identifiers asked for are counted; scope are columns to count apart.
+
+    Every row becomes one row per identifier, which is combined before the only shuffle of that
+    size; the deduplicated rows are sorted once more for all levels together.
+    """
+    return counts_of(identifiers(clicks, ids, scope), ids, scope)
 
 
 def daily_clicks_all_levels(clicks: DataFrame) -> DataFrame:

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropwatch.config import CLICK_LIST, HISTORY_DAYS, Thresholds
 from dropwatch.functions.calendar import shift_date
 from dropwatch.functions.measures import has_fallen, is_used
 
+BROADCAST_GROUPS = 100_000  # of a level, each of four short names at most
+
 
 def with_usage(
     rows: DataFrame, usage: DataFrame, keys: Sequence[str], null_safe: bool, how: str = "left"
@@ -26,24 +28,36 @@ def with_usage(
     return rows.join(renamed, same, how).drop(*[f"usage_{k}" for k in keys])
 
 
-def fallen_groups(
-    baseline: DataFrame, keys: Sequence[str], run_date: str, thresholds: Thresholds
-) -> DataFrame:
-    """Groups whose clicks fell on the run date, whatever their usage: few of all."""
-    hit = (F.col("date") == run_date) & has_fallen(thresholds)
-    return baseline.filter(hit).select(*keys)
-
-
 def of_groups(clicks: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Click rows that belong to one of the groups, at one level or (with a column level among the
-    keys) at the group's own level. Planned before any count, so that counts see these rows only."""
-    renamed = groups.withColumnsRenamed({k: f"group_{k}" for k in keys})
+    keys) at any group's own level; groups are distinct. Planned before any count, so that counts see
+    these rows only.
+
+    Rows meet the groups of a level by all columns of that level. Groups are counted first, so a
+    caller stages them: a level without any has no join, up to BROADCAST_GROUPS are broadcast, and
+    more are joined by whole groups, where adaptive execution splits a large one.
+    """
+    if "level" not in keys:
+        renamed = groups.withColumnsRenamed({k: f"group_{k}" for k in keys})
+        return clicks.join(renamed, _same(keys), "left_semi")
+    columns, marked, wanted = [k for k in keys if k != "level"], clicks, F.lit(False)
+    sizes = {r["level"]: r["count"] for r in groups.groupBy("level").count().collect()}  # one per level
+    for depth, size in sorted(sizes.items()):
+        prefix, mark = columns[:depth], f"in_level_{depth}"
+        at_level = groups.filter(F.col("level") == depth).select(
+            *[F.col(k).alias(f"group_{k}") for k in prefix], F.lit(True).alias(mark)
+        )
+        at_level = F.broadcast(at_level) if size <= BROADCAST_GROUPS else at_level
+        marked = marked.join(at_level, _same(prefix), "left").drop(*[f"group_{k}" for k in prefix])
+        wanted = wanted | F.col(mark).isNotNull()
+    return marked.filter(wanted).select(*clicks.columns)
+
+
+def _same(keys: Sequence[str]) -> Column:
     same = F.lit(True)
-    for depth, k in enumerate((k for k in keys if k != "level"), start=1):
-        equal = F.col(k).eqNullSafe(F.col(f"group_{k}"))
-        # Every level has the first key; finer ones do not count for a coarser group.
-        same = same & (equal | (F.col("group_level") < depth) if "level" in keys and depth > 1 else equal)
-    return clicks.join(renamed, same, "left_semi")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"group_{k}"))
+    return same
 
 
 def alert_keys(
@@ -61,26 +75,33 @@ def alert_keys(
     )
 
 
-def recent_rows(
-    baseline: DataFrame,
-    usage: DataFrame,
-    keys: Sequence[str],
-    run_date: str,
-    thresholds: Thresholds,
-    null_safe: bool,
+def fallen_history(
+    baseline: DataFrame, keys: Sequence[str], run_date: str, thresholds: Thresholds
 ) -> DataFrame:
-    """Clicks of the alerting groups from seven days before the run date up to it.
+    """Clicks of the groups that have fallen on the run date, whatever their usage (few of all),
+    from seven days before it up to it.
 
     The run date's row marks its whole series through a window over the group, whose rows the
     baseline has brought together already, in place of a join of the table with itself. A
-    series has at most one row per day of the lookback. Only the few groups that have fallen
-    then meet the usage reference, which is the same for all days of a group.
+    series has at most one row per day of the lookback.
     """
     first = (date.fromisoformat(run_date) - timedelta(days=HISTORY_DAYS)).isoformat()
     hit = (F.col("date") == run_date) & has_fallen(thresholds)
     marked = baseline.withColumn("fallen", F.max(hit).over(Window.partitionBy(*keys)))
     recent = marked.filter(F.col("fallen") & F.col("date").between(first, run_date))
-    judged = with_usage(recent.select(*keys, "date", "clicks"), usage, keys, null_safe, "inner")
+    return recent.select(*keys, "date", "clicks")
+
+
+def of_used_groups(
+    history: DataFrame,
+    usage: DataFrame,
+    keys: Sequence[str],
+    thresholds: Thresholds,
+    null_safe: bool,
+) -> DataFrame:
+    """The history rows of groups whose usage is large enough. The reference is the same for all
+    days of a group."""
+    judged = with_usage(history, usage, keys, null_safe, "inner")
     return judged.filter(is_used(thresholds)).select(*keys, "date", "clicks")
 
 

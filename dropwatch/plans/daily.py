@@ -26,9 +26,9 @@ from dropwatch.operators.history import (
     alert_keys,
     click_list,
     click_totals,
-    fallen_groups,
+    fallen_history,
     of_groups,
-    recent_rows,
+    of_used_groups,
     with_usage,
 )
 from dropwatch.operators.ranking import with_ranking
@@ -113,9 +113,10 @@ def daily_alert_keys(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSE
 def alert_rows(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSERVED):
     """History rows of the groups that drop on the run date at one level, in no order."""
     rows = daily_baseline(traffic, keys, run_date, mode, counts=())
-    fallen = fallen_groups(rows, keys, run_date, thresholds)
-    usage = usage_reference(of_groups(traffic, fallen, keys), keys, run_date[:7])
-    return recent_rows(rows, usage, keys, run_date, thresholds, null_safe=mode == CALENDAR)
+    history = staged(fallen_history(rows, keys, run_date, thresholds), "fallen")
+    year = of_groups(traffic, history.select(*keys).distinct(), keys)
+    usage = usage_reference(year, keys, run_date[:7])
+    return of_used_groups(history, usage, keys, thresholds, null_safe=mode == CALENDAR)
 
 
 def daily_alerts(traffic, keys, run_date, thresholds=Thresholds(), mode=OBSERVED):
@@ -145,12 +146,13 @@ def alerts_all_levels(
         daily = daily.filter(keys_present(STACKED_KEYS))
     else:
         daily = densify(daily, STACKED_KEYS, run_date)
-    # Columns below the level are NULL on both sides, so the join has to be null-safe.
     rows = baseline(daily, STACKED_KEYS)
+    history = staged(fallen_history(rows, STACKED_KEYS, run_date, thresholds), "fallen")
     if usage is None:
-        fallen = fallen_groups(rows, STACKED_KEYS, run_date, thresholds)
-        year = of_groups(traffic, fallen, STACKED_KEYS)
+        groups = history.select(*STACKED_KEYS).distinct()
+        year = of_groups(traffic, groups, STACKED_KEYS)
         usage = usage_reference_all_levels(year, run_date[:7], ALERT_IDS)
-    history = recent_rows(rows, usage, STACKED_KEYS, run_date, thresholds, null_safe=True)
-    return click_totals(history, STACKED_KEYS, run_date)
+    # Columns below the level are NULL on both sides, so the join has to be null-safe.
+    used = of_used_groups(history, usage, STACKED_KEYS, thresholds, null_safe=True)
+    return click_totals(used, STACKED_KEYS, run_date)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropwatch.config import COUNT_COLS, ID_COLS, STACKED_KEYS, USAGE_MONTHS
@@ -49,33 +49,44 @@ def usage_backfill(
     keys: Sequence[str],
     run_months: DataFrame,
     months: int = USAGE_MONTHS,
+    month: Column | None = None,
+    more: DataFrame | None = None,
 ) -> DataFrame:
     """References for many run months in one job.
 
-    Distinct counts hold per day, so each day's counts are computed once. They are gathered per
-    group and month (31 days at most), and only these rows are handed to the twelve run months
-    after them, where the medians are taken. run_months has one row per month of the calendar,
-    which bounds the broadcast.
+    Distinct counts hold per day, so each day's counts are computed once. Of every group and month
+    only the histogram of each count's daily values is kept (31 entries at most, few where counts
+    are small), and its entries are handed to the twelve run months after them. There the lower
+    median is the least value that half the days do not exceed: a running sum over the entries in
+    the order of their values, with no list of days anywhere.
+
+    run_months has one row per month of the calendar, which bounds the broadcast. A day belongs to
+    the month of its date, or to that of the expression month; more has days whose run_month is
+    known already.
     """
     columns = [c for c in COUNT_COLS if c in daily.columns]
-    by_month = daily.groupBy(*keys, month_of("date").alias("month")).agg(
-        F.collect_list(F.struct(*columns)).alias("days")
+    entries = F.explode(
+        F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in enumerate(columns)])
     )
+    month = month_of("date") if month is None else month
+    by_month = daily.select(*keys, month.alias("month"), entries.alias("entry"))
+    by_month = by_month.groupBy(*keys, "month", "entry.kind", "entry.value").agg(F.count("*").alias("days"))
     first, last = shift_month("month", 1), shift_month("month", months)
-    served = by_month.select(
-        *keys, "days", F.explode(months_between(first, last)).alias("run_month")
-    )
-    wanted = F.broadcast(run_months.select("run_month"))
-    year = (
-        served.join(wanted, "run_month", "left_semi")
-        .groupBy("run_month", *keys)
-        .agg(F.flatten(F.collect_list("days")).alias("days"))
-    )
-    return year.select("run_month", *keys, *[_lower_median(c) for c in columns])
-
-
-def _lower_median(column: str) -> Column:
-    """Lower median of a field of the array days, which is never empty."""
-    ordered = F.sort_array(F.transform("days", lambda day: day[column]))
-    middle = F.ceil(F.size("days") / 2).cast("int")
-    return F.element_at(ordered, middle).alias(f"median_{column}")
+    served = by_month.withColumn("run_month", F.explode(months_between(first, last)))
+    served = served.join(F.broadcast(run_months.select("run_month")), "run_month", "left_semi")
+    served = served.select("run_month", *keys, "kind", "value", "days")
+    if more is not None:
+        days = more.select("run_month", *keys, entries.alias("entry"))
+        served = served.unionByName(
+            days.select("run_month", *keys, "entry.*", F.lit(1).cast("long").alias("days"))
+        )
+    group = Window.partitionBy("run_month", *keys, "kind")
+    # Entries of equal value have equal sums: the frame of an ordered window ends behind them.
+    reached = F.sum("days").over(group.orderBy("value")) * 2 >= F.sum("days").over(group)
+    medians = [
+        F.min(F.when((F.col("kind") == k) & F.col("reached"), F.col("value"))).alias(f"median_{c}")
+        for k, c in enumerate(columns)
+    ]
+    # Dealt by group, which serves the window and the aggregation.
+    dealt = served.repartition("run_month", *keys).withColumn("reached", reached)
+    return dealt.groupBy("run_month", *keys).agg(*medians)

@@ -1,12 +1,15 @@
 """What the plans of the queries must show."""
 
+import re
+
 import pytest
 from helpers import plan_of
 
 from dropwatch import queries
 from dropwatch.config import LEVELS, Thresholds
+from dropwatch.operators import history
 from dropwatch.plans import daily, hourly
-from dropwatch.plans.usage import ALERT_IDS
+from dropwatch.plans.usage import usage_reference_all_levels
 from dropwatch.sources import fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -28,13 +31,39 @@ def test_only_fallen_groups_are_counted(spark):
     one = plan_of(daily.alert_rows(traffic, LEVELS["website"], fixtures.RUN_DATE, ANY))
     # Children follow their parents: rows are semi-joined before the distinct counts expand them.
     assert 0 < one.index("Expand") < one.index("LeftSemi")
-    stacked = plan_of(daily.alerts_all_levels(traffic, fixtures.RUN_DATE, ANY))
-    assert stacked.index("Generate explode") < stacked.index("LeftSemi") and len(ALERT_IDS) == 2
 
 
-def test_levels_are_counted_without_a_window(spark):
-    plan = plan_of(queries.registered()["multi_granularity_clicks"](spark, SF))
-    assert "Window" not in plan
+def test_all_levels_explode_a_row_once(spark):
+    traffic = fixtures.traffic(spark, SF)
+    usage = plan_of(usage_reference_all_levels(traffic, fixtures.RUN_MONTH))
+    stacked = plan_of(daily.alerts_all_levels(traffic, fixtures.RUN_DATE, ANY, daily.CALENDAR))
+    for plan in (usage, stacked):
+        # One explode of the identifiers; the other hands the sums of a zone to its levels.
+        assert len(re.findall(r"Generate explode\(.*value", plan)) == 1
+        assert len(re.findall("Generate explode", plan)) == 2
+        assert len(re.findall(r"Window \[", plan)) == 1
+
+
+def test_a_day_without_fallen_groups_scans_no_year(spark):
+    traffic = fixtures.traffic(spark, SF)
+    plan = plan_of(daily.alerts_all_levels(traffic, fixtures.RUN_DATE, Thresholds(10**9, 0, 0, 0.5)))
+    assert "parquet" not in plan
+
+
+def test_no_rows_are_dealt_by_country_alone(spark):
+    traffic = fixtures.traffic(spark, SF)
+    plan = plan_of(daily.alerts_all_levels(traffic, fixtures.RUN_DATE, ANY, daily.CALENDAR))
+    assert plan.count("BroadcastHashJoin") >= 4
+    for keys in re.findall(r"hashpartitioning\(([^\n]*), \d+\)", plan):
+        assert not re.fullmatch(r"(coalesce\()?country#\d+(, ?\), isnull\(country#\d+\))?", keys)
+
+
+def test_rows_of_many_fallen_groups_are_dealt_by_whole_groups(spark, monkeypatch):
+    traffic = fixtures.traffic(spark, SF)
+    few = daily.alerts_all_levels(traffic, fixtures.RUN_DATE, ANY, daily.CALENDAR).collect()
+    monkeypatch.setattr(history, "BROADCAST_GROUPS", 4)
+    many = daily.alerts_all_levels(traffic, fixtures.RUN_DATE, ANY, daily.CALENDAR)
+    assert sorted(map(str, many.collect())) == sorted(map(str, few)) and few
 
 
 @pytest.mark.parametrize("name", ["alert_history_ordered", "alert_history", "hourly_low_traffic"])
