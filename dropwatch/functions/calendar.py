@@ -23,6 +23,12 @@ def month_of(date: str | Column) -> Column:
     return F.substring(_col(date), 1, 7)
 
 
+def month_number(date: str | Column) -> Column:
+    """Months since year 0 of an ISO date or month."""
+    year, month = (F.substring(_col(date), *at).cast("int") for at in ((1, 4), (6, 2)))
+    return year * 12 + month - 1
+
+
 def shift_month(month: str | Column, months: int) -> Column:
     """yyyy-MM month `months` later (earlier if negative)."""
     first = F.to_date(F.concat(_col(month), F.lit("-01")))

@@ -16,12 +16,20 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropwatch.config import CLICK_LIST, HOURLY_THRESHOLD, LEVELS, STACKED_KEYS, Thresholds
-from dropwatch.functions.calendar import dates_between, hours_between, month_of, months_between
+from dropwatch.config import (
+    CLICK_LIST,
+    COUNT_COLS,
+    HOURLY_THRESHOLD,
+    LEVEL_COLS,
+    LEVELS,
+    STACKED_KEYS,
+    Thresholds,
+)
+from dropwatch.functions.calendar import dates_between, hours_between, months_between
 from dropwatch.operators.counts import daily_clicks_all_levels, daily_counts_all_levels
 from dropwatch.plans import daily, digest, hourly
 from dropwatch.plans.backfill import daily_alerts_backfill, hourly_backfill
-from dropwatch.plans.usage import medians_of_days, usage_backfill, usage_reference_all_levels
+from dropwatch.plans.usage import usage_of_clicks, usage_of_folders
 from dropwatch.session import configure, staged
 from dropwatch.sources import readers, sinks
 
@@ -36,18 +44,24 @@ def run_usage(
 ) -> None:
     """Compute all levels' usage references in one pass and store each.
 
-    With a counts folder, daily counts are kept there: the next run month scans the clicks of one
-    new month instead of twelve. Delete the folder when stored clicks change.
+    The year is what the twelve month directories before the run month hold, late rows of other days
+    included. Rows whose date is no date are left out and reported. With a counts folder, daily
+    counts are kept there: the next run month scans the clicks of one new month instead of twelve.
     """
     months = readers.months_before(run_month)
+    clicks = _folder_clicks(spark, source, months, partitioned)
     if counts is None:
-        traffic = readers.read_click_layer(spark, source, months, partitioned)
-        medians = usage_reference_all_levels(traffic, run_month)
+        rejected, medians = readers.undated(clicks), usage_of_clicks(readers.dated(clicks))
     else:
-        keep_counts(spark, source, counts, months, partitioned)
-        stored = readers.read_click_layer(spark, f"{counts}/days", months, partitioned=True)
-        medians = medians_of_days(readers.in_trailing_year(stored, run_month), STACKED_KEYS)
+        stored, rejected = keep_counts(spark, source, counts, months, partitioned)
+        runs = spark.createDataFrame([(run_month,)], "run_month string")
+        medians = usage_of_folders(stored, readers.dated(clicks), runs).drop("run_month")
     _save_usage(staged(medians, "usage"), output, run_month)
+    sinks.save_rejected(rejected, output, "usage", run_month)
+
+
+def _folder_clicks(spark, source, months, partitioned):
+    return readers.clicks_only(readers.month_folders(spark, source, months, partitioned))
 
 
 def _save_usage(usage: DataFrame, output: str, run_month: str) -> None:
@@ -57,34 +71,36 @@ def _save_usage(usage: DataFrame, output: str, run_month: str) -> None:
         sinks.save_usage(rows, output, run_month, level)
 
 
+KEPT = ", ".join(
+    ["level int", *[f"{c} string" for c in (*LEVEL_COLS, "date")], *[f"{c} long" for c in ("clicks", *COUNT_COLS)]]
+)
+
+
 def keep_counts(
     spark: SparkSession, source: str, counts: str, months: readers.Months, partitioned: bool
-) -> None:
-    """Bring the stored daily counts up to date with the source months.
+) -> tuple[DataFrame, DataFrame]:
+    """The daily counts of each source month's directory by itself, and its rows without a date,
+    both brought up to date.
 
-    A month's folder can hold rows of other days, and distinct counts of parts do not add up. So
-    every month that a new folder's rows are dated in is counted again, from all folders known to
-    hold rows of it, and replaced as a whole. The manifest, written last, lists the folders that
-    are done; a run that breaks off before leaves none behind.
+    They are stored by directory and by the state of its files, so a directory that has changed is
+    counted again and one that the run does not look at takes no part. The manifest, written last,
+    lists what is done; a run that breaks off before leaves nothing that is read.
     """
     manifest = f"{counts}/manifest"
-    touched = readers.finished_months(spark, manifest)
-    new = [m for m in months if m not in touched]
-    if not new:
-        return
-    for source_month in new:
-        clicks = readers.clicks_only(readers.read_click_layer(spark, source, [source_month], partitioned))
-        found = clicks.select(month_of("date").alias("month")).distinct().collect()  # one per month
-        touched[source_month] = {r.month for r in found if r.month}
-    again = sorted(set().union(*(touched[m] for m in new)))
-    if again:
-        holders = sorted(m for m, dated in touched.items() if dated & set(again))
-        clicks = readers.clicks_only(readers.read_click_layer(spark, source, holders, partitioned))
-        rows = daily_counts_all_levels(clicks.filter(month_of("date").isin(again)))
-        sinks.save_by_month(rows, f"{counts}/days", keep_others=True)
-    done = [(y, m, sorted(touched[y, m])) for y, m in new]
-    done = spark.createDataFrame(done, "year int, month int, touched array<string>")
-    done.coalesce(1).write.mode("append").parquet(manifest)
+    states = readers.folder_states(spark, source, months, partitioned)
+    new = set(states.items()) - readers.finished_folders(spark, manifest)
+    if new:
+        todo = [m for m in months if readers.month_label(m) in dict(new)]
+        clicks = _folder_clicks(spark, source, todo, partitioned)
+        state = F.create_map(*[F.lit(x) for pair in sorted(new) for x in pair])[F.col("folder")]
+        rows = daily_counts_all_levels(readers.dated(clicks), scope=("folder",))
+        rows = rows.withColumns({"date": F.col("date").cast("string"), "state": state})
+        sinks.save_folders(rows, f"{counts}/days")
+        sinks.save_folders(readers.undated(clicks).withColumn("state", state), f"{counts}/rejected")
+        done = spark.createDataFrame(sorted(new), "folder string, state string")
+        done.coalesce(1).write.mode("append").parquet(manifest)
+    days = readers.kept(spark, f"{counts}/days", states, KEPT)
+    return days, readers.kept(spark, f"{counts}/rejected", states, "date string, rows long")
 
 
 def stored_usage(spark: SparkSession, output: str, run_month: str) -> DataFrame:
@@ -108,11 +124,13 @@ def run_daily(
 ) -> DataFrame:
     """Store the alerts of all levels and their message; return the digest."""
     months = readers.months_of_window(run_date)
-    traffic = readers.read_click_layer(spark, source, months, partitioned)
+    folders = readers.month_folders(spark, source, months, partitioned)
+    traffic = readers.dated(folders).drop("folder")
     usage = stored_usage(spark, output, run_date[:7])
     alerts = staged(daily.alerts_all_levels(traffic, run_date, thresholds, mode, usage), "alerts")
     sinks.save_alerts(alerts, output, run_date)
     _save_daily_message(alerts, thresholds, output, run_date)
+    sinks.save_rejected(readers.undated(folders), output, "daily", run_date)
     return digest.digest(alerts)
 
 
@@ -166,18 +184,30 @@ def _save_hour(alerts: DataFrame, message: DataFrame, output: str, hour: str) ->
 
 
 def run_usage_many(
-    spark: SparkSession, source: str, output: str, first: str, last: str, partitioned: bool = False
+    spark: SparkSession,
+    source: str,
+    output: str,
+    first: str,
+    last: str,
+    partitioned: bool = False,
+    counts: str | None = None,
 ) -> None:
-    """Store what run_usage stores for each run month from first to last, from one pass."""
+    """Store what run_usage stores for each run month from first to last, from one pass; rows
+    without a date are reported once, for the first run month."""
     run_months = spark.range(1).select(
         F.explode(months_between(F.lit(first), F.lit(last))).alias("run_month")
     )
     months = sorted({m for r in run_months.collect() for m in readers.months_before(r.run_month)})
-    traffic = readers.read_click_layer(spark, source, months, partitioned)
-    daily_rows = staged(daily_counts_all_levels(readers.clicks_only(traffic)), "daily")
-    usage = staged(usage_backfill(daily_rows, STACKED_KEYS, run_months), "usage")
+    clicks = _folder_clicks(spark, source, months, partitioned)
+    if counts is None:
+        rows = daily_counts_all_levels(readers.dated(clicks), scope=("folder",))
+        stored, rejected = staged(rows, "daily"), readers.undated(clicks)
+    else:
+        stored, rejected = keep_counts(spark, source, counts, months, partitioned)
+    usage = staged(usage_of_folders(stored, readers.dated(clicks), run_months), "usage")
     for row in run_months.collect():
         _save_usage(usage.filter(F.col("run_month") == row.run_month), output, row.run_month)
+    sinks.save_rejected(rejected, output, "usage", first)
 
 
 def run_daily_many(
@@ -191,14 +221,15 @@ def run_daily_many(
     partitioned: bool = False,
 ) -> None:
     """Store what run_daily stores for each run date from first to last, from one pass over their
-    lookbacks and the usage references stored before."""
+    lookbacks and the usage references stored before; rows without a date are reported once, for
+    the first run date."""
     runs = spark.range(1).select(
         F.explode(dates_between(F.lit(first), F.lit(last))).alias("run_date")
     )
     dates = [r.run_date for r in runs.collect()]
     months = sorted({m for d in dates for m in readers.months_of_window(d)})
-    traffic = readers.read_click_layer(spark, source, months, partitioned)
-    clicks = readers.known_country(readers.clicks_only(traffic))
+    folders = readers.month_folders(spark, source, months, partitioned)
+    clicks = readers.known_country(readers.clicks_only(readers.dated(folders)))
     series = staged(daily_clicks_all_levels(clicks), "daily")
     usage = readers.combine(
         [
@@ -214,6 +245,7 @@ def run_daily_many(
         of_run = alerts.filter(F.col("run_date") == run_date)
         sinks.save_alerts(of_run, output, run_date)
         _save_daily_message(of_run, thresholds, output, run_date)
+    sinks.save_rejected(readers.undated(folders), output, "daily", first)
 
 
 def run_hourly_many(
@@ -223,18 +255,19 @@ def run_hourly_many(
     first: str,
     last: str,
     threshold: int = HOURLY_THRESHOLD,
+    mode: str = "directory",
 ) -> None:
-    """Store what run_hourly (directory mode) stores for each hour from first to last."""
+    """Store what run_hourly stores for each hour from first to last. Which hours have data is read
+    from the listing of their directories."""
     runs = spark.range(1).select(
         F.explode(hours_between(F.lit(first), F.lit(last))).alias("run_hour")
     )
-    days = readers.days_with_hours(spark, source, readers.previous_hour(first), last)
-    if days:
-        log = readers.read_hours(spark, f"{days[0]}/_logs/*.tsv", [f"{d}/p*" for d in days])
-    else:
-        log = spark.createDataFrame([], "ct_flume_host string, ct_datetime string, dir_hour string")
+    days = readers.days_pattern(source, readers.previous_hour(first), last)
+    hours = staged(readers.stored_hours(spark, f"{days}/p*"), "hours")
+    log = readers.read_hours(spark, f"{days}/_logs/*.tsv", f"{days}/p*")
     traffic = staged(hourly.hourly_traffic(log), "hourly")
-    report = staged(hourly_backfill(traffic, runs, threshold), "report")
+    event_time = mode == "event_time"
+    report = staged(hourly_backfill(traffic, runs, threshold, hours, event_time), "report")
     alerts = report.filter(F.col("report") == "low traffic").select(*hourly.ALERT_COLUMNS)
     gaps = report.filter(F.col("report") == "missing hour").select("run_hour", "missing_hour")
     messages = digest.hourly_message(alerts, threshold).unionByName(digest.missing_message(gaps))
@@ -277,7 +310,7 @@ def main(argv: list[str] | None = None) -> None:
     span = (spark, args.input, args.output, args.first, args.last)
     if args.job == "usage":
         if many:
-            run_usage_many(*span, args.partitioned)
+            run_usage_many(*span, args.partitioned, args.counts)
         else:
             run_usage(
                 spark, args.input, args.output, args.run_month, args.partitioned, args.counts
@@ -291,7 +324,7 @@ def main(argv: list[str] | None = None) -> None:
                 spark, args.input, args.output, args.run_date, limits, args.mode, args.partitioned
             )
     elif many:
-        run_hourly_many(*span, args.threshold)
+        run_hourly_many(*span, args.threshold, args.mode)
     else:
         run_hourly(
             spark, args.input, args.output, args.run_date, args.run_hour, args.threshold, args.mode

@@ -34,15 +34,11 @@ def identifiers(
     count the clicks. Tables of this kind can be merged: distinct counts of their union are those
     of all rows together.
     """
-    first, *others = [
-        F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value"))
-        for kind, c in enumerate(ids)
-    ]
-    known = F.filter(F.array(*others), lambda x: x["value"].isNotNull()) if others else None
-    pairs = F.array(first) if known is None else F.concat(F.array(first), known)
     keys = [*scope, *LEVEL_COLS, "date"]
-    seen = clicks.select(*keys, F.explode(pairs).alias("id"))
-    return seen.groupBy(*keys, "id.kind", "id.value").agg(F.count("*").alias("n"))
+    pairs = [x for kind, c in enumerate(ids) for x in (F.lit(kind), F.col(c).cast("string"))]
+    seen = clicks.select(*keys, F.stack(F.lit(len(ids)), *pairs).alias("kind", "value"))
+    seen = seen.filter((F.col("kind") == 0) | F.col("value").isNotNull())
+    return seen.groupBy(*keys, "kind", "value").agg(F.count("*").alias("n"))
 
 
 def counts_of(

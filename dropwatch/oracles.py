@@ -252,6 +252,29 @@ def _usage_of_months(counts) -> str:
     )
 
 
+FOLDERED = """foldered AS (
+  SELECT *, CASE WHEN CAST(substr(date, 9, 2) AS INTEGER) <= 2 AND master_user_group_id % 5 = 0
+    THEN strftime(CAST(date AS DATE) - INTERVAL 1 MONTH, '%Y-%m') ELSE substr(date, 1, 7) END AS folder
+  FROM traffic WHERE clicks = 1), looked AS (
+  SELECT run_month, foldered.* FROM foldered JOIN (
+    SELECT strftime(m, '%Y-%m') AS run_month FROM (
+      SELECT CAST(min(folder) || '-01' AS DATE) + INTERVAL 1 MONTH AS a,
+        CAST(max(folder) || '-01' AS DATE) + INTERVAL 1 MONTH AS b FROM foldered),
+      generate_series(a, b, INTERVAL 1 MONTH) s(m)) r
+  ON folder < r.run_month AND folder >= strftime(CAST(r.run_month || '-01' AS DATE) - INTERVAL 12 MONTH, '%Y-%m'))"""
+
+
+def _usage_of_folders() -> str:
+    """Every run month counts all rows of its twelve folders anew."""
+    levels = " UNION ALL ".join(
+        f"SELECT run_month, {depth} AS level, {_padded(keys)}, date, {_list(COUNT_COLS)} "
+        f"FROM ({_counts(('run_month', *keys), 'looked')})"
+        for depth, keys in enumerate(LEVELS.values(), start=1)
+    )
+    keys = _list(("run_month", "level", *LEVEL_COLS))
+    return f"SELECT {keys}, {_medians(COUNT_COLS)} FROM ({levels}) GROUP BY {keys}"
+
+
 def _daily_backfill(mode) -> str:
     """Each run date is judged on its own window: runs x groups x dates are spelled out."""
     keys = ("level", *LEVEL_COLS)
@@ -482,6 +505,7 @@ def oracles() -> dict[str, str]:
         "usage_reference_long": _with(TRAFFIC_LONG) + _usage(zone, "1999-01-01", "2000-01-01"),
         "usage_reference_backfill": _with(TRAFFIC_LONG, f"daily AS ({_all_counts()})")
         + _usage_of_months(COUNT_COLS),
+        "usage_reference_folders": _with(TRAFFIC_LONG, FOLDERED) + _usage_of_folders(),
         "clicks_with_usage": daily
         + _round(
             [*website, "date", "clicks", "estimate", "ratio", *MEDIAN_COLS],
@@ -514,6 +538,7 @@ def oracles() -> dict[str, str]:
         "hourly_low_traffic": _with(HOURLY_LOG, HOURS, COMPARE, LOW) + "SELECT * FROM low",
         "hourly_low_traffic_event_time": _with(HOURLY_LOG, HOURS, COUNTED) + EVENT_TIME_LOW,
         "missing_hours": _with(HOURLY_LOG, MISSING) + "SELECT * FROM missing",
+        "missing_hours_listed": _with(HOURLY_LOG, MISSING) + "SELECT * FROM missing",
         "missing_hour_message": _with(HOURLY_LOG, MISSING)
         + "SELECT run_hour, 1 AS part, 'Hourly traffic alert ' || run_hour || ': missing hour' "
         "AS subject, 'No data for hour ' || missing_hour AS body FROM missing",

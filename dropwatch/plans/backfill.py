@@ -29,7 +29,12 @@ from dropwatch.functions.measures import (
 from dropwatch.operators.counts import keys_present
 from dropwatch.operators.history import with_usage
 from dropwatch.plans.daily import CALENDAR, OBSERVED
-from dropwatch.plans.hourly import low_traffic, missing_hours
+from dropwatch.plans.hourly import (
+    low_traffic,
+    low_traffic_event_time_runs,
+    missing_hours,
+    observed_hours,
+)
 
 
 def observed_runs(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -119,10 +124,19 @@ def daily_alerts_backfill(
 
 
 def hourly_backfill(
-    traffic: DataFrame, run_hours: DataFrame, threshold: int = HOURLY_THRESHOLD
+    traffic: DataFrame,
+    run_hours: DataFrame,
+    threshold: int = HOURLY_THRESHOLD,
+    hours: DataFrame | None = None,
+    event_time: bool = False,
 ) -> DataFrame:
     """What the hourly run of every hour asked for reports: a missing hour, or servers with low
-    traffic (directory mode). Expects hourly_traffic, staged if it is costly."""
-    low = low_traffic(traffic, threshold, run_hours).withColumn("report", F.lit("low traffic"))
-    gaps = missing_hours(traffic, run_hours).withColumn("report", F.lit("missing hour"))
-    return low.unionByName(gaps, allowMissingColumns=True)
+    traffic (directory mode, or by event time within the run's two directories). Expects
+    hourly_traffic by directory, staged if it is costly; hours are those that have data."""
+    hours = observed_hours(traffic) if hours is None else hours
+    if event_time:
+        low = low_traffic_event_time_runs(traffic, hours, run_hours, threshold)
+    else:
+        low = low_traffic(traffic, threshold, run_hours, hours)
+    gaps = missing_hours(hours, run_hours).withColumn("report", F.lit("missing hour"))
+    return low.withColumn("report", F.lit("low traffic")).unionByName(gaps, allowMissingColumns=True)

@@ -32,10 +32,10 @@ def observed_hours(log: DataFrame, column: str = "dir_hour") -> DataFrame:
     return log.select(F.col(column).alias("hour")).distinct()
 
 
-def missing_hours(log: DataFrame, run_hours: DataFrame) -> DataFrame:
-    """Of the run hours asked for, those whose own hour, or else the hour before, has no data; only
-    the run hour itself is reported if both are missing."""
-    hours = observed_hours(log).withColumn("there", F.lit(True))
+def missing_hours(hours: DataFrame, run_hours: DataFrame) -> DataFrame:
+    """Of the run hours asked for, those whose own hour, or else the hour before, is not among the
+    hours that have data; only the run hour itself is reported if both are missing."""
+    hours = hours.select("hour", F.lit(True).alias("there"))
     before = hours.select(shift_hour("hour", 1).alias("hour"), F.col("there").alias("there_before"))
     asked = run_hours.select("run_hour", F.col("run_hour").alias("hour"))
     known = asked.join(hours, "hour", "left").join(before, "hour", "left")
@@ -86,9 +86,13 @@ def hourly_compare(traffic: DataFrame, run_hours: DataFrame | None = None) -> Da
 
 
 def low_traffic(
-    traffic: DataFrame, threshold: int = HOURLY_THRESHOLD, run_hours: DataFrame | None = None
+    traffic: DataFrame,
+    threshold: int = HOURLY_THRESHOLD,
+    run_hours: DataFrame | None = None,
+    hours: DataFrame | None = None,
 ) -> DataFrame:
-    """Servers nearly silent in a run hour that were not in the hour before (directory mode).
+    """Servers nearly silent in a run hour that were not in the hour before (directory mode). hours
+    are those that have data, if not just those with records.
 
     The hour before must reach the threshold, so it is filtered first and leads a left join.
     """
@@ -97,7 +101,27 @@ def low_traffic(
         current, ["run_hour", "server"], "left"
     )
     low = _filled(joined).filter(F.col("traffic") < threshold)
-    return _by_run(low, observed_hours(traffic), run_hours)
+    return _by_run(low, observed_hours(traffic) if hours is None else hours, run_hours)
+
+
+def low_traffic_event_time_runs(
+    traffic: DataFrame, hours: DataFrame, run_hours: DataFrame, threshold: int = HOURLY_THRESHOLD
+) -> DataFrame:
+    """low_traffic_event_time of many runs, each of which looks at two directories only: its own
+    hour's and the one before. traffic is by directory, and each of its rows serves two runs."""
+    run = F.when(F.col("shift") == 0, F.col("dir_hour")).otherwise(shift_hour("dir_hour", 1))
+    looked = traffic.withColumn("shift", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("run_hour", run)
+    now = F.when(F.col("date_hour") == F.col("run_hour"), F.col("traffic")).otherwise(0)
+    before = F.when(F.col("date_hour") == shift_hour("run_hour", -1), F.col("traffic")).otherwise(0)
+    looked = looked.select("run_hour", "server", now.alias("now"), before.alias("before"))
+    paired = looked.groupBy("run_hour", "server").agg(
+        F.sum("now").cast("long").alias("traffic"), F.sum("before").cast("long").alias("traffic_prev1h")
+    )
+    seen = looked.groupBy("run_hour").agg(F.max("now").alias("now")).filter("now > 0")
+    low = paired.filter((F.col("traffic") < threshold) & (F.col("traffic_prev1h") >= threshold))
+    low = low.join(seen.select("run_hour"), "run_hour", "left_semi")
+    named = low.withColumn("date_hour", F.col("run_hour")).select(*ALERT_COLUMNS)
+    return _by_run(named, hours, run_hours)
 
 
 def low_traffic_event_time(

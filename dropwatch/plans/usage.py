@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropwatch.config import COUNT_COLS, ID_COLS, STACKED_KEYS, USAGE_MONTHS
-from dropwatch.functions.calendar import month_of, months_between, shift_month
+from dropwatch.functions.calendar import month_number, months_between, shift_month
 from dropwatch.operators.counts import daily_counts_all_levels, daily_usage
+from dropwatch.session import staged
 from dropwatch.sources.readers import clicks_only, in_trailing_year
 
 # Fixed value: far more than the days of a year, so that the median is exact.
 MEDIAN_ACCURACY = 10000
 
+MOST_LITERALS = 400  # days that are named in a filter; more are joined
+
 # The identifiers whose medians the alert thresholds use.
 ALERT_IDS = ("ip_address_user_agent", "domain_name")
 
@@ -40,46 +43,81 @@ def usage_reference_all_levels(
     traffic: DataFrame, run_month: str, ids: Sequence[str] = ID_COLS
 ) -> DataFrame:
     """All levels' references for a run month in one pass over the year."""
-    clicks = clicks_only(in_trailing_year(traffic, run_month))
+    return usage_of_clicks(clicks_only(in_trailing_year(traffic, run_month)), ids)
+
+
+def usage_of_clicks(clicks: DataFrame, ids: Sequence[str] = ID_COLS) -> DataFrame:
+    """All levels' references from all click rows given, whatever days they carry."""
     return medians_of_days(daily_counts_all_levels(clicks, ids), STACKED_KEYS)
 
 
+def usage_of_folders(
+    counts: DataFrame, clicks: DataFrame, run_months: DataFrame, months: int = USAGE_MONTHS
+) -> DataFrame:
+    """All levels' references of run months, each from all rows of the month folders before it.
+
+    counts holds daily counts of each folder by itself. A folder can hold late rows of days that
+    other folders hold too, and distinct counts of parts do not add up: only the clicks of such days
+    are counted again, for each run month from the folders it looks at. Days are the calendar's, so
+    broadcasts of them are bounded; clicks has the folder of each row.
+    """
+    top = counts.filter(F.col("level") == 1).groupBy("date").agg(F.count_distinct("folder").alias("n"))
+    shared = staged(top.filter("n > 1").select("date"), "shared-days")
+    days = [r.date for r in shared.limit(MOST_LITERALS + 1).collect()]
+    own = counts.join(F.broadcast(shared), "date", "left_anti")
+    again = clicks.join(F.broadcast(shared), "date", "left_semi")
+    if len(days) <= MOST_LITERALS:
+        again = clicks.filter(F.col("date").isin(days))  # reaches the scan
+    looking = months_between(shift_month("folder", 1), shift_month("folder", months))
+    again = again.withColumn("run_month", F.explode(looking))
+    again = again.join(F.broadcast(run_months.select("run_month")), "run_month", "left_semi")
+    recounted = daily_counts_all_levels(again, scope=("run_month",)) if days else None
+    return usage_backfill(own, STACKED_KEYS, run_months, months, "folder", recounted)
+
+
 def usage_backfill(
     daily: DataFrame,
     keys: Sequence[str],
     run_months: DataFrame,
     months: int = USAGE_MONTHS,
-    month: Column | None = None,
+    month: str | None = None,
     more: DataFrame | None = None,
 ) -> DataFrame:
     """References for many run months in one job.
 
     Distinct counts hold per day, so each day's counts are computed once. Of every group and month
     only the histogram of each count's daily values is kept (31 entries at most, few where counts
-    are small), and its entries are handed to the twelve run months after them. There the lower
-    median is the least value that half the days do not exceed: a running sum over the entries in
-    the order of their values, with no list of days anywhere.
+    are small). A value's months are merged in a sliding year, which gives every run month its
+    histogram; there the lower median is the least value that half the days do not exceed, a running
+    sum over the entries in the order of their values. No list of days is made anywhere.
 
     run_months has one row per month of the calendar, which bounds the broadcast. A day belongs to
-    the month of its date, or to that of the expression month; more has days whose run_month is
-    known already.
+    the month of its date, or of the column month; more has days whose run_month is known already.
     """
     columns = [c for c in COUNT_COLS if c in daily.columns]
-    entries = F.explode(
-        F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in enumerate(columns)])
+    entry = ("kind", "value")
+    pairs = [x for k, c in enumerate(columns) for x in (F.lit(k), F.col(c))]
+    entries = F.stack(F.lit(len(columns)), *pairs).alias(*entry)
+    at = month_number("date" if month is None else month).alias("at")
+    by_month = daily.select(*keys, at, entries).groupBy(*keys, *entry, "at").agg(F.count("*").alias("days"))
+    # A month's days come in at the run month after it and go out a year later; in between, the sum
+    # of what has come and gone is what the run months look at.
+    change = F.explode(
+        F.array(
+            F.struct((F.col("at") + 1).alias("at"), F.col("days")),
+            F.struct((F.col("at") + 1 + months).alias("at"), (-F.col("days")).alias("days")),
+        )
     )
-    month = month_of("date") if month is None else month
-    by_month = daily.select(*keys, month.alias("month"), entries.alias("entry"))
-    by_month = by_month.groupBy(*keys, "month", "entry.kind", "entry.value").agg(F.count("*").alias("days"))
-    first, last = shift_month("month", 1), shift_month("month", months)
-    served = by_month.withColumn("run_month", F.explode(months_between(first, last)))
-    served = served.join(F.broadcast(run_months.select("run_month")), "run_month", "left_semi")
-    served = served.select("run_month", *keys, "kind", "value", "days")
+    changes = by_month.select(*keys, *entry, change.alias("change")).select(*keys, *entry, "change.*")
+    time = Window.partitionBy(*keys, *entry).orderBy("at")
+    running = changes.withColumns({"days": F.sum("days").over(time), "until": F.lead("at").over(time) - 1})
+    running = running.filter("days > 0 AND until >= at")
+    served = running.withColumn("at", F.explode(F.sequence("at", "until"))).select("at", *keys, *entry, "days")
+    wanted = run_months.select("run_month", month_number("run_month").alias("at"))
+    served = served.join(F.broadcast(wanted), "at").select("run_month", *keys, *entry, "days")
     if more is not None:
-        days = more.select("run_month", *keys, entries.alias("entry"))
-        served = served.unionByName(
-            days.select("run_month", *keys, "entry.*", F.lit(1).cast("long").alias("days"))
-        )
+        days = more.select("run_month", *keys, entries)
+        served = served.unionByName(days.withColumn("days", F.lit(1).cast("long")))
     group = Window.partitionBy("run_month", *keys, "kind")
     # Entries of equal value have equal sums: the frame of an ordered window ends behind them.
     reached = F.sum("days").over(group.orderBy("value")) * 2 >= F.sum("days").over(group)

@@ -15,7 +15,7 @@ from dropwatch.operators.history import ordered_history
 from dropwatch.operators.ranking import with_daily_share
 from dropwatch.plans import backfill, daily, digest, hourly
 from dropwatch.plans.daily import CALENDAR, OBSERVED
-from dropwatch.plans.usage import ALERT_IDS, usage_backfill, usage_reference
+from dropwatch.plans.usage import ALERT_IDS, usage_backfill, usage_of_folders, usage_reference
 from dropwatch.session import fresh_path, staged
 from dropwatch.sources import fixtures, readers, sinks
 
@@ -242,8 +242,8 @@ def usage_reference_backfill(spark, sf_dir):
     return usage_backfill(rows, STACKED_KEYS, _next_months(rows))
 
 
-def _next_months(rows):
-    spine = calendar.month_spine(rows)
+def _next_months(rows, column="date"):
+    spine = calendar.month_spine(rows, column)
     return spine.select(calendar.shift_month("month", 1).alias("run_month"))
 
 
@@ -374,16 +374,32 @@ def hourly_low_traffic_event_time(spark, sf_dir):
     return hourly.in_order(hourly.low_traffic_event_time(traffic, HOURLY_MIN))
 
 
+def _missing(hours):
+    """hours is used three times, and staged for that."""
+    asked = fixtures.run_hours(hours.withColumnRenamed("hour", "dir_hour"))
+    return hourly.missing_hours(hours, asked)
+
+
+def _observed_hours(spark, sf_dir):
+    return staged(hourly.observed_hours(fixtures.hourly_log(spark, sf_dir)), "hours")
+
+
 @query
 def missing_hours(spark, sf_dir):
-    log = fixtures.hourly_log(spark, sf_dir)
-    return hourly.missing_hours(log, fixtures.run_hours(log))
+    return _missing(_observed_hours(spark, sf_dir))
+
+
+@query
+def missing_hours_listed(spark, sf_dir):
+    """The same from the listing of stored logs, none of which is opened."""
+    base = fresh_path(spark, "hourly-log")
+    sinks.save_hours(fixtures.hourly_log(spark, sf_dir), base)
+    return _missing(staged(readers.stored_hours(spark, f"{base}/year=*/*/*/*/p*"), "hours"))
 
 
 @query
 def missing_hour_message(spark, sf_dir):
-    log = fixtures.hourly_log(spark, sf_dir)
-    return digest.missing_message(hourly.missing_hours(log, fixtures.run_hours(log)))
+    return digest.missing_message(_missing(_observed_hours(spark, sf_dir)))
 
 
 @query
@@ -400,10 +416,24 @@ def hourly_low_traffic_backfill(spark, sf_dir):
 
 @query
 def hourly_backfill_stored(spark, sf_dir):
-    """The same from logs stored in one directory per hour."""
-    base = fresh_path(spark, "hourly-log")
-    sinks.save_hours(fixtures.hourly_log(spark, sf_dir), base)
-    stored = readers.read_hours(spark, f"{base}/_logs/*", f"{base}/*/*/*/*/p*")
+    """The same from logs stored in one directory per hour, of two versions: the columns of odd
+    hours stand in another order."""
+    base, log = fresh_path(spark, "hourly-log"), fixtures.hourly_log(spark, sf_dir)
+    odd = F.substring("dir_hour", 12, 2).cast("int") % 2 == 1
+    sinks.save_hours(log.filter(~odd), base)
+    sinks.save_hours(log.filter(odd).select("ct_datetime", "ct_flume_host", "dir_hour"), base, "append")
+    stored = readers.read_hours(spark, f"{base}/_logs/*/*/*/*/p*", f"{base}/year=*/*/*/*/p*")
     traffic = staged(hourly.hourly_traffic(stored), "hourly")
     return backfill.hourly_backfill(traffic, fixtures.run_hours(traffic), HOURLY_MIN)
 
+
+@query
+def usage_reference_folders(spark, sf_dir):
+    """References of all run months from stored month folders and the counts kept of each. Rows of
+    a month's first two days lie in the folder of the month before as well, at every fifth key."""
+    base, clicks = fresh_path(spark, "folders"), fixtures.folder_traffic(spark, sf_dir)
+    sinks.save_by_folder(clicks, f"{base}/clicks")
+    months = [(y, m) for y in range(1994, 2002) for m in range(1, 13)]
+    rows = readers.clicks_only(readers.month_folders(spark, f"{base}/clicks", months, partitioned=True))
+    stored = staged(counts.daily_counts_all_levels(rows, scope=("folder",)), "daily")
+    return usage_of_folders(stored, rows, _next_months(stored, "folder"))

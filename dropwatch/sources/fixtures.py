@@ -140,6 +140,15 @@ def traffic_long(
     )
 
 
+def folder_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """traffic_long by the folder (yyyy-MM) a row lies in: the one of its date, but that rows of a
+    month's first two days lie in the month before where the company's number ends in 0 or 5."""
+    rows = traffic_long(spark, sf_dir)
+    early = (F.substring("date", 9, 2).cast("int") <= 2) & (F.col("master_user_group_id") % 5 == 0)
+    before = F.substring(F.add_months(F.to_date("date"), -1).cast("string"), 1, 7)
+    return rows.withColumn("folder", F.when(early, before).otherwise(F.substring("date", 1, 7)))
+
+
 def hourly_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log of five servers; the records of an hour's last minutes arrive in the next."""
     events = table(spark, sf_dir, "events")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dropwatch.config import LEVEL_COLS, LEVELS, LOOKBACK_DAYS, SENTINEL_COUNTRY, USAGE_MONTHS
@@ -44,11 +44,14 @@ def read_click_layer(
     """The click layer's month directories."""
     if not partitioned:
         return spark.read.parquet(*[f"{base}/{y}/{m:02d}" for y, m in months])
-    clicks = spark.read.parquet(base)
+    return _of_months(spark.read.parquet(base), months).drop("year", "month")
+
+
+def _of_months(clicks: DataFrame, months: Months) -> DataFrame:
     wanted = F.lit(False)
     for year, month in months:
         wanted = wanted | ((F.col("year") == year) & (F.col("month") == month))
-    return clicks.filter(wanted).drop("year", "month")
+    return clicks.filter(wanted)
 
 
 def path_exists(spark: SparkSession, glob: str) -> bool:
@@ -62,13 +65,73 @@ def path_exists(spark: SparkSession, glob: str) -> bool:
     return True
 
 
-def finished_months(spark: SparkSession, manifest: str) -> dict[tuple[int, int], set[str]]:
-    """Source months whose rows are all in the stored counts, with the months (yyyy-MM) those rows
-    are dated in: one small row each."""
+def month_folders(spark: SparkSession, base: str, months: Months, partitioned: bool = False) -> DataFrame:
+    """The click layer's month directories, each row with its folder (yyyy-MM)."""
+    if partitioned:
+        folder = F.concat_ws("-", F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"))
+        clicks = _of_months(spark.read.parquet(base), months)
+        return clicks.withColumn("folder", folder).drop("year", "month")
+    clicks = spark.read.parquet(*[f"{base}/{y}/{m:02d}" for y, m in months])
+    return clicks.withColumn("folder", _folder_of(F.col("_metadata.file_path")))
+
+
+def month_label(month: tuple[int, int]) -> str:
+    return f"{month[0]:04d}-{month[1]:02d}"
+
+
+def _folder_of(path: Column) -> Column:
+    parts = r"/(?:year=)?(\d{4})/(?:month=)?(\d{1,2})/[^/]*$"
+    return F.concat_ws("-", F.regexp_extract(path, parts, 1), F.lpad(F.regexp_extract(path, parts, 2), 2, "0"))
+
+
+def folder_states(spark: SparkSession, base: str, months: Months, partitioned: bool = False) -> dict[str, str]:
+    """What the files of each month directory look like: their number, size and latest change, from
+    the listing alone. A directory that is written again has another state."""
+    paths = [base] if partitioned else [f"{base}/{y}/{m:02d}" for y, m in months]
+    files = listed(spark, paths).withColumn("folder", _folder_of(F.col("path")))
+    state = F.concat_ws("-", F.count("*"), F.sum("length"), F.unix_millis(F.max("modificationTime")))
+    wanted = files.filter(F.col("folder").isin([month_label(m) for m in months]))
+    return {r.folder: r.state for r in wanted.groupBy("folder").agg(state.alias("state")).collect()}
+
+
+def listed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, length and modificationTime of the data files under the paths or patterns. Only the
+    listing is used; no file is opened."""
+    return spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+
+
+def finished_folders(spark: SparkSession, manifest: str) -> set[tuple[str, str]]:
+    """(folder, state) of the month directories that are in the stored counts: one small row each."""
     if not path_exists(spark, manifest):
-        return {}
-    rows = spark.read.parquet(manifest).collect()
-    return {(r.year, r.month): set(r.touched) for r in rows}
+        return set()
+    return {(r.folder, r.state) for r in spark.read.parquet(manifest).distinct().collect()}
+
+
+def kept(spark: SparkSession, path: str, states: dict[str, str], schema: str) -> DataFrame:
+    """The rows stored for these folders in these states. The schema is given, because folders are
+    months, which would be read as dates, and because there may be no rows yet."""
+    wanted = F.lit(False)
+    for folder, state in sorted(states.items()):
+        wanted = wanted | ((F.col("folder") == folder) & (F.col("state") == state))
+    stored = spark.read.schema(f"{schema}, folder string, state string").parquet(path)
+    return stored.filter(wanted).drop("state")
+
+
+def is_dated() -> Column:
+    """The date is a day of the calendar, written yyyy-MM-dd."""
+    shown = F.col("date").cast("string")
+    sound = shown.rlike(r"^\d{4}-\d{2}-\d{2}$") & shown.try_cast("date").isNotNull()
+    return F.coalesce(sound, F.lit(False))
+
+
+def dated(clicks: DataFrame) -> DataFrame:
+    return clicks.filter(is_dated())
+
+
+def undated(clicks: DataFrame) -> DataFrame:
+    """How many rows of each folder have a date that is none, by what stands there."""
+    bad = clicks.filter(~is_dated()).groupBy("folder", F.col("date").cast("string").alias("date"))
+    return bad.agg(F.count("*").alias("rows"))
 
 
 def in_lookback(clicks: DataFrame, run_date: str, days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -128,23 +191,62 @@ def read_hour(spark: SparkSession, base: str, hour: str) -> DataFrame | None:
     return read_tsv(spark, header, f"{folder}/p*").withColumn("dir_hour", F.lit(hour))
 
 
-def days_with_hours(spark: SparkSession, base: str, first_hour: str, last_hour: str) -> list[str]:
-    """Patterns of the hour directories of the days in between that have any."""
+def days_pattern(base: str, first_hour: str, last_hour: str) -> str:
+    """Pattern of the hour directories of the days in between."""
     first, last = date.fromisoformat(first_hour[:10]), date.fromisoformat(last_hour[:10])
     days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
-    globs = [f"{base}/{d.isoformat().replace('-', '/')}/*" for d in days]
-    return [g for g in globs if path_exists(spark, f"{g}/p*")]
-
-
-def read_hours(spark: SparkSession, header_path: str, data_path: str | list[str]) -> DataFrame:
-    """Many hours' logs in one scan; dir_hour comes from the directory names, which are bare
-    numbers or year=, month=, day= and hour=."""
-    log = read_tsv(spark, header_path, data_path)
-    parts = r"/(?:year=)?(\d{4})/(?:month=)?(\d{2})/(?:day=)?(\d{2})/(?:hour=)?(\d{2})/[^/]*$"
-    path = F.col("_metadata.file_path")
-    piece = [F.regexp_extract(path, parts, i) for i in range(1, 5)]
-    hour = F.concat(F.concat_ws("-", *piece[:3]), F.lit(" "), piece[3], F.lit(":00"))
-    return log.withColumn("dir_hour", hour)
+    return f"{base}/{{{','.join(d.isoformat().replace('-', '/') for d in days)}}}/*"
+
+
+# Directories are bare numbers or year=, month=, day= and hour=; headers may lie in _logs below.
+HOUR_PATH = r"/(?:year=)?(\d{4})/(?:month=)?(\d{2})/(?:day=)?(\d{2})/(?:hour=)?(\d{2})/(?:_logs/)?[^/]*$"
+
+
+def _hour_of(path: Column) -> Column:
+    piece = [F.regexp_extract(path, HOUR_PATH, i) for i in range(1, 5)]
+    return F.concat(F.concat_ws("-", *piece[:3]), F.lit(" "), piece[3], F.lit(":00"))
+
+
+def stored_hours(spark: SparkSession, data_path: str) -> DataFrame:
+    """hour and folder of the hour directories that hold data files, from the listing alone. A
+    directory without data files is not there."""
+    if not path_exists(spark, data_path):
+        return spark.createDataFrame([], "hour string, folder string")
+    files = listed(spark, [data_path])
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return files.groupBy(_hour_of(F.col("path")).alias("hour")).agg(F.min(folder).alias("folder"))
+
+
+def hour_headers(spark: SparkSession, header_path: str) -> dict[str, tuple[str, str]]:
+    """For each hour the path and the first line of its header file (the first one by name)."""
+    if not path_exists(spark, header_path):
+        return {}
+    lines = spark.read.text(header_path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at")
+    )
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    by_hour = first.groupBy(_hour_of(F.col("path")).alias("hour")).agg(
+        F.min(F.struct("path", "line")).alias("header")
+    )
+    return {r.hour: (r.header.path, r.header.line) for r in by_hour.collect()}  # one per hour
+
+
+def read_hours(spark: SparkSession, header_path: str, data_path: str) -> DataFrame:
+    """Many hours' logs with their dir_hour, each read under its own hour's header. Hours of equal
+    headers are one scan, and columns are put together by name, so there are as many scans as
+    versions of the header. An hour with data but without a header is an error."""
+    headers, by_header = hour_headers(spark, header_path), {}
+    for hour, folder in sorted(stored_hours(spark, data_path).collect()):  # one per hour
+        if hour not in headers:
+            raise FileNotFoundError(f"hour {hour} has data but no header file")
+        path, line = headers[hour]
+        by_header.setdefault(line, (path, []))[1].append(f"{folder}/{data_path.rsplit('/', 1)[1]}")
+    result = spark.createDataFrame([], "ct_flume_host string, ct_datetime string, dir_hour string")
+    for path, folders in by_header.values():
+        log = read_tsv(spark, path, folders)
+        log = log.withColumn("dir_hour", _hour_of(F.col("_metadata.file_path")))
+        result = result.unionByName(log, allowMissingColumns=True)
+    return result
 
 
 # --- results ----------------------------------------------------------------------------

@@ -29,28 +29,42 @@ def save(df: DataFrame, path: str, file_type: str = "parquet", ordered: bool = F
         writer.format(name).save(target)
 
 
-def save_by_month(rows: DataFrame, path: str, keep_others: bool = False) -> None:
-    """Write dated rows under year=/month= directories, replacing all of them or, with
-    keep_others, only those of the months given."""
-    year, month = F.substring("date", 1, 4), F.substring("date", 6, 2)
+def save_by_month(rows: DataFrame, path: str) -> None:
+    """Write dated rows under year=/month= directories, replacing all of them."""
+    save_by_folder(rows.withColumn("folder", F.substring("date", 1, 7)), path)
+
+
+def save_by_folder(rows: DataFrame, path: str) -> None:
+    """Write rows under the year=/month= directories that their column folder (yyyy-MM) names."""
+    year, month = F.substring("folder", 1, 4), F.substring("folder", 6, 2)
+    placed = rows.withColumns({"year": year, "month": month}).drop("folder")
+    placed.hint("rebalance", "year", "month").write.mode("overwrite").partitionBy("year", "month").parquet(path)
+
+
+def save_folders(rows: DataFrame, path: str) -> None:
+    """Write rows under folder= and state= directories, replacing those they have rows of."""
     (
-        rows.withColumns({"year": year, "month": month})
-        .hint("rebalance", "year", "month")
+        rows.hint("rebalance", "folder", "state")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
-        .partitionBy("year", "month")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("folder", "state")
         .parquet(path)
     )
 
 
-def save_hours(log: DataFrame, path: str) -> None:
+HOUR_PARTS = {"year": (1, 4), "month": (6, 2), "day": (9, 2), "hour": (12, 2)}
+
+
+def save_hours(log: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a log under year=/month=/day=/hour= directories of its dir_hour, as tab-separated
-    files without header, and the header once under _logs."""
-    parts = {"year": (1, 4), "month": (6, 2), "day": (9, 2), "hour": (12, 2)}
-    placed = log.withColumns({k: F.substring("dir_hour", *at) for k, at in parts.items()})
-    placed = placed.drop("dir_hour").hint("rebalance", *parts)
-    placed.write.mode("overwrite").partitionBy(*parts).csv(path, sep="\t")
-    log.drop("dir_hour").limit(0).write.csv(f"{path}/_logs", sep="\t", header=True)
+    files without header, and each hour's header under _logs in directories alike. Hours with other
+    columns, or the same in another order, can be appended."""
+    parts = {k: F.substring("dir_hour", *at) for k, at in HOUR_PARTS.items()}
+    placed = log.withColumns(parts).drop("dir_hour").hint("rebalance", *parts)
+    placed.write.mode(mode).partitionBy(*parts).csv(path, sep="\t")
+    header = F.lit("\t".join(c for c in log.columns if c != "dir_hour")).alias("value")
+    heads = log.select("dir_hour").distinct().select(header, *[c.alias(k) for k, c in parts.items()])
+    heads.hint("rebalance").write.mode(mode).partitionBy(*parts).text(f"{path}/_logs")
 
 
 def run_label(run: str) -> str:
@@ -64,6 +78,11 @@ def save_usage(usage: DataFrame, base: str, run_month: str, level: str) -> None:
     save(usage, f"{base}/usage/{run_month.replace('-', '/')}/{level_label(level)}")
 
 
+def save_rejected(rows: DataFrame, base: str, job: str, run: str) -> None:
+    """The rows that a run left out for their dates, under base/rejected/<job>/<run>."""
+    save(rows, f"{base}/rejected/{job}/{run_label(run)}")
+
+
 def alert_dir(base: str, run: str) -> str:
     return f"{base}/alert/{run_label(run)}"
 

@@ -4,6 +4,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from helpers import click, clicks_on, days, layer, plan_of, rows_of
 from test_daily import ANY, RUN, steady
 from test_hourly import H5, H6, epoch
@@ -120,7 +121,7 @@ def test_hour_logs_take_their_columns_from_the_header_file(spark, tmp_path):
     assert rows_of(log, "ct_flume_host", "other", "dir_hour") == [("a", "x", H6), ("b", "y", H6)]
     assert readers.read_hour(spark, base, H5) is None
     store_log(base, H5, [[("c", epoch(H5), "z")]])
-    both = readers.read_hours(spark, f"{base}/2024/02/14/06/_logs/*.tsv", f"{base}/*/*/*/*/p*")
+    both = readers.read_hours(spark, f"{base}/*/*/*/*/_logs/*.tsv", f"{base}/*/*/*/*/p*")
     assert rows_of(both, "ct_flume_host", "dir_hour") == [("a", H6), ("b", H6), ("c", H5)]
 
 
@@ -161,7 +162,7 @@ def test_usage_job_counts_each_month_once(spark, tmp_path):
     assert found["2024-01", "direct"] == found["2024-01", "stored"]
     assert found["2024-02", "direct"] == found["2024-02", "stored"]
     assert len(found["2024-02", "direct"]) == 2
-    assert len(readers.finished_months(spark, f"{store}/manifest")) == 13
+    assert len(readers.finished_folders(spark, f"{store}/manifest")) == 13
 
 
 def both_ways(spark, tmp_path, source, run_month, store):
@@ -187,21 +188,69 @@ def test_late_rows_do_not_replace_a_stored_month(spark, tmp_path):
     for run_month in ("2024-02", "2024-03"):
         direct, stored = both_ways(spark, tmp_path, source, run_month, store)
         assert direct == stored
-    days_kept = spark.read.parquet(f"{store}/days").where("level = 1 AND year = 2023 AND month = 12")
-    assert days_kept.count() == 21
-    assert readers.finished_months(spark, f"{store}/manifest")[2024, 2] == set()
+    assert len(readers.finished_folders(spark, f"{store}/manifest")) == 14
+
+
+def test_kept_counts_follow_the_folders_of_the_run(spark, tmp_path):
+    source, store = str(tmp_path / "clicks"), str(tmp_path / "counts")
+    rows = [c for m in range(1, 13) for c in clicks_on("US", {f"2023-{m:02d}-05": 1})]
+    for month in range(1, 13):
+        mine = [r for r in rows if r[4].startswith(f"2023-{month:02d}")]
+        # January's folder has five more users of a day that February's folder has as well.
+        mine += [click("US", "2023-02-05", user=n) for n in range(5)] if month == 1 else []
+        layer(spark, mine).write.parquet(f"{source}/2023/{month:02d}")
+    for month in (1, 2):
+        store_plain(spark, clicks_on("US", {f"2024-{month:02d}-05": 2}), source)
+    found = {m: both_ways(spark, tmp_path, source, m, store) for m in ("2024-01", "2024-02")}
+    # The folder has left the year, and then the store.
+    Path(f"{source}/2023/01").rename(tmp_path / "expired")
+    Path(f"{source}/2023/02").rename(tmp_path / "expired too")
+    found["2024-03"] = both_ways(spark, tmp_path, source, "2024-03", store)
+    for direct, stored in found.values():
+        assert direct == stored
+    # A folder of the year that is gone ends both ways.
+    Path(f"{source}/2023/07").rename(tmp_path / "lost")
+    for counts in (None, store):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            jobs.run_usage(spark, source, str(tmp_path / "x"), "2024-03", counts=counts)
+
+
+def test_a_folder_written_again_is_counted_again(spark, tmp_path):
+    source, store = str(tmp_path / "clicks"), str(tmp_path / "counts")
+    store_plain(spark, [c for m in range(1, 13) for c in clicks_on("US", {f"2023-{m:02d}-05": 3})], source)
+    first, _ = both_ways(spark, tmp_path, source, "2024-01", store)
+    for month in range(1, 13):
+        again = clicks_on("US", {f"2023-{month:02d}-05": 1 if month < 12 else 0})
+        layer(spark, again).write.mode("overwrite").parquet(f"{source}/2023/{month:02d}")
+    direct, stored = both_ways(spark, tmp_path, source, "2024-01", store)
+    assert direct == stored != first
+
+
+def test_malformed_dates_stop_nothing_and_are_reported(spark, tmp_path):
+    source, store, bad = str(tmp_path / "clicks"), str(tmp_path / "counts"), ["unknown", "2023-02-30", "2023-2-5", "", None]
+    store_plain(spark, [c for m in range(1, 13) for c in clicks_on("US", {f"2023-{m:02d}-05": 3})], source)
+    layer(spark, [click("US", d) for d in bad * 2]).write.mode("append").parquet(f"{source}/2023/12")
+    direct, stored = both_ways(spark, tmp_path, source, "2024-01", store)
+    assert direct == stored and direct[0][0] == "US"
+    for name in ("direct", "stored"):
+        report = spark.read.parquet(f"{tmp_path}/{name}/rejected/usage/2024_01")
+        assert rows_of(report, "date", "folder", "rows") == sorted(((d, "2023-12", 2) for d in bad), key=repr)
+    jobs.run_usage_many(spark, source, str(tmp_path / "many"), "2024-01", "2024-01")
+    assert spark.read.parquet(f"{tmp_path}/many/rejected/usage/2024_01").count() == len(bad)
+    sound = readers.dated(layer(spark, [click("US", d) for d in (*bad, "2024-02-29")]))
+    assert rows_of(sound, "date") == [("2024-02-29",)]
 
 
 def test_an_unfinished_write_of_counts_is_done_again(spark, tmp_path, monkeypatch):
     source, store = str(tmp_path / "clicks"), str(tmp_path / "counts")
     store_plain(spark, [c for m in range(1, 13) for c in clicks_on("US", {f"2023-{m:02d}-05": m})], source)
-    write = sinks.save_by_month
+    write = sinks.save_folders
 
-    def breaks_off(rows, path, keep_others=False):
-        write(rows.where("date < '2023-03-01'"), path, keep_others)
+    def breaks_off(rows, path):
+        write(rows.where("date < '2023-03-01'"), path)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(sinks, "save_by_month", breaks_off)
+    monkeypatch.setattr(sinks, "save_folders", breaks_off)
     with pytest.raises(RuntimeError):
         jobs.run_usage(spark, source, str(tmp_path / "x"), "2024-01", counts=store)
     monkeypatch.undo()
@@ -243,12 +292,59 @@ def test_many_hours_equal_single_hours(spark, tmp_path):
     hours = [f"2024-02-14 {h:02d}:00" for h in range(4, 10)]
     for hour, n in ((hours[1], 5), (hours[2], 1), (hours[4], 3)):
         store_log(source, hour, [[("a", epoch(hour), "x")] * n, [("b", epoch(hour), "x")] * 3])
-    jobs.run_hourly_many(spark, source, str(tmp_path / "many"), hours[0], hours[-1], 2)
-    for hour in hours:
-        jobs.run_hourly(spark, source, str(tmp_path / "one"), hour[:10], hour[11:13], 2)
-    many, one = (stored_hours(spark, str(tmp_path / k), hours) for k in ("many", "one"))
-    assert many == one
-    assert [len(servers) for _, servers, _ in many] == [0, 0, 1, 0, 0, 0]
+    # An hour whose directory holds no data file is missing.
+    (Path(readers.hour_directory(source, hours[3])) / "_logs").mkdir(parents=True)
+    for mode in ("directory", "event_time"):
+        jobs.run_hourly_many(spark, source, str(tmp_path / "many"), hours[0], hours[-1], 2, mode)
+        for hour in hours:
+            jobs.run_hourly(spark, source, str(tmp_path / "one"), hour[:10], hour[11:13], 2, mode)
+        many, one = (stored_hours(spark, str(tmp_path / k), hours) for k in ("many", "one"))
+        assert many == one
+        assert [len(servers) for _, servers, _ in many] == [0, 0, 1, 0, 0, 0]
+
+
+def test_many_event_time_hours_equal_single_ones_with_stragglers(spark, tmp_path):
+    source = str(tmp_path / "logs")
+    hours = [f"2024-02-14 {h:02d}:00" for h in range(4, 9)]
+    for k, hour in enumerate(hours):
+        late = [("a", epoch(hours[max(0, k - 1)]), "x")] * 4 + [("b", epoch(hours[max(0, k - 2)]), "x")] * 3
+        store_log(source, hour, [late, [("a", epoch(hour), "x")] * (k % 2 * 3), [("c", epoch(hour), "x")]])
+    jobs.run_hourly_many(spark, source, str(tmp_path / "many"), hours[1], hours[-1], 3, "event_time")
+    for hour in hours[1:]:
+        jobs.run_hourly(spark, source, str(tmp_path / "one"), hour[:10], hour[11:13], 3, "event_time")
+    many, one = (stored_hours(spark, str(tmp_path / k), hours[1:]) for k in ("many", "one"))
+    assert many == one and any(servers for _, servers, _ in many)
+
+
+def test_many_hours_are_read_each_under_its_own_header(spark, tmp_path):
+    source, hours = str(tmp_path / "logs"), [H5, H6]
+    store_log(source, H5, [[("s1", epoch(H5), "x")] * 20, [("s2", epoch(H5), "x")] * 20])
+    store_log(source, H6, [[(epoch(H6), "s1")] * 20, [(epoch(H6), "s2")]])
+    header = Path(readers.hour_directory(source, H6)) / "_logs" / "header.tsv"
+    header.write_text("ct_datetime\tct_flume_host\n")
+    for mode in ("directory", "event_time"):
+        jobs.run_hourly_many(spark, source, str(tmp_path / "many"), H6, H6, 10, mode)
+        jobs.run_hourly(spark, source, str(tmp_path / "one"), H6[:10], H6[11:13], 10, mode)
+        many, one = (stored_hours(spark, str(tmp_path / k), [H6]) for k in ("many", "one"))
+        assert many == one and [s[0] for s in many[0][1]] == ["s2"]
+    header.unlink()
+    for run in (
+        lambda: jobs.run_hourly(spark, source, str(tmp_path / "x"), H6[:10], H6[11:13], 10),
+        lambda: jobs.run_hourly_many(spark, source, str(tmp_path / "x"), H6, H6, 10),
+    ):
+        with pytest.raises(FileNotFoundError, match=hours[1]):
+            run()
+
+
+def test_hours_are_listed_without_opening_a_file(spark, tmp_path):
+    source = str(tmp_path / "logs")
+    store_log(source, H5, [[("a", epoch(H5), "x")]])
+    log = Path(readers.hour_directory(source, H5)) / "part-00000"
+    log.chmod(0)
+    hours = readers.stored_hours(spark, f"{source}/*/*/*/*/p*")
+    assert rows_of(hours, "hour") == [(H5,)]
+    assert re.search(r"ReadSchema: struct<path:string>", plan_of(hours).replace("modificationTime:timestamp,", ""))
+    assert readers.stored_hours(spark, f"{source}/*/*/*/*/q*").count() == 0
 
 
 def test_many_months_and_dates_equal_single_runs(spark, tmp_path):
@@ -256,8 +352,13 @@ def test_many_months_and_dates_equal_single_runs(spark, tmp_path):
     months = clicks_on("US", {f"2023-{m:02d}-05": 1 for m in range(1, 13)})
     store_plain(spark, steady("US", 1) + steady("DE", 10) + months, source)
     many, one = str(tmp_path / "many"), str(tmp_path / "one")
-    jobs.run_usage_many(spark, source, many, "2024-01", "2024-02")
-    for run_month in ("2024-01", "2024-02"):
+    # A late row of a day that another folder has too, counted once where both are looked at.
+    late = [click("US", "2023-02-05", user=n) for n in range(3)]
+    layer(spark, late).write.mode("append").parquet(f"{source}/2023/01")
+    store = str(tmp_path / "counts")
+    for run_month, counts in (("2024-01", None), ("2024-02", None), ("2024-01", store), ("2024-02", store)):
+        if run_month == "2024-01":
+            jobs.run_usage_many(spark, source, many, "2024-01", "2024-02", counts=counts)
         jobs.run_usage(spark, source, one, run_month)
         for level in ("country", "zone"):
             a, b = (readers.read_usage(spark, x, run_month, level) for x in (many, one))
