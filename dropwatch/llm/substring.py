@@ -1,11 +1,11 @@
-"""Substring dedup of word sequences by seeds that are extended both ways.
+"""Repeated word windows: every word covered by 50 words that also start in a smaller document goes.
 
 Seeds are runs of ten words, winnowed: of the seeds in every 50 words at least one, chosen by
-content, is an anchor. Documents are joined on anchors. An anchor that several documents share is
-extended to both sides as far as windows of 50 words around it reach; where the extended texts are
-equal, all their windows match at once, and where they differ, the extension goes on word by word
-and the windows that still match are kept. Matches that touch or overlap are one maximal repeat,
-which has 50 words or more by construction.
+content, is an anchor, and documents meet on anchors (see windows.py). The dealt method extends
+each match word by word; here it is replaced by a comparison of fixed reach: all windows around an
+anchor are compared at once by the number of their whole context, and, where contexts of an anchor
+differ, window by window. Neighbouring windows that match are joined to maximal repeats, which have 50
+words or more by construction.
 
 A word is removed if a window of 50 words that covers it also starts in a document with a smaller
 doc_id; windows are judged on the input. A null text has no words; a null doc_id is below all

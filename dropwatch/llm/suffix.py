@@ -1,15 +1,12 @@
-"""Suffix-array dedup of byte strings by bucket-pointer refinement.
-
-Positions of all texts are sorted into buckets by what follows them, to a depth of 100 bytes; a
-position is a repeat if an earlier one is in its bucket. Refinement keeps it to few positions:
-
-* Initial buckets: runs of 32 bytes (q-grams), each numbered from the numbers of its two halves.
-  They are taken at sampled positions only, one of which (chosen by content) lies in every string
-  of 100 bytes. Buckets with one member are finished.
-* A bucket is refined by the bucket numbers of later offsets: the number of 64 bytes is that of the
-  q-gram at 0 and at 32, the number of 100 bytes that of 64 bytes at 0 and at 36. Numbers found in
-  one step are the pointers of the next. First, all positions near a sampled one are refined
-  together; single positions only where a bucket still holds different strings.
+"""Repeated byte strings: every byte covered by a 100-byte string that also starts earlier goes.
+
+The dealt method, bucket-pointer refinement of all suffixes, is replaced: no suffix order is made
+and no positions are sorted on the bucket identifiers of later offsets, as that shuffles every
+position of the corpus once per round. Instead (see windows.py) positions are sampled by content, one
+in every string of 100 bytes at least; the numbers of 32 bytes there are composed to those of 64 and
+100 bytes from the numbers at later offsets; and only where a bucket still holds different strings
+are its single positions compared, by two 64-bit numbers each. Runs of one context are told apart
+by one 64-bit number.
 
 Repeats are judged on the input and never cross texts. A null text is empty; a null doc_id is below
 all others. Rows that share a doc_id count as ordered by a hash of their text; identical rows of

@@ -13,8 +13,8 @@ mostly share one. The windows of one anchor form a run; runs, not windows, are s
 2. Windows. First runs whose seed has several contexts are compared window by window, again by
    range of seeds, or of windows where a seed has many contexts.
 
-Runs are (did, at) pairs; at holds the row's text tag, the first window's start, and the number of
-windows. Sorting and comparing is done in arrays, within ranges whose number grows with the input.
+A text is known by did and tag, the whole 64-bit hash of the text, so rows that share a doc_id (null
+ones too) keep apart. A run is a text and at: its first window's start and its number of windows. Sorting and comparing is done in arrays, within ranges whose number grows with the input.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ RANGE_BYTES = 4 << 20  # of runs, about, that meet in one group
 PART_BYTES = 8 << 20  # of text, about, whose runs a task holds at a time
 MANY = 16  # contexts of a seed in a batch, from which on they are spread
 MOST = 4096  # the same in a range
-START_BITS, RUN_BITS = 40, 7
+RUN_BITS = 7  # of a run's number of windows
 
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 
@@ -113,15 +113,14 @@ def runs(ids: np.ndarray, shape: Shape):
     return [np.concatenate(c) for c in zip(*out, strict=True)] if out else None
 
 
-def _pack(tag: int, start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    return (tag << (START_BITS + RUN_BITS)) | (start.astype(np.int64) << RUN_BITS) | n
+def _pack(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return (start.astype(np.int64) << RUN_BITS) | n
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """did, tag (tells texts of one doc_id apart), raw (the text's bytes) of every row."""
     text = text_of()
-    tag = F.pmod(F.xxhash64(text), F.lit(1 << 15)).cast("long")
-    return docs.select(id_of().alias("did"), tag.alias("tag"), text.cast("binary").alias("raw"))
+    return docs.select(id_of().alias("did"), F.xxhash64(text).alias("tag"), text.cast("binary").alias("raw"))
 
 
 def packed(rows: DataFrame) -> DataFrame:
@@ -142,10 +141,10 @@ def unpacked(raw: pa.Scalar) -> memoryview:
     return memoryview(zstandard.ZstdDecompressor().decompress(raw.as_buffer()))
 
 
-def firsts(keys: tuple[np.ndarray, ...], did: np.ndarray, at: np.ndarray, shape: Shape):
-    """Order by keys, then (did, at); and in that order, which rows begin an equal class and which
-    are repeats."""
-    order = np.lexsort((at, did, *reversed(keys)))
+def firsts(keys: tuple[np.ndarray, ...], places: tuple[np.ndarray, ...], shape: Shape):
+    """Order by keys, then places (did, tag, at); and in that order, which rows begin an equal class
+    and which are repeats."""
+    order = np.lexsort((*reversed(places), *reversed(keys)))
     head = np.zeros(len(order), bool)
     head[:1] = True
     for k in keys:
@@ -153,8 +152,10 @@ def firsts(keys: tuple[np.ndarray, ...], did: np.ndarray, at: np.ndarray, shape:
     if not len(order):
         return order, head, head
     first = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
-    repeat = did[order] != did[first]
-    return order, head, repeat if shape.by_document else repeat | (at[order] != at[first])
+    repeat = np.zeros(len(order), bool)
+    for place in places[: 1 if shape.by_document else None]:
+        repeat |= place[order] != place[first]
+    return order, head, repeat
 
 
 def _spread(key: np.ndarray, ranges: int) -> np.ndarray:
@@ -163,13 +164,14 @@ def _spread(key: np.ndarray, ranges: int) -> np.ndarray:
     return (((x >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
 
 
-BLOBS = "kind int, r int, a binary, b binary, did binary, at binary"
-BLOB_SCHEMA = pa.schema([("kind", pa.int32()), ("r", pa.int32()), *((n, pa.binary()) for n in ("a", "b", "did", "at"))])
+BLOBS = "kind int, r int, a binary, b binary, did binary, tag binary, at binary"
+NAMES = ("a", "b", "did", "tag", "at")
+BLOB_SCHEMA = pa.schema([("kind", pa.int32()), ("r", pa.int32()), *((n, pa.binary()) for n in NAMES)])
 
 
 def _blobs(kind: int, r: np.ndarray, columns: tuple[np.ndarray, ...], ranges: int) -> list[tuple]:
     """One row per range with the columns' values there, in the order of documents."""
-    order = np.lexsort((columns[3], columns[2], r))
+    order = np.lexsort((*columns[:1:-1], r))
     edges = np.searchsorted(r[order], np.arange(ranges + 1))
     columns = [c[order] for c in columns]
     return [
@@ -184,7 +186,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=BLOB_SCHEMA)
 
 
-def _gather(group: pa.Table, kind: int, names=("a", "b", "did", "at")) -> list[np.ndarray]:
+def _gather(group: pa.Table, kind: int, names=NAMES) -> list[np.ndarray]:
     mine = group.filter(pa.compute.equal(group.column("kind"), kind))
     return [
         np.concatenate([*(np.frombuffer(x.as_buffer(), np.int64) for x in mine.column(n)), np.zeros(0, np.int64)])
@@ -218,64 +220,65 @@ def _send(shape: Shape, ranges: int):
                 found = runs(seed_numbers(units, shape.seed), shape)
                 if found is not None:
                     seed, context, start, n = found
-                    parts.append((seed, context, np.full(len(seed), did.as_py()), _pack(tag.as_py(), start, n)))
+                    text = (np.full(len(seed), x.as_py()) for x in (did, tag))
+                    parts.append((seed, context, *text, _pack(start, n)))
             if not parts:
                 continue
-            seed, context, did, at = (np.concatenate(c) for c in zip(*parts, strict=True))
+            seed, context, *places = (np.concatenate(c) for c in zip(*parts, strict=True))
             parts.clear()
             seed, context = seed.view(np.int64), context.view(np.int64)
-            order, head, repeat = firsts((seed, context), did, at, shape)
-            seed, context, did, at = (c[order] for c in (seed, context, did, at))
-            gone = did[repeat], at[repeat]
-            rows = _blobs(REPEAT, np.full(len(gone[0]), abs(int(did[0])) % ranges), (gone[0], gone[0], *gone), ranges)
+            order, head, repeat = firsts((seed, context), tuple(places), shape)
+            seed, context, *places = (c[order] for c in (seed, context, *places))
+            gone = [c[repeat] for c in places]
+            rows = _blobs(REPEAT, np.full(len(gone[0]), abs(int(places[0][0])) % ranges), (gone[0], gone[0], *gone), ranges)
             new = np.append(True, seed[1:] != seed[:-1])
             contexts = np.add.reduceat(head, np.flatnonzero(new))[np.cumsum(new) - 1]
             many, stay = ~repeat & (contexts > MANY), ~repeat & (contexts <= MANY)
-            rows += _blobs(RUN, _spread(seed[stay], ranges), tuple(c[stay] for c in (seed, context, did, at)), ranges)
+            rows += _blobs(RUN, _spread(seed[stay], ranges), tuple(c[stay] for c in (seed, context, *places)), ranges)
             if many.any():
-                spread = tuple(c[many] for c in (seed, context, did, at))
+                spread = tuple(c[many] for c in (seed, context, *places))
                 both = combine(spread[0].view(np.uint64), spread[1].view(np.uint64))
                 rows += _blobs(SPREAD, _spread(both, ranges), spread, ranges)
                 # A mark (at = -1) tells the seed's range that its other contexts are elsewhere.
                 marked = np.unique(spread[0])
                 mark = np.full(len(marked), -1)
-                rows += _blobs(RUN, _spread(marked, ranges), (marked, mark, mark, mark), ranges)
+                rows += _blobs(RUN, _spread(marked, ranges), (marked, mark, mark, mark, mark), ranges)
             yield _batch(rows)
 
     return run
 
 
 DONE, COLD, HOT = range(3)
-SETTLED = "state int, seed long, did long, at long"
+SETTLED = "state int, seed long, did long, tag long, at long"
 
 
 def _meet_runs(shape: Shape):
     """Of the runs of one range: repeats, and first runs whose seed has several contexts."""
 
-    def states(seed, context, did, at, spread: bool):
-        order, head, repeat = firsts((seed, context), did, at, shape)
-        seed, did, at = seed[order], did[order], at[order]
+    def states(seed, context, *places, spread: bool):
+        order, head, repeat = firsts((seed, context), places, shape)
+        seed, *places = (c[order] for c in (seed, *places))
         if not len(seed):
-            return seed, seed, did, at
+            return seed, seed, *places
         new = np.append(True, seed[1:] != seed[:-1])
         number = np.cumsum(new) - 1
-        mark = at == -1
+        mark = places[-1] == -1
         contexts = np.add.reduceat(head & ~mark, np.flatnonzero(new))[number]
         told = np.logical_or.reduceat(mark, np.flatnonzero(new))[number]
         hot = told | (contexts > MOST) | spread
         state = np.where(repeat, DONE, np.where(hot, HOT, COLD))
         keep = ~mark & (repeat | (contexts > 1) | hot)
-        return state[keep], seed[keep], did[keep], at[keep]
+        return state[keep], seed[keep], *(c[keep] for c in places)
 
     def run(group: pa.Table) -> pa.Table:
-        _, _, did, at = _gather(group, REPEAT)
+        _, _, *told = _gather(group, REPEAT)
         parts = [
             states(*_gather(group, RUN), spread=False),
             states(*_gather(group, SPREAD), spread=True),
-            (np.full(len(did), DONE), np.zeros(len(did), np.int64), did, at),
+            (np.full(len(told[0]), DONE), np.zeros(len(told[0]), np.int64), *told),
         ]
-        state, seed, did, at = (np.concatenate(c) for c in zip(*parts, strict=True))
-        return pa.table({"state": state.astype(np.int32), "seed": seed, "did": did, "at": at})
+        state, *rest = (np.concatenate(c) for c in zip(*parts, strict=True))
+        return pa.table(dict(zip(("state", "seed", "did", "tag", "at"), (state.astype(np.int32), *rest), strict=True)))
 
     return run
 
@@ -299,30 +302,31 @@ def _cut(shape: Shape, ranges: int):
                 order = np.lexsort((at, state))
                 at, seed, state = at[order], seed[order], state[order]
                 units = shape.units(unpacked(raw))
-                did, tag = did.as_py(), tag.as_py() << (START_BITS + RUN_BITS)
+                did, tag = did.as_py(), tag.as_py()
                 for item, key in zip(at[state == COLD].tolist(), seed[state == COLD], strict=True):
                     start, n = item >> RUN_BITS, item & ((1 << RUN_BITS) - 1)
-                    cold.append((key, units[start : start + n - 1 + shape.length].tobytes(), did, tag | item))
+                    cold.append((key, units[start : start + n - 1 + shape.length].tobytes(), did, tag, item))
                 wide = at[state == HOT]
                 if len(wide):
                     owner, place = _windows(wide)
                     start = (wide >> RUN_BITS)[owner] + place
                     w1, w2 = window_numbers(seed_numbers(shape.number(units), shape.seed), start, shape)
-                    hot.append((w1.view(np.int64), w2.view(np.int64), np.full(len(start), did), tag | (start << RUN_BITS) | 1))
+                    text = (np.full(len(start), x) for x in (did, tag))
+                    hot.append((w1.view(np.int64), w2.view(np.int64), *text, _pack(start, np.ones_like(start))))
             rows = []
             if cold:
                 r = _spread(np.array([c[0] for c in cold], np.int64), ranges)
                 for k in np.unique(r).tolist():
                     mine = [cold[i] for i in np.flatnonzero(r == k)]
-                    sizes, did, at = (np.array(x, np.int64) for x in zip(*((len(c[1]), *c[2:]) for c in mine), strict=True))
+                    columns = zip(*((len(c[1]), *c[2:]) for c in mine), strict=True)
                     text = b"".join(c[1] for c in mine)
-                    rows.append((RUN, k, text, sizes.tobytes(), did.tobytes(), at.tobytes()))
+                    rows.append((RUN, k, text, *(np.array(x, np.int64).tobytes() for x in columns)))
             if hot:
-                w1, w2, did, at = (np.concatenate(c) for c in zip(*hot, strict=True))
-                order, _, repeat = firsts((w1, w2), did, at, shape)
-                gone, stay = order[repeat], order[~repeat]
-                rows += _blobs(REPEAT, np.full(len(gone), abs(int(did[0])) % ranges), (did[gone], did[gone], did[gone], at[gone]), ranges)
-                rows += _blobs(WINDOWS, _spread(w1[stay], ranges), (w1[stay], w2[stay], did[stay], at[stay]), ranges)
+                w1, w2, *places = (np.concatenate(c) for c in zip(*hot, strict=True))
+                order, _, repeat = firsts((w1, w2), tuple(places), shape)
+                gone, stay = [c[order[repeat]] for c in places], order[~repeat]
+                rows += _blobs(REPEAT, np.full(len(gone[0]), abs(int(places[0][0])) % ranges), (gone[0], gone[0], *gone), ranges)
+                rows += _blobs(WINDOWS, _spread(w1[stay], ranges), tuple(c[stay] for c in (w1, w2, *places)), ranges)
             if rows:
                 yield _batch(rows)
 
@@ -335,10 +339,7 @@ def _meet_windows(shape: Shape, dtype):
     def run(group: pa.Table) -> pa.Table:
         mine = group.filter(pa.compute.equal(group.column("kind"), RUN))
         text = b"".join(x.as_py() for x in mine.column("a"))
-        sizes, did, at = (
-            np.concatenate([*(np.frombuffer(x.as_buffer(), np.int64) for x in mine.column(n)), np.zeros(0, np.int64)])
-            for n in ("b", "did", "at")
-        )
+        sizes, did, tag, at = _gather(group, RUN, NAMES[1:])
         units = np.frombuffer(text, dtype)
         begin = (np.cumsum(sizes) - sizes) // units.itemsize
         owner, place = _windows(at)
@@ -346,35 +347,31 @@ def _meet_windows(shape: Shape, dtype):
         w1, w2 = window_numbers(ids, begin[owner] + place, shape)
         more = _gather(group, WINDOWS)
         w1, w2 = (np.concatenate([w.view(np.int64), m]) for w, m in zip((w1, w2), more[:2], strict=True))
-        start = ((at[owner] >> RUN_BITS) + place) << RUN_BITS
-        did, at = np.concatenate([did[owner], more[2]]), np.concatenate([start | 1, more[3]])
-        order, _, repeat = firsts((w1, w2), did, at, shape)
-        did, at = did[order[repeat]], at[order[repeat]]
-        _, _, told_did, told_at = _gather(group, REPEAT)
-        return pa.table(dict(zip(("did", "at"), _joined(np.append(did, told_did), np.append(at, told_at)), strict=True)))
+        start = (at[owner] >> RUN_BITS) + place
+        places = did[owner], tag[owner], _pack(start, np.ones_like(start))
+        places = tuple(np.concatenate(c) for c in zip(places, more[2:], strict=True))
+        order, _, repeat = firsts((w1, w2), places, shape)
+        told = _gather(group, REPEAT)[2:]
+        found = (np.append(c[order[repeat]], t) for c, t in zip(places, told, strict=True))
+        return pa.table(dict(zip(("did", "tag", "at"), _joined(*found), strict=True)))
 
     return run
 
 
-def _joined(did: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _joined(did: np.ndarray, tag: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Single windows as runs of neighbours, as long as a run can be."""
-    order = np.lexsort((at, did))
-    did, start = did[order], at[order] >> RUN_BITS
-    keep = np.append(True, (did[1:] != did[:-1]) | (start[1:] != start[:-1])) if len(did) else np.zeros(0, bool)
-    did, start = did[keep], start[keep]
-    step = np.append(True, (did[1:] != did[:-1]) | (start[1:] != start[:-1] + 1)) if len(did) else keep
+    order = np.lexsort((at, tag, did))
+    did, tag, start = did[order], tag[order], at[order] >> RUN_BITS
+    new = np.append(True, (did[1:] != did[:-1]) | (tag[1:] != tag[:-1])) if len(did) else np.zeros(0, bool)
+    keep = new.copy()
+    keep[1:] |= start[1:] != start[:-1]
+    did, tag, start, new = did[keep], tag[keep], start[keep], new[keep]
+    step = new.copy()
+    step[1:] |= start[1:] != start[:-1] + 1
     since = np.arange(len(did)) - np.flatnonzero(step)[np.cumsum(step) - 1] if len(did) else start
     head = since % ((1 << RUN_BITS) - 1) == 0
     n = np.diff(np.append(np.flatnonzero(head), len(did)))
-    return did[head], (start[head] << RUN_BITS) | n
-
-
-def _item():
-    return F.col("at").bitwiseAND((1 << (START_BITS + RUN_BITS)) - 1).alias("item")
-
-
-def _tag():
-    return F.shiftright("at", START_BITS + RUN_BITS).alias("tag")
+    return did[head], tag[head], _pack(start[head], n)
 
 
 def repeats(rows: DataFrame, shape: Shape, dtype) -> DataFrame:
@@ -384,13 +381,13 @@ def repeats(rows: DataFrame, shape: Shape, dtype) -> DataFrame:
     ranges = int(size / (shape.length - shape.seed) * 64 / RANGE_BYTES) + 1
     sent = rows.mapInArrow(_send(shape, ranges), BLOBS)
     settled = staged(sent.groupBy("r").applyInArrow(_meet_runs(shape), SETTLED), "settled-runs")
-    listed = F.collect_list(F.struct(_item(), "seed", "state")).alias("items")
-    open_runs = settled.where(F.col("state") != DONE).groupBy("did", _tag()).agg(listed)
+    listed = F.collect_list(F.struct(F.col("at").alias("item"), "seed", "state")).alias("items")
+    open_runs = settled.where(F.col("state") != DONE).groupBy("did", "tag").agg(listed)
     texts = packed(rows).join(open_runs, ["did", "tag"]).select("did", "tag", "raw", "items")
     cut = texts.mapInArrow(_cut(shape, ranges), BLOBS)
-    single = cut.groupBy("r").applyInArrow(_meet_windows(shape, dtype), "did long, at long")
-    both = settled.where(F.col("state") == DONE).select("did", "at").unionByName(single)
-    return both.groupBy("did", _tag()).agg(F.collect_list(_item()).alias("items"))
+    single = cut.groupBy("r").applyInArrow(_meet_windows(shape, dtype), "did long, tag long, at long")
+    both = settled.where(F.col("state") == DONE).select("did", "tag", "at").unionByName(single)
+    return both.groupBy("did", "tag").agg(F.collect_list("at").alias("items"))
 
 
 def covered(items: np.ndarray, n: int, length: int) -> np.ndarray:

@@ -1,7 +1,9 @@
 """Repeats of byte strings and of word windows against plain versions."""
 
 import brute
+import numpy as np
 import pytest
+import xxhash
 from fixtures import docs, edited, odd_texts, prose, rows_of
 
 from dropwatch.llm import substring, suffix, windows
@@ -56,6 +58,20 @@ def test_null_and_repeated_ids(spark):
     assert same == [(7, 0), (7, 0)]
 
 
+@pytest.mark.parametrize("doc_id", [None, 3])
+def test_many_texts_without_an_id_of_their_own(spark, doc_id):
+    shared = prose(6, 60)
+    texts = [f"{prose(k % 40, 30)} {k} {shared[: 150 + k % 200]} {k}" for k in range(5000)]
+    size = max(map(len, texts))
+    texts = [t.ljust(size, "x") if k % 2 else t for k, t in enumerate(texts)]
+    df = docs(spark, texts, ids=[doc_id] * len(texts)).repartition(4)
+    order = sorted(texts, key=lambda t: np.int64(np.uint64(xxhash.xxh64_intdigest(t.encode(), seed=42))))
+    expected = brute.byte_repeats(list(enumerate(order)))
+    assert rows_of(suffix.dedup(df), *BYTES[1:]) == sorted((r[1:] for r in expected), key=repr)
+    kept = [(r[1], 0, r[3]) for r in brute.word_repeats([(k, t) for k, t in enumerate(texts)], length=10**9)]
+    assert rows_of(substring.dedup(df), *WORDS[1:]) == sorted(kept, key=repr)
+
+
 def test_empty_table(spark):
     empty = docs(spark, [])
     assert suffix.dedup(empty).count() == 0 and substring.dedup(empty).count() == 0
