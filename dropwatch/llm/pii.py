@@ -1,12 +1,21 @@
 """Personal data: fixed kinds, and identifiers found by bootstrapped contexts.
 
 The base kinds (email, ip, card, phone) are found by rule in the whole text. They are the seeds:
-the words around them are lexical patterns (the word before with the word after, the two words
-before, the word before). Other words with digits are candidates and have patterns alike. Spark
-scores the graph of patterns and instances in rounds: a pattern by the mean score of its instances
-(smoothed), an instance by the chance that not all of its trusted patterns are wrong; seeds stay at
-1, until no score changes. A candidate is an identifier (kind ``id``) if its instance and one of its own patterns score
-enough. Base spans are never changed.
+what stands around them are lexical patterns (the word before with the word after, the two words
+before, the word before). Any other word of LEAST_CHARS characters in such a place is a possible
+instance. Spark scores the graph of patterns and instances in rounds, until nothing is added:
+
+* Known instances are the seeds, with score 1, and the instances accepted so far. A pattern's trust
+  is the sum of its known instances' scores over that sum plus one: unknown instances are neutral,
+  and a pattern with few known ones scores little. It must reach TRUSTED, and known instances must
+  make up LEAST_SHARE of all places of the pattern, which the words before ordinary words do not.
+* An instance's score is the chance that not all of its trusted patterns are wrong. It is accepted
+  (kind ``id``) if at least LEAST_INSIDE of its places in the corpus lie in trusted patterns, which
+  those of ordinary words do not. Its other places give new patterns.
+
+Each step that looks for patterns or instances reads the texts, as every word is a possible
+instance: a bit map of fixed size tells which words to look at closer, joins then tell exactly.
+Without a pattern of enough seeds the texts are read once more in all. Base spans are never changed.
 
 Places count code points, ends are exclusive. A null text is empty; a null doc_id gives a row.
 Repeated rows each give a row with the same spans; rows that share a doc_id but not a text keep
@@ -18,21 +27,23 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dropwatch.llm.common import id_of, map_batches, text_of, unused
 from dropwatch.session import staged
 
 KINDS = ("email", "ip", "card", "phone")
-PLACES = 9  # decimals of a score whose change counts
-TRUSTED_PATTERN = 0.8
-TRUSTED_INSTANCE = 0.8
-LEAST_INSTANCES = 3.0  # smoothing: a pattern with few instances scores little
-LEAST_CHARS = 6  # of a candidate
-LEAST_DIGITS = 2
+TRUSTED = 0.8  # trust of a pattern: four known instances at least
+LEAST_SHARE = 0.05  # of a pattern's places that hold known instances
+LEAST_INSIDE = 0.1  # of an instance's places that lie in trusted patterns
+LEAST_CHARS = 3  # of an instance
+BITS = 1 << 18  # of the map that tells which words to look at closer
 
 # The patterns of the base kinds. Possessive and look-behind forms match the same
 # texts as the plain ones and take linear time.
@@ -42,9 +53,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
-DIGITS = re.compile(r"[0-9]+")
-WORD_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-"
-WORD_END = re.compile(r"[A-Za-z0-9_-]*")
+DIGITS = re.compile(r"[0-9]")
+CHUNK = re.compile(r"\S+")
+WORD = re.compile(r"\w[\w-]*\w")
 
 
 def luhn(digits: str) -> bool:
@@ -90,103 +101,229 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return spans
 
 
-def candidates(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Words with digits that touch no base span; taken is sorted by start."""
-    found, done, k = [], 0, 0
-    for m in DIGITS.finditer(text):
-        if m.start() < done:
-            continue
-        start = done + len(text[done : m.start()].rstrip(WORD_CHARS))
-        end = done = WORD_END.match(text, m.end()).end()
-        while k < len(taken) and taken[k][1] <= start:
-            k += 1
-        free = k == len(taken) or taken[k][0] >= end
-        word = text[start:end]
-        if free and len(word) >= LEAST_CHARS and sum(map(str.isdigit, word)) >= LEAST_DIGITS:
-            found.append((start, end))
-    return found
+def words_of(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and what stands before, for every word that can be an instance: the rest of its
+    chunk, or the chunk before."""
+    before = ""
+    for m in CHUNK.finditer(text):
+        chunk, at = m.group(), m.start()
+        for w in WORD.finditer(chunk):
+            if w.end() - w.start() >= LEAST_CHARS:
+                yield at + w.start(), at + w.end(), chunk[: w.start()] or before
+        before = chunk
+
 
+def _number(*parts: str) -> int:
+    """A 64-bit number for a pattern or an instance."""
+    raw = hashlib.blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return int.from_bytes(raw, "little", signed=True)
 
-def _number(*parts: str) -> str:
-    """A 64-bit number for a pattern or an instance, as text."""
-    raw = hashlib.blake2b("\x00".join(parts).encode(), digest_size=8).digest()
-    return str(int.from_bytes(raw, "little", signed=True))
 
+def _bit(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BITS
 
-def patterns(text: str, start: int, end: int) -> list[str]:
-    before = text[max(0, start - 200) : start].lower().split()[-2:]
-    after = text[end : end + 100].lower().split()[:1]
+
+def _pieces(text: str, start: int, end: int, step: int, wanted: int) -> list[str]:
+    """The whole pieces between white space next to a place, before (step -1) or after it."""
+    reach = 64
+    while True:
+        near = text[max(0, start - reach) : start] if step < 0 else text[end : end + reach]
+        found = near.split()
+        whole = start <= reach if step < 0 else end + reach >= len(text)
+        # One piece more than wanted, as the outermost may be cut.
+        if whole or len(found) > wanted:
+            return found[-wanted:] if step < 0 else found[:wanted]
+        reach *= 4
+
+
+def patterns(text: str, start: int, end: int) -> list[int]:
+    before = [w.lower() for w in _pieces(text, start, end, -1, 2)]
     if not before:
         return []
-    one, two = before[-1], " ".join(before)
-    return [_number("around", one, *after), _number("two", two), _number("one", one)]
+    after = [w.lower() for w in _pieces(text, start, end, 1, 1)]
+    one = before[-1]
+    return [_number("around", one, *after), _number("two", *before), _number("one", one)]
 
 
 def describe(text: str) -> tuple[list[int], str, str]:
-    """Counts by kind, base spans, and the mentions: start,end,seed,instance,patterns per mention."""
+    """Counts by kind, base spans, and the seeds: instance, bit of the word before, patterns."""
     spans = base_spans(text)
     base = ",".join(f"{kind}:{a}:{b}" for kind in KINDS for a, b in spans[kind])
-    mentions = []
-    if base or DIGITS.search(text):
-        seeds = sorted(s for found in spans.values() for s in found)
-        for seed, found in ((1, seeds), (0, candidates(text, seeds))):
-            for a, b in found:
-                fields = [str(a), str(b), str(seed), _number(text[a:b]), *patterns(text, a, b)]
-                mentions.append(" ".join(fields))
-    return [len(spans[kind]) for kind in KINDS], base, ",".join(mentions)
+    seeds = []
+    for a, b in (s for found in spans.values() for s in found):
+        before = _pieces(text, a, b, -1, 1)
+        if before:
+            fields = [_number(text[a:b]), _bit(before[0].lower()), *patterns(text, a, b)]
+            seeds.append(" ".join(map(str, fields)))
+    return [len(spans[kind]) for kind in KINDS], base, ",".join(seeds)
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(id_of().alias("did"), F.xxhash64(text_of()).alias("key"), text_of().alias("text"))
 
 
 def _describe_all(docs: DataFrame) -> DataFrame:
     def run(batch):
-        counts, base, digests, mentions = [], [], [], []
+        counts, base, digests, seeds = [], [], [], []
         for text in batch.column(2):
             n, spans, found = describe(text.as_py())
             counts.append(n)
             base.append(spans)
             digests.append(hashlib.sha256(spans.encode()).hexdigest())
-            mentions.append(found)
+            seeds.append(found)
         by_kind = [[n[k] for n in counts] for k in range(len(KINDS))]
-        yield [batch.column(0), batch.column(1), *by_kind, digests, base, mentions]
+        yield [batch.column(0), batch.column(1), *by_kind, digests, base, seeds]
 
     schema = (
         "did long, key long, n_email long, n_ip long, n_card long, n_phone long, "
-        "base_sha256 string, base string, mentions string"
+        "base_sha256 string, base string, seeds string"
     )
-    rows = docs.select(id_of().alias("did"), F.xxhash64(text_of()).alias("key"), text_of().alias("text"))
-    return map_batches(rows, run, schema)
+    return map_batches(_rows(docs), run, schema)
+
+
+def bit_map(bits: DataFrame) -> bytes:
+    """A byte for each bit, set for those of the only column; BITS rows come to the driver at most."""
+    found = bytearray(BITS)
+    for (bit,) in bits.distinct().collect():
+        found[bit] = 1
+    return bytes(found)
+
+
+def _low(column: str) -> Column:
+    return F.pmod(column, F.lit(BITS)).cast("int")
 
 
-def scored(mentions: DataFrame) -> DataFrame:
-    """mentions (instance, seed, pattern) -> pattern, instance, score of the trusted pairs."""
-    edges = staged(
-        mentions.groupBy("pattern", "instance").agg(F.max("seed").cast("double").alias("seed")), "pii-edges"
+def free_words(text: str, near: bytes, by_instance: bool) -> Iterator[tuple[int, int, str]]:
+    """The words outside base spans whose bit, or that of the word before, is set in near."""
+    taken, k = None, 0
+    for start, end, before in words_of(text):
+        if not near[_bit(text[start:end] if by_instance else before.lower())]:
+            continue
+        if taken is None:
+            taken = sorted(s for found in base_spans(text).values() for s in found)
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        if k == len(taken) or taken[k][0] >= end:
+            yield start, end, before
+
+
+def _found(docs: DataFrame, near: bytes, exact: bytes) -> DataFrame:
+    """Places whose word before and whose pattern have their bits set, with those patterns."""
+
+    def run(batch):
+        out = []
+        for did, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for start, end, _ in free_words(text, near, False):
+                likely = [p for p in patterns(text, start, end) if exact[p % BITS]]
+                if likely:
+                    out.append((did, key, start, end, _number(text[start:end]), _bit(text[start:end]), likely))
+        if out:
+            columns = [list(c) for c in zip(*out, strict=True)]
+            columns[6] = [" ".join(map(str, p)) for p in columns[6]]
+            yield columns
+
+    schema = "did long, key long, start long, end long, instance long, bit int, patterns string"
+    return map_batches(_rows(docs), run, schema)
+
+
+def _counted(docs: DataFrame, near: bytes, exact: bytes, by_instance: bool) -> DataFrame:
+    """How many free places each pattern, or each instance, has whose bits are set: number, n."""
+
+    def run(batch):
+        counts: Counter[int] = Counter()
+        for text in batch.column(2).to_pylist():
+            for start, end, _ in free_words(text, near, by_instance):
+                numbers = [_number(text[start:end])] if by_instance else patterns(text, start, end)
+                counts.update(x for x in numbers if exact[x % BITS])
+        if counts:
+            yield [list(counts), list(counts.values())]
+
+    counted = map_batches(_rows(docs), run, "number long, n long")
+    return counted.groupBy("number").agg(F.sum("n").alias("n"))
+
+
+def _places_of(docs: DataFrame, near: bytes, exact: bytes) -> DataFrame:
+    """instance, bit of the word before, pattern of every free place of likely instances."""
+
+    def run(batch):
+        out = []
+        for text in batch.column(2).to_pylist():
+            for start, end, before in free_words(text, near, True):
+                instance = _number(text[start:end])
+                if before and exact[instance % BITS]:
+                    out += [(instance, _bit(before.lower()), p) for p in patterns(text, start, end)]
+        if out:
+            yield [list(c) for c in zip(*out, strict=True)]
+
+    return map_batches(_rows(docs), run, "instance long, bit int, pattern long")
+
+
+def trusted_patterns(edges: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """pattern, bit, trust of the patterns that the edges (pattern, bit, instance, score, seeds,
+    others: places of the known instance) and all places of the texts speak for."""
+    pos = F.sum("score")
+    known = edges.groupBy("pattern").agg(
+        F.first("bit").alias("bit"),
+        (pos / (pos + 1)).alias("trust"),
+        F.sum("seeds").alias("seeds"),
+        F.sum("others").alias("others"),
     )
-    seeds = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
-    instances = staged(seeds.select("instance", "seed", F.col("seed").alias("score")), "pii-instances")
-    before, k = None, 0
-    while True:  # scores never fall and are at most 1, so this ends
-        by_pattern = edges.join(instances, "instance").groupBy("pattern").agg(
-            F.avg("score").alias("mean"), F.count("*").alias("n")
-        )
-        confidence = F.col("mean") * (1 - F.exp(-F.col("n") / F.lit(LEAST_INSTANCES)))
-        trusted = by_pattern.select("pattern", confidence.alias("trust"))
-        trusted = staged(trusted.where(F.col("trust") >= TRUSTED_PATTERN), f"pii-patterns-{k}")
-        doubt = F.sum(F.log(1 - F.least(F.col("trust"), F.lit(0.999))))
-        believed = edges.join(trusted, "pattern").groupBy("instance").agg((1 - F.exp(doubt)).alias("belief"))
-        instances = staged(
-            instances.join(believed, "instance", "left").select(
-                "instance",
-                "seed",
-                F.greatest("seed", F.coalesce("belief", F.lit(0.0))).alias("score"),
-            ),
-            f"pii-instances-{k}",
-        )
-        total = instances.agg(F.sum(F.round("score", PLACES).cast(f"decimal(38,{PLACES})"))).first()[0]
-        if total == before:
+    known = staged(known.where(F.round("trust", 9) >= TRUSTED), f"pii-candidates-{name}")
+    near, exact = bit_map(known.select("bit")), bit_map(known.select(_low("pattern")))
+    if not any(near):
+        return known.select("pattern", "bit", "trust")
+    places = _counted(docs, near, exact, False).withColumnRenamed("number", "pattern")
+    share = (F.col("seeds") + F.col("others")) / (F.col("seeds") + F.greatest("others", F.coalesce("n", F.lit(0))))
+    judged = known.join(places, "pattern", "left").where(share >= LEAST_SHARE)
+    return staged(judged.select("pattern", "bit", "trust"), f"pii-trusted-{name}")
+
+
+def accepted(trusted: DataFrame, docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """The places in trusted patterns, and of their instances instance, bit, score that are accepted."""
+    near, exact = bit_map(trusted.select("bit")), bit_map(trusted.select(_low("pattern")))
+    found = _found(docs, near, exact).withColumn("m", F.monotonically_increasing_id())
+    found = staged(found, f"pii-found-{name}")
+    listed = found.withColumn("pattern", F.explode(F.split("patterns", " ").cast("array<long>")))
+    sure = listed.join(trusted.select("pattern", "trust"), "pattern")
+    places = sure.groupBy("instance", "bit").agg(F.count_distinct("m").alias("inside"))
+    doubt = F.sum(F.log(1 - F.col("trust")))
+    belief = sure.select("instance", "pattern", "trust").distinct().groupBy("instance")
+    belief = belief.agg((1 - F.exp(doubt)).alias("belief"))
+    likely = staged(places.join(belief, "instance"), f"pii-likely-{name}")
+    near, exact = bit_map(likely.select("bit")), bit_map(likely.select(_low("instance")))
+    total = _counted(docs, near, exact, True).withColumnRenamed("number", "instance")
+    known = likely.join(total, "instance").where(F.col("inside") >= LEAST_INSIDE * F.col("n"))
+    mentions = sure.select("did", "key", "start", "end", "instance").distinct()
+    known = known.select("instance", "bit", F.col("belief").alias("score"))
+    return mentions, staged(known, f"pii-accepted-{name}")
+
+
+def discovered(seeds: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """did, key, start, end of the places of identifiers found by context; None without any. seeds
+    has instance, bit, pattern per place of a seed."""
+    one = F.lit(1.0)
+    edges = seeds.groupBy("pattern", "instance").agg(F.first("bit").alias("bit"), F.count("*").alias("seeds"))
+    edges = edges.select("pattern", "bit", "instance", one.alias("score"), "seeds", F.lit(0).cast("long").alias("others"))
+    first = staged(edges, "pii-edges")
+    edges, before, mentions, known = first, 0, None, None
+    k = 0
+    while True:  # patterns are only added, so this ends
+        trusted = trusted_patterns(edges, docs, str(k))
+        n = trusted.count()
+        if n <= before:
             break
-        before, k = total, k + 1
-    known = instances.where(F.col("score") >= TRUSTED_INSTANCE).select("instance", "score")
-    return edges.join(trusted, "pattern").join(known, "instance").select("pattern", "instance", "score")
+        mentions, known = accepted(trusted, docs, str(k))
+        near, exact = bit_map(known.select("bit")), bit_map(known.select(_low("instance")))
+        if not any(near):
+            break
+        places = _places_of(docs, near, exact).groupBy("pattern", "instance")
+        places = places.agg(F.first("bit").alias("bit"), F.count("*").alias("others"))
+        more = places.join(known.select("instance", "score"), "instance")
+        more = more.select("pattern", "bit", "instance", "score", F.lit(0).cast("long").alias("seeds"), "others")
+        edges, before, k = staged(first.unionByName(more), f"pii-edges-{k}"), n, k + 1
+    if mentions is None:
+        return None
+    return mentions.join(known, "instance", "left_semi").select("did", "key", "start", "end")
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -195,40 +332,20 @@ def find(docs: DataFrame) -> DataFrame:
     key is xxhash64 of the text; with doc_id it joins spans to their rows.
     """
     described = staged(_describe_all(docs), "pii-described")
-    listed = described.where(F.col("mentions") != "").select(
-        "did", "key", F.explode(F.split("mentions", ",")).alias("mention")
-    )
-    fields = F.split("mention", " ")
-    mentions = listed.select(
-        "did",
-        "key",
-        fields[0].cast("long").alias("start"),
-        fields[1].cast("long").alias("end"),
-        fields[2].cast("int").alias("seed"),
-        fields[3].cast("long").alias("instance"),
-        F.explode(F.slice(fields, 5, 3).cast("array<long>")).alias("pattern"),
-    )
-    mentions = staged(mentions, "pii-mentions")
-    trusted = scored(mentions)
-    found = (
-        mentions.where("seed = 0")
-        .join(trusted, ["pattern", "instance"], "left_semi")
-        .groupBy("did", "key")
-        .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("found"))
+    listed = described.where("seeds != ''").select(F.explode(F.split("seeds", ",")).alias("seed"))
+    fields = F.split("seed", " ").cast("array<long>")
+    seeds = listed.select(
+        fields[0].alias("instance"), fields[1].cast("int").alias("bit"), F.explode(F.slice(fields, 3, 3)).alias("pattern")
     )
+    places = discovered(seeds, docs)
+    shown = [F.when(F.col("did") != -(2**63), F.col("did")).alias("doc_id"), *[f"n_{k}" for k in KINDS], "base_sha256"]
+    if places is None:
+        return described.select(*shown, F.col("base").alias("spans"), "key")
+    found = places.groupBy("did", "key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("found"))
     more = F.transform("found", lambda s: F.concat_ws(":", F.lit("id"), s["start"], s["end"]))
     found = found.select("did", "key", F.array_join(more, ",").alias("more"))
     both = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), "more")
-    return described.join(found, ["did", "key"], "left").select(
-        F.when(F.col("did") != -(2**63), F.col("did")).alias("doc_id"),
-        "n_email",
-        "n_ip",
-        "n_card",
-        "n_phone",
-        "base_sha256",
-        both.alias("spans"),
-        "key",
-    )
+    return described.join(found, ["did", "key"], "left").select(*shown, both.alias("spans"), "key")
 
 
 def mask(text: str, spans: str) -> str:

@@ -192,3 +192,52 @@ def resampled(docs, target, orders=1, buckets=10000, seed=2024, least=20, percen
     able = sorted((-r[3], r[0]) for r in rows if r[4])
     place = {d: k for k, (_, d) in enumerate(able[: len(able) * percent // 100], 1)}
     return [(*r[:4], place.get(r[0])) for r in rows]
+
+
+def found_by_context(texts: list[str | None], trusted=0.8, share=0.05, least_inside=0.1) -> list[list[tuple[int, int]]]:
+    """For each text the places of identifiers that contexts of base spans tell of."""
+
+    def patterns(text, a, b):
+        before, after = text[:a].lower().split()[-2:], text[b:].lower().split()[:1]
+        return [("around", before[-1], *after), ("two", *before), ("one", before[-1])] if before else []
+
+    seeds, free = defaultdict(Counter), []
+    for t, text in enumerate(texts):
+        text = text or ""
+        base = [s for found in base_spans(text).values() for s in found]
+        for a, b in base:
+            for p in patterns(text, a, b):
+                seeds[p][text[a:b]] += 1
+        for m in re.finditer(r"\w[\w-]*\w", text):
+            a, b = m.span()
+            if b - a >= 3 and not any(x < b and a < y for x, y in base):
+                free.append((t, a, b, m.group(), patterns(text, a, b)))
+    occurrences = Counter(p for *_, found in free for p in found)
+    total = Counter(x for _, _, _, x, _ in free)
+    known: dict[str, float] = {}
+    while True:
+        others = defaultdict(Counter)
+        for _, _, _, x, found in free:
+            if x in known:
+                for p in found:
+                    others[p][x] += 1
+        trust = {}
+        for p in {*seeds, *others}:
+            pos = len(seeds[p]) + sum(known[x] for x in others[p])
+            n = seeds[p].total() + others[p].total()
+            if round(pos / (pos + 1), 9) >= trusted and n >= share * (seeds[p].total() + occurrences[p]):
+                trust[p] = pos / (pos + 1)
+        inside, by = Counter(), defaultdict(set)
+        for _, _, _, x, found in free:
+            good = {p for p in found if p in trust}
+            by[x] |= good
+            inside[x] += bool(good)
+        new = {x: 1 - math.prod(1 - trust[p] for p in ps) for x, ps in by.items() if ps and inside[x] >= least_inside * total[x]}
+        if new.keys() == known.keys():
+            break
+        known = new
+    out = [[] for _ in texts]
+    for t, a, b, x, found in free:
+        if x in known and any(p in trust for p in found):
+            out[t].append((a, b))
+    return out

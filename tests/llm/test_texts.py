@@ -70,6 +70,39 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert pii.masked(df).columns == df.columns and pii.find(docs(spark, [])).count() == 0
 
 
+def planted(n_seeds, n_unseen):
+    """Texts with identifiers of three characters up, with and without digits, in one context each
+    size, and what is planted."""
+    r, texts, where = random.Random(n_seeds), [], []
+    for n in n_unseen:
+        seeds = [f"u{k}.{n}@mail{k}.example.com" for k in range(n_seeds)]
+        unseen = [r.choice([f"ZK{k}{n}-7", f"q{k:02d}", "".join(r.choices("bcdfgh", k=3 + k % 6)) + "x" * (k % 2)]) for k in range(n)]
+        for x in seeds + unseen:
+            text = f"{prose(r.randrange(60), 12)} the member ref{n}: {x} was noted, {prose(r.randrange(60), 5)}"
+            texts.append(text)
+            if x in unseen:
+                where.append((len(texts) - 1, text.index(f": {x} ") + 2, text.index(f": {x} ") + 2 + len(x)))
+    return texts, where
+
+
+@pytest.mark.parametrize("n_seeds", [10, 100])
+def test_unseen_identifiers_are_found_whatever_their_number(spark, n_seeds):
+    texts, where = planted(n_seeds, [1, 10, 30, 100])
+    found = {r.doc_id: r.spans.split(",") for r in pii.find(docs(spark, texts).repartition(4)).collect()}
+    ids = {(d, *map(int, s.split(":")[1:])) for d, spans in found.items() for s in spans if s.startswith("id:")}
+    assert len(set(where) & ids) >= 0.9 * len(where)
+    assert len(ids - set(where)) <= 0.02 * len(where)  # ordinary words
+    plain = brute.found_by_context(texts)
+    assert ids == {(t, a, b) for t, spans in enumerate(plain) for a, b in spans}
+
+
+def test_ordinary_words_behind_known_instances_stay(spark):
+    texts = [f"{prose(k, 9)} call +1 (555) 010-{1000 + k} or call the office of {prose(k, 9)}" for k in range(40)]
+    texts += [f"the {prose(k, 30)} of the office" for k in range(300)]
+    found = pii.find(docs(spark, texts)).where("spans LIKE '%id:%'")
+    assert found.count() == 0 and not any(brute.found_by_context(texts))
+
+
 def test_scores_spread_until_none_changes(spark):
     # Identifiers of each level are known only by contexts they share with those of the level before.
     known, texts = [f"u{n}@m.example.com" for n in range(12)], []
@@ -79,8 +112,9 @@ def test_scores_spread_until_none_changes(spark):
             tag = "abcde"[level] * 3 + "pqrstu"[part]
             texts.append(" ".join(f"reach{tag} via{tag} {x} end{tag}" for x in known + new[2 * part : 2 * part + 2]))
         known = new
+    plain = brute.found_by_context(texts)
     for r in pii.find(docs(spark, texts)).collect():
-        assert r.spans.count("id:") == (2 if r.doc_id < 6 else 14), r.doc_id
+        assert r.spans.count("id:") == (2 if r.doc_id < 6 else 14) == len(plain[r.doc_id]), r.doc_id
 
 
 def test_personal_data_keeps_repeated_and_null_rows(spark):
