@@ -1,4 +1,4 @@
-"""One query per operator of this folder, over the whole tables, and SQL where it can say the same."""
+"""One query per operator of this folder, over the whole tables; sql.py has the SQL of some."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from dropwatch.llm import (
     pieces,
     pii,
     simhash,
+    sql,
     substring,
     suffix,
     tiling,
@@ -129,109 +130,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
-OP1_SQL = r"""
-WITH turns AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL
-  SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
-  UNION ALL
-  SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
-), marked AS (
-  SELECT *,
-    len(regexp_extract_all(text, '[<\[]\\*(?:s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)')) AS hits,
-    CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
-      ELSE 16 + length(replace(url_encode(role), '%20', '+')) END AS frame
-  FROM turns
-)
-SELECT conv_id,
-  count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
-    AS loss_sha256,
-  CAST(sum(frame + length(text)) + sum(hits) AS BIGINT) AS formatted_chars,
-  sum(hits) > 0 AS escaped
-FROM marked GROUP BY conv_id
-"""
-
-
-OP11_SQL = r"""
-WITH lower AS (
-  SELECT doc_id AS id, 'd' AS side, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
-  UNION ALL
-  SELECT item_id, 'q', translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz') FROM benchmark
-), words AS (
-  SELECT side, id, unnest(regexp_extract_all(text, '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM lower
-), counted AS (
-  SELECT side, id, term, count(*) AS tf FROM words GROUP BY ALL
-), sizes AS (
-  SELECT id, sum(tf)::BIGINT AS n FROM counted WHERE side = 'd' GROUP BY id
-), corpus AS (
-  SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes
-), weights AS (
-  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
-  FROM counted, corpus WHERE side = 'd' GROUP BY term, docs
-), scored AS (
-  SELECT q.id AS item_id, d.id AS doc_id, CAST(sum(q.tf * w *
-    ((1000000000 * d.tf) // (1000 * d.tf + 8 * (100 - 75 + (75 * n * docs) // total)))) AS BIGINT) AS score
-  FROM counted q JOIN counted d ON q.side = 'q' AND d.side = 'd' AND q.term = d.term
-    JOIN weights w ON w.term = q.term JOIN sizes s ON s.id = d.id, corpus
-  GROUP BY q.id, d.id
-), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank
-  FROM scored WHERE score > 0
-)
-SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
-"""
-
-# The checksum's table is made by its rule, with the reversed polynomial 0xEDB88320.
-OP13_SQL = r"""
-WITH steps AS (
-  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k:
-    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS step
-  FROM range(256) r(b)
-), texts AS (
-  SELECT 'd' AS side, doc_id AS id, text FROM documents
-  UNION ALL SELECT 'b', item_id, text FROM benchmark
-), words AS (
-  SELECT side, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS word FROM texts
-), counted AS (
-  SELECT side, id, word, count(*) AS n FROM words GROUP BY ALL
-), hexed AS (
-  SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM counted)
-), hashed AS (
-  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(h) // 2),
-      lambda k: CAST('0x' || substr(h, CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT))),
-    lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
-  FROM hexed, steps
-), filled AS (
-  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::BIGINT AS s,
-    coalesce(sum(n) FILTER (side = 'b'), 0)::BIGINT AS t
-  FROM counted JOIN hashed USING (word) GROUP BY bucket
-), gains AS (
-  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
-    / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM filled
-), weighed AS (
-  SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
-  FROM counted JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
-), scored AS (
-  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
-    CAST('0x' || sha256('2024:' || doc_id)[1:8] AS BIGINT) AS h
-  FROM documents LEFT JOIN weighed ON id = doc_id
-), drawn AS (
-  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5)::DOUBLE / 4294967296))) AS BIGINT) AS score,
-    n_features >= 20 AS able FROM scored
-), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place,
-    count(*) FILTER (able) OVER () AS n FROM drawn
-)
-SELECT doc_id, n_features, weight, score,
-  CASE WHEN able AND place <= 10 * n // 100 THEN place END AS rank FROM placed
-"""
-
-
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat": OP1_SQL, "op11_lexical": OP11_SQL, "op13_importance": OP13_SQL}
+    return {
+        "op1_chat": sql.OP1_SQL,
+        "op4_suffix": sql.OP4_SQL,
+        "op6_substring": sql.OP6_SQL,
+        "op9_minhash": sql.OP9_SQL,
+        "op10_warc": sql.OP10_SQL,
+        "op11_lexical": sql.OP11_SQL,
+        "op13_importance": sql.OP13_SQL,
+    }
