@@ -21,7 +21,7 @@ def normal(rows, columns):
     return sorted(shown, key=repr)
 
 
-KINDS = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+KINDS = {"boolean": "BOOLEAN", "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
 
 
 def difference(df, connection, sql):
