@@ -1,7 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words (letters, digits, lower case) of documents and benchmark items meet in shared seeds of SEED
-words. For each document and item that share one, the longest common run of unmarked words is
+Words (letters, digits, lower case; in scripts without spaces each character) of documents and
+benchmark items meet in shared seeds of SEED words, or of all words of an item that has fewer. For each document and item that share one, the longest common run of unmarked words is
 marked, again and again, until no run of SEED words is left: these tiles do not overlap, and they
 catch an item whose passages appear in another order. A pair is a leak if its tiles cover at least
 COVERAGE of the item's words.
@@ -13,8 +13,9 @@ A benchmark of up to SMALL characters is sent to every task and the documents ar
 A larger one is joined: the documents' seeds with the items' seeds, then the pairs with their
 texts. Both ways give the same rows.
 
-A null text has no words. Items of fewer than SEED words have no seed and match nothing. A null
-doc_id or item_id stays null in the result. Repeated documents each give their rows; rows that
+A null text has no words. Items without words match nothing. An item of fewer than SEED words leaks
+where all its words stand together; if they have fewer than LEAST_CHARS characters in all, they are
+no passage of their own, and the item leaks into texts only that have no other words. A null doc_id or item_id stays null in the result. Repeated documents each give their rows; rows that
 share an item_id are items of their own. Of equally long runs the first in the item, then in the
 document, is marked first. Other columns are ignored; an empty table gives an empty result.
 """
@@ -36,7 +37,10 @@ from dropwatch.llm.common import id_of, map_batches, text_of, unused
 SEED = 5
 COVERAGE = 0.5
 SMALL = 16 << 20
-WORD = re.compile(r"\w+")
+LEAST_CHARS = 12  # of an item of fewer than SEED words that is looked for among other words
+# Thai, Lao, Burmese, Khmer, kana and Han characters.
+SPACELESS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[{SPACELESS}]|[^\W{SPACELESS}]+")
 BASE = np.uint64(0x100000001B3)
 SCHEMA = "doc_id long, item_id long, coverage double, n_tiles long, longest_tile long"
 
@@ -53,15 +57,18 @@ def rolling(ids: np.ndarray, width: int = SEED) -> np.ndarray:
     total = np.zeros(n, np.uint64)
     for j in range(width):
         total = total * BASE + ids[j : n + j]
+    total ^= np.uint64(width << 56)
     return (total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def common_runs(item: np.ndarray, doc: np.ndarray, hashes: np.ndarray, places: np.ndarray) -> list[tuple]:
-    """Maximal common runs of SEED words and more: (length, start in item, start in doc).
+def common_runs(
+    item: np.ndarray, doc: np.ndarray, hashes: np.ndarray, places: np.ndarray, width: int = SEED
+) -> list[tuple]:
+    """Maximal common runs of width words and more: (length, start in item, start in doc).
 
     hashes and places: the document's windows that can be in an item, and where they start.
     """
-    own = rolling(item)
+    own = rolling(item, width)
     order = np.argsort(own, kind="stable")
     low = np.searchsorted(own[order], hashes, "left")
     high = np.searchsorted(own[order], hashes, "right")
@@ -70,7 +77,7 @@ def common_runs(item: np.ndarray, doc: np.ndarray, hashes: np.ndarray, places: n
     steps = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     mine = order[np.repeat(low, times) + steps]
     same = np.ones(len(at), bool)
-    for j in range(SEED):
+    for j in range(width):
         same &= item[mine + j] == doc[at + j]
     at, mine = at[same], mine[same]
     if not len(at):
@@ -81,12 +88,12 @@ def common_runs(item: np.ndarray, doc: np.ndarray, hashes: np.ndarray, places: n
     first = np.flatnonzero(np.append(True, breaks))
     last = np.append(first[1:], len(at)) - 1
     return [
-        (int(mine[b] - mine[a]) + SEED, int(mine[a]), int(at[a])) for a, b in zip(first, last, strict=True)
+        (int(mine[b] - mine[a]) + width, int(mine[a]), int(at[a])) for a, b in zip(first, last, strict=True)
     ]
 
 
-def tiles(runs: list[tuple], n_item: int) -> list[tuple]:
-    """Mark the longest run of unmarked words until none of SEED words is left."""
+def tiles(runs: list[tuple], n_item: int, width: int = SEED) -> list[tuple]:
+    """Mark the longest run of unmarked words until none of width words is left."""
     heap = [(-n, i, j) for n, i, j in runs]
     heapq.heapify(heap)
     in_item, in_doc, out = bytearray(n_item), set(), []
@@ -101,7 +108,7 @@ def tiles(runs: list[tuple], n_item: int) -> list[tuple]:
         start = 0
         for k in range(1, len(free) + 1):
             if k == len(free) or free[k] != free[k - 1] + 1:
-                if k - start >= SEED:
+                if k - start >= width:
                     heapq.heappush(heap, (start - k, i + free[start], j + free[start]))
                 start = k
     return out
@@ -115,39 +122,45 @@ class Items:
 
     def __post_init__(self):
         self.number: dict[str, int] = {}
-        self.ids = []
-        for _, text in self.rows:
-            found = [self.number.setdefault(w, len(self.number) + 1) for w in words_of(text)]
+        self.ids, self.alone, windows = [], [], {}
+        for k, (_, text) in enumerate(self.rows):
+            words = words_of(text)
+            found = [self.number.setdefault(w, len(self.number) + 1) for w in words]
             self.ids.append(np.array(found, np.uint64))
-        windows = [rolling(x) for x in self.ids]
-        seeds = np.concatenate([*windows, np.zeros(0, np.uint64)])
-        owner = np.repeat(np.arange(len(windows)), [len(w) for w in windows]) if windows else np.zeros(0, int)
-        order = np.argsort(seeds, kind="stable")
-        self.seeds, self.owner = seeds[order], owner[order]
+            self.alone.append(len(words) < SEED and sum(map(len, words)) < LEAST_CHARS)
+            if words:
+                width = min(SEED, len(words))
+                windows.setdefault(width, []).append((k, rolling(self.ids[-1], width)))
+        self.tables = []  # width, seeds in order, their items
+        for width, found in sorted(windows.items()):
+            seeds = np.concatenate([w for _, w in found])
+            owner = np.repeat([k for k, _ in found], [len(w) for _, w in found])
+            order = np.argsort(seeds, kind="stable")
+            self.tables.append((width, seeds[order], owner[order]))
 
     def leaks(self, text: str | None, coverage: float) -> list[tuple]:
         """(item number, share covered, tiles, longest) of the items that leak into a text."""
         number = self.number
         doc = np.array([number.get(w, 0) for w in words_of(text)], np.uint64)
-        hashes = rolling(doc)
-        if not len(hashes) or not len(self.seeds):
-            return []
-        near = np.searchsorted(self.seeds, hashes)
-        hit = self.seeds[np.minimum(near, len(self.seeds) - 1)] == hashes
-        places = np.flatnonzero(hit)
-        if not len(places):
-            return []
-        hashes = hashes[places]
-        low = np.searchsorted(self.seeds, hashes, "left")
-        high = np.searchsorted(self.seeds, hashes, "right")
-        owners = sorted({int(o) for a, b in set(zip(low.tolist(), high.tolist(), strict=True)) for o in self.owner[a:b]})
         out = []
-        for k in owners:
-            found = tiles(common_runs(self.ids[k], doc, hashes, places), len(self.ids[k]))
-            share = sum(t[0] for t in found) / len(self.ids[k])
-            if share >= coverage:
-                out.append((k, share, len(found), max(t[0] for t in found)))
-        return out
+        for width, seeds, owner in self.tables:
+            hashes = rolling(doc, width)
+            near = np.minimum(np.searchsorted(seeds, hashes), len(seeds) - 1)
+            places = np.flatnonzero(seeds[near] == hashes)
+            if not len(places):
+                continue
+            hashes = hashes[places]
+            low, high = (np.searchsorted(seeds, hashes, side) for side in ("left", "right"))
+            spans = set(zip(low.tolist(), high.tolist(), strict=True))
+            for k in sorted({int(o) for a, b in spans for o in owner[a:b]}):
+                item = self.ids[k]
+                if self.alone[k] and len(doc) != len(item):
+                    continue
+                found = tiles(common_runs(item, doc, hashes, places, width), len(item), width)
+                share = sum(t[0] for t in found) / len(item)
+                if share >= coverage:
+                    out.append((k, share, len(found), max(t[0] for t in found)))
+        return sorted(out)
 
 
 def small_items(benchmark: DataFrame) -> Items | None:
@@ -175,19 +188,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     return map_batches(docs.select(docs["doc_id"].cast("long"), text_of().alias("text")), run, SCHEMA)
 
 
-def _seeds(rows: DataFrame, name: str) -> DataFrame:
-    """Distinct seed hashes of each row's text."""
+def _seeds(rows: DataFrame, name: str, widths: list[int] | None = None) -> DataFrame:
+    """Distinct seed hashes of each row's text: of the widths, or as an item."""
 
     def run(batch):
         for key, text in zip(batch.column(0), batch.column(1), strict=True):
             words = words_of(text.as_py())
             ids = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-            found = np.unique(rolling(ids)).view(np.int64)
+            own = [min(SEED, len(words))] if words else []
+            hashes = [rolling(ids, width) for width in (own if widths is None else widths)]
+            found = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)])).view(np.int64)
             yield [[key.as_py()] * len(found), found]
 
     return map_batches(rows.select(name, "text"), run, f"{name} long, seed long")
 
 
+def _widths(items: DataFrame) -> list[int]:
+    """The widths of the items' seeds, SEED values at most."""
+
+    def run(batch):
+        n = {min(SEED, len(words_of(text.as_py()))) for text in batch.column(0)}
+        yield [sorted(n - {0})]
+
+    return sorted(r.width for r in map_batches(items.select("text"), run, "width int").distinct().collect())
+
+
 def leaks_by_join(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The same for a benchmark of any size: seeds are joined, then the texts of the pairs."""
     return _keyed_leaks(docs, benchmark, coverage).drop("key")
@@ -199,7 +224,7 @@ def _keyed_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float) -> Data
     texts = texts.withColumn("key", F.xxhash64("text"))
     items = benchmark.select(benchmark["item_id"].cast("long"), text_of().alias("text"))
     items = items.withColumn("item", F.xxhash64("text"))
-    doc_seeds = _seeds(texts.dropDuplicates(["key"]), "key")
+    doc_seeds = _seeds(texts.dropDuplicates(["key"]), "key", _widths(items))
     pairs = doc_seeds.join(_seeds(items.dropDuplicates(["item"]), "item"), "seed").select("key", "item").distinct()
     item_texts = items.select("item", "item_id", F.col("text").alias("item_text"))
     both = pairs.join(item_texts, "item").join(texts, "key").select("doc_id", "text", "item_id", "item_text", "key")

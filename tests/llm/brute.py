@@ -241,3 +241,22 @@ def found_by_context(texts: list[str | None], trusted=0.8, share=0.05, least_ins
         if x in known and any(p in trust for p in found):
             out[t].append((a, b))
     return out
+
+
+def tiled(doc: list[str], item: list[str], width: int = 5) -> list[tuple[int, int, int]]:
+    """Greedy string tiling: the longest common run of unmarked words, again and again."""
+    free_item, free_doc, out = [True] * len(item), [True] * len(doc), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for j in range(len(doc)):
+                n = 0
+                while i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n] and free_item[i + n] and free_doc[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < width:
+            return out
+        out.append(best)
+        free_item[i : i + n] = free_doc[j : j + n] = [False] * n

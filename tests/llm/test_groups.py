@@ -1,5 +1,7 @@
 """Near-duplicate groups, fingerprints and tiling against plain versions."""
 
+import random
+
 import brute
 import numpy as np
 import pytest
@@ -112,6 +114,34 @@ def test_leaks_are_found_in_any_order_and_size(spark):
     assert tiling.leaks(df, items(spark, [])).count() == 0
 
 
+def test_short_and_unspaced_items_leak(spark):
+    han = "".join(chr(0x4E00 + k * 7 % 900) for k in range(60))
+    bench = items(spark, ["which pelican flies backwards", "supercalifragilistic" * 3, han, "is it so", "yes"])
+    texts = [
+        "I ask: Which pelican flies backwards?", "x " + "supercalifragilistic" * 3 + " y", "前置" + han[5:50] + "後",
+        "Is it so?", "and is it so, yes", "yes!", "which pelican flies", "supercalifragilistic", han[:20], None, "",
+    ]
+    df = docs(spark, texts, clash=True)
+    expected = [(0, 0), (1, 1), (2, 2), (3, 3), (5, 4)]
+    assert rows_of(tiling.leaks(df, bench), "doc_id", "item_id") == expected
+    assert rows_of(tiling.leaks_by_join(df, bench), "doc_id", "item_id") == expected
+
+
+def test_tiles_equal_plain_greedy_tiling():
+    r = random.Random(4)
+    for _ in range(150):
+        words = [f"w{k}" for k in range(r.choice([3, 9, 40]))]
+        item = [r.choice(words) for _ in range(r.randint(1, 24))]
+        doc = [r.choice(words) for _ in range(r.randint(0, 40))]
+        doc[3:3] = item[: r.randint(0, 12)]
+        doc += item[r.randint(0, len(item)) :]
+        plain = brute.tiled(doc, item, min(5, len(item)))
+        found = tiling.Items([(1, " ".join(item))]).leaks(" ".join(doc), 0.0)
+        short = len(item) < 5 and sum(map(len, item)) < 12 and len(doc) != len(item)
+        expected = [] if short or not plain else [(0, sum(t[0] for t in plain) / len(item), len(plain), plain[0][0])]
+        assert found == expected, (doc, item)
+
+
 def test_a_large_benchmark_is_joined(spark, monkeypatch):
     item = prose(7, 40)
     df, bench = docs(spark, [prose(8, 90), item]), items(spark, [item])
