@@ -56,6 +56,7 @@ class PieceModel:
         for name in self.id:
             self.pieces.add_word(name, len(name))
         self.pieces.make_automaton()
+        self.longest = max(map(len, self.id))
         often = Counter(s for n, s in self.score.items() if len(n) > 1)
         self.tied = [n for n, s in self.score.items() if len(n) > 1 and often[s] > 1]
         self.tied_re = re.compile("|".join(map(re.escape, sorted(self.tied, key=len)))) if self.tied else None
@@ -148,13 +149,6 @@ class PieceModel:
             else:
                 return True
 
-    def comes_out(self, piece: str) -> bool:
-        """Whether merging the text of a piece gives the piece."""
-        found = self.whole.get(piece)
-        if found is None:
-            found = self.whole[piece] = self.merge(piece) == [piece]
-        return found
-
     def prefixes(self, piece: str) -> tuple[str, ...]:
         """The pieces a piece begins with, and itself last, that come out of merging."""
         found = self.starts.get(piece)
@@ -166,9 +160,10 @@ class PieceModel:
 
     def choices(self, text: str, at: int) -> tuple[str, ...]:
         """Pieces that start at a place, the longest last; a character that is no piece by itself."""
-        for end, n in self.pieces.iter_long(text, at):
-            if end - n + 1 == at:
-                piece = text[at : end + 1]
+        near = text[at : at + self.longest]  # the search copies its text
+        for end, n in self.pieces.iter_long(near):
+            if end - n + 1 == 0:
+                piece = near[:n]
                 return self.starts.get(piece) or self.prefixes(piece)
             break
         return (text[at],)
@@ -177,7 +172,7 @@ class PieceModel:
         n, choices, pairs, check = len(text), self.choices, self.pairs, self.stand_together
         out: list[str] = []
         untried: list[tuple[tuple[str, ...], int]] = []  # choices left at the place of each piece
-        failed, at = 0, 0
+        failed, at = None, 0  # a bit for each place that leads nowhere; few parts need any
         options = choices(text, 0)
         k = len(options)
         while at < n:
@@ -186,7 +181,7 @@ class PieceModel:
                 k -= 1
                 piece = options[k]
                 end = at + len(piece)
-                if failed and failed >> end & 1:
+                if failed is not None and failed[end >> 3] >> (end & 7) & 1:
                     continue
                 fits = last is None or pairs.get((last, piece))
                 if fits or (fits is None and check(last, piece)):
@@ -198,7 +193,9 @@ class PieceModel:
                         k = len(options)
                     break
             else:
-                failed |= 1 << at
+                if failed is None:
+                    failed = bytearray((n >> 3) + 1)
+                failed[at >> 3] |= 1 << (at & 7)
                 at -= len(out.pop())
                 options, k = untried.pop()
         return out

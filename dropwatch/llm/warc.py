@@ -53,6 +53,9 @@ def decide(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     )
 
 
+END = b"\r\n\r\n"  # behind the block of every record
+
+
 def _head(kind: str, record: str, url: str, sha1: str, http: int, length: int, page: int, refers: int) -> bytes:
     lines = [
         "WARC/1.1",
@@ -78,11 +81,13 @@ def _chunks(record: str, kind: str, url: str, payload: memoryview, sha1: str, pa
     body = payload if kind == "response" else payload[:0]
     carried = hashlib.sha1()
     yield record, 0, False, _head(kind, record, url, sha1, len(http), len(payload), page, refers), None
-    yield record, 1, not len(body), http, carried.hexdigest()
+    yield record, 1, False, http, carried.hexdigest()
+    k = 1
     for k, at in enumerate(range(0, len(body), chunk), 2):
         part = body[at : at + chunk]
         carried.update(part)
-        yield record, k, at + chunk >= len(body), part, carried.hexdigest()
+        yield record, k, False, part, carried.hexdigest()
+    yield record, k + 1, True, END, carried.hexdigest()
 
 
 def write_archive(pages: DataFrame, least_bytes: int = 0, chunk: int = CHUNK) -> DataFrame:
@@ -139,12 +144,14 @@ class RecordReader:
     def follows(self, record: str, chunk: int) -> bool:
         return self.record == record and chunk == self.chunk + 1
 
-    def add(self, chunk: int, data: memoryview, running: str) -> None:
+    def add(self, chunk: int, data: memoryview, running: str, last: bool) -> None:
         self.chunk = chunk
-        self.block += len(data)
+        if last and data != END:
+            raise ValueError(f"record {self.record}: damaged, no end behind its block")
+        self.block += 0 if last else len(data)
         if chunk == 1:
             self.http = bytes(data)
-        else:
+        elif not last:
             self.digest.update(data)
             self.payload += len(data)
         if self.digest.hexdigest() != running:
@@ -193,7 +200,7 @@ def _reader(final: bool):
                     held, held_bytes = [], 0
                     reader.start(record, bytes(body))
                 elif known:
-                    reader.add(chunk, body, running)
+                    reader.add(chunk, body, running, last)
                 if not known:
                     out.append(row)
                 elif last:

@@ -71,3 +71,11 @@ def test_near_duplicates_without_a_doc_id(spark):
     df = docs(spark, [base, base + " more", prose(2, 100), prose(2, 100) + " more"], ids=[None, None, 7, 7])
     found = [r.text.removesuffix(" more") for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()]
     assert sorted(found) == sorted([base, prose(2, 100)])
+
+
+def test_near_duplicates_keep_wordless_rows_and_take_any_column(spark):
+    base = prose(1, 80)
+    df = docs(spark, [base, base, "", "", None, " ", base], ids=[1, 1, 2, 2, 2, 3, 4])
+    df = df.withColumn("more", F.create_map(F.lit("a"), F.col("doc_id")))
+    kept = corpus_pipeline.near_duplicates(spark, df, "")
+    assert sorted((r.doc_id for r in kept.collect())) == [1, 2, 2, 2, 3] and kept.columns == df.columns

@@ -1,6 +1,7 @@
 """Chat formatting, personal data, language ID, pieces and archives."""
 
 import random
+import time
 
 import brute
 import duckdb
@@ -184,6 +185,33 @@ def test_archives_read_back(spark, monkeypatch, chunk):
     assert rows_of(warc.read_archive(shuffled), *PAGE) == sorted(brute.archive_rows([(p, h) for p, _, h in rows]), key=repr)
 
 
+def test_the_chunks_of_an_archive_are_a_warc_file(spark):
+    rows, df = pages(spark)
+    chunks = warc.write_archive(df, chunk=1000).orderBy("record", "chunk").collect()
+    raw, found = b"".join(bytes(r.data) for r in chunks), []
+    while raw:
+        head, raw = raw.split(b"\r\n\r\n", 1)
+        fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+        n = int(fields["Content-Length"])
+        assert head.startswith(b"WARC/1.1") and raw[n : n + 4] == b"\r\n\r\n"
+        payload = raw[:n].split(b"\r\n\r\n", 1)[1]
+        found.append((int(fields["X-Page-ID"]), payload if fields["WARC-Type"] == "response" else None))
+        raw = raw[n + 4 :]
+    texts = {p: (h or "").encode() for p, _, h in rows}
+    assert sorted(p for p, _ in found) == sorted(texts)
+    assert all(payload is None or payload == texts[p] for p, payload in found)
+
+
+def test_an_unbroken_part_takes_linear_time():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, r = pieces.model(path), random.Random(2)
+    text = "".join(r.choices("etaoinshrdlu", k=1_000_000))
+    begin = time.perf_counter()
+    ids = model.encode(text)
+    assert time.perf_counter() - begin < 60
+    assert ids == sentencepiece.SentencePieceProcessor(model_file=path).encode(text, add_eos=True)
+
+
 def test_archive_edges(spark):
     rows = [(5, "u", "x"), (5, "u", "x"), (5, "u", "y"), (None, "u", "x"), (None, "u", "z")]
     df = spark.createDataFrame(rows, PAGES)
