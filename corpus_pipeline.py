@@ -34,13 +34,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = minhash.groups(docs, k=5).where("kept")
-    did, key, copy = (unused(docs, name) for name in ("did", "key", "copy"))
-    kept = kept.select(id_of().alias(did), F.col("tkey").alias(key)).distinct()
+    did, key, copy, empty = (unused(docs, name) for name in ("did", "key", "copy", "empty"))
+    kept = kept.select(id_of().alias(did), F.col("tkey").alias(key), (F.col("n_shingles") == 0).alias(empty))
     rows = docs.withColumns({did: id_of(), key: F.xxhash64(text_of())})
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    copies = Window.partitionBy(did, key).orderBy(did, *rest)
-    stay = rows.join(kept, [did, key], "left_semi").withColumn(copy, F.row_number().over(copies))
-    return stay.where(F.col(copy) == 1).select(docs.columns)
+    # As JSON, columns of any type have an order.
+    rest = F.to_json(F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")], did))
+    copies = Window.partitionBy(did, key).orderBy(rest)
+    stay = rows.join(kept.distinct(), [did, key]).withColumn(copy, F.row_number().over(copies))
+    return stay.where((F.col(copy) == 1) | F.col(empty)).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
