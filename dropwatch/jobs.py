@@ -30,7 +30,7 @@ from dropwatch.operators.counts import daily_clicks_all_levels, daily_counts_all
 from dropwatch.plans import daily, digest, hourly
 from dropwatch.plans.backfill import daily_alerts_backfill, hourly_backfill
 from dropwatch.plans.usage import usage_of_clicks, usage_of_folders
-from dropwatch.session import configure, staged
+from dropwatch.session import configure, delete_staged, staged
 from dropwatch.sources import readers, sinks
 
 
@@ -307,6 +307,13 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("give one run, or --from and --to")
 
     spark = configure(SparkSession.builder.appName(f"dropwatch-{args.job}").getOrCreate())
+    try:
+        _run(spark, args, many)
+    finally:
+        delete_staged(spark)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace, many: bool) -> None:
     span = (spark, args.input, args.output, args.first, args.last)
     if args.job == "usage":
         if many:

@@ -417,11 +417,10 @@ def _alert_message() -> str:
     columns = ("run_date", *LEVEL_COLS, CLICK_LIST)
     head = [
         "Groups whose clicks fell far below the same weekday of the three weeks before.",
-        f"Minimum clicks: {ALERT.min_clicks:g}",
-        f"Minimum IPUA: {ALERT.min_ipua:g}",
-        f"Minimum domains: {ALERT.min_domain:g}",
-        f"Ratio threshold: {ALERT.ratio:g}",
-        *[f"Level: {', '.join(keys)}" for keys in LEVELS.values()],
+        f"Listed if more than {ALERT.min_clicks:g} clicks were expected, less than",
+        f"{ALERT.ratio:g} of them came, and a usual day has more than",
+        f"{ALERT.min_ipua:g} visitors and {ALERT.min_domain:g} domains.",
+        *[f"One line per {' / '.join(keys)}" for keys in LEVELS.values()],
         " | ".join(columns),
     ]
     order = ", ".join(f"{c} NULLS FIRST" for c in LEVEL_COLS)

@@ -68,11 +68,10 @@ def daily_message(
     title = F.concat(F.lit("Daily traffic alert "), F.col("run_date"))
     head = [
         F.lit("Groups whose clicks fell far below the same weekday of the three weeks before."),
-        F.lit(f"Minimum clicks: {thresholds.min_clicks:g}"),
-        F.lit(f"Minimum IPUA: {thresholds.min_ipua:g}"),
-        F.lit(f"Minimum domains: {thresholds.min_domain:g}"),
-        F.lit(f"Ratio threshold: {thresholds.ratio:g}"),
-        *[F.lit(f"Level: {', '.join(columns)}") for columns in LEVELS.values()],
+        F.lit(f"Listed if more than {thresholds.min_clicks:g} clicks were expected, less than"),
+        F.lit(f"{thresholds.ratio:g} of them came, and a usual day has more than"),
+        F.lit(f"{thresholds.min_ipua:g} visitors and {thresholds.min_domain:g} domains."),
+        *[F.lit(f"One line per {' / '.join(columns)}") for columns in LEVELS.values()],
         F.lit(" | ".join(["run_date", *LEVEL_COLS, CLICK_LIST])),
     ]
     return _message(lines, "run_date", title, head, lines_per_part)

@@ -42,9 +42,24 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Paths that this process has handed out and not yet deleted.
+_own_paths: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/dropwatch/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/dropwatch/{name}-{uuid.uuid4().hex}"
+    _own_paths.append(path)
+    return path
+
+
+def delete_staged(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this process. For the end of a job: results that are still
+    to be computed from them are lost."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _own_paths:
+        path = jvm.org.apache.hadoop.fs.Path(_own_paths.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from helpers import click, clicks_on, days, layer, plan_of, rows_of
 from test_daily import ANY, RUN, steady
 from test_hourly import H5, H6, epoch
 
-from dropwatch import jobs
+from dropwatch import jobs, session
 from dropwatch.plans.daily import CALENDAR
 from dropwatch.sources import readers, sinks
 
@@ -372,3 +372,17 @@ def test_many_months_and_dates_equal_single_runs(spark, tmp_path):
         assert rows_of(a, *shown) == rows_of(b, *shown)
         a, b = (spark.read.parquet(f"{sinks.alert_dir(x, run_date)}/message") for x in (many, one))
         assert rows_of(a, "body") == rows_of(b, "body")
+
+
+def test_a_job_deletes_its_own_intermediate_tables(spark, tmp_path):
+    source, out = str(tmp_path / "logs"), str(tmp_path / "out")
+    for hour, n in ((H5, 5), (H6, 1)):
+        store_log(source, hour, [[("a", epoch(hour), "x")] * n])
+    left = Path(session.fresh_path(spark, "x").removeprefix("file:")).parent
+    session.delete_staged(spark)
+    before = set(left.glob("*")) if left.exists() else set()
+    shown = ["--input", source, "--output", out, "--threshold", "2", "--mode", "event_time"]
+    jobs.main(["hourly", *shown, "--from", H6, "--to", H6])
+    jobs.main(["hourly", *shown, "--run-date", H6[:10], "--run-hour", "06"])
+    assert left.exists() and set(left.glob("*")) == before
+    assert spark.read.csv(f"{sinks.alert_dir(out, H6)}/server_csv", header=True).count() == 1
