@@ -23,7 +23,7 @@ TAILS = "|".join(CONTROL_TAILS)
 CONTROL = rf"[<\[](?:{TAILS})"
 ESCAPABLE = rf"([<\[])(\\*)({TAILS})"
 ESCAPED = rf"([<\[])\\(\\*)({TAILS})"
-TURN = r"(?s)(\[INST\]|<s>|<<SYS>>)(.*?)(\[/INST\]|</s>|<</SYS>>)"
+TURN = r"(?s)\[INST\].*?\[/INST\]|<s>.*?</s>|<<SYS>>.*?<</SYS>>"
 
 
 def escape(text: Column) -> Column:
@@ -44,30 +44,32 @@ def render_turn(role: Column, text: Column) -> Column:
     )
 
 
-def _parse_turn(opener: Column, body: Column) -> Column:
-    system = opener == "<<SYS>>"
-    role = (
-        F.when(opener == "[INST]", F.lit("user"))
-        .when(opener == "<s>", F.lit("assistant"))
-        .otherwise(F.url_decode(F.substring_index(body, "\n", 1)))
-    )
-    text = F.when(system, F.substring(body, F.locate("\n", body) + 1, F.length(body))).otherwise(body)
-    legal = ~text.rlike(CONTROL)
-    return F.struct(role.alias("role"), F.when(legal, unescape(text)).alias("text"))
+def _parse_turn(turn: Column) -> Column:
+    def between(opener: str, closer: str) -> Column:
+        return F.substring(turn, F.lit(len(opener) + 1), F.length(turn) - len(opener) - len(closer))
+
+    user, assistant = turn.startswith("[INST]"), turn.startswith("<s>")
+    system = between("<<SYS>>", "<</SYS>>")
+    head = F.locate("\n", system)
+    role = F.when(user, F.lit("user")).when(assistant, F.lit("assistant"))
+    role = role.otherwise(F.url_decode(F.substring_index(system, "\n", 1)))
+    text = F.when(user, between("[INST]", "[/INST]")).when(assistant, between("<s>", "</s>"))
+    text = text.otherwise(F.when(head > 0, F.substring(system, head + 1, F.length(system))))
+    return F.struct(role.alias("role"), F.when(~text.rlike(CONTROL), unescape(text)).alias("text"))
 
 
 def parse(formatted: Column) -> Column:
-    """The turns of a rendered conversation; text is null in a turn the grammar forbids."""
-    openers = F.regexp_extract_all(formatted, F.lit(TURN), F.lit(1))
-    bodies = F.regexp_extract_all(formatted, F.lit(TURN), F.lit(2))
-    return F.zip_with(openers, bodies, _parse_turn)
+    """The turns of a rendered conversation. Null if there is anything but turns, each closed as it
+    was opened; text is null in a turn that holds what the grammar forbids."""
+    turns = F.transform(F.regexp_extract_all(formatted, F.lit(TURN), F.lit(0)), _parse_turn)
+    return F.when(F.regexp_replace(formatted, TURN, "") == "", turns)
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
     """conv_id, formatted, escaped (boolean), turns (the source: turn, role, text).
 
-    Rendering and escaping are done per turn before the turns of a conversation meet, and the
-    turns are gathered in each task before the shuffle.
+    Turns are gathered in each task before the shuffle; a conversation's are then one value, which
+    is rendered, parsed and compared as a whole.
     """
     role = F.coalesce(F.col("role").cast("string"), F.lit(""))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))

@@ -11,7 +11,7 @@ Links are confirmed on the full sets. First every class is compared with the lea
 buckets, the class that meets most others. Classes of one leader that are then in different groups are compared
 only if the shingles that come first in both, those that the leader lacks before all others, allow
 the similarity (an exact prefix and position filter). So a group of thousands of near copies, close
-or loose, costs about one comparison each, and no link is lost.
+or loose, costs about one comparison each. What is lost are only pairs that meet in no band.
 
 Links are between classes, never between doc_ids, as texts that differ may share one or have none.
 A null or wordless text has the empty set and is linked with nothing. A null doc_id is below all

@@ -37,6 +37,26 @@ def test_chat_reads_back_every_conversation(spark):
     assert chat.read_back(chat.format_conversations(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("rendered", "turns"),
+    [
+        ("[INST]x[/INST]<s>y</s>", [("user", "x"), ("assistant", "y")]),
+        ("<<SYS>>a+b\nz\n<</SYS>>", [("a b", "z\n")]),
+        ("", []),
+        ("[INST]x</s>", None),
+        ("junk[INST]x[/INST]junk", None),
+        ("[INST]x[/INST] <s>y</s>", None),
+        ("[INST]x[/INST]y[/INST]", None),
+        ("<<SYS>>no line<</SYS>>", [("no line", None)]),
+        ("[INST]a<s>b[/INST]", [("user", None)]),
+        (r"[INST]a<\s>b[/INST]", [("user", "a<s>b")]),
+    ],
+)
+def test_the_parser_takes_the_grammar_only(spark, rendered, turns):
+    found = spark.createDataFrame([(rendered,)], "f string").select(chat.parse(F.col("f")).alias("p")).first().p
+    assert (found if found is None else [tuple(t) for t in found]) == turns
+
+
 def test_chat_equals_its_sql(spark):
     connection = duckdb.connect()
     connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
