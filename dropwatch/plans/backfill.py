@@ -32,7 +32,7 @@ from dropwatch.plans.daily import CALENDAR, OBSERVED
 from dropwatch.plans.hourly import (
     low_traffic,
     low_traffic_event_time_runs,
-    missing_hours,
+    missing_among,
     observed_hours,
 )
 
@@ -138,5 +138,5 @@ def hourly_backfill(
         low = low_traffic_event_time_runs(traffic, hours, run_hours, threshold)
     else:
         low = low_traffic(traffic, threshold, run_hours, hours)
-    gaps = missing_hours(hours, run_hours).withColumn("report", F.lit("missing hour"))
+    gaps = missing_among(hours, run_hours).withColumn("report", F.lit("missing hour"))
     return low.withColumn("report", F.lit("low traffic")).unionByName(gaps, allowMissingColumns=True)

@@ -32,7 +32,12 @@ def observed_hours(log: DataFrame, column: str = "dir_hour") -> DataFrame:
     return log.select(F.col(column).alias("hour")).distinct()
 
 
-def missing_hours(hours: DataFrame, run_hours: DataFrame) -> DataFrame:
+def missing_hours(log: DataFrame, run_hours: DataFrame) -> DataFrame:
+    """missing_among the hours of a log's directories."""
+    return missing_among(observed_hours(log), run_hours)
+
+
+def missing_among(hours: DataFrame, run_hours: DataFrame) -> DataFrame:
     """Of the run hours asked for, those whose own hour, or else the hour before, is not among the
     hours that have data; only the run hour itself is reported if both are missing."""
     hours = hours.select("hour", F.lit(True).alias("there"))

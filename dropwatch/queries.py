@@ -377,7 +377,7 @@ def hourly_low_traffic_event_time(spark, sf_dir):
 def _missing(hours):
     """hours is used three times, and staged for that."""
     asked = fixtures.run_hours(hours.withColumnRenamed("hour", "dir_hour"))
-    return hourly.missing_hours(hours, asked)
+    return hourly.missing_among(hours, asked)
 
 
 def _observed_hours(spark, sf_dir):
