@@ -101,16 +101,30 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return spans
 
 
-def words_of(text: str) -> Iterator[tuple[int, int, str]]:
-    """Start, end and what stands before, for every word that can be an instance: the rest of its
-    chunk, or the chunk before."""
-    before = ""
-    for m in CHUNK.finditer(text):
-        chunk, at = m.group(), m.start()
-        for w in WORD.finditer(chunk):
-            if w.end() - w.start() >= LEAST_CHARS:
-                yield at + w.start(), at + w.end(), chunk[: w.start()] or before
-        before = chunk
+REMEMBERED = 1 << 18  # chunks, words or contexts a task remembers before it starts again
+
+
+class Remembered(dict):
+    """What a function gives for each key, computed once per key."""
+
+    def __init__(self, fn):
+        super().__init__()
+        self.fn = fn
+
+    def __missing__(self, key):
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[key] = self.fn(key)
+        return found
+
+
+def _words_in(chunk: str) -> tuple[tuple[int, int, str, str], ...]:
+    """Start, end, and the rest of the chunk before and after, in lower case, of its words."""
+    return tuple(
+        (w.start(), w.end(), chunk[: w.start()].lower(), chunk[w.end() :].lower())
+        for w in WORD.finditer(chunk)
+        if w.end() - w.start() >= LEAST_CHARS
+    )
 
 
 def _number(*parts: str) -> int:
@@ -193,34 +207,76 @@ def _low(column: str) -> Column:
     return F.pmod(column, F.lit(BITS)).cast("int")
 
 
-def free_words(text: str, near: bytes, by_instance: bool) -> Iterator[tuple[int, int, str]]:
-    """The words outside base spans whose bit, or that of the word before, is set in near."""
-    taken, k = None, 0
-    for start, end, before in words_of(text):
-        if not near[_bit(text[start:end] if by_instance else before.lower())]:
-            continue
-        if taken is None:
-            taken = sorted(s for found in base_spans(text).values() for s in found)
-        while k < len(taken) and taken[k][1] <= start:
-            k += 1
-        if k == len(taken) or taken[k][0] >= end:
-            yield start, end, before
+class Finder:
+    """The words of texts that lie outside base spans and whose bits are set: of the piece before a
+    word and of one of its patterns, or of the word itself. Most chunks occur again and again, so what
+    is in them is remembered."""
+
+    def __init__(self, near: bytes, exact: bytes, by_instance: bool):
+        self.words = Remembered(_words_in)
+        self.by_instance = by_instance
+        self.bit = Remembered(lambda w: near[_bit(w)])
+
+        def known(words: tuple[str, ...]) -> int | None:
+            number = _number(*words)
+            return number if exact[number % BITS] else None
+
+        self.pattern = Remembered(known)
+        self.likely = Remembered(lambda w: near[_bit(w)] and exact[_number(w) % BITS])
+
+    def __call__(self, text: str) -> Iterator[tuple[int, int, str, list[str], str, list[int]]]:
+        """Start, end, word, the two pieces before, the piece after, and the patterns found (none if
+        looked for by the word; then start and end may be missing)."""
+        chunks, words, low, bit, taken = text.split(), self.words, str.lower, self.bit, None
+        by_instance, likely = self.by_instance, self.likely
+        hits = []
+        before = ""
+        for k, chunk in enumerate(chunks):
+            # Most chunks are one word, or one with a sign behind it, and can be passed over whole.
+            plain = chunk.isalnum() or (chunk[-1] in ".,;:!?" and chunk[:-1].isalnum())
+            if by_instance:
+                if not plain or likely[chunk if chunk.isalnum() else chunk[:-1]]:
+                    hits += [(k, *w) for w in words[chunk] if likely[chunk[w[0] : w[1]]]]
+                continue
+            if bit[before] or not plain:
+                hits += [(k, *w) for w in words[chunk] if bit[w[2] or before]]
+            before = low(chunk)
+        if not hits:
+            return
+        starts: list[int] = []
+        for k, start, end, head, tail in hits:
+            earlier = [low(c) for c in chunks[max(0, k - 2) : k]] + ([head] if head else [])
+            two, after = earlier[-2:], tail or (low(chunks[k + 1]) if k + 1 < len(chunks) else "")
+            if two and not by_instance:
+                around = ("around", two[-1], after) if after else ("around", two[-1])
+                found = [self.pattern[w] for w in (around, ("two", *two), ("one", two[-1]))]
+                found = [p for p in found if p is not None]
+                if not found:
+                    continue
+            else:
+                found = []
+            if taken is None:
+                taken = sorted(x for spans in base_spans(text).values() for x in spans)
+            if taken or not by_instance:
+                starts = starts or [m.start() for m in CHUNK.finditer(text)]
+                at = starts[k] + start
+                if any(a < at + end - start and at < b for a, b in taken):
+                    continue
+            else:
+                at = -1
+            yield at, at + end - start, chunks[k][start:end], two, after, found
 
 
 def _found(docs: DataFrame, near: bytes, exact: bytes) -> DataFrame:
     """Places whose word before and whose pattern have their bits set, with those patterns."""
 
     def run(batch):
-        out = []
+        find, out = Finder(near, exact, False), []
         for did, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for start, end, _ in free_words(text, near, False):
-                likely = [p for p in patterns(text, start, end) if exact[p % BITS]]
-                if likely:
-                    out.append((did, key, start, end, _number(text[start:end]), _bit(text[start:end]), likely))
+            for start, end, word, _, _, found in find(text):
+                out.append((did, key, start, end, _number(word), _bit(word), " ".join(map(str, found))))
         if out:
-            columns = [list(c) for c in zip(*out, strict=True)]
-            columns[6] = [" ".join(map(str, p)) for p in columns[6]]
-            yield columns
+            yield [list(c) for c in zip(*out, strict=True)]
 
     schema = "did long, key long, start long, end long, instance long, bit int, patterns string"
     return map_batches(_rows(docs), run, schema)
@@ -230,11 +286,10 @@ def _counted(docs: DataFrame, near: bytes, exact: bytes, by_instance: bool) -> D
     """How many free places each pattern, or each instance, has whose bits are set: number, n."""
 
     def run(batch):
-        counts: Counter[int] = Counter()
+        find, counts = Finder(near, exact, by_instance), Counter()
         for text in batch.column(2).to_pylist():
-            for start, end, _ in free_words(text, near, by_instance):
-                numbers = [_number(text[start:end])] if by_instance else patterns(text, start, end)
-                counts.update(x for x in numbers if exact[x % BITS])
+            for _, _, word, _, _, found in find(text):
+                counts.update((_number(word),) if by_instance else found)
         if counts:
             yield [list(counts), list(counts.values())]
 
@@ -246,12 +301,13 @@ def _places_of(docs: DataFrame, near: bytes, exact: bytes) -> DataFrame:
     """instance, bit of the word before, pattern of every free place of likely instances."""
 
     def run(batch):
-        out = []
+        find, out = Finder(near, exact, True), []
         for text in batch.column(2).to_pylist():
-            for start, end, before in free_words(text, near, True):
-                instance = _number(text[start:end])
-                if before and exact[instance % BITS]:
-                    out += [(instance, _bit(before.lower()), p) for p in patterns(text, start, end)]
+            for _, _, word, two, after, _ in find(text):
+                if two:
+                    around = ("around", two[-1], after) if after else ("around", two[-1])
+                    contexts = (around, ("two", *two), ("one", two[-1]))
+                    out += [(_number(word), _bit(two[-1]), _number(*c)) for c in contexts]
         if out:
             yield [list(c) for c in zip(*out, strict=True)]
 
