@@ -32,6 +32,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +102,7 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return spans
 
 
+_hash = xxhash.xxh3_64_intdigest
 REMEMBERED = 1 << 18  # chunks, words or contexts a task remembers before it starts again
 
 
@@ -129,8 +131,11 @@ def _words_in(chunk: str) -> tuple[tuple[int, int, str, str], ...]:
 
 def _number(*parts: str) -> int:
     """A 64-bit number for a pattern or an instance."""
-    raw = hashlib.blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-    return int.from_bytes(raw, "little", signed=True)
+    return _signed(_hash("\x00".join(parts).encode("utf-8", "surrogatepass")))
+
+
+def _signed(number: int) -> int:
+    return number - (1 << 64) if number >> 63 else number
 
 
 def _bit(word: str) -> int:
@@ -213,58 +218,58 @@ class Finder:
     is in them is remembered."""
 
     def __init__(self, near: bytes, exact: bytes, by_instance: bool):
-        self.words = Remembered(_words_in)
-        self.by_instance = by_instance
+        self.words, self.exact, self.by_instance = Remembered(_words_in), exact, by_instance
         self.bit = Remembered(lambda w: near[_bit(w)])
-
-        def known(words: tuple[str, ...]) -> int | None:
-            number = _number(*words)
-            return number if exact[number % BITS] else None
-
-        self.pattern = Remembered(known)
         self.likely = Remembered(lambda w: near[_bit(w)] and exact[_number(w) % BITS])
 
+    def patterns(self, before: str, one: str, after: str) -> list[int]:
+        """The patterns around a place whose bits are set."""
+        exact, found = self.exact, []
+        kinds = (f"around\0{one}\0{after}" if after else f"around\0{one}", f"two\0{before}\0{one}" if before else f"two\0{one}", f"one\0{one}")
+        for kind in kinds:
+            number = _hash(kind.encode("utf-8", "surrogatepass"))
+            if exact[number % BITS]:
+                found.append(_signed(number))
+        return found
+
     def __call__(self, text: str) -> Iterator[tuple[int, int, str, list[str], str, list[int]]]:
         """Start, end, word, the two pieces before, the piece after, and the patterns found (none if
         looked for by the word; then start and end may be missing)."""
-        chunks, words, low, bit, taken = text.split(), self.words, str.lower, self.bit, None
-        by_instance, likely = self.by_instance, self.likely
-        hits = []
+        chunks, lows = text.split(), text.lower().split()
+        if len(lows) != len(chunks):
+            lows = [c.lower() for c in chunks]
+        words, bit, by_instance, likely = self.words, self.bit, self.by_instance, self.likely
+        taken, starts, n = None, [], len(chunks)
         before = ""
         for k, chunk in enumerate(chunks):
+            last, before = before, lows[k]
             # Most chunks are one word, or one with a sign behind it, and can be passed over whole.
             plain = chunk.isalnum() or (chunk[-1] in ".,;:!?" and chunk[:-1].isalnum())
             if by_instance:
-                if not plain or likely[chunk if chunk.isalnum() else chunk[:-1]]:
-                    hits += [(k, *w) for w in words[chunk] if likely[chunk[w[0] : w[1]]]]
-                continue
-            if bit[before] or not plain:
-                hits += [(k, *w) for w in words[chunk] if bit[w[2] or before]]
-            before = low(chunk)
-        if not hits:
-            return
-        starts: list[int] = []
-        for k, start, end, head, tail in hits:
-            earlier = [low(c) for c in chunks[max(0, k - 2) : k]] + ([head] if head else [])
-            two, after = earlier[-2:], tail or (low(chunks[k + 1]) if k + 1 < len(chunks) else "")
-            if two and not by_instance:
-                around = ("around", two[-1], after) if after else ("around", two[-1])
-                found = [self.pattern[w] for w in (around, ("two", *two), ("one", two[-1]))]
-                found = [p for p in found if p is not None]
-                if not found:
+                if plain and not likely[chunk if chunk.isalnum() else chunk[:-1]]:
                     continue
-            else:
-                found = []
-            if taken is None:
-                taken = sorted(x for spans in base_spans(text).values() for x in spans)
-            if taken or not by_instance:
-                starts = starts or [m.start() for m in CHUNK.finditer(text)]
-                at = starts[k] + start
-                if any(a < at + end - start and at < b for a, b in taken):
-                    continue
-            else:
+            elif plain and not bit[last]:
+                continue
+            for start, end, head, tail in words[chunk]:
+                word, one = chunk[start:end], head or last
+                earlier = last if head else lows[k - 2] if k > 1 else ""
+                after, found = tail or (lows[k + 1] if k + 1 < n else ""), []
+                if by_instance:
+                    if not likely[word]:
+                        continue
+                else:
+                    found = self.patterns(earlier, one, after) if one and bit[one] else found
+                    if not found:
+                        continue
+                if taken is None:
+                    taken = sorted(x for spans in base_spans(text).values() for x in spans)
                 at = -1
-            yield at, at + end - start, chunks[k][start:end], two, after, found
+                if taken or not by_instance:
+                    starts = starts or [m.start() for m in CHUNK.finditer(text)]
+                    at = starts[k] + start
+                    if any(a < at + end - start and at < b for a, b in taken):
+                        continue
+                yield at, at + end - start, word, [x for x in (earlier, one) if x], after, found
 
 
 def _found(docs: DataFrame, near: bytes, exact: bytes) -> DataFrame:
