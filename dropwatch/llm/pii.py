@@ -27,13 +27,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropwatch.llm.common import id_of, map_batches, text_of, unused
@@ -45,6 +44,8 @@ LEAST_SHARE = 0.05  # of a pattern's places that hold known instances
 LEAST_INSIDE = 0.1  # of an instance's places that lie in trusted patterns
 LEAST_CHARS = 3  # of an instance
 BITS = 1 << 18  # of the map that tells which words to look at closer
+BLOCK = 1 << 21  # characters whose words a task holds as arrays at a time, or one longer text
+REMEMBERED = 1 << 18  # chunks of text a task remembers before it starts again
 
 # The patterns of the base kinds. Possessive and look-behind forms match the same
 # texts as the plain ones and take linear time.
@@ -102,44 +103,9 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return spans
 
 
-_hash = xxhash.xxh3_64_intdigest
-REMEMBERED = 1 << 18  # chunks, words or contexts a task remembers before it starts again
-
-
-class Remembered(dict):
-    """What a function gives for each key, computed once per key."""
-
-    def __init__(self, fn):
-        super().__init__()
-        self.fn = fn
-
-    def __missing__(self, key):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[key] = self.fn(key)
-        return found
-
-
-def _words_in(chunk: str) -> tuple[tuple[int, int, str, str], ...]:
-    """Start, end, and the rest of the chunk before and after, in lower case, of its words."""
-    return tuple(
-        (w.start(), w.end(), chunk[: w.start()].lower(), chunk[w.end() :].lower())
-        for w in WORD.finditer(chunk)
-        if w.end() - w.start() >= LEAST_CHARS
-    )
-
-
-def _number(*parts: str) -> int:
-    """A 64-bit number for a pattern or an instance."""
-    return _signed(_hash("\x00".join(parts).encode("utf-8", "surrogatepass")))
-
-
-def _signed(number: int) -> int:
-    return number - (1 << 64) if number >> 63 else number
-
-
-def _bit(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BITS
+def _number(word: str) -> int:
+    """The 64-bit number of a word or piece; 0 stands for none."""
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
 def _pieces(text: str, start: int, end: int, step: int, wanted: int) -> list[str]:
@@ -155,32 +121,45 @@ def _pieces(text: str, start: int, end: int, step: int, wanted: int) -> list[str
         reach *= 4
 
 
-def patterns(text: str, start: int, end: int) -> list[int]:
-    before = [w.lower() for w in _pieces(text, start, end, -1, 2)]
-    if not before:
-        return []
-    after = [w.lower() for w in _pieces(text, start, end, 1, 1)]
-    one = before[-1]
-    return [_number("around", one, *after), _number("two", *before), _number("one", one)]
+def _mixed(kind: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A 64-bit number of a kind of pattern and the numbers of two pieces, in this order."""
+    x = first * np.uint64(0x9E3779B97F4A7C15) + np.uint64(kind)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + second
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
+def patterns(earlier: np.ndarray, one: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The three patterns (rows) of places with these pieces around them."""
+    return np.stack([_mixed(1, one, after), _mixed(2, earlier, one), _mixed(3, np.zeros_like(one), one)])
 
 
-def describe(text: str) -> tuple[list[int], str, str]:
-    """Counts by kind, base spans, and the seeds: instance, bit of the word before, patterns."""
+def describe(text: str) -> tuple[list[int], str, list[tuple[int, int, int, int]]]:
+    """Counts by kind, base spans, and the numbers of each seed and the pieces around it."""
     spans = base_spans(text)
     base = ",".join(f"{kind}:{a}:{b}" for kind in KINDS for a, b in spans[kind])
     seeds = []
     for a, b in (s for found in spans.values() for s in found):
-        before = _pieces(text, a, b, -1, 1)
+        before = [_number(w.lower()) for w in _pieces(text, a, b, -1, 2)]
         if before:
-            fields = [_number(text[a:b]), _bit(before[0].lower()), *patterns(text, a, b)]
-            seeds.append(" ".join(map(str, fields)))
-    return [len(spans[kind]) for kind in KINDS], base, ",".join(seeds)
+            after = [_number(w.lower()) for w in _pieces(text, a, b, 1, 1)]
+            seeds.append((_number(text[a:b]), before[0] if len(before) > 1 else 0, before[-1], *(after or [0])))
+    return [len(spans[kind]) for kind in KINDS], base, seeds
 
 
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(id_of().alias("did"), F.xxhash64(text_of()).alias("key"), text_of().alias("text"))
 
 
+def _seeds(found: list[tuple[int, int, int, int]]) -> str:
+    """Instance and patterns of each seed."""
+    if not found:
+        return ""
+    instance, *around = np.array(found, np.uint64).T
+    rows = np.vstack([instance.view(np.int64), patterns(*around)]).T
+    return ",".join(" ".join(map(str, row)) for row in rows.tolist())
+
+
 def _describe_all(docs: DataFrame) -> DataFrame:
     def run(batch):
         counts, base, digests, seeds = [], [], [], []
@@ -189,7 +168,7 @@ def _describe_all(docs: DataFrame) -> DataFrame:
             counts.append(n)
             base.append(spans)
             digests.append(hashlib.sha256(spans.encode()).hexdigest())
-            seeds.append(found)
+            seeds.append(_seeds(found))
         by_kind = [[n[k] for n in counts] for k in range(len(KINDS))]
         yield [batch.column(0), batch.column(1), *by_kind, digests, base, seeds]
 
@@ -200,171 +179,225 @@ def _describe_all(docs: DataFrame) -> DataFrame:
     return map_batches(_rows(docs), run, schema)
 
 
-def bit_map(bits: DataFrame) -> bytes:
-    """A byte for each bit, set for those of the only column; BITS rows come to the driver at most."""
-    found = bytearray(BITS)
-    for (bit,) in bits.distinct().collect():
-        found[bit] = 1
-    return bytes(found)
-
-
-def _low(column: str) -> Column:
-    return F.pmod(column, F.lit(BITS)).cast("int")
-
-
-class Finder:
-    """The words of texts that lie outside base spans and whose bits are set: of the piece before a
-    word and of one of its patterns, or of the word itself. Most chunks occur again and again, so what
-    is in them is remembered."""
-
-    def __init__(self, near: bytes, exact: bytes, by_instance: bool):
-        self.words, self.exact, self.by_instance = Remembered(_words_in), exact, by_instance
-        self.bit = Remembered(lambda w: near[_bit(w)])
-        self.likely = Remembered(lambda w: near[_bit(w)] and exact[_number(w) % BITS])
-
-    def patterns(self, before: str, one: str, after: str) -> list[int]:
-        """The patterns around a place whose bits are set."""
-        exact, found = self.exact, []
-        kinds = (f"around\0{one}\0{after}" if after else f"around\0{one}", f"two\0{before}\0{one}" if before else f"two\0{one}", f"one\0{one}")
-        for kind in kinds:
-            number = _hash(kind.encode("utf-8", "surrogatepass"))
-            if exact[number % BITS]:
-                found.append(_signed(number))
-        return found
-
-    def __call__(self, text: str) -> Iterator[tuple[int, int, str, list[str], str, list[int]]]:
-        """Start, end, word, the two pieces before, the piece after, and the patterns found (none if
-        looked for by the word; then start and end may be missing)."""
-        chunks, lows = text.split(), text.lower().split()
-        if len(lows) != len(chunks):
-            lows = [c.lower() for c in chunks]
-        words, bit, by_instance, likely = self.words, self.bit, self.by_instance, self.likely
-        taken, starts, n = None, [], len(chunks)
-        before = ""
-        for k, chunk in enumerate(chunks):
-            last, before = before, lows[k]
-            # Most chunks are one word, or one with a sign behind it, and can be passed over whole.
-            plain = chunk.isalnum() or (chunk[-1] in ".,;:!?" and chunk[:-1].isalnum())
-            if by_instance:
-                if plain and not likely[chunk if chunk.isalnum() else chunk[:-1]]:
-                    continue
-            elif plain and not bit[last]:
-                continue
-            for start, end, head, tail in words[chunk]:
-                word, one = chunk[start:end], head or last
-                earlier = last if head else lows[k - 2] if k > 1 else ""
-                after, found = tail or (lows[k + 1] if k + 1 < n else ""), []
-                if by_instance:
-                    if not likely[word]:
-                        continue
-                else:
-                    found = self.patterns(earlier, one, after) if one and bit[one] else found
-                    if not found:
-                        continue
-                if taken is None:
-                    taken = sorted(x for spans in base_spans(text).values() for x in spans)
-                at = -1
-                if taken or not by_instance:
-                    starts = starts or [m.start() for m in CHUNK.finditer(text)]
-                    at = starts[k] + start
-                    if any(a < at + end - start and at < b for a, b in taken):
-                        continue
-                yield at, at + end - start, word, [x for x in (earlier, one) if x], after, found
-
-
-def _found(docs: DataFrame, near: bytes, exact: bytes) -> DataFrame:
-    """Places whose word before and whose pattern have their bits set, with those patterns."""
+def bit_map(numbers: DataFrame) -> np.ndarray:
+    """A flag for each remainder of BITS, set for those of the only column; BITS rows come to the
+    driver at most."""
+    found = np.zeros(BITS, bool)
+    for (bit,) in numbers.select(F.pmod(numbers.columns[0], F.lit(BITS)).alias("bit")).distinct().collect():
+        found[bit] = True
+    return found
+
+
+class Vocabulary(dict):
+    """A place in arrays for each chunk of text: the number of the chunk in lower case, and of its
+    words start, end, number, and the numbers of what is before and after them in the chunk. Place 0
+    is no chunk."""
+
+    WORDS = (("start", np.int64), ("end", np.int64), ("instance", np.uint64), ("head", np.uint64), ("tail", np.uint64))
+
+    def __init__(self):
+        super().__init__()
+        self.low, self.first, self.count = np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.words = {name: np.zeros(0, kind) for name, kind in self.WORDS}
+        self.new, self.new_words = [], []
+
+    def __missing__(self, chunk: str) -> int:
+        at = self[chunk] = len(self.low) + len(self.new)
+        n = len(self.new_words)
+        for w in WORD.finditer(chunk):
+            start, end = w.span()
+            if end - start >= LEAST_CHARS:
+                head, tail = chunk[:start].lower(), chunk[end:].lower()
+                self.new_words.append((start, end, _number(w.group()), head and _number(head), tail and _number(tail)))
+        self.new.append((_number(chunk.lower()), len(self.words["start"]) + n, len(self.new_words) - n))
+        return at
+
+    def settle(self) -> None:
+        """Moves what was added to the arrays."""
+        if self.new:
+            low, first, count = zip(*self.new, strict=True)
+            self.low = np.append(self.low, np.array(low, np.uint64))
+            self.first, self.count = np.append(self.first, first), np.append(self.count, count)
+        if self.new_words:
+            for (name, kind), column in zip(self.WORDS, zip(*self.new_words, strict=True), strict=True):
+                self.words[name] = np.append(self.words[name], np.array([x or 0 for x in column], kind))
+        self.new, self.new_words = [], []
+
+
+def _blocks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """The texts in blocks of about BLOCK characters, and the place of each block's first one."""
+    begin, size = 0, 0
+    for k, text in enumerate(texts):
+        size += len(text)
+        if size >= BLOCK:
+            yield begin, texts[begin : k + 1]
+            begin, size = k + 1, 0
+    if begin < len(texts):
+        yield begin, texts[begin:]
+
+
+class Block:
+    """The words of some texts that lie outside base spans, as arrays: their text, chunk and place in
+    the vocabulary, their number, and the numbers of the pieces around them (0: none)."""
+
+    def __init__(self, texts: list[str], vocabulary: Vocabulary):
+        self.texts, self.chunk_starts = texts, {}
+        # Two places of no chunk before each text and one behind it.
+        ids, sizes = [], []
+        for text in texts:
+            chunks = text.split()
+            ids += [0, 0, *map(vocabulary.__getitem__, chunks), 0]
+            sizes.append(len(chunks) + 3)
+        vocabulary.settle()
+        ids, sizes = np.array(ids, np.int64), np.array(sizes, np.int64)
+        low, count, words = vocabulary.low[ids], vocabulary.count[ids], vocabulary.words
+        k = np.repeat(np.arange(len(ids)), count)
+        w = np.arange(len(k)) + np.repeat(vocabulary.first[ids] - (np.cumsum(count) - count), count)
+        begins = np.cumsum(sizes) - sizes
+        self.text = np.repeat(np.arange(len(texts)), sizes)[k]
+        self.chunk = k - begins[self.text] - 2
+        self.start, self.end, self.instance = words["start"][w], words["end"][w], words["instance"][w].view(np.int64)
+        head, tail = words["head"][w], words["tail"][w]
+        self.one = np.where(head > 0, head, low[k - 1])
+        self.earlier = np.where(head > 0, low[k - 1], low[k - 2])
+        self.after = np.where(tail > 0, tail, low[k + 1])
+        self._keep(self._free())
+
+    def _keep(self, which: np.ndarray) -> None:
+        for name in ("text", "chunk", "start", "end", "instance", "one", "earlier", "after"):
+            setattr(self, name, getattr(self, name)[which])
+
+    def starts(self, text: int) -> np.ndarray:
+        """Where the chunks of a text start."""
+        if text not in self.chunk_starts:
+            self.chunk_starts[text] = np.array([m.start() for m in CHUNK.finditer(self.texts[text])], np.int64)
+        return self.chunk_starts[text]
+
+    def _free(self) -> np.ndarray:
+        free = np.ones(len(self.text), bool)
+        for k, text in enumerate(self.texts):
+            taken = sorted(x for spans in base_spans(text).values() for x in spans)
+            a, b = np.searchsorted(self.text, (k, k + 1))
+            if taken and a < b:
+                begins, ends = np.array(taken, np.int64).T
+                at = self.starts(k)[self.chunk[a:b]]
+                # Spans of different kinds may overlap: the furthest end of those that begin before.
+                before = np.searchsorted(begins, at + self.end[a:b])
+                furthest = np.append(0, np.maximum.accumulate(ends))[before]
+                free[a:b] = furthest <= at + self.start[a:b]
+        return free
+
+    def having(self, flags: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        return flags[numbers & (BITS - 1)]
+
+    def patterns(self) -> np.ndarray:
+        return patterns(self.earlier, self.one, self.after)
+
+    def spans(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end in their texts of the words at these places."""
+        base = np.zeros(len(which), np.int64)
+        texts, chunks = self.text[which], self.chunk[which]
+        for text in np.unique(texts):
+            here = texts == text
+            base[here] = self.starts(text)[chunks[here]]
+        return base + self.start[which], base + self.end[which]
+
+
+def _read(texts: list[str], vocabulary: list[Vocabulary]) -> Iterator[tuple[int, Block]]:
+    """Blocks of the texts; a vocabulary of REMEMBERED chunks starts again."""
+    for begin, block in _blocks(texts):
+        if not vocabulary or len(vocabulary[0]) >= REMEMBERED:
+            vocabulary[:] = [Vocabulary()]
+        yield begin, Block(block, vocabulary[0])
+
+
+def _found(docs: DataFrame, flags: np.ndarray) -> DataFrame:
+    """The free places that may have a pattern of the bit map, with their patterns."""
+    vocabulary = []
 
     def run(batch):
-        find, out = Finder(near, exact, False), []
-        for did, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for start, end, word, _, _, found in find(text):
-                out.append((did, key, start, end, _number(word), _bit(word), " ".join(map(str, found))))
-        if out:
-            yield [list(c) for c in zip(*out, strict=True)]
-
-    schema = "did long, key long, start long, end long, instance long, bit int, patterns string"
+        did, key, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
+        for begin, block in _read(texts, vocabulary):
+            numbers = block.patterns()
+            which = np.flatnonzero((block.one > 0) & block.having(flags, numbers).any(axis=0))
+            if len(which):
+                rows = begin + block.text[which]
+                yield [did.take(rows), key.take(rows), *block.spans(which), block.instance[which], *numbers[:, which]]
+
+    schema = "did long, key long, start long, end long, instance long, around long, two long, one long"
     return map_batches(_rows(docs), run, schema)
 
 
-def _counted(docs: DataFrame, near: bytes, exact: bytes, by_instance: bool) -> DataFrame:
+def _counted(docs: DataFrame, flags: np.ndarray, by_instance: bool) -> DataFrame:
     """How many free places each pattern, or each instance, has whose bits are set: number, n."""
+    vocabulary = []
 
     def run(batch):
-        find, counts = Finder(near, exact, by_instance), Counter()
-        for text in batch.column(2).to_pylist():
-            for _, _, word, _, _, found in find(text):
-                counts.update((_number(word),) if by_instance else found)
-        if counts:
-            yield [list(counts), list(counts.values())]
+        for _, block in _read(batch.column(2).to_pylist(), vocabulary):
+            numbers = block.instance if by_instance else block.patterns()[:, block.one > 0].ravel()
+            found, n = np.unique(numbers[block.having(flags, numbers)], return_counts=True)
+            if len(found):
+                yield [found, n]
 
     counted = map_batches(_rows(docs), run, "number long, n long")
     return counted.groupBy("number").agg(F.sum("n").alias("n"))
 
 
-def _places_of(docs: DataFrame, near: bytes, exact: bytes) -> DataFrame:
-    """instance, bit of the word before, pattern of every free place of likely instances."""
+def _places_of(docs: DataFrame, flags: np.ndarray) -> DataFrame:
+    """instance, pattern of every free place of likely instances."""
+    vocabulary = []
 
     def run(batch):
-        find, out = Finder(near, exact, True), []
-        for text in batch.column(2).to_pylist():
-            for _, _, word, two, after, _ in find(text):
-                if two:
-                    around = ("around", two[-1], after) if after else ("around", two[-1])
-                    contexts = (around, ("two", *two), ("one", two[-1]))
-                    out += [(_number(word), _bit(two[-1]), _number(*c)) for c in contexts]
-        if out:
-            yield [list(c) for c in zip(*out, strict=True)]
+        for _, block in _read(batch.column(2).to_pylist(), vocabulary):
+            which = (block.one > 0) & block.having(flags, block.instance)
+            if which.any():
+                yield [np.tile(block.instance[which], 3), block.patterns()[:, which].ravel()]
 
-    return map_batches(_rows(docs), run, "instance long, bit int, pattern long")
+    return map_batches(_rows(docs), run, "instance long, pattern long")
 
 
 def trusted_patterns(edges: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """pattern, bit, trust of the patterns that the edges (pattern, bit, instance, score, seeds,
-    others: places of the known instance) and all places of the texts speak for."""
+    """pattern, trust of the patterns that the edges (pattern, instance, score, seeds, others: places of the known instance) and all places of the texts speak for."""
     pos = F.sum("score")
     known = edges.groupBy("pattern").agg(
-        F.first("bit").alias("bit"),
         (pos / (pos + 1)).alias("trust"),
         F.sum("seeds").alias("seeds"),
         F.sum("others").alias("others"),
     )
     known = staged(known.where(F.round("trust", 9) >= TRUSTED), f"pii-candidates-{name}")
-    near, exact = bit_map(known.select("bit")), bit_map(known.select(_low("pattern")))
-    if not any(near):
-        return known.select("pattern", "bit", "trust")
-    places = _counted(docs, near, exact, False).withColumnRenamed("number", "pattern")
+    flags = bit_map(known.select("pattern"))
+    if not flags.any():
+        return known.select("pattern", "trust")
+    places = _counted(docs, flags, False).withColumnRenamed("number", "pattern")
     share = (F.col("seeds") + F.col("others")) / (F.col("seeds") + F.greatest("others", F.coalesce("n", F.lit(0))))
     judged = known.join(places, "pattern", "left").where(share >= LEAST_SHARE)
-    return staged(judged.select("pattern", "bit", "trust"), f"pii-trusted-{name}")
+    return staged(judged.select("pattern", "trust"), f"pii-trusted-{name}")
 
 
 def accepted(trusted: DataFrame, docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """The places in trusted patterns, and of their instances instance, bit, score that are accepted."""
-    near, exact = bit_map(trusted.select("bit")), bit_map(trusted.select(_low("pattern")))
-    found = _found(docs, near, exact).withColumn("m", F.monotonically_increasing_id())
+    """The places in trusted patterns, and of their instances instance, score that are accepted."""
+    found = _found(docs, bit_map(trusted.select("pattern"))).withColumn("m", F.monotonically_increasing_id())
     found = staged(found, f"pii-found-{name}")
-    listed = found.withColumn("pattern", F.explode(F.split("patterns", " ").cast("array<long>")))
+    listed = found.withColumn("pattern", F.explode(F.array("around", "two", "one")))
     sure = listed.join(trusted.select("pattern", "trust"), "pattern")
-    places = sure.groupBy("instance", "bit").agg(F.count_distinct("m").alias("inside"))
+    places = sure.groupBy("instance").agg(F.count_distinct("m").alias("inside"))
     doubt = F.sum(F.log(1 - F.col("trust")))
     belief = sure.select("instance", "pattern", "trust").distinct().groupBy("instance")
     belief = belief.agg((1 - F.exp(doubt)).alias("belief"))
     likely = staged(places.join(belief, "instance"), f"pii-likely-{name}")
-    near, exact = bit_map(likely.select("bit")), bit_map(likely.select(_low("instance")))
-    total = _counted(docs, near, exact, True).withColumnRenamed("number", "instance")
+    total = _counted(docs, bit_map(likely.select("instance")), True).withColumnRenamed("number", "instance")
     known = likely.join(total, "instance").where(F.col("inside") >= LEAST_INSIDE * F.col("n"))
     mentions = sure.select("did", "key", "start", "end", "instance").distinct()
-    known = known.select("instance", "bit", F.col("belief").alias("score"))
+    known = known.select("instance", F.col("belief").alias("score"))
     return mentions, staged(known, f"pii-accepted-{name}")
 
 
 def discovered(seeds: DataFrame, docs: DataFrame) -> DataFrame | None:
     """did, key, start, end of the places of identifiers found by context; None without any. seeds
-    has instance, bit, pattern per place of a seed."""
+    has instance, pattern per place of a seed."""
     one = F.lit(1.0)
-    edges = seeds.groupBy("pattern", "instance").agg(F.first("bit").alias("bit"), F.count("*").alias("seeds"))
-    edges = edges.select("pattern", "bit", "instance", one.alias("score"), "seeds", F.lit(0).cast("long").alias("others"))
+    edges = seeds.groupBy("pattern", "instance").agg(F.count("*").alias("seeds"))
+    edges = edges.select("pattern", "instance", one.alias("score"), "seeds", F.lit(0).cast("long").alias("others"))
     first = staged(edges, "pii-edges")
     edges, before, mentions, known = first, 0, None, None
     k = 0
@@ -374,13 +407,12 @@ def discovered(seeds: DataFrame, docs: DataFrame) -> DataFrame | None:
         if n <= before:
             break
         mentions, known = accepted(trusted, docs, str(k))
-        near, exact = bit_map(known.select("bit")), bit_map(known.select(_low("instance")))
-        if not any(near):
+        flags = bit_map(known.select("instance"))
+        if not flags.any():
             break
-        places = _places_of(docs, near, exact).groupBy("pattern", "instance")
-        places = places.agg(F.first("bit").alias("bit"), F.count("*").alias("others"))
+        places = _places_of(docs, flags).groupBy("pattern", "instance").agg(F.count("*").alias("others"))
         more = places.join(known.select("instance", "score"), "instance")
-        more = more.select("pattern", "bit", "instance", "score", F.lit(0).cast("long").alias("seeds"), "others")
+        more = more.select("pattern", "instance", "score", F.lit(0).cast("long").alias("seeds"), "others")
         edges, before, k = staged(first.unionByName(more), f"pii-edges-{k}"), n, k + 1
     if mentions is None:
         return None
@@ -395,9 +427,7 @@ def find(docs: DataFrame) -> DataFrame:
     described = staged(_describe_all(docs), "pii-described")
     listed = described.where("seeds != ''").select(F.explode(F.split("seeds", ",")).alias("seed"))
     fields = F.split("seed", " ").cast("array<long>")
-    seeds = listed.select(
-        fields[0].alias("instance"), fields[1].cast("int").alias("bit"), F.explode(F.slice(fields, 3, 3)).alias("pattern")
-    )
+    seeds = listed.select(fields[0].alias("instance"), F.explode(F.slice(fields, 2, 3)).alias("pattern"))
     places = discovered(seeds, docs)
     shown = [F.when(F.col("did") != -(2**63), F.col("did")).alias("doc_id"), *[f"n_{k}" for k in KINDS], "base_sha256"]
     if places is None:
