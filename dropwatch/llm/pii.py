@@ -19,19 +19,21 @@ Without a pattern of enough seeds the texts are read once more in all. Base span
 
 Places count code points, ends are exclusive. A null text is empty; a null doc_id gives a row.
 Repeated rows each give a row with the same spans; rows that share a doc_id but not a text keep
-their own. Ties do not occur: spans are ordered by kind, then start. Other columns are ignored and
+their own. Case is folded by character, where that gives one character. Ties do not occur: spans are ordered by kind, then start. Other columns are ignored and
 an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+import sys
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +46,8 @@ LEAST_SHARE = 0.05  # of a pattern's places that hold known instances
 LEAST_INSIDE = 0.1  # of an instance's places that lie in trusted patterns
 LEAST_CHARS = 3  # of an instance
 BITS = 1 << 18  # of the map that tells which words to look at closer
-BLOCK = 1 << 21  # characters whose words a task holds as arrays at a time, or one longer text
-REMEMBERED = 1 << 18  # chunks of text a task remembers before it starts again
+BLOCK = 1 << 20  # characters whose words a task holds as arrays at a time, or one longer text
+SPACE, HYPHEN, LETTER = 1, 2, 3  # what a code point can be
 
 # The patterns of the base kinds. Possessive and look-behind forms match the same
 # texts as the plain ones and take linear time.
@@ -57,7 +59,8 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 DIGITS = re.compile(r"[0-9]")
 CHUNK = re.compile(r"\S+")
-WORD = re.compile(r"\w[\w-]*\w")
+BLANK = re.compile(r"\s+")
+LETTERS = re.compile(r"\w+")
 
 
 def luhn(digits: str) -> bool:
@@ -103,9 +106,57 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return spans
 
 
-def _number(word: str) -> int:
-    """The 64-bit number of a word or piece; 0 stands for none."""
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each code point: whether it is SPACE, HYPHEN, LETTER (of a word) or none, its lower case,
+    and a random number."""
+    chars = "".join(map(chr, range(sys.maxunicode + 1)))
+    sort = np.zeros(len(chars), np.uint8)
+    for kind, runs in ((SPACE, BLANK), (LETTER, LETTERS)):
+        for m in runs.finditer(chars):
+            sort[m.start() : m.end()] = kind
+    sort[ord("-")] = HYPHEN
+    low = np.arange(len(chars), dtype=np.uint32)
+    for c in range(0x20000):  # no letter behind has a lower case
+        if len(x := chars[c].lower()) == 1:
+            low[c] = ord(x)
+    return sort, low, _spread(np.arange(1, len(chars) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+@functools.lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd base and of its inverse, modulo 2 ** 64."""
+    base = 0x2545F4914F6CDD1D
+    return tuple(np.cumprod(np.append(np.uint64(1), np.full(n - 1, b, np.uint64))) for b in (base, pow(base, -1, 1 << 64)))
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Numbers:
+    """64-bit numbers of the parts of a text, from sums over its code points; 0 for an empty part."""
+
+    def __init__(self, codes: np.ndarray):
+        # Few lengths, so that the powers are seldom computed again.
+        self.powers, self.inverse = _powers(max(BLOCK * 2, 1 << len(codes).bit_length()))
+        values = _tables()[2][codes] * self.powers[: len(codes)]
+        self.sums = np.append(np.uint64(0), np.cumsum(values))
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        parts = (self.sums[end] - self.sums[start]) * self.inverse[start]
+        return _spread(parts ^ (end - start).astype(np.uint64))
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _numbers_of(words: list[str], lower: bool) -> np.ndarray:
+    codes = _codes("".join(words))
+    end = np.cumsum([len(w) for w in words])
+    return Numbers(_tables()[1][codes] if lower else codes)(np.append(0, end[:-1]), end)
 
 
 def _pieces(text: str, start: int, end: int, step: int, wanted: int) -> list[str]:
@@ -125,8 +176,7 @@ def _mixed(kind: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """A 64-bit number of a kind of pattern and the numbers of two pieces, in this order."""
     x = first * np.uint64(0x9E3779B97F4A7C15) + np.uint64(kind)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + second
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))).view(np.int64)
+    return _spread(x).view(np.int64)
 
 
 def patterns(earlier: np.ndarray, one: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -134,16 +184,16 @@ def patterns(earlier: np.ndarray, one: np.ndarray, after: np.ndarray) -> np.ndar
     return np.stack([_mixed(1, one, after), _mixed(2, earlier, one), _mixed(3, np.zeros_like(one), one)])
 
 
-def describe(text: str) -> tuple[list[int], str, list[tuple[int, int, int, int]]]:
-    """Counts by kind, base spans, and the numbers of each seed and the pieces around it."""
+def describe(text: str) -> tuple[list[int], str, list[tuple[str, str, str, str]]]:
+    """Counts by kind, base spans, and each seed with the two pieces before and the one after it."""
     spans = base_spans(text)
     base = ",".join(f"{kind}:{a}:{b}" for kind in KINDS for a, b in spans[kind])
     seeds = []
     for a, b in (s for found in spans.values() for s in found):
-        before = [_number(w.lower()) for w in _pieces(text, a, b, -1, 2)]
+        before = _pieces(text, a, b, -1, 2)
         if before:
-            after = [_number(w.lower()) for w in _pieces(text, a, b, 1, 1)]
-            seeds.append((_number(text[a:b]), before[0] if len(before) > 1 else 0, before[-1], *(after or [0])))
+            after = _pieces(text, a, b, 1, 1)
+            seeds.append((text[a:b], before[0] if len(before) > 1 else "", before[-1], *(after or [""])))
     return [len(spans[kind]) for kind in KINDS], base, seeds
 
 
@@ -151,13 +201,13 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(id_of().alias("did"), F.xxhash64(text_of()).alias("key"), text_of().alias("text"))
 
 
-def _seeds(found: list[tuple[int, int, int, int]]) -> str:
+def _seeds(found: list[tuple[str, str, str, str]]) -> str:
     """Instance and patterns of each seed."""
     if not found:
         return ""
-    instance, *around = np.array(found, np.uint64).T
-    rows = np.vstack([instance.view(np.int64), patterns(*around)]).T
-    return ",".join(" ".join(map(str, row)) for row in rows.tolist())
+    instance, *around = zip(*found, strict=True)
+    rows = np.vstack([_numbers_of(instance, False).view(np.int64), patterns(*(_numbers_of(x, True) for x in around))])
+    return ",".join(" ".join(map(str, row)) for row in rows.T.tolist())
 
 
 def _describe_all(docs: DataFrame) -> DataFrame:
@@ -188,141 +238,140 @@ def bit_map(numbers: DataFrame) -> np.ndarray:
     return found
 
 
-class Vocabulary(dict):
-    """A place in arrays for each chunk of text: the number of the chunk in lower case, and of its
-    words start, end, number, and the numbers of what is before and after them in the chunk. Place 0
-    is no chunk."""
-
-    WORDS = (("start", np.int64), ("end", np.int64), ("instance", np.uint64), ("head", np.uint64), ("tail", np.uint64))
-
-    def __init__(self):
-        super().__init__()
-        self.low, self.first, self.count = np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.words = {name: np.zeros(0, kind) for name, kind in self.WORDS}
-        self.new, self.new_words = [], []
-
-    def __missing__(self, chunk: str) -> int:
-        at = self[chunk] = len(self.low) + len(self.new)
-        n = len(self.new_words)
-        for w in WORD.finditer(chunk):
-            start, end = w.span()
-            if end - start >= LEAST_CHARS:
-                head, tail = chunk[:start].lower(), chunk[end:].lower()
-                self.new_words.append((start, end, _number(w.group()), head and _number(head), tail and _number(tail)))
-        self.new.append((_number(chunk.lower()), len(self.words["start"]) + n, len(self.new_words) - n))
-        return at
-
-    def settle(self) -> None:
-        """Moves what was added to the arrays."""
-        if self.new:
-            low, first, count = zip(*self.new, strict=True)
-            self.low = np.append(self.low, np.array(low, np.uint64))
-            self.first, self.count = np.append(self.first, first), np.append(self.count, count)
-        if self.new_words:
-            for (name, kind), column in zip(self.WORDS, zip(*self.new_words, strict=True), strict=True):
-                self.words[name] = np.append(self.words[name], np.array([x or 0 for x in column], kind))
-        self.new, self.new_words = [], []
-
-
-def _blocks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """The texts in blocks of about BLOCK characters, and the place of each block's first one."""
-    begin, size = 0, 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size >= BLOCK:
-            yield begin, texts[begin : k + 1]
-            begin, size = k + 1, 0
-    if begin < len(texts):
-        yield begin, texts[begin:]
+class Part(NamedTuple):
+    """A part of a text with two pieces before and one behind it: the text's place in its batch and
+    its base spans; where the part begins, where its words do, and where these and the part end."""
+
+    row: int
+    text: str
+    taken: list[tuple[int, int]]
+    begin: int
+    first: int
+    last: int
+    end: int
+
+
+def _parts(row: int, text: str) -> Iterator[Part]:
+    """The text in parts of about BLOCK characters, cut at white space."""
+    taken = sorted(x for spans in base_spans(text).values() for x in spans)
+    first = 0
+    while first < len(text):
+        cut = BLANK.search(text, first + BLOCK)
+        last = cut.start() if cut else len(text)
+        yield Part(row, text, taken, _beyond(text, first, -1, 2), first, last, _beyond(text, last, 1, 1))
+        first = last
+
+
+def _beyond(text: str, at: int, step: int, wanted: int) -> int:
+    """Where the wanted pieces between white space before or after a place in white space end."""
+    reach = 64
+    while True:
+        begin, end = (max(0, at - reach), at) if step < 0 else (at, min(len(text), at + reach))
+        found = [m.span() for m in CHUNK.finditer(text[begin:end])]
+        if begin == 0 if step < 0 else end == len(text):
+            return begin if step < 0 else end
+        if len(found) > wanted:
+            return begin + (found[-wanted][0] if step < 0 else found[wanted - 1][1])
+        reach *= 4
+
+
+def _blocks(texts: list[str]) -> Iterator[list[Part]]:
+    """The parts of the texts, put together to blocks of about BLOCK characters."""
+    block, size = [], 0
+    for row, text in enumerate(texts):
+        for part in _parts(row, text):
+            block.append(part)
+            size += part.end - part.begin
+            if size >= BLOCK:
+                yield block
+                block, size = [], 0
+    if block:
+        yield block
+
+
+def _edges(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of set flags."""
+    steps = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]).astype(np.int8))
+    return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
 
 
 class Block:
-    """The words of some texts that lie outside base spans, as arrays: their text, chunk and place in
-    the vocabulary, their number, and the numbers of the pieces around them (0: none)."""
-
-    def __init__(self, texts: list[str], vocabulary: Vocabulary):
-        self.texts, self.chunk_starts = texts, {}
-        # Two places of no chunk before each text and one behind it.
-        ids, sizes = [], []
-        for text in texts:
-            chunks = text.split()
-            ids += [0, 0, *map(vocabulary.__getitem__, chunks), 0]
-            sizes.append(len(chunks) + 3)
-        vocabulary.settle()
-        ids, sizes = np.array(ids, np.int64), np.array(sizes, np.int64)
-        low, count, words = vocabulary.low[ids], vocabulary.count[ids], vocabulary.words
-        k = np.repeat(np.arange(len(ids)), count)
-        w = np.arange(len(k)) + np.repeat(vocabulary.first[ids] - (np.cumsum(count) - count), count)
-        begins = np.cumsum(sizes) - sizes
-        self.text = np.repeat(np.arange(len(texts)), sizes)[k]
-        self.chunk = k - begins[self.text] - 2
-        self.start, self.end, self.instance = words["start"][w], words["end"][w], words["instance"][w].view(np.int64)
-        head, tail = words["head"][w], words["tail"][w]
-        self.one = np.where(head > 0, head, low[k - 1])
-        self.earlier = np.where(head > 0, low[k - 1], low[k - 2])
-        self.after = np.where(tail > 0, tail, low[k + 1])
-        self._keep(self._free())
-
-    def _keep(self, which: np.ndarray) -> None:
-        for name in ("text", "chunk", "start", "end", "instance", "one", "earlier", "after"):
-            setattr(self, name, getattr(self, name)[which])
-
-    def starts(self, text: int) -> np.ndarray:
-        """Where the chunks of a text start."""
-        if text not in self.chunk_starts:
-            self.chunk_starts[text] = np.array([m.start() for m in CHUNK.finditer(self.texts[text])], np.int64)
-        return self.chunk_starts[text]
-
-    def _free(self) -> np.ndarray:
-        free = np.ones(len(self.text), bool)
-        for k, text in enumerate(self.texts):
-            taken = sorted(x for spans in base_spans(text).values() for x in spans)
-            a, b = np.searchsorted(self.text, (k, k + 1))
-            if taken and a < b:
-                begins, ends = np.array(taken, np.int64).T
-                at = self.starts(k)[self.chunk[a:b]]
-                # Spans of different kinds may overlap: the furthest end of those that begin before.
-                before = np.searchsorted(begins, at + self.end[a:b])
-                furthest = np.append(0, np.maximum.accumulate(ends))[before]
-                free[a:b] = furthest <= at + self.start[a:b]
-        return free
-
-    def having(self, flags: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        return flags[numbers & (BITS - 1)]
+    """The words of some parts that lie outside base spans, as arrays: the place of their text in
+    the batch, start and end there, their number, and those of the pieces around them (0: none)."""
+
+    def __init__(self, parts: list[Part]):
+        codes = _codes("\n".join([p.text[p.begin : p.end] for p in parts]))
+        row, begin, first, last, end = np.array([(p.row, p.begin, p.first, p.last, p.end) for p in parts], np.int64).T
+        offsets = np.cumsum(end - begin + 1) - (end - begin + 1)
+        sorts, low, _ = _tables()
+        sort = sorts[codes]
+        chunk_start, chunk_end = _edges(sort != SPACE)
+        start, stop = self._words(sort)
+        chunk = np.searchsorted(chunk_start, start, "right") - 1
+        exact, lower = Numbers(codes), Numbers(low[codes])
+        # Pieces beside a chunk are those of the same part; a place without one stands at each end.
+        pieces = np.pad(lower(chunk_start, chunk_end), (2, 1))
+        part = np.searchsorted(offsets, chunk_start, "right") - 1
+        of = np.pad(part, (2, 1), constant_values=-1)
+
+        def beside(step):
+            at = chunk + 2 + step
+            return np.where(of[at] == part[chunk], pieces[at], np.uint64(0))
+
+        a, b = chunk_start[chunk], chunk_end[chunk]
+        head, tail = start > a, stop < b
+        one = np.where(head, lower(a, start), beside(-1))
+        earlier = np.where(head, beside(-1), beside(-2))
+        after = np.where(tail, lower(stop, b), beside(1))
+        here = part[chunk]
+        move = begin[here] - offsets[here]
+        free = (start + move >= first[here]) & (start + move < last[here]) & self._untaken(parts, offsets, start, stop)
+        self.row, self.start, self.end = row[here][free], (start + move)[free], (stop + move)[free]
+        self.instance = exact(start, stop)[free].view(np.int64)
+        self.earlier, self.one, self.after = earlier[free], one[free], after[free]
+
+    def _words(self, sort: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From the first to the last letter of each run of letters and hyphens."""
+        letters = np.flatnonzero(sort == LETTER)
+        begins, ends = _edges(sort >= HYPHEN)
+        a, b = np.searchsorted(letters, begins), np.searchsorted(letters, ends)
+        some = b > a
+        start, stop = letters[a[some]], letters[b[some] - 1] + 1
+        long = stop - start >= LEAST_CHARS
+        return start[long], stop[long]
+
+    def _untaken(self, parts: list[Part], offsets: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        taken = [
+            (max(a, p.begin) - p.begin + k, min(b, p.end) - p.begin + k)
+            for p, k in zip(parts, offsets.tolist(), strict=True)
+            for a, b in p.taken
+            if a < p.end and b > p.begin
+        ]
+        if not taken:
+            return np.ones(len(start), bool)
+        begins, ends = np.array(taken, np.int64).T
+        # Spans of different kinds may overlap: the furthest end of those that begin before.
+        return np.append(0, np.maximum.accumulate(ends))[np.searchsorted(begins, stop)] <= start
 
     def patterns(self) -> np.ndarray:
         return patterns(self.earlier, self.one, self.after)
 
-    def spans(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end in their texts of the words at these places."""
-        base = np.zeros(len(which), np.int64)
-        texts, chunks = self.text[which], self.chunk[which]
-        for text in np.unique(texts):
-            here = texts == text
-            base[here] = self.starts(text)[chunks[here]]
-        return base + self.start[which], base + self.end[which]
-
 
-def _read(texts: list[str], vocabulary: list[Vocabulary]) -> Iterator[tuple[int, Block]]:
-    """Blocks of the texts; a vocabulary of REMEMBERED chunks starts again."""
-    for begin, block in _blocks(texts):
-        if not vocabulary or len(vocabulary[0]) >= REMEMBERED:
-            vocabulary[:] = [Vocabulary()]
-        yield begin, Block(block, vocabulary[0])
+def _having(flags: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    return flags[numbers & (BITS - 1)]
 
 
 def _found(docs: DataFrame, flags: np.ndarray) -> DataFrame:
     """The free places that may have a pattern of the bit map, with their patterns."""
-    vocabulary = []
 
     def run(batch):
-        did, key, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-        for begin, block in _read(texts, vocabulary):
+        for block in map(Block, _blocks(batch.column(2).to_pylist())):
             numbers = block.patterns()
-            which = np.flatnonzero((block.one > 0) & block.having(flags, numbers).any(axis=0))
-            if len(which):
-                rows = begin + block.text[which]
-                yield [did.take(rows), key.take(rows), *block.spans(which), block.instance[which], *numbers[:, which]]
+            which = np.flatnonzero((block.one > 0) & _having(flags, numbers).any(axis=0))
+            rows = block.row[which]
+            if len(rows):
+                ids = [batch.column(0).take(rows), batch.column(1).take(rows)]
+                yield [*ids, block.start[which], block.end[which], block.instance[which], *numbers[:, which]]
 
     schema = "did long, key long, start long, end long, instance long, around long, two long, one long"
     return map_batches(_rows(docs), run, schema)
@@ -330,12 +379,11 @@ def _found(docs: DataFrame, flags: np.ndarray) -> DataFrame:
 
 def _counted(docs: DataFrame, flags: np.ndarray, by_instance: bool) -> DataFrame:
     """How many free places each pattern, or each instance, has whose bits are set: number, n."""
-    vocabulary = []
 
     def run(batch):
-        for _, block in _read(batch.column(2).to_pylist(), vocabulary):
+        for block in map(Block, _blocks(batch.column(2).to_pylist())):
             numbers = block.instance if by_instance else block.patterns()[:, block.one > 0].ravel()
-            found, n = np.unique(numbers[block.having(flags, numbers)], return_counts=True)
+            found, n = np.unique(numbers[_having(flags, numbers)], return_counts=True)
             if len(found):
                 yield [found, n]
 
@@ -345,11 +393,10 @@ def _counted(docs: DataFrame, flags: np.ndarray, by_instance: bool) -> DataFrame
 
 def _places_of(docs: DataFrame, flags: np.ndarray) -> DataFrame:
     """instance, pattern of every free place of likely instances."""
-    vocabulary = []
 
     def run(batch):
-        for _, block in _read(batch.column(2).to_pylist(), vocabulary):
-            which = (block.one > 0) & block.having(flags, block.instance)
+        for block in map(Block, _blocks(batch.column(2).to_pylist())):
+            which = (block.one > 0) & _having(flags, block.instance)
             if which.any():
                 yield [np.tile(block.instance[which], 3), block.patterns()[:, which].ravel()]
 

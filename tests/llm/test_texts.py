@@ -1,6 +1,7 @@
 """Chat formatting, personal data, language ID, pieces and archives."""
 
 import random
+import re
 import time
 
 import brute
@@ -251,3 +252,31 @@ def test_a_damaged_archive_is_an_error(spark):
     ):
         with pytest.raises(Exception, match="missing|damaged"):
             warc.read_archive(broken).collect()
+
+
+def test_words_of_blocks_equal_the_plain_patterns(monkeypatch):
+    # Parts of a few characters, cut between pieces, give the words and contexts of the whole text.
+    r, seen, want = random.Random(1), {}, {}
+    texts = ["".join(r.choice("abÉ-_.,1 \n @é語+") for _ in range(r.randrange(300))) for _ in range(300)] + ["", " ", "x" * 500]
+    texts += ["call a@b.cd 10.0.0.1 +1 (555) 010-1000 or 4111 1111 1111 1111, then XK-77 " * 20]
+    numbered = lambda w: int(pii._numbers_of([w], True)[0]) if w else 0
+    for size in (1 << 20, 40):
+        monkeypatch.setattr(pii, "BLOCK", size)
+        pii._powers.cache_clear()
+        found = []
+        for block in map(pii.Block, pii._blocks(texts)):
+            words = [texts[k][a:b] for k, a, b in zip(block.row, block.start, block.end, strict=True)]
+            assert not words or (pii._numbers_of(words, False).view("int64") == block.instance).all()
+            columns = (block.row, block.start, block.end, block.earlier, block.one, block.after)
+            found += zip(*(c.tolist() for c in columns), strict=True)
+        seen[size] = found
+    for k, text in enumerate(texts):
+        base = [s for spans in brute.base_spans(text).values() for s in spans]
+        for m in re.finditer(r"\w[\w-]*\w", text):
+            a, b = m.span()
+            if b - a >= 3 and not any(x < b and a < y for x, y in base):
+                before, after = text[:a].split()[-2:], text[b:].split()[:1]
+                want[k, a, b] = tuple(numbered(w) for w in (*[""] * (2 - len(before)), *before, *(after or [""])))
+    for found in seen.values():
+        assert {x[:3]: x[3:] for x in found} == want and len(found) == len(want)
+    pii._powers.cache_clear()
