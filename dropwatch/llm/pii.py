@@ -403,8 +403,31 @@ def _places_of(docs: DataFrame, flags: np.ndarray) -> DataFrame:
     return map_batches(_rows(docs), run, "instance long, pattern long")
 
 
-def trusted_patterns(edges: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """pattern, trust of the patterns that the edges (pattern, instance, score, seeds, others: places of the known instance) and all places of the texts speak for."""
+class Counts:
+    """The numbers of free places of patterns, or of instances. They do not change between rounds,
+    so only what was not asked for before is counted."""
+
+    def __init__(self, docs: DataFrame, by_instance: bool):
+        self.docs, self.by_instance, self.rounds, self.counted = docs, by_instance, 0, None
+
+    def of(self, wanted: DataFrame) -> DataFrame:
+        """number, n of the numbers wanted, a stored table's only column; 0 for those not found."""
+        wanted = wanted.toDF("number")
+        new = wanted if self.counted is None else wanted.join(self.counted, "number", "left_anti")
+        flags = bit_map(new)
+        if flags.any():
+            n = F.coalesce("n", F.lit(0).cast("long")).alias("n")
+            more = new.join(_counted(self.docs, flags, self.by_instance), "number", "left").select("number", n)
+            more = more if self.counted is None else more.unionByName(self.counted)
+            kind = "instances" if self.by_instance else "patterns"
+            self.counted = staged(more, f"pii-{kind}-{self.rounds}")
+            self.rounds += 1
+        return self.counted if self.counted is not None else wanted.withColumn("n", F.lit(0).cast("long"))
+
+
+def trusted_patterns(edges: DataFrame, counts: Counts, name: str) -> DataFrame:
+    """pattern, trust of the patterns that the edges (pattern, instance, score, seeds, others:
+    places of the known instance) and all places of the texts speak for."""
     pos = F.sum("score")
     known = edges.groupBy("pattern").agg(
         (pos / (pos + 1)).alias("trust"),
@@ -412,16 +435,13 @@ def trusted_patterns(edges: DataFrame, docs: DataFrame, name: str) -> DataFrame:
         F.sum("others").alias("others"),
     )
     known = staged(known.where(F.round("trust", 9) >= TRUSTED), f"pii-candidates-{name}")
-    flags = bit_map(known.select("pattern"))
-    if not flags.any():
-        return known.select("pattern", "trust")
-    places = _counted(docs, flags, False).withColumnRenamed("number", "pattern")
-    share = (F.col("seeds") + F.col("others")) / (F.col("seeds") + F.greatest("others", F.coalesce("n", F.lit(0))))
-    judged = known.join(places, "pattern", "left").where(share >= LEAST_SHARE)
+    places = counts.of(known.select("pattern")).withColumnRenamed("number", "pattern")
+    share = (F.col("seeds") + F.col("others")) / (F.col("seeds") + F.greatest("others", "n"))
+    judged = known.join(places, "pattern").where(share >= LEAST_SHARE)
     return staged(judged.select("pattern", "trust"), f"pii-trusted-{name}")
 
 
-def accepted(trusted: DataFrame, docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+def accepted(trusted: DataFrame, docs: DataFrame, counts: Counts, name: str) -> tuple[DataFrame, DataFrame]:
     """The places in trusted patterns, and of their instances instance, score that are accepted."""
     found = _found(docs, bit_map(trusted.select("pattern"))).withColumn("m", F.monotonically_increasing_id())
     found = staged(found, f"pii-found-{name}")
@@ -432,7 +452,7 @@ def accepted(trusted: DataFrame, docs: DataFrame, name: str) -> tuple[DataFrame,
     belief = sure.select("instance", "pattern", "trust").distinct().groupBy("instance")
     belief = belief.agg((1 - F.exp(doubt)).alias("belief"))
     likely = staged(places.join(belief, "instance"), f"pii-likely-{name}")
-    total = _counted(docs, bit_map(likely.select("instance")), True).withColumnRenamed("number", "instance")
+    total = counts.of(likely.select("instance")).withColumnRenamed("number", "instance")
     known = likely.join(total, "instance").where(F.col("inside") >= LEAST_INSIDE * F.col("n"))
     mentions = sure.select("did", "key", "start", "end", "instance").distinct()
     known = known.select("instance", F.col("belief").alias("score"))
@@ -442,25 +462,31 @@ def accepted(trusted: DataFrame, docs: DataFrame, name: str) -> tuple[DataFrame,
 def discovered(seeds: DataFrame, docs: DataFrame) -> DataFrame | None:
     """did, key, start, end of the places of identifiers found by context; None without any. seeds
     has instance, pattern per place of a seed."""
-    one = F.lit(1.0)
+    zero = F.lit(0).cast("long")
     edges = seeds.groupBy("pattern", "instance").agg(F.count("*").alias("seeds"))
-    edges = edges.select("pattern", "instance", one.alias("score"), "seeds", F.lit(0).cast("long").alias("others"))
+    edges = edges.select("pattern", "instance", F.lit(1.0).alias("score"), "seeds", zero.alias("others"))
     first = staged(edges, "pii-edges")
-    edges, before, mentions, known = first, 0, None, None
+    of_patterns, of_instances = Counts(docs, False), Counts(docs, True)
+    edges, before, mentions, known, places = first, 0, None, None, None
     k = 0
     while True:  # patterns are only added, so this ends
-        trusted = trusted_patterns(edges, docs, str(k))
+        trusted = trusted_patterns(edges, of_patterns, str(k))
         n = trusted.count()
         if n <= before:
             break
-        mentions, known = accepted(trusted, docs, str(k))
-        flags = bit_map(known.select("instance"))
-        if not flags.any():
+        mentions, known = accepted(trusted, docs, of_instances, str(k))
+        new = known.select("instance")
+        new = new if places is None else new.join(places.select("instance"), "instance", "left_anti")
+        flags = bit_map(new)
+        if flags.any():
+            more = _places_of(docs, flags).join(new, "instance", "left_semi").groupBy("pattern", "instance")
+            more = more.agg(F.count("*").alias("others"))
+            places = staged(more if places is None else more.unionByName(places), f"pii-places-{k}")
+        if places is None:
             break
-        places = _places_of(docs, flags).groupBy("pattern", "instance").agg(F.count("*").alias("others"))
-        more = places.join(known.select("instance", "score"), "instance")
-        more = more.select("pattern", "instance", "score", F.lit(0).cast("long").alias("seeds"), "others")
-        edges, before, k = staged(first.unionByName(more), f"pii-edges-{k}"), n, k + 1
+        more = places.join(known, "instance")
+        more = more.select("pattern", "instance", "score", zero.alias("seeds"), "others")
+        edges, before, k = first.unionByName(more), n, k + 1
     if mentions is None:
         return None
     return mentions.join(known, "instance", "left_semi").select("did", "key", "start", "end")
