@@ -14,7 +14,8 @@ instance. Spark scores the graph of patterns and instances in rounds, until noth
   those of ordinary words do not. Its other places give new patterns.
 
 Each step that looks for patterns or instances reads the texts, as every word is a possible
-instance: a bit map of fixed size tells which words to look at closer, joins then tell exactly.
+instance: a bit map, whose size follows the numbers asked for, tells which words to look at closer,
+joins then tell exactly.
 Without a pattern of enough seeds the texts are read once more in all. Base spans are never changed.
 
 Places count code points, ends are exclusive. A null text is empty; a null doc_id gives a row.
@@ -45,8 +46,11 @@ TRUSTED = 0.8  # trust of a pattern: four known instances at least
 LEAST_SHARE = 0.05  # of a pattern's places that hold known instances
 LEAST_INSIDE = 0.1  # of an instance's places that lie in trusted patterns
 LEAST_CHARS = 3  # of an instance
-BITS = 1 << 18  # of the map that tells which words to look at closer
-BLOCK = 1 << 20  # characters whose words a task holds as arrays at a time, or one longer text
+BITS_EACH = 64  # per number, of the map that tells which words to look at closer; two of them are set
+MAP_BITS = (1 << 18, 1 << 27)  # of the smallest and of the largest map
+BITMAP = 1 << 15  # bits of each part of the map that Spark puts together
+MOST_HELD = 1 << 18  # numbers whose counts a task holds
+BLOCK = 1 << 18  # characters whose words a task holds as arrays at a time, or one longer text
 SPACE, HYPHEN, LETTER = 1, 2, 3  # what a code point can be
 
 # The patterns of the base kinds. Possessive and look-behind forms match the same
@@ -230,12 +234,19 @@ def _describe_all(docs: DataFrame) -> DataFrame:
 
 
 def bit_map(numbers: DataFrame) -> np.ndarray:
-    """A flag for each remainder of BITS, set for those of the only column; BITS rows come to the
-    driver at most."""
-    found = np.zeros(BITS, bool)
-    for (bit,) in numbers.select(F.pmod(numbers.columns[0], F.lit(BITS)).alias("bit")).distinct().collect():
-        found[bit] = True
-    return found
+    """A map, as bytes, with the two bits of each number of the only column set. Other numbers have
+    both set with a chance of one in a thousand at most, until the map has its largest size; that is
+    16 MB, of which the driver gets no more than the parts that are not empty."""
+    wanted, bits = numbers.count() * BITS_EACH, MAP_BITS[0]
+    while bits < min(wanted, MAP_BITS[1]):
+        bits *= 2
+    number = F.col(numbers.columns[0])
+    places = F.array(*[F.pmod(x, F.lit(bits)) for x in (number, F.shiftrightunsigned(number, 32))])
+    parts = numbers.select(F.explode(places).alias("bit")).groupBy(F.expr(f"bit div {BITMAP}").alias("part"))
+    flags = np.zeros((bits // BITMAP, BITMAP // 8), np.uint8)
+    for part, found in parts.agg(F.bitmap_construct_agg(F.col("bit") % BITMAP)).collect():
+        flags[part] = np.frombuffer(found, np.uint8)
+    return flags.ravel()
 
 
 class Part(NamedTuple):
@@ -358,7 +369,16 @@ class Block:
 
 
 def _having(flags: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    return flags[numbers & (BITS - 1)]
+    last = np.uint64(len(flags) * 8 - 1)
+
+    def is_set(x):
+        at = x & last
+        return (flags[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
+
+    x = numbers.view(np.uint64)
+    having = is_set(x)
+    having[having] = is_set(x[having] >> np.uint64(32))
+    return having
 
 
 def _found(docs: DataFrame, flags: np.ndarray) -> DataFrame:
@@ -377,17 +397,38 @@ def _found(docs: DataFrame, flags: np.ndarray) -> DataFrame:
     return map_batches(_rows(docs), run, schema)
 
 
+def _summed(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[list[np.ndarray]]:
+    """number, n of parts of a task, each number once for up to MOST_HELD numbers."""
+    held, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for found, n in parts:
+        held, places = np.unique(np.append(held, found), return_inverse=True)
+        counts = np.bincount(places, np.append(counts, n)).astype(np.int64)
+        if len(held) > MOST_HELD:
+            yield [held, counts]
+            held, counts = held[:0], counts[:0]
+    if len(held):
+        yield [held, counts]
+
+
 def _counted(docs: DataFrame, flags: np.ndarray, by_instance: bool) -> DataFrame:
-    """How many free places each pattern, or each instance, has whose bits are set: number, n."""
+    """How many free places each pattern, or each instance, has whose bits are set: number, n.
 
-    def run(batch):
-        for block in map(Block, _blocks(batch.column(2).to_pylist())):
-            numbers = block.instance if by_instance else block.patterns()[:, block.one > 0].ravel()
-            found, n = np.unique(numbers[_having(flags, numbers)], return_counts=True)
-            if len(found):
-                yield [found, n]
+    Counts are added up within a task, not only within a block: the rows are those of the numbers
+    that tasks hold, and not of these in every block."""
+
+    def parts(batches):
+        for batch in batches:
+            for block in map(Block, _blocks(batch.column(2).to_pylist())):
+                numbers = block.instance if by_instance else block.patterns()[:, block.one > 0].ravel()
+                found, n = np.unique(numbers[_having(flags, numbers)], return_counts=True)
+                if len(found):
+                    yield found, n
+
+    def run(batches):
+        for columns in _summed(parts(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["number", "n"])
 
-    counted = map_batches(_rows(docs), run, "number long, n long")
+    counted = _rows(docs).mapInArrow(run, "number long, n long")
     return counted.groupBy("number").agg(F.sum("n").alias("n"))
 
 

@@ -6,6 +6,7 @@ import time
 
 import brute
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -280,3 +281,32 @@ def test_words_of_blocks_equal_the_plain_patterns(monkeypatch):
     for found in seen.values():
         assert {x[:3]: x[3:] for x in found} == want and len(found) == len(want)
     pii._powers.cache_clear()
+
+
+def test_counts_are_summed_in_a_task_and_exact(spark, monkeypatch):
+    texts = ["see ref: ab12 or ref: cd34 now, see ref: ab12 or then"] * 40 + [prose(7, 300), None, "", "ref: ab12 or"]
+    wanted = [pii.patterns(*(pii._numbers_of([x], True) for x in around)) for around in (("see", "ref:", "or"), ("a", "b", "c"))]
+    numbers = spark.createDataFrame([(int(x),) for x in np.unique(np.concatenate(wanted))], "number long")
+    plain = rows_of(pii.Counts(docs(spark, texts), False).of(numbers), "number", "n")
+    # Many small blocks in one task: a row for each number, as of one large block.
+    monkeypatch.setattr(pii, "BLOCK", 64)
+    one_task = docs(spark, texts).coalesce(1)
+    flags = pii.bit_map(numbers)
+    assert pii._having(flags, np.array([r.number for r in numbers.collect()])).all()
+    blocks = [b.patterns()[:, b.one > 0].ravel() for b in map(pii.Block, pii._blocks([t or "" for t in texts]))]
+    made = list(pii._summed((np.unique(x[pii._having(flags, x)], return_counts=True) for x in blocks)))
+    assert len(blocks) > 20 and len(made) == 1 and len(set(made[0][0])) == len(made[0][0]) <= numbers.count()
+    assert rows_of(pii.Counts(one_task, False).of(numbers), "number", "n") == plain
+    # In each of the forty texts, and in the last: "see ref:" twice, "ref: .. or" twice, "ref:" three times.
+    assert sorted(n for _, n in plain) == [0, 0, 0, 80, 81, 121]
+    monkeypatch.setattr(pii, "MOST_HELD", 1)
+    assert rows_of(pii.Counts(one_task, False).of(numbers), "number", "n") == plain
+
+
+def test_the_bit_map_follows_the_numbers_asked_for(spark):
+    asked = spark.range(40000).select(F.xxhash64("id").alias("number"))
+    flags = pii.bit_map(asked)
+    known = np.array([r.number for r in asked.collect()])
+    others = np.array([r.number for r in spark.range(100000, 300000).select(F.xxhash64("id").alias("number")).collect()])
+    assert pii._having(flags, known).all() and pii._having(flags, others).mean() < 0.003
+    assert not pii.bit_map(asked.limit(0)).any()
