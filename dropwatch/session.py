@@ -53,6 +53,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+# Fixed value: bytes of data files that one task is given where rows are multiplied.
+BYTES_PER_TASK = 4 * 2**20
+
+
+def tasks_for(df: DataFrame) -> int:
+    """A number of partitions that follows the size of the files df is read from, so that a task's
+    share stays the same; without files, the session's number."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in files]
+    size = sum(path.getFileSystem(conf).getFileStatus(path).getLen() for path in paths)
+    return max(spark.sparkContext.defaultParallelism, -(-size // BYTES_PER_TASK))
+
+
 def delete_staged(spark: SparkSession) -> None:
     """Delete the intermediate tables of this process. For the end of a job: results that are still
     to be computed from them are lost."""

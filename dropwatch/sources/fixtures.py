@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dropwatch.functions.calendar import hours_between, shift_hour
+from dropwatch.session import tasks_for
 
 # The run the views are made for, and the outage injected on its day.
 RUN_DATE = "2024-02-08"
@@ -33,6 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """rows dealt by key, if their files ask for more tasks than the session gives to a join."""
+    tasks = tasks_for(rows)
+    few = tasks <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows if few else rows.repartition(tasks, key)
+
+
 def _with_places(rows: DataFrame, sf_dir: str, key: str) -> DataFrame:
     """Join each row's customer, nation and region. The last two have 25 and 5 rows by
     definition, whatever the scale, so they are broadcast."""
@@ -124,8 +132,8 @@ def traffic_long(
     dates."""
     lines = _between(table(spark, sf_dir, "lineitem"), "l_shipdate", first, end, shift=0)
     orders = table(spark, sf_dir, "orders")
-    bought = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    return _with_places(bought, sf_dir, "o_custkey").select(
+    bought = _dealt(lines, "l_orderkey").join(orders, lines.l_orderkey == orders.o_orderkey)
+    return _with_places(_dealt(bought, "o_custkey"), sf_dir, "o_custkey").select(
         F.col("r_name").alias("country"),
         F.col("c_mktsegment").alias("website_name"),
         F.col("l_returnflag").alias("action"),
