@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropwatch.config import COUNT_COLS, ID_COLS, STACKED_KEYS, USAGE_MONTHS
-from dropwatch.functions.calendar import month_number, months_between, shift_month
+from dropwatch.functions.calendar import month_number
 from dropwatch.operators.counts import daily_counts_all_levels, daily_usage
 from dropwatch.session import staged
 from dropwatch.sources.readers import clicks_only, in_trailing_year
@@ -58,21 +58,34 @@ def usage_of_folders(
 
     counts holds daily counts of each folder by itself. A folder can hold late rows of days that
     other folders hold too, and distinct counts of parts do not add up: only the clicks of such days
-    are counted again, for each run month from the folders it looks at. Days are the calendar's, so
-    broadcasts of them are bounded; clicks has the folder of each row.
+    are counted again. A run month sees a day's folders from a first to a last one; clicks are
+    counted once for each such span, however many run months see it, and a span of one folder has
+    its counts already. Days, folders and run months are the calendar's, so broadcasts of them are
+    bounded; clicks has the folder of each row.
     """
-    top = counts.filter(F.col("level") == 1).groupBy("date").agg(F.count_distinct("folder").alias("n"))
+    held = counts.filter(F.col("level") == 1).select("date", "folder").distinct()
+    top = held.groupBy("date").agg(F.count("*").alias("n"))
     shared = staged(top.filter("n > 1").select("date"), "shared-days")
-    days = [r.date for r in shared.limit(MOST_LITERALS + 1).collect()]
     own = counts.join(F.broadcast(shared), "date", "left_anti")
-    again = clicks.join(F.broadcast(shared), "date", "left_semi")
-    if len(days) <= MOST_LITERALS:
-        again = clicks.filter(F.col("date").isin(days))  # reaches the scan
-    looking = months_between(shift_month("folder", 1), shift_month("folder", months))
-    again = again.withColumn("run_month", F.explode(looking))
-    again = again.join(F.broadcast(run_months.select("run_month")), "run_month", "left_semi")
-    recounted = daily_counts_all_levels(again, scope=("run_month",)) if days else None
-    return usage_backfill(own, STACKED_KEYS, run_months, months, "folder", recounted)
+    days = [r.date for r in shared.limit(MOST_LITERALS + 1).collect()]
+    if not days:
+        return usage_backfill(own, STACKED_KEYS, run_months, months, "folder")
+    at = month_number("folder")
+    looking = F.explode(F.sequence(at + 1, at + months)).alias("run_at")
+    seen = held.join(F.broadcast(shared), "date").select("date", at.alias("at"), looking)
+    wanted = run_months.select("run_month", month_number("run_month").alias("run_at")).distinct()
+    span = (F.min("at").alias("first"), F.max("at").alias("last"))
+    seen = seen.join(F.broadcast(wanted), "run_at").groupBy("date", "run_month").agg(*span)
+    seen = staged(seen, "shared-spans")
+    spans = seen.filter("first < last").select("date", "first", "last").distinct()
+    again = clicks.filter(F.col("date").isin(days)) if len(days) <= MOST_LITERALS else clicks  # reaches the scan
+    again = again.withColumn("at", at).join(F.broadcast(spans), "date")
+    again = again.filter(F.col("at").between(F.col("first"), F.col("last")))
+    recounted = daily_counts_all_levels(again, scope=("first", "last"))
+    single = counts.withColumns({"first": at, "last": at}).select(recounted.columns)
+    single = single.join(F.broadcast(shared), "date", "left_semi")
+    more = single.unionByName(recounted).join(F.broadcast(seen), ["date", "first", "last"])
+    return usage_backfill(own, STACKED_KEYS, run_months, months, "folder", more)
 
 
 def usage_backfill(

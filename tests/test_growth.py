@@ -6,7 +6,9 @@ from helpers import click, layer, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from dropwatch import session
+from dropwatch.config import ID_COLS, MEDIAN_COLS, STACKED_KEYS
 from dropwatch.operators import counts
+from dropwatch.plans import usage
 
 
 def _clicks(spark):
@@ -42,3 +44,26 @@ def test_tables_of_identifiers_can_be_merged(spark):
     both = clicks.unionByName(clicks.filter(first))
     got = counts.counts_of(merged)
     assert rows_of(got, *got.columns) == rows_of(counts.daily_counts_all_levels(both), *got.columns)
+
+
+def test_clicks_of_shared_days_are_counted_once_a_span(spark, monkeypatch):
+    clicks = _clicks(spark)
+    months = [f"2024-{m:02d}" for m in range(1, 7)]
+    runs = spark.createDataFrame([(m,) for m in months], "run_month string")
+    stored = counts.daily_counts_all_levels(clicks, scope=("folder",))
+    seen = []
+    real = usage.daily_counts_all_levels
+
+    def counted(rows, ids=ID_COLS, scope=()):
+        seen.append(rows.count())
+        return real(rows, ids, scope)
+
+    monkeypatch.setattr(usage, "daily_counts_all_levels", counted)
+    got = usage.usage_of_folders(stored, clicks, runs, months=2)
+    shared = clicks.filter("substring(date, 9, 2) <= '02'").count()
+    assert len(seen) == 1 and 0 < seen[0] <= shared
+    for run_month in months:
+        year = [m for m in ["2023-12", *months] if m < run_month][-2:]
+        plain = usage.usage_of_clicks(clicks.filter(F.col("folder").isin(year)))
+        shown = (*STACKED_KEYS, *MEDIAN_COLS)
+        assert rows_of(got.filter(F.col("run_month") == run_month), *shown) == rows_of(plain, *shown)
