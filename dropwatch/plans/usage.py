@@ -72,17 +72,18 @@ def usage_of_folders(
         return usage_backfill(own, STACKED_KEYS, run_months, months, "folder")
     at = month_number("folder")
     looking = F.explode(F.sequence(at + 1, at + months)).alias("run_at")
-    seen = held.join(F.broadcast(shared), "date").select("date", at.alias("at"), looking)
+    seen = held.join(F.broadcast(shared), "date").select("date", "folder", looking)
     wanted = run_months.select("run_month", month_number("run_month").alias("run_at")).distinct()
-    span = (F.min("at").alias("first"), F.max("at").alias("last"))
+    span = (F.min("folder").alias("first"), F.max("folder").alias("last"))
     seen = seen.join(F.broadcast(wanted), "run_at").groupBy("date", "run_month").agg(*span)
     seen = staged(seen, "shared-spans")
     spans = seen.filter("first < last").select("date", "first", "last").distinct()
     again = clicks.filter(F.col("date").isin(days)) if len(days) <= MOST_LITERALS else clicks  # reaches the scan
-    again = again.withColumn("at", at).join(F.broadcast(spans), "date")
-    again = again.filter(F.col("at").between(F.col("first"), F.col("last")))
+    again = again.join(F.broadcast(spans), "date")
+    # As texts, which compare in time order: a condition on numbers would reach folders without a month.
+    again = again.filter(F.col("folder").between(F.col("first"), F.col("last")))
     recounted = daily_counts_all_levels(again, scope=("first", "last"))
-    single = counts.withColumns({"first": at, "last": at}).select(recounted.columns)
+    single = counts.withColumns({"first": F.col("folder"), "last": F.col("folder")}).select(recounted.columns)
     single = single.join(F.broadcast(shared), "date", "left_semi")
     more = single.unionByName(recounted).join(F.broadcast(seen), ["date", "first", "last"])
     return usage_backfill(own, STACKED_KEYS, run_months, months, "folder", more)

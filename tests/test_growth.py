@@ -9,6 +9,7 @@ from dropwatch import session
 from dropwatch.config import ID_COLS, MEDIAN_COLS, STACKED_KEYS
 from dropwatch.operators import counts
 from dropwatch.plans import usage
+from dropwatch.sources import readers, sinks
 
 
 def _clicks(spark):
@@ -67,3 +68,18 @@ def test_clicks_of_shared_days_are_counted_once_a_span(spark, monkeypatch):
         plain = usage.usage_of_clicks(clicks.filter(F.col("folder").isin(year)))
         shown = (*STACKED_KEYS, *MEDIAN_COLS)
         assert rows_of(got.filter(F.col("run_month") == run_month), *shown) == rows_of(plain, *shown)
+
+
+def test_stored_rows_without_a_folder_stay_out(spark, tmp_path):
+    clicks = _clicks(spark)
+    lost = clicks.limit(5).withColumns({"date": F.lit(None).cast("string"), "folder": F.lit(None).cast("string")})
+    months = [(2023, 12), (2024, 1), (2024, 2), (2024, 3)]
+    runs = spark.createDataFrame([("2024-03",), ("2024-04",)], "run_month string")
+    found = []
+    for name, rows in (("all", clicks.unionByName(lost)), ("known", clicks)):
+        sinks.save_by_folder(rows, str(tmp_path / name))
+        stored = readers.month_folders(spark, str(tmp_path / name), months, partitioned=True)
+        kept = session.staged(counts.daily_counts_all_levels(stored, scope=("folder",)), "daily")
+        got = usage.usage_of_folders(kept, stored, runs, months=2)
+        found.append(rows_of(got, *got.columns))
+    assert found[0] == found[1] and found[0]
