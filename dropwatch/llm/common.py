@@ -44,16 +44,21 @@ def arrow_schema(schema: str) -> pa.Schema:
 
 
 def map_batches(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[list]], schema: str
+    df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[list]], schema: str, done: Callable | None = None
 ) -> DataFrame:
-    """df.mapInArrow; fn yields for each batch any number of lists of columns."""
+    """df.mapInArrow; fn yields for each batch any number of lists of columns. done is called at the
+    end of a task: workers are used again, also by other stages, and keep what is not given back."""
     kinds = arrow_schema(schema)
 
     def run(batches):
-        for batch in batches:
-            for columns in fn(batch):
-                arrays = [pa.array(c, t) for c, t in zip(columns, kinds.types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=kinds)
+        try:
+            for batch in batches:
+                for columns in fn(batch):
+                    arrays = [pa.array(c, t) for c, t in zip(columns, kinds.types, strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=kinds)
+        finally:
+            if done:
+                done()
 
     return df.mapInArrow(run, schema)
 
